@@ -83,3 +83,88 @@ group by 1 order by requests desc, file_name asc limit 20""",
 
 ORACLE: dict[str, str] = {}
 ORACLE.update(LOGS)
+
+# ---------------------------------------------------------------------------
+# Claims: profile, clean, dictionaries, encoding, stratified split
+# ---------------------------------------------------------------------------
+
+CLAIM_KEY_SQL = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+CLAIM_STRINGS = ["Cat1", "Cat2", "Cat12"]
+CLAIM_TOPN = ["Blind_Make", "Blind_Submodel"]
+
+
+def _num(c: str) -> str:
+    return f"coalesce(try_cast({c} as double), 0.0)"
+
+
+CLEAN = f"""clean as (
+select {CLAIM_KEY_SQL}, {_num('Calendar_Year')} as Calendar_Year, {_num('OrdCat')} as OrdCat,
+       {_num('Var1')} as Var1, {_num('Var2')} as Var2,
+       coalesce(Cat1,'ZZZ') as Cat1, coalesce(Cat2,'ZZZ') as Cat2, coalesce(Cat12,'ZZZ') as Cat12,
+       coalesce(Blind_Submodel,'ZZZ') as Blind_Submodel,
+       {_num('Claim_Amount')} as Claim_Amount,
+       cast({_num('Claim_Amount')} <> 0 as double) as y
+from claims)"""
+
+
+def _long(cols: list[str], src: str = "claims") -> str:
+    return " union all ".join(
+        f"select '{c}' as column_name, coalesce(cast({c} as varchar),'ZZZ') as value from {src}" for c in cols)
+
+
+TOPN_SQL = f"""topn as (
+select column_name, value, cast(rn as int) as id from (
+  select column_name, value, row_number() over (partition by column_name order by n desc, value asc) as rn
+  from (select column_name, value, count(*) as n from ({_long(CLAIM_TOPN)}) group by 1, 2)) where rn <= 20)"""
+
+ORDINAL_SQL = f"""ordinal as (
+select column_name, value, cast(dense_rank() over (partition by column_name order by value) as int) as id
+from (select distinct column_name, value from ({_long(CLAIM_STRINGS)})))"""
+
+# The learned Cat12 dictionary has 'ZZZ' here, so its replacement domain is
+# not used; the forced pair is added.
+OVERRIDE_SQL = """mapping as (
+select column_name, value, id from (select * from topn union all select * from ordinal)
+where not (column_name = 'Blind_Submodel' and value = 'AE.3.0')
+union all select 'Blind_Submodel', 'AE.3.0', 0)"""
+
+
+def _enc(c: str) -> str:
+    return (f"coalesce((select cast(m.id as double) from mapping m where m.column_name = '{c}' "
+            f"and m.value = clean.{c}), 0.0) as {c}")
+
+
+CLAIMS_SQL = {
+    "csv_roundtrip": with_(CLAIMS) + "select * from claims",
+
+    "label_cast": with_(PARTICLES) + "select vec_id, label, " + ", ".join(f"f{i}" for i in range(1, 29)) + " from particles",
+
+    "null_profile": with_(CLAIMS) + " union all ".join(
+        f"select '{c}' as column_name, count(*) - count({c}) as n_null from claims"
+        for c in ["Calendar_Year", "OrdCat", "Var1", "Var2", "Cat1", "Cat2", "Cat12",
+                  "Blind_Make", "Blind_Submodel", "Claim_Amount"]),
+
+    "claims_clean": with_(CLAIMS, CLEAN) + f"select {CLAIM_KEY_SQL}, Calendar_Year, OrdCat, Var1, Var2, Cat1, Cat2, Cat12, Blind_Submodel, Claim_Amount from clean",
+
+    "claim_indicator": with_(CLAIMS, CLEAN) + f"select {CLAIM_KEY_SQL}, Claim_Amount, y from clean",
+
+    "category_counts": with_(CLAIMS) + f"select column_name, value, count(*) as n from ({_long(CLAIM_STRINGS + CLAIM_TOPN)}) group by 1, 2",
+
+    "distinct_categories": with_(CLAIMS) + f"select distinct column_name, value from ({_long(CLAIM_STRINGS)})",
+
+    "encode_topn": with_(CLAIMS, TOPN_SQL) + "select * from topn",
+
+    "encode_ordinal": with_(CLAIMS, ORDINAL_SQL) + "select * from ordinal",
+
+    "encode_override": with_(CLAIMS, TOPN_SQL, ORDINAL_SQL, OVERRIDE_SQL) + "select * from mapping",
+
+    "mapping_sizes": with_(CLAIMS, TOPN_SQL, ORDINAL_SQL, OVERRIDE_SQL) + "select column_name, count(*) as n_values from mapping group by 1",
+
+    "encode_roundtrip": with_(CLAIMS, CLEAN, TOPN_SQL, ORDINAL_SQL, OVERRIDE_SQL) + f"""
+select {CLAIM_KEY_SQL}, Calendar_Year, OrdCat, Var1, Var2, {_enc('Cat1')}, {_enc('Cat2')}, {_enc('Cat12')},
+       {_enc('Blind_Submodel')}, Claim_Amount, y from clean""",
+
+    "stratified_split": with_(CLAIMS, CLEAN) + f"""
+select {CLAIM_KEY_SQL}, y, case when {U('l_orderkey', 'l_linenumber', 'l_partkey', 'l_suppkey', 'y')} < 0.7 then 'train' else 'test' end as split from clean""",
+}
+ORACLE.update(CLAIMS_SQL)

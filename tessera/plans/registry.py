@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from tessera.plans import logs
+from tessera.plans import claims, logs
 
 
 def all_queries() -> dict:
     out: dict = {}
-    for mod in (logs,):
+    for mod in (logs, claims):
         out.update(mod.QUERIES)
     return out
 
