@@ -168,3 +168,71 @@ select {CLAIM_KEY_SQL}, Calendar_Year, OrdCat, Var1, Var2, {_enc('Cat1')}, {_enc
 select {CLAIM_KEY_SQL}, y, case when {U('l_orderkey', 'l_linenumber', 'l_partkey', 'l_suppkey', 'y')} < 0.7 then 'train' else 'test' end as split from clean""",
 }
 ORACLE.update(CLAIMS_SQL)
+
+# ---------------------------------------------------------------------------
+# Recommendation: folds, tag relevance, clusters (stand-in ids), fold matrix
+# ---------------------------------------------------------------------------
+
+FOLDS = f"""folds as (
+select userId, movieId, rating, cast(floor({U('userId', 'movieId')}*3)+1 as int) as fold from ratings)"""
+CLUSTERS = """clusters as (
+select movieId, cast(least(movieId % 31, 24) as int) as prediction from (select distinct movieId from ratings))"""
+BEST_TAG = """best as (
+select movieId, relevance as max_relevance, tagId from (
+  select movieId, tagId, relevance, row_number() over (partition by movieId order by relevance desc, tagId asc) as rn
+  from genome_scores) where rn = 1)"""
+TOP_CLUSTERS = """top_clusters as (
+select prediction, count(*) as n_members from clusters group by 1 order by 2 desc, 1 asc limit 3)"""
+
+_MATRIX_COLS = ", ".join(
+    [f"round(max(case when fold = {f} then {m} end), 6) as {m}_{f}" for m in ("rmse", "mae") for f in (1, 2, 3)]
+    + [f"round(avg({m}), 6) as mean_{m}, round(stddev_pop({m}), 6) as std_{m}" for m in ("rmse", "mae")])
+
+RECOMMEND_SQL = {
+    "kfold_train_test": with_(RATINGS, FOLDS) + "select * from folds",
+
+    "item_tag_counts": with_(GENOME_SCORES) + "select movieId, count(*) as n_tags from genome_scores group by 1",
+
+    "complete_items": with_(GENOME_SCORES) + """
+select count(*) as n_items, count(*) filter (where n = 40) as n_complete
+from (select movieId, count(*) as n from genome_scores group by 1)""",
+
+    "item_max_relevance": with_(GENOME_SCORES) + "select movieId, max(relevance) as max_relevance from genome_scores group by 1",
+
+    "item_best_tag": with_(GENOME_SCORES, BEST_TAG) + "select * from best",
+
+    "cluster_sizes": with_(RATINGS, CLUSTERS, TOP_CLUSTERS) + "select * from top_clusters",
+
+    "cluster_coverage": with_(RATINGS, GENOME_SCORES, CLUSTERS, BEST_TAG, TOP_CLUSTERS) + """
+select c.prediction, count(*) as n_members, count(b.movieId) as n_scored
+from clusters c join top_clusters t on c.prediction = t.prediction left join best b on b.movieId = c.movieId
+group by 1""",
+
+    "cluster_top_tags": with_(RATINGS, GENOME_SCORES, GENOME_TAGS, CLUSTERS, BEST_TAG, TOP_CLUSTERS) + """,
+per_tag as (
+  select c.prediction, b.tagId, count(*) as n_items, sum(b.max_relevance) as sum_relevance
+  from clusters c join top_clusters t on c.prediction = t.prediction join best b on b.movieId = c.movieId
+  group by 1, 2),
+ranked as (
+  select *, cast(row_number() over (partition by prediction order by sum_relevance desc, tagId asc) as int) as rank
+  from per_tag)
+select r.prediction, r.rank, r.tagId, g.tag, r.n_items, round(r.sum_relevance, 6) as sum_relevance
+from ranked r join genome_tags g on g.tagId = r.tagId where r.rank <= 3""",
+
+    "fold_metric_matrix": with_(RATINGS, FOLDS) + f""",
+pif as (select movieId, fold, sum(rating) as s, count(*) as n from folds group by 1, 2),
+pi as (select movieId, sum(s) as S, sum(n) as N from pif group by 1),
+pf as (select fold, sum(s) as fs, sum(n) as fn from pif group by 1),
+fm as (select fold, (sum(fs) over () - fs) / (sum(fn) over () - fn) as mu from pf),
+tr as (select pif.movieId, pif.fold, pi.S - pif.s as ts, pi.N - pif.n as tn from pif join pi using (movieId) where pi.N - pif.n > 0),
+grid as (select * from (values (1, 0.1::double), (2, 0.5::double), (3, 1.0::double)) g(model, lam)),
+scored as (
+  select g.model, f.fold, f.rating, (tr.ts + g.lam * fm.mu) / (tr.tn + g.lam) as prediction
+  from folds f join tr on tr.movieId = f.movieId and tr.fold = f.fold join fm on fm.fold = f.fold, grid g),
+cells as (
+  select model, fold, round(sqrt(avg((prediction - rating) * (prediction - rating))), 6) as rmse,
+         round(avg(abs(prediction - rating)), 6) as mae
+  from scored group by 1, 2)
+select model, {_MATRIX_COLS} from cells group by model""",
+}
+ORACLE.update(RECOMMEND_SQL)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from tessera.plans import claims, logs
+from tessera.plans import claims, logs, recommend
 
 
 def all_queries() -> dict:
     out: dict = {}
-    for mod in (logs, claims):
+    for mod in (logs, claims, recommend):
         out.update(mod.QUERIES)
     return out
 
