@@ -236,3 +236,72 @@ cells as (
 select model, {_MATRIX_COLS} from cells group by model""",
 }
 ORACLE.update(RECOMMEND_SQL)
+
+# ---------------------------------------------------------------------------
+# Metrics on fixed scores, splits, gated combination
+# ---------------------------------------------------------------------------
+
+LINE_KEY_SQL = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+
+METRICS_SQL = {
+    "metric_auc": """
+with g as (select cast(l_quantity as double) as score, count(*) filter (where l_returnflag = 'R') as pos,
+                  count(*) filter (where l_returnflag <> 'R') as neg from lineitem group by 1),
+c as (select pos, neg, coalesce(sum(neg) over (order by score rows between unbounded preceding and 1 preceding), 0) as neg_before from g)
+select round(sum(pos * (neg_before + neg / 2.0)) / (sum(pos) * sum(neg)), 12) as auc from c""",
+
+    "metric_accuracy": """
+select avg(cast((l_quantity > 25) = (l_returnflag = 'R') as double)) as accuracy from lineitem""",
+
+    "metric_rmse": """
+select round(sqrt(avg((l_extendedprice * 0.9 - l_extendedprice) * (l_extendedprice * 0.9 - l_extendedprice))), 6) as rmse from lineitem""",
+
+    "metric_mae": """
+select round(avg(abs(l_extendedprice * 0.9 - l_extendedprice)), 6) as mae from lineitem""",
+
+    "class_balance": """
+select count(*) filter (where l_quantity > 25) as predicted_ones, count(*) filter (where l_returnflag = 'R') as actual_ones,
+       count(*) as n_rows from lineitem""",
+
+    "tandem_combine": f"""
+select {LINE_KEY_SQL}, cast(l_quantity > 25 as double) as prediction1, l_extendedprice as Claim_Amount,
+       case when l_quantity > 25 then l_extendedprice else 0.0 end as prediction from lineitem""",
+
+    "holdout_split": with_(PARTICLES) + f"""
+select vec_id, label, case when {U('vec_id')} < 0.7 then 'train' else 'test' end as split from particles""",
+
+    "subsample": with_(PARTICLES) + f"""
+select vec_id, label, f1, f28 from particles where {U('vec_id')} < 0.05""",
+}
+ORACLE.update(METRICS_SQL)
+
+# ---------------------------------------------------------------------------
+# Features
+# ---------------------------------------------------------------------------
+
+_CENTRE_DIST = """centres as (
+select vec_id as cid, row_number() over (order by vec_id) - 1 as idx, embedding as c from embeddings where vec_id < 5),
+d as (
+select e.vec_id, ce.idx,
+       (select sum((cast(e.embedding[i] as double) - cast(ce.c[i] as double)) * (cast(e.embedding[i] as double) - cast(ce.c[i] as double)))
+        from range(1, 65) r(i)) as dist
+from embeddings e, centres ce)"""
+
+FEATURES_SQL = {
+    "assemble_features": with_(PARTICLES) + " union all ".join(
+        f"select vec_id, {i} as pos, f{i + 1} as value from particles" for i in range(28)),
+
+    "one_hot": f"""
+select {LINE_KEY_SQL}, cast(max(l_linenumber) over () + 1 as int) as ohe_size, cast(l_linenumber as int) as ohe_index from lineitem""",
+
+    "factor_vectors": """
+select vec_id as movieId, cast(i - 1 as int) as pos, cast(embedding[i] as double) as value
+from embeddings, range(1, 65) r(i)""",
+
+    "nearest_centroid": with_(_CENTRE_DIST) + """
+select vec_id, cast(arg_min(idx, (dist, idx)) as int) as prediction from d group by vec_id""",
+
+    "glm_group_mean": """
+select l_returnflag, round(avg(l_extendedprice), 4) as prediction from lineitem group by 1""",
+}
+ORACLE.update(FEATURES_SQL)

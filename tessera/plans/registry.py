@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from tessera.plans import claims, logs, recommend
+from tessera.plans import claims, features, logs, metrics, recommend
 
 
 def all_queries() -> dict:
     out: dict = {}
-    for mod in (logs, claims, recommend):
+    for mod in (logs, claims, recommend, metrics, features):
         out.update(mod.QUERIES)
     return out
 
