@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from tessera.plans import claims, features, logs, metrics, recommend
+from tessera.plans import claims, features, logs, metrics, models, recommend
 
 
 def all_queries() -> dict:
     out: dict = {}
-    for mod in (logs, claims, recommend, metrics, features):
+    for mod in (logs, claims, recommend, metrics, features, models):
         out.update(mod.QUERIES)
     return out
 
