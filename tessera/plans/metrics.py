@@ -49,13 +49,18 @@ def class_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tandem_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line gets the gate's decision; gated lines get the severity
-    prediction from a separate table, joined back on the business key."""
-    li = _lines(spark, sf_dir, *LINE_KEY, "l_quantity", "l_extendedprice")
-    all_rows = li.select(*LINE_KEY, (F.col("l_quantity") > 25).cast("double").alias("prediction1"),
+    prediction from a separate table, joined back on a row key.
+
+    (orderkey, linenumber, partkey, suppkey) repeats in small tables, so the
+    join key also carries the models' inputs (quantity -> gate, price ->
+    amount): rows with equal keys then have equal predictions."""
+    key = LINE_KEY + ["l_quantity", "l_extendedprice"]
+    li = _lines(spark, sf_dir, *key)
+    all_rows = li.select(*key, (F.col("l_quantity") > 25).cast("double").alias("prediction1"),
                          F.col("l_extendedprice").alias("Claim_Amount"))
     severity = (li.filter(F.col("l_quantity") > 25)
-                .select(*LINE_KEY, F.col("l_extendedprice").alias("prediction2")))
-    return combine_by_key(all_rows, severity, LINE_KEY)
+                .select(*key, F.col("l_extendedprice").alias("prediction2")))
+    return combine_by_key(all_rows, severity, key).drop("l_quantity", "l_extendedprice")
 
 
 def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:

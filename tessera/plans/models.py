@@ -133,26 +133,36 @@ def claim_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     with M.persisted(data):
         model = _fit_classifier(data, cat, num, max_depth=5)
         scored = model.transform(data.filter(F.col("split") == "train"))
-        return class_balance(scored, F.col("prediction1") != 0, F.col("y") != 0).cache()
+        return _materialised(class_balance(scored, F.col("prediction1") != 0, F.col("y") != 0))
+
+
+def _materialised(result: DataFrame) -> DataFrame:
+    """Compute a small result while the training data is still persisted."""
+    result = result.cache()
+    result.count()
+    return result
 
 
 def claim_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gamma GLM on actual claims; rmse/mae on the test split's claims."""
     data, cat, num = _encoded_claims(spark, sf_dir)
-    model = _fit_severity(data, cat, num, max_iter=10)
-    test_pos = data.filter((F.col("split") == "test") & (F.col("y") == 1))
-    return MT.regression_metrics(model.transform(test_pos), "prediction2", "Claim_Amount")
+    with M.persisted(data):
+        model = _fit_severity(data, cat, num, max_iter=10)
+        test_pos = data.filter((F.col("split") == "test") & (F.col("y") == 1))
+        return _materialised(
+            MT.regression_metrics(model.transform(test_pos), "prediction2", "Claim_Amount"))
 
 
 def tandem_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classifier gates the GLM on the test split; ungated rows predict 0."""
     data, cat, num = _encoded_claims(spark, sf_dir)
-    clf = _fit_classifier(data, cat, num, max_depth=5)
-    reg = _fit_severity(data, cat, num, max_iter=10)
-    test = data.filter(F.col("split") == "test")
-    both = reg.transform(clf.transform(test).drop("features"))
-    final = both.select(gate("prediction1", "prediction2").alias("prediction"), "Claim_Amount")
-    return MT.regression_metrics(final, "prediction", "Claim_Amount")
+    with M.persisted(data):
+        clf = _fit_classifier(data, cat, num, max_depth=5)
+        reg = _fit_severity(data, cat, num, max_iter=10)
+        test = data.filter(F.col("split") == "test")
+        both = reg.transform(clf.transform(test).drop("features"))
+        final = both.select(gate("prediction1", "prediction2").alias("prediction"), "Claim_Amount")
+        return _materialised(MT.regression_metrics(final, "prediction", "Claim_Amount"))
 
 
 # --- ratings: ALS grid and clusters ------------------------------------------
