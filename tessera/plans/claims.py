@@ -41,7 +41,7 @@ def learned_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = claims(spark, sf_dir)
     c = claim_columns(raw)
     filled = C.fill_missing_category(raw, c["topn"] + c["string"])
-    mapping = E.top_n_mapping(filled, c["topn"]).unionByName(E.ordinal_mapping(filled, c["string"]))
+    mapping = E.learn_dictionaries(filled, c["topn"], c["string"])
     forced, domains = E.reference_overrides(spark)
     return E.apply_overrides(mapping, forced=forced, domains=domains)
 

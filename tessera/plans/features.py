@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tessera.operators import features as X
 from tessera.operators.models import persisted
 from tessera.sources.fixtures import PARTICLE_FEATURES, particles
-from tessera.sources.tables import read_table
+from tessera.sources.tables import read_table, spread
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 FEATURES = [f"f{i}" for i in range(1, PARTICLE_FEATURES + 1)]
@@ -59,7 +59,7 @@ def glm_group_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     si = StringIndexer(inputCol="l_returnflag", outputCol="flag_idx", stringOrderType="alphabetAsc")
     idx = si.fit(li).transform(li)
     ohe = OneHotEncoder(inputCols=["flag_idx"], outputCols=["flag_ohe"]).fit(idx).transform(idx)
-    data = VectorAssembler(inputCols=["flag_ohe"], outputCol="features").transform(ohe)
+    data = spread(VectorAssembler(inputCols=["flag_ohe"], outputCol="features").transform(ohe))
     glm = GeneralizedLinearRegression(family="gamma", link="log", labelCol="l_extendedprice",
                                       maxIter=50, regParam=0.0, tol=1e-12)
     with persisted(data):

@@ -24,13 +24,14 @@ from tessera.operators.tandem import gate
 from tessera.plans import claims as CP
 from tessera.plans.recommend import REG_PARAMS, rating_folds
 from tessera.sources.fixtures import genome_scores, genome_tags, particles
+from tessera.sources.tables import spread
 
 FEATURES = [f"f{i}" for i in range(1, 29)]
 LABEL = "label_signal"  # the particle label with learnable signal
 
 
 def _particle_split(spark, sf_dir):
-    p = particles(spark, sf_dir).select("vec_id", F.col(LABEL).alias("label"), *FEATURES)
+    p = spread(particles(spark, sf_dir).select("vec_id", F.col(LABEL).alias("label"), *FEATURES))
     return train_test(p, ["vec_id"], 0.7, M.SEED)
 
 
@@ -103,7 +104,7 @@ def _encoded_claims(spark, sf_dir):
     mapping = CP.learned_mapping(spark, sf_dir)
     enc = encode(clean, mapping, cols["large"] + cols["string"])
     categorical = cols["int"] + cols["string"] + cols["large"]
-    return hash_split(enc, CP.KEY + ["y"], 0.7, M.SEED), categorical, cols["numeric"]
+    return spread(hash_split(enc, CP.KEY + ["y"], 0.7, M.SEED)), categorical, cols["numeric"]
 
 
 def _fit_classifier(data, categorical, numeric, max_depth):
@@ -169,7 +170,7 @@ def tandem_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def als_fold_grid(spark: SparkSession, sf_dir: str, rank: int = 4, max_iter: int = 3) -> DataFrame:
     """3 folds x 3 regularisation values; metric matrix with mean/std."""
-    folded = rating_folds(spark, sf_dir)
+    folded = spread(rating_folds(spark, sf_dir))
     cells = None
     with M.persisted(folded):
         for k in (1, 2, 3):
@@ -188,7 +189,7 @@ def item_clusters(spark: SparkSession, sf_dir: str, rank: int = 4, max_iter: int
                   k: int = 25) -> DataFrame:
     """Per rating fold alone: ALS item factors -> k-means -> the 3 biggest
     clusters' 3 strongest tags (by summed best-tag relevance) with names."""
-    folded = rating_folds(spark, sf_dir)
+    folded = spread(rating_folds(spark, sf_dir))
     best = R.item_best_tag(genome_scores(spark, sf_dir)).cache()
     tags = genome_tags(spark, sf_dir)
     out = None

@@ -24,6 +24,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin rows that sit in far fewer partitions than the cluster has
+    task slots (a single Parquet row group or a gzip file is one split)
+    before work that passes over them many times (model training). Big
+    inputs already have many splits and are returned unchanged, so this
+    adds no shuffle at scale. Set ``tessera.spreadScans=false`` to disable."""
+    spark = df.sparkSession
+    if spark.conf.get("tessera.spreadScans", "true") != "true":
+        return df
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= slots:
+        return df.repartition(slots)
+    return df
+
+
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Expose the input tables to ``spark.sql`` under their own names."""
     for name in names:
