@@ -1 +1,7 @@
+"""Streaming: intentionally empty.
 
+The analyses this toolkit covers read batch inputs only (no streams,
+watermarks or state). The log operators are plain column expressions and
+aggregates, so they can be applied to a ``readStream`` DataFrame unchanged
+if a streaming source is ever needed; no separate layer is kept here.
+"""
