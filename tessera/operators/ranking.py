@@ -4,8 +4,8 @@
 one huge group) moves every row into one task. For ranks over a whole
 column's domain and for the AUC running sum we instead:
 
-1. range-partition the rows on (group, order) into ``spark.sql.shuffle.partitions``
-   ranges and tag each row with its range id,
+1. range-partition the rows on (group, order) and tag each row with its
+   range id,
 2. materialise that with a reliable ``checkpoint`` (range bounds come from a
    sample, so the two uses below must see the same assignment even when a
    task is retried),
@@ -30,11 +30,14 @@ def ordered_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str |
     unique within a group (aggregate ties first)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     w = F.lit(1).cast("bigint") if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
     order_exprs = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ranged = (df.withColumn("_w", w)
-              .repartitionByRange(n, *[F.col(g) for g in group_cols], *order_exprs)
+    keys = [F.col(g) for g in group_cols] + order_exprs
+    # Without an explicit count AQE may merge adjacent ranges; merged ranges
+    # are still contiguous and numbered in order, which is all we need.
+    weighted = df.withColumn("_w", w)
+    ranged = ((weighted.repartitionByRange(partitions, *keys) if partitions
+               else weighted.repartitionByRange(*keys))
               .withColumn("_range", F.spark_partition_id())
               .checkpoint(eager=True))
     before = Window.unboundedPreceding

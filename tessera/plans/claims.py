@@ -29,8 +29,8 @@ def claim_columns(raw: DataFrame) -> dict[str, list[str]]:
     }
 
 
-def cleaned_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = claims(spark, sf_dir)
+def cleaned_claims(spark: SparkSession, sf_dir: str, spread_input: bool = False) -> DataFrame:
+    raw = claims(spark, sf_dir, spread_input)
     c = claim_columns(raw)
     return C.clean_claims(raw, KEY, c["int"], c["numeric"], c["string"] + c["large"])
 

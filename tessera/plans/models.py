@@ -24,6 +24,7 @@ from tessera.operators.tandem import gate
 from tessera.plans import claims as CP
 from tessera.plans.recommend import REG_PARAMS, rating_folds
 from tessera.sources.fixtures import genome_scores, genome_tags, particles
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources.tables import spread
 
 FEATURES = [f"f{i}" for i in range(1, 29)]
@@ -99,12 +100,12 @@ def grid_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- two-part claim model ---------------------------------------------------
 
 def _encoded_claims(spark, sf_dir):
-    clean = CP.cleaned_claims(spark, sf_dir)
+    clean = CP.cleaned_claims(spark, sf_dir, spread_input=True)
     cols = CP.claim_columns(clean)
     mapping = CP.learned_mapping(spark, sf_dir)
     enc = encode(clean, mapping, cols["large"] + cols["string"])
     categorical = cols["int"] + cols["string"] + cols["large"]
-    return spread(hash_split(enc, CP.KEY + ["y"], 0.7, M.SEED)), categorical, cols["numeric"]
+    return hash_split(enc, CP.KEY + ["y"], 0.7, M.SEED), categorical, cols["numeric"]
 
 
 def _fit_classifier(data, categorical, numeric, max_depth):
@@ -170,7 +171,8 @@ def tandem_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def als_fold_grid(spark: SparkSession, sf_dir: str, rank: int = 4, max_iter: int = 3) -> DataFrame:
     """3 folds x 3 regularisation values; metric matrix with mean/std."""
-    folded = spread(rating_folds(spark, sf_dir))
+    ensure_checkpoint_dir(spark)  # ALS checkpoints its factor lineage there
+    folded = rating_folds(spark, sf_dir)
     cells = None
     with M.persisted(folded):
         for k in (1, 2, 3):
@@ -189,7 +191,8 @@ def item_clusters(spark: SparkSession, sf_dir: str, rank: int = 4, max_iter: int
                   k: int = 25) -> DataFrame:
     """Per rating fold alone: ALS item factors -> k-means -> the 3 biggest
     clusters' 3 strongest tags (by summed best-tag relevance) with names."""
-    folded = spread(rating_folds(spark, sf_dir))
+    ensure_checkpoint_dir(spark)
+    folded = rating_folds(spark, sf_dir)
     best = R.item_best_tag(genome_scores(spark, sf_dir)).cache()
     tags = genome_tags(spark, sf_dir)
     out = None

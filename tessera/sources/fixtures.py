@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.tables import read_table
+from tessera.sources.tables import read_table, spread
 
 # Number of tags a fully scored item carries in the stand-in genome table
 # (the real genome table uses 1128).
@@ -73,12 +73,15 @@ def particles(spark: SparkSession, sf_dir: str) -> DataFrame:
         *feats)
 
 
-def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+def claims(spark: SparkSession, sf_dir: str, spread_input: bool = False) -> DataFrame:
     """All-string claims table keyed by (l_orderkey, l_linenumber, l_partkey,
-    l_suppkey), with NULLs in Var2, Cat12 and Claim_Amount."""
+    l_suppkey), with NULLs in Var2, Cat12 and Claim_Amount. ``spread_input``
+    spreads a single-split line scan over all task slots (for model fits)."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
                     "l_suppkey", "l_shipdate", "l_quantity", "l_tax", "l_returnflag",
                     "l_extendedprice")
+    if spread_input:
+        li = spread(li)
     od = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
     pt = read_table(spark, sf_dir, "part", "p_partkey", "p_type", "p_brand", "p_name")
     cu = read_table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
