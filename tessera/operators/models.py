@@ -11,6 +11,7 @@ bounded model summaries (one value per feature or per grid cell).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -144,3 +145,45 @@ def param_grid(estimator, **values) -> list:
     for name, vals in values.items():
         b = b.addGrid(estimator.getParam(name), vals)
     return b.build()
+
+
+# --- ratings -----------------------------------------------------------------
+
+def als_grid(folded: DataFrame, reg_params: tuple[float, ...], folds: int = 3, rank: int = 10,
+             max_iter: int = 10, parallelism: int = 3, fold_col: str = "fold") -> DataFrame:
+    """Fit one ALS model per (fold, regParam) on the other folds, score the
+    held-out fold and return (model, fold, rmse, mae, n_scored) cells.
+
+    Each fit is a distributed job; up to ``parallelism`` fits run at once
+    (as CrossValidator's ``parallelism`` does). Only the per-cell metric row
+    comes back to the driver: folds x params rows, independent of the data.
+    """
+    spark = folded.sparkSession
+
+    def cell(task):
+        k, i, reg = task
+        train = folded.filter(F.col(fold_col) != k)
+        test = folded.filter(F.col(fold_col) == k)
+        model = als(reg, rank=rank, max_iter=max_iter).fit(train)
+        r = M.regression_metrics(model.transform(test), "prediction", "rating").first()
+        return (i, k, float(r["rmse"]), float(r["mae"]), int(r["n_scored"]))
+
+    tasks = [(k, i, reg) for k in range(1, folds + 1) for i, reg in enumerate(reg_params, start=1)]
+    with persisted(folded):
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = list(pool.map(cell, tasks))
+    return spark.createDataFrame(rows, "model int, fold int, rmse double, mae double, n_scored long")
+
+
+def item_clusters(ratings: DataFrame, k: int = 25, reg_param: float = 0.1, rank: int = 10,
+                  max_iter: int = 10, kmeans_iter: int = 20, seed: int = SEED) -> DataFrame:
+    """ALS item factors -> dense vectors -> k-means: (movieId, prediction).
+    The assignment is materialised (cached) so the two fits run once."""
+    from tessera.operators.features import factor_vectors
+    factors = als(reg_param, rank=rank, max_iter=max_iter, seed=seed).fit(ratings).itemFactors
+    vecs = factor_vectors(factors).persist(StorageLevel.MEMORY_AND_DISK)
+    model = kmeans(k, seed=seed, max_iter=kmeans_iter).fit(vecs)
+    assigned = model.transform(vecs).select("movieId", "prediction").cache()
+    assigned.count()
+    vecs.unpersist()
+    return assigned

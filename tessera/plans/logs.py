@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import logs as L
+from tessera.session import scratch_path
+from tessera.sources import files
 from tessera.sources.fixtures import access_log
 
 
 def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed lines of the month; lines without a valid timestamp are
-    counted by ``log_filter_count`` (n_unparsed) and left out here."""
-    parsed = L.parse_access_log(access_log(spark, sf_dir))
+    """The log as the analyses receive it — gzip text files — read back as
+    lines and parsed. Lines without a valid timestamp are counted by
+    ``log_filter_count`` (n_unparsed) and left out here."""
+    path = scratch_path(spark, "access-log")
+    files.write_lines(access_log(spark, sf_dir), path)
+    parsed = L.parse_access_log(files.read_lines(spark, path))
     return parsed.filter(F.col("ts").isNotNull())
 
 

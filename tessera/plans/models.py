@@ -8,6 +8,8 @@ correctness run stays short. They always train on the whole tables.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -172,36 +174,30 @@ def tandem_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def als_fold_grid(spark: SparkSession, sf_dir: str, rank: int = 4, max_iter: int = 3) -> DataFrame:
     """3 folds x 3 regularisation values; metric matrix with mean/std."""
     ensure_checkpoint_dir(spark)  # ALS checkpoints its factor lineage there
-    folded = rating_folds(spark, sf_dir)
-    cells = None
-    with M.persisted(folded):
-        for k in (1, 2, 3):
-            train, test = fold_train_test(folded, k)
-            for i, reg in enumerate(REG_PARAMS, start=1):
-                model = M.als(reg, rank=rank, max_iter=max_iter).fit(train)
-                cell = MT.regression_metrics(model.transform(test), "prediction", "rating").select(
-                    F.lit(i).alias("model"), F.lit(k).alias("fold"), "rmse", "mae")
-                cell = cell.cache()
-                cell.count()
-                cells = cell if cells is None else cells.unionByName(cell)
+    cells = M.als_grid(rating_folds(spark, sf_dir), REG_PARAMS, folds=3, rank=rank,
+                       max_iter=max_iter, parallelism=3)
     return MT.fold_metric_matrix(cells)
 
 
 def item_clusters(spark: SparkSession, sf_dir: str, rank: int = 4, max_iter: int = 3,
                   k: int = 25) -> DataFrame:
     """Per rating fold alone: ALS item factors -> k-means -> the 3 biggest
-    clusters' 3 strongest tags (by summed best-tag relevance) with names."""
+    clusters' 3 strongest tags (by summed best-tag relevance) with names.
+    The three splits are fitted concurrently."""
     ensure_checkpoint_dir(spark)
     folded = rating_folds(spark, sf_dir)
-    best = R.item_best_tag(genome_scores(spark, sf_dir)).cache()
+    best = R.item_best_tag(genome_scores(spark, sf_dir))
     tags = genome_tags(spark, sf_dir)
-    out = None
-    for split in (1, 2, 3):
+
+    def clusters(split):
         part = folded.filter(F.col("fold") == split)
-        factors = M.als(0.1, rank=rank, max_iter=max_iter).fit(part).itemFactors
-        vecs = X.factor_vectors(factors).cache()
-        assigned = M.kmeans(k).fit(vecs).transform(vecs).select("movieId", "prediction").cache()
-        top = R.cluster_top_tags(assigned, best, tags).withColumn("split", F.lit(split))
+        return split, M.item_clusters(part, k=k, rank=rank, max_iter=max_iter)
+
+    with M.persisted(folded), ThreadPoolExecutor(max_workers=3) as pool:
+        assigned = list(pool.map(clusters, (1, 2, 3)))
+    out = None
+    for split, a in assigned:
+        top = R.cluster_top_tags(a, best, tags).withColumn("split", F.lit(split))
         out = top if out is None else out.unionByName(top)
     return out
 

@@ -15,13 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tessera.operators.encode import MAPPING_SCHEMA
+from tessera.sources.tables import spread
 
 
 def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Text lines as ``value``; gzip files are one split each, so a read with
+    too few splits is spread over the task slots before parsing."""
     df = spark.read.text(path)
-    if path.endswith(".gz") or partitions:
-        df = df.repartition(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df
+    return df.repartition(partitions) if partitions else spread(df)
+
+
+def write_lines(df: DataFrame, path: str, compression: str = "gzip") -> None:
+    """One-column string DataFrame -> text files (gzip by default)."""
+    df.write.mode("overwrite").option("compression", compression).text(path)
 
 
 def string_schema(names: list[str]) -> T.StructType:
