@@ -71,6 +71,19 @@ def gamma_glm(label: str = "Claim_Amount", max_iter: int = 50,
                                        predictionCol="prediction2")
 
 
+# spark.ml's GLM solver (normal equations on the driver) accepts at most
+# this many features.
+GLM_MAX_FEATURES = 4096
+
+
+def check_glm_width(width: int) -> int:
+    """Fail before fitting when the encoded feature vector is too wide for
+    the GLM solver (drop or bucket high-cardinality columns first)."""
+    if width > GLM_MAX_FEATURES:
+        raise ValueError(f"{width} GLM features > {GLM_MAX_FEATURES}; reduce categorical columns")
+    return width
+
+
 def als(reg_param: float = 0.1, rank: int = 10, max_iter: int = 10, seed: int = SEED) -> ALS:
     return ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol="userId",
                itemCol="movieId", ratingCol="rating", coldStartStrategy="drop", seed=seed)

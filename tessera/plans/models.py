@@ -123,8 +123,11 @@ def _fit_severity(data, categorical, numeric, max_iter):
     idx_cols = [c + "_idx" for c in categorical]
     ohe_cols = [c + "_ohe" for c in categorical]
     from pyspark.ml.feature import OneHotEncoder, StringIndexer
-    stages = [StringIndexer(inputCols=categorical, outputCols=idx_cols, handleInvalid="keep",
-                            stringOrderType="alphabetAsc"),
+    indexer = StringIndexer(inputCols=categorical, outputCols=idx_cols, handleInvalid="keep",
+                            stringOrderType="alphabetAsc").fit(positives)
+    # one slot per category (+1 kept for unseen, -1 dropped last) per column
+    M.check_glm_width(sum(len(labels) for labels in indexer.labelsArray) + len(numeric))
+    stages = [indexer,
               OneHotEncoder(inputCols=idx_cols, outputCols=ohe_cols, handleInvalid="keep"),
               VectorAssembler(inputCols=ohe_cols + numeric, outputCol="features"),
               M.gamma_glm("Claim_Amount", max_iter=max_iter)]
