@@ -104,10 +104,10 @@ def binary_report(pred: DataFrame, label: str) -> DataFrame:
     auc = M.auc(scored, "_p", F.col("_y") == 1.0)
     acc = scored.agg(F.avg((F.col("_pred") == F.col("_y")).cast("double")).alias("accuracy"),
                      F.count(F.lit(1)).alias("n_test"))
-    return _one_row_join(auc, acc)
+    return side_by_side(auc, acc)
 
 
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
+def side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
     """Side by side of two one-row aggregates (joined on a constant key)."""
     return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
 

@@ -94,7 +94,7 @@ def grid_best(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          F.to_json("params").alias("params"),
                                          F.col("auc").alias("cv_auc"))
         report = M.binary_report(model.transform(test), "label")
-        row = M._one_row_join(best, report)
+        row = M.side_by_side(best, report)
         out = row if out is None else out.unionByName(row)
     return out
 
