@@ -129,7 +129,11 @@ def cross_validate(train: DataFrame, feature_cols: list[str], estimator, grid: l
                    key: list[str], label: str = "label", folds: int = 5, seed: int = SEED,
                    parallelism: int = 2):
     """k-fold CV over a pipeline (assembler + estimator) with hash folds.
-    Returns the fitted CrossValidatorModel and a (params, auc) DataFrame."""
+    Returns the fitted CrossValidatorModel and a (params, auc) DataFrame.
+
+    ``seed`` must differ from the one that split ``train`` off: with the
+    same key and seed every training row has u < train_fraction and the
+    folds would be unbalanced."""
     data = assign_folds(train, key, folds, seed, out="fold").withColumn(
         "fold", F.col("fold") - 1)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol="features"),
