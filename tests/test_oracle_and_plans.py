@@ -49,9 +49,7 @@ def test_relational_plans_have_no_python(spark, name):
 
 def test_top_files_is_take_ordered(spark):
     df = E.queries()["log_top_files"](spark, SF_SMALL)
-    assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString() or \
-        "TakeOrderedAndProject" in df._jdf.queryExecution().optimizedPlan().toString() or \
-        "GlobalLimit" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert "TakeOrderedAndProject" in _plan(df)
 
 
 def test_topn_window_limited_before_shuffle(spark):
