@@ -20,7 +20,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import GeneralizedLinearRegression
@@ -84,6 +84,31 @@ def check_glm_width(width: int) -> int:
     return width
 
 
+def fit_claim_gate(train: DataFrame, categorical: list[str], numeric: list[str],
+                   max_depth: int = 20):
+    """Tree on the encoded ids (as plain doubles) and numbers: y = 0 / 1."""
+    return Pipeline(stages=[VectorAssembler(inputCols=categorical + numeric, outputCol="features"),
+                            claim_tree("y", max_depth=max_depth)]).fit(train)
+
+
+def fit_claim_severity(positives: DataFrame, categorical: list[str], numeric: list[str],
+                       max_iter: int = 50, reg_param: float = 0.01):
+    """Gamma GLM (log link) on one-hot categories and numbers, trained on
+    rows with an actual claim. Categories are indexed first so that a raw
+    value such as a year does not set the one-hot width."""
+    idx = [c + "_idx" for c in categorical]
+    ohe = [c + "_ohe" for c in categorical]
+    indexer = StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep",
+                            stringOrderType="alphabetAsc").fit(positives)
+    # one slot per seen category per column (+1 kept for unseen, -1 dropped last)
+    check_glm_width(sum(len(labels) for labels in indexer.labelsArray) + len(numeric))
+    return Pipeline(stages=[indexer,
+                            OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="keep"),
+                            VectorAssembler(inputCols=ohe + numeric, outputCol="features"),
+                            gamma_glm("Claim_Amount", max_iter=max_iter, reg_param=reg_param)]
+                    ).fit(positives)
+
+
 def als(reg_param: float = 0.1, rank: int = 10, max_iter: int = 10, seed: int = SEED) -> ALS:
     return ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol="userId",
                itemCol="movieId", ratingCol="rating", coldStartStrategy="drop", seed=seed)

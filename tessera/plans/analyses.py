@@ -11,7 +11,7 @@ test tables.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,18 +139,9 @@ def tandem_claims(spark: SparkSession, csv_path: str, dictionary_path: str, tree
     categorical = ints + cats
     with M.persisted(data):
         train = data.filter(F.col("split") == "train")
-        clf = Pipeline(stages=[VectorAssembler(inputCols=categorical + nums, outputCol="features"),
-                               M.claim_tree("y", max_depth=tree_depth)]).fit(train)
-        idx = [c + "_idx" for c in categorical]
-        ohe = [c + "_ohe" for c in categorical]
-        positives = train.filter(F.col("y") == 1)
-        indexer = StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep",
-                                stringOrderType="alphabetAsc").fit(positives)
-        M.check_glm_width(sum(len(x) for x in indexer.labelsArray) + len(nums))
-        reg = Pipeline(stages=[indexer,
-                               OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="keep"),
-                               VectorAssembler(inputCols=ohe + nums, outputCol="features"),
-                               M.gamma_glm("Claim_Amount", glm_iter, reg_param)]).fit(positives)
+        clf = M.fit_claim_gate(train, categorical, nums, max_depth=tree_depth)
+        reg = M.fit_claim_severity(train.filter(F.col("y") == 1), categorical, nums,
+                                   max_iter=glm_iter, reg_param=reg_param)
         test = data.filter(F.col("split") == "test")
         scored = reg.transform(clf.transform(test).drop("features"))
         final = scored.select(gate().alias("prediction"), "Claim_Amount")

@@ -111,27 +111,12 @@ def _encoded_claims(spark, sf_dir):
 
 
 def _fit_classifier(data, categorical, numeric, max_depth):
-    train = data.filter(F.col("split") == "train")
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=categorical + numeric, outputCol="features"),
-                            M.claim_tree("y", max_depth=max_depth)])
-    return pipe.fit(train)
+    return M.fit_claim_gate(data.filter(F.col("split") == "train"), categorical, numeric, max_depth)
 
 
 def _fit_severity(data, categorical, numeric, max_iter):
-    """Gamma GLM on one-hot categories + numbers, trained on actual claims."""
     positives = data.filter((F.col("split") == "train") & (F.col("y") == 1))
-    idx_cols = [c + "_idx" for c in categorical]
-    ohe_cols = [c + "_ohe" for c in categorical]
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
-    indexer = StringIndexer(inputCols=categorical, outputCols=idx_cols, handleInvalid="keep",
-                            stringOrderType="alphabetAsc").fit(positives)
-    # one slot per category (+1 kept for unseen, -1 dropped last) per column
-    M.check_glm_width(sum(len(labels) for labels in indexer.labelsArray) + len(numeric))
-    stages = [indexer,
-              OneHotEncoder(inputCols=idx_cols, outputCols=ohe_cols, handleInvalid="keep"),
-              VectorAssembler(inputCols=ohe_cols + numeric, outputCol="features"),
-              M.gamma_glm("Claim_Amount", max_iter=max_iter)]
-    return Pipeline(stages=stages).fit(positives)
+    return M.fit_claim_severity(positives, categorical, numeric, max_iter=max_iter)
 
 
 def claim_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
