@@ -44,17 +44,25 @@ def accuracy(df: DataFrame, prediction: str | Column, label: str | Column) -> Da
 
 
 def regression_metrics(df: DataFrame, prediction: str | Column, label: str | Column,
-                       by: list[str] | None = None) -> DataFrame:
+                       by: list[str] | None = None, weight: str | Column | None = None) -> DataFrame:
     """rmse, mae and the number of scored rows (NULL/NaN predictions, e.g.
-    cold-start rows, are not scored)."""
+    cold-start rows, are not scored). With ``weight`` each row stands for
+    that many identical rows (pre-aggregated input)."""
     by = by or []
     err = _c(prediction).cast("double") - _c(label).cast("double")
-    scored = df.select(*by, err.alias("_err")).filter(
+    w = F.lit(1).cast("bigint") if weight is None else _c(weight)
+    scored = df.select(*by, err.alias("_err"), w.alias("_w")).filter(
         F.col("_err").isNotNull() & ~F.isnan("_err"))
+    if weight is None:
+        return scored.groupBy(*by).agg(
+            F.sqrt(F.avg(F.col("_err") * F.col("_err"))).alias("rmse"),
+            F.avg(F.abs("_err")).alias("mae"),
+            F.count(F.lit(1)).alias("n_scored"))
+    n = F.sum("_w")
     return scored.groupBy(*by).agg(
-        F.sqrt(F.avg(F.col("_err") * F.col("_err"))).alias("rmse"),
-        F.avg(F.abs("_err")).alias("mae"),
-        F.count(F.lit(1)).alias("n_scored"))
+        F.sqrt(F.sum(F.col("_w") * F.col("_err") * F.col("_err")) / n).alias("rmse"),
+        (F.sum(F.col("_w") * F.abs("_err")) / n).alias("mae"),
+        n.cast("bigint").alias("n_scored"))
 
 
 def rmse(df: DataFrame, prediction: str | Column, label: str | Column) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessera.operators import metrics as M
 from tessera.operators import recommend as R
 from tessera.operators.split import assign_folds
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources.fixtures import FIXTURE_TAGS, genome_scores, genome_tags, ratings
 
 RATING_KEY = ["userId", "movieId"]
@@ -71,10 +72,20 @@ def shrunk_item_mean_cells(folded: DataFrame, reg_params=REG_PARAMS) -> DataFram
     """Deterministic stand-in scores for the fold grid: model i predicts the
     item's training-fold mean shrunk towards the training-fold global mean
     by ``reg_params[i]``; items without training ratings are not scored
-    (cold-start rows dropped). All folds and models in one pass: training
-    statistics of fold k are item totals minus the item's fold-k part."""
-    per_item_fold = folded.groupBy("movieId", "fold").agg(
-        F.sum("rating").alias("s"), F.count(F.lit(1)).alias("n"))
+    (cold-start rows dropped).
+
+    The prediction is constant per (item, fold, model), so the ratings are
+    reduced once to (item, fold, rating value) counts with a partial
+    aggregate — a hot item adds one row per task, not its ratings — and
+    everything after that (training statistics of fold k = item totals
+    minus the item's fold-k part, all folds and models at once) joins only
+    aggregated tables."""
+    ensure_checkpoint_dir(folded.sparkSession)
+    # read four times below: materialise the (small) aggregate once
+    cells = (folded.groupBy("movieId", "fold", "rating").agg(F.count(F.lit(1)).alias("c"))
+             .checkpoint(eager=True))
+    per_item_fold = cells.groupBy("movieId", "fold").agg(
+        F.sum(F.col("c") * F.col("rating")).alias("s"), F.sum("c").alias("n"))
     per_item = per_item_fold.groupBy("movieId").agg(F.sum("s").alias("item_s"), F.sum("n").alias("item_n"))
     per_fold = per_item_fold.groupBy("fold").agg(F.sum("s").alias("fs"), F.sum("n").alias("fn"))
     every_fold = Window.partitionBy()  # k rows, one per fold
@@ -87,13 +98,13 @@ def shrunk_item_mean_cells(folded: DataFrame, reg_params=REG_PARAMS) -> DataFram
              .filter(F.col("tn") > 0))
     grid = F.array(*[F.struct(F.lit(i + 1).alias("model"), F.lit(r).alias("lam"))
                      for i, r in enumerate(reg_params)])
-    scored = (folded.join(train, ["movieId", "fold"])
+    scored = (cells.join(train, ["movieId", "fold"])
               .join(F.broadcast(fold_mean), "fold")  # k rows
-              .select("fold", "rating", "ts", "tn", "mu", F.explode(grid).alias("g"))
-              .select(F.col("g.model").alias("model"), "fold", "rating",
+              .select("fold", "rating", "c", "ts", "tn", "mu", F.explode(grid).alias("g"))
+              .select(F.col("g.model").alias("model"), "fold", "rating", "c",
                       ((F.col("ts") + F.col("g.lam") * F.col("mu")) / (F.col("tn") + F.col("g.lam")))
                       .alias("prediction")))
-    return M.regression_metrics(scored, "prediction", "rating", by=["model", "fold"])
+    return M.regression_metrics(scored, "prediction", "rating", by=["model", "fold"], weight="c")
 
 
 def fold_metric_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:

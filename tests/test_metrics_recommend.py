@@ -61,3 +61,12 @@ def test_cluster_top_tags_ranks_before_dropping_unnamed(spark):
     assert [(r.prediction, r.rank, r.tagId, r.tag) for r in out] == [(0, 1, 2, "two")]
     cov = R.cluster_coverage(assign, best, k=2).orderBy("prediction").collect()
     assert [(r.prediction, r.n_members, r.n_scored) for r in cov] == [(0, 3, 3), (1, 1, 1)]
+
+
+def test_weighted_metrics_equal_expanded_rows(spark):
+    rows = [(1.0, 2.0, 3), (3.0, 2.5, 1), (0.0, 1.0, 2)]
+    w = M.regression_metrics(spark.createDataFrame(rows, "p double, y double, c long"), "p", "y", weight="c").first()
+    flat = [(p, y) for p, y, c in rows for _ in range(c)]
+    u = M.regression_metrics(spark.createDataFrame(flat, "p double, y double"), "p", "y").first()
+    assert w.n_scored == u.n_scored == 6
+    assert abs(w.rmse - u.rmse) < 1e-12 and abs(w.mae - u.mae) < 1e-12
