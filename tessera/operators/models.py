@@ -26,6 +26,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.util import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from tessera.operators import metrics as M
@@ -213,7 +214,8 @@ def als_grid(folded: DataFrame, reg_params: tuple[float, ...], folds: int = 3, r
     tasks = [(k, i, reg) for k in range(1, folds + 1) for i, reg in enumerate(reg_params, start=1)]
     with persisted(folded):
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(cell, tasks))
+            # job group / local properties follow the caller into the workers
+            rows = list(pool.map(inheritable_thread_target(cell), tasks))
     return spark.createDataFrame(rows, "model int, fold int, rmse double, mae double, n_scored long")
 
 
