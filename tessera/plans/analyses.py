@@ -82,17 +82,23 @@ def particle_classifier(spark: SparkSession, path: str, max_depth: int = 10, max
             "top_features": M.top_importances(imp, 3)}
 
 
+# The tuning grids of the two particle models.
+FOREST_GRID = {"numTrees": [5, 10, 20], "maxBins": [3, 5, 10]}
+GBT_GRID = {"maxBins": [3, 5, 10], "maxIter": [5, 10, 15]}
+
+
 def tuned_particle_models(spark: SparkSession, path: str, sample_fraction: float = 0.05,
-                          folds: int = 5, parallelism: int = 2) -> DataFrame:
+                          folds: int = 5, parallelism: int = 2, max_depth: int = 10,
+                          forest_grid: dict = FOREST_GRID, gbt_grid: dict = GBT_GRID) -> DataFrame:
     """Forest (trees x bins) and boosted trees (bins x iterations), each tuned
     by k-fold CV on a hash sample; best cell and held-out auc/accuracy."""
     feats = PARTICLE_COLUMNS[1:]
     data = spread(hash_sample(read_particles(spark, path), ["row_key"], sample_fraction, M.SEED))
     train, test = train_test(data, ["row_key"], 0.7, M.SEED + 1)  # independent of the sample draw
-    rf = M.forest("label", max_depth=10, max_bins=10, num_trees=20)
-    gb = M.gbt("label", max_depth=10, max_bins=5, max_iter=10)
-    grids = {"forest": (rf, M.param_grid(rf, numTrees=[5, 10, 20], maxBins=[3, 5, 10])),
-             "gbt": (gb, M.param_grid(gb, maxBins=[3, 5, 10], maxIter=[5, 10, 15]))}
+    rf = M.forest("label", max_depth=max_depth, max_bins=10, num_trees=20)
+    gb = M.gbt("label", max_depth=max_depth, max_bins=5, max_iter=10)
+    grids = {"forest": (rf, M.param_grid(rf, **forest_grid)),
+             "gbt": (gb, M.param_grid(gb, **gbt_grid))}
     out = None
     for name, (est, grid) in grids.items():
         model, cells = M.cross_validate(train, feats, est, grid, ["row_key"], "label", folds=folds,

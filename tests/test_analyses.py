@@ -51,3 +51,14 @@ def test_ratings_grid_and_tag_clusters(spark, tmp_path):
     tags = A.tag_clusters(spark, rp, sp, tp, k=4, rank=2, max_iter=2)
     rows = tags.collect()
     assert rows and all(1 <= r.rank <= 3 and r.split in (1, 2, 3) for r in rows)
+
+
+def test_tuned_particle_models_small_grid(spark, tmp_path):
+    path = str(tmp_path / "particles")
+    p = particles(spark, SF_SMALL)
+    cols = [F.col("label_signal").cast("double").cast("string")] + [F.col(f"f{i}").cast("string") for i in range(1, 29)]
+    files.write_csv(p.select(*cols), path, header=False)
+    out = A.tuned_particle_models(spark, path, sample_fraction=1.0, folds=2, max_depth=2,
+                                  forest_grid={"numTrees": [2, 4]}, gbt_grid={"maxIter": [2]}).collect()
+    assert sorted(r.model for r in out) == ["forest", "gbt"]
+    assert all(0.5 < r.cv_auc <= 1.0 and 0 < r.n_test for r in out)
