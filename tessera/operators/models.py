@@ -166,7 +166,7 @@ def cross_validate(train: DataFrame, feature_cols: list[str], estimator, grid: l
                             estimator])
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
                                        metricName="areaUnderROC")
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev,
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
                         foldCol="fold", seed=seed, parallelism=parallelism)
     with persisted(data):
         model = cv.fit(data)
