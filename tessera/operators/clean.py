@@ -33,6 +33,14 @@ def dropped_columns(df: DataFrame, kept: list[str]) -> list[str]:
     return [c for c in df.columns if c not in keep]
 
 
+def dropped_profile(df: DataFrame, kept: list[str]) -> DataFrame:
+    """(column_name, n_values): each column a projection to ``kept`` leaves
+    out, with how many non-NULL values it held (one aggregate pass)."""
+    dropped = dropped_columns(df, kept)
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in dropped])
+    return counts.unpivot([], dropped, "column_name", "n_values")
+
+
 def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(column_name, n_null) for every column, in one aggregate pass."""
     cols = cols or df.columns

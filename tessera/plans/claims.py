@@ -76,6 +76,14 @@ def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.null_profile(raw, [c for c in raw.columns if c not in KEY])
 
 
+def dropped_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the claims table that the model projection leaves out."""
+    raw = claims(spark, sf_dir)
+    c = claim_columns(raw)
+    kept = KEY + c["int"] + c["numeric"] + c["string"] + [C.CLAIM_TARGET] + c["large"]
+    return C.dropped_profile(raw, kept)
+
+
 def claims_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned_claims(spark, sf_dir).drop("y")
 
@@ -139,6 +147,7 @@ QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "label_cast": label_cast,
     "null_profile": null_profile,
+    "dropped_columns": dropped_columns,
     "claims_clean": claims_clean,
     "claim_indicator": claim_indicator,
     "category_counts": category_counts,

@@ -144,6 +144,8 @@ CLAIMS_SQL = {
         for c in ["Calendar_Year", "OrdCat", "Var1", "Var2", "Cat1", "Cat2", "Cat12",
                   "Blind_Make", "Blind_Submodel", "Claim_Amount"]),
 
+    "dropped_columns": with_(CLAIMS) + "select 'Blind_Make' as column_name, count(Blind_Make) as n_values from claims",
+
     "claims_clean": with_(CLAIMS, CLEAN) + f"select {CLAIM_KEY_SQL}, Calendar_Year, OrdCat, Var1, Var2, Cat1, Cat2, Cat12, Blind_Submodel, Claim_Amount from clean",
 
     "claim_indicator": with_(CLAIMS, CLEAN) + f"select {CLAIM_KEY_SQL}, Claim_Amount, y from clean",
