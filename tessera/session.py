@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # remove checkpoint files of DataFrames that are no longer referenced, so
+    # the shared checkpoint folder does not grow without bound
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
