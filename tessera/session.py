@@ -51,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is set by the launcher to a shared file system and is
     used as is. Only when it is unset (local tests) do we create one.
     """
+    current = spark.sparkContext.getCheckpointDir()
+    if current:  # already set on the context (by the launcher or earlier)
+        return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         master = spark.conf.get("spark.master", "local")
