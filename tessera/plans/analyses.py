@@ -192,6 +192,8 @@ def tag_clusters(spark: SparkSession, ratings_path: str, scores_path: str, tags_
         for split in range(1, folds + 1):
             assigned = M.item_clusters(folded.filter(F.col("fold") == split), k=k, rank=rank,
                                        max_iter=max_iter)
-            top = R.cluster_top_tags(assigned, best, tags).withColumn("split", F.lit(split))
+            top = (R.cluster_top_tags(assigned, best, tags)
+                   .join(R.cluster_coverage(assigned, best), "prediction")
+                   .withColumn("split", F.lit(split)))
             out = top if out is None else out.unionByName(top)
     return out

@@ -171,8 +171,9 @@ def als_fold_grid(spark: SparkSession, sf_dir: str, rank: int = 4, max_iter: int
 def item_clusters(spark: SparkSession, sf_dir: str, rank: int = 4, max_iter: int = 3,
                   k: int = 25) -> DataFrame:
     """Per rating fold alone: ALS item factors -> k-means -> the 3 biggest
-    clusters' 3 strongest tags (by summed best-tag relevance) with names.
-    The three splits are fitted concurrently."""
+    clusters' 3 strongest tags (by summed best-tag relevance) with names,
+    plus each cluster's member and scored-member counts. The three splits
+    are fitted concurrently."""
     ensure_checkpoint_dir(spark)
     folded = rating_folds(spark, sf_dir)
     best = R.item_best_tag(genome_scores(spark, sf_dir))
@@ -186,7 +187,9 @@ def item_clusters(spark: SparkSession, sf_dir: str, rank: int = 4, max_iter: int
         assigned = list(pool.map(inheritable_thread_target(clusters), (1, 2, 3)))
     out = None
     for split, a in assigned:
-        top = R.cluster_top_tags(a, best, tags).withColumn("split", F.lit(split))
+        top = (R.cluster_top_tags(a, best, tags)
+               .join(R.cluster_coverage(a, best), "prediction")  # 3 rows: members, scored
+               .withColumn("split", F.lit(split)))
         out = top if out is None else out.unionByName(top)
     return out
 
