@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import uniform
 from tessera.operators import clean as C
 from tessera.operators import encode as E
 from tessera.session import scratch_path

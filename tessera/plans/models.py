@@ -16,13 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from tessera.operators import features as X
 from tessera.operators import metrics as MT
 from tessera.operators import models as M
 from tessera.operators import recommend as R
 from tessera.operators.clean import class_balance
 from tessera.operators.encode import encode
-from tessera.operators.split import fold_train_test, hash_split, train_test
+from tessera.operators.split import hash_split, train_test
 from tessera.operators.tandem import gate
 from tessera.plans import claims as CP
 from tessera.plans.recommend import REG_PARAMS, rating_folds
