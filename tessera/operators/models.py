@@ -215,7 +215,7 @@ def als_grid(folded: DataFrame, reg_params: tuple[float, ...], folds: int = 3, r
     with persisted(folded):
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             # job group / local properties follow the caller into the workers
-            rows = list(pool.map(inheritable_thread_target(cell), tasks))
+            rows = list(pool.map(inheritable_thread_target(spark)(cell), tasks))
     return spark.createDataFrame(rows, "model int, fold int, rmse double, mae double, n_scored long")
 
 

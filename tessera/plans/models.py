@@ -183,7 +183,7 @@ def item_clusters(spark: SparkSession, sf_dir: str, rank: int = 4, max_iter: int
         return split, M.item_clusters(part, k=k, rank=rank, max_iter=max_iter)
 
     with M.persisted(folded), ThreadPoolExecutor(max_workers=3) as pool:
-        assigned = list(pool.map(inheritable_thread_target(clusters), (1, 2, 3)))
+        assigned = list(pool.map(inheritable_thread_target(spark)(clusters), (1, 2, 3)))
     out = None
     for split, a in assigned:
         top = (R.cluster_top_tags(a, best, tags)
