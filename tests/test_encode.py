@@ -57,3 +57,15 @@ def test_null_profile_and_clean(spark):
 
 def test_dropped_columns(spark):
     assert C.dropped_columns(wide(spark), ["c2"]) == ["c1"]
+
+
+def test_encode_shuffle_paths_equal_broadcast(spark):
+    df = spark.createDataFrame([(i, v, w) for i, (v, w) in enumerate(
+        [("a", "x"), ("b", "y"), ("a", None), ("z", "x"), ("c", "q")])], "k int, c1 string, c2 string")
+    m = E.fixed_mapping(spark, [("c1", "a", 1), ("c1", "b", 2), ("c2", "x", 1), ("c2", "y", 2)])
+    def rows(out):
+        return sorted((r.k, r.c1, r.c2) for r in out.collect())
+    want = rows(E.encode(df, m, ["c1", "c2"]))
+    assert want == [(0, 1.0, 1.0), (1, 2.0, 2.0), (2, 1.0, 0.0), (3, 0.0, 1.0), (4, 0.0, 0.0)]
+    assert rows(E.encode(df, m, ["c1", "c2"], max_broadcast=0)) == want
+    assert rows(E.encode(df, m, ["c1", "c2"], max_broadcast=0, key=["k"])) == want
