@@ -39,6 +39,7 @@ def auc(df: DataFrame, score: str | Column, label: str | Column, by: list[str] |
 
 
 def accuracy(df: DataFrame, prediction: str | Column, label: str | Column) -> DataFrame:
+    """Share of rows whose prediction equals the label."""
     return df.agg(F.avg((_c(prediction).cast("double") == _c(label).cast("double")).cast("double"))
                   .alias("accuracy"))
 
@@ -66,10 +67,12 @@ def regression_metrics(df: DataFrame, prediction: str | Column, label: str | Col
 
 
 def rmse(df: DataFrame, prediction: str | Column, label: str | Column) -> DataFrame:
+    """Root mean squared error (one row)."""
     return regression_metrics(df, prediction, label).select("rmse")
 
 
 def mae(df: DataFrame, prediction: str | Column, label: str | Column) -> DataFrame:
+    """Mean absolute error (one row)."""
     return regression_metrics(df, prediction, label).select("mae")
 
 

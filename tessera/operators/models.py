@@ -49,24 +49,28 @@ def persisted(df: DataFrame):
 
 def gbt(label: str = "label", max_depth: int = 10, max_bins: int = 10, max_iter: int = 20,
         seed: int = SEED) -> GBTClassifier:
+    """Gradient-boosted trees (particle classifier settings)."""
     return GBTClassifier(featuresCol="features", labelCol=label, predictionCol="prediction",
                          maxDepth=max_depth, maxBins=max_bins, maxIter=max_iter, seed=seed)
 
 
 def forest(label: str = "label", max_depth: int = 10, max_bins: int = 10, num_trees: int = 20,
            seed: int = SEED) -> RandomForestClassifier:
+    """Random forest with entropy impurity (tuned particle model)."""
     return RandomForestClassifier(featuresCol="features", labelCol=label, predictionCol="prediction",
                                   maxDepth=max_depth, impurity="entropy", maxBins=max_bins,
                                   numTrees=num_trees, seed=seed)
 
 
 def claim_tree(label: str = "y", max_depth: int = 20, seed: int = SEED) -> DecisionTreeClassifier:
+    """Decision tree for zero / non-zero claims (entropy impurity)."""
     return DecisionTreeClassifier(labelCol=label, featuresCol="features", maxDepth=max_depth,
                                   impurity="entropy", predictionCol="prediction1", seed=seed)
 
 
 def gamma_glm(label: str = "Claim_Amount", max_iter: int = 50,
               reg_param: float = 0.01) -> GeneralizedLinearRegression:
+    """Gamma GLM with log link for positive claim amounts."""
     return GeneralizedLinearRegression(family="gamma", link="log", featuresCol="features",
                                        labelCol=label, maxIter=max_iter, regParam=reg_param,
                                        predictionCol="prediction2")
@@ -111,11 +115,13 @@ def fit_claim_severity(positives: DataFrame, categorical: list[str], numeric: li
 
 
 def als(reg_param: float = 0.1, rank: int = 10, max_iter: int = 10, seed: int = SEED) -> ALS:
+    """Explicit-feedback ALS; cold-start rows are dropped when scoring."""
     return ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol="userId",
                itemCol="movieId", ratingCol="rating", coldStartStrategy="drop", seed=seed)
 
 
 def kmeans(k: int = 25, seed: int = SEED, max_iter: int = 20) -> KMeans:
+    """k-means with k-means|| initialisation."""
     return KMeans(k=k, seed=seed, initMode="k-means||", maxIter=max_iter,
                   featuresCol="features", predictionCol="prediction")
 
@@ -146,6 +152,7 @@ def feature_importances(model, names: list[str], spark) -> DataFrame:
 
 
 def top_importances(importances: DataFrame, n: int = 3) -> DataFrame:
+    """The n most important features (ties by name)."""
     return importances.orderBy(F.desc("importance"), F.asc("feature")).limit(n)
 
 
@@ -184,6 +191,7 @@ def grid_best(grid_metrics: DataFrame) -> DataFrame:
 
 
 def param_grid(estimator, **values) -> list:
+    """ParamGridBuilder grid from ``param_name=[values]`` keywords."""
     b = ParamGridBuilder()
     for name, vals in values.items():
         b = b.addGrid(estimator.getParam(name), vals)

@@ -26,6 +26,7 @@ def hash_split(df: DataFrame, key: list[str], train_fraction: float = 0.7,
 
 def train_test(df: DataFrame, key: list[str], train_fraction: float = 0.7,
                seed: int = 123) -> tuple[DataFrame, DataFrame]:
+    """(train, test): two filters on the same draw, disjoint and exhaustive."""
     u = uniform(*key, seed=seed)
     return df.filter(u < train_fraction), df.filter(u >= train_fraction)
 
