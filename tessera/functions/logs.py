@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The log's timestamp layout and the request-file suffix.
-LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss"
+# The month abbreviations of the log's 'dd/Mon/yyyy:HH:mm:ss'
+# timestamps and the request-file suffix.
+MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 HTML_SUFFIX = ".html"
 HOURS_PER_BAND = 4
 
@@ -25,8 +26,17 @@ def timestamp_text(value: str | Column, month: str, year: int) -> Column:
 
 
 def parse_log_time(text: str | Column) -> Column:
-    """Wall-clock timestamp (no zone) from the log's text; NULL if malformed."""
-    return F.try_to_timestamp(text, F.lit(LOG_TIME_FORMAT)).cast("timestamp_ntz")
+    """Wall-clock timestamp (no zone) from 'dd/Mon/yyyy:HH:mm:ss' text; NULL
+    if malformed. Built from the fields directly, so the result never
+    depends on the session time zone (no instant, no daylight-saving gap)."""
+    t = F.col(text) if isinstance(text, str) else text
+
+    def part(pos: int, length: int) -> Column:
+        return F.substring(t, pos, length).try_cast("int")
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.substring(t, 4, 3)).cast("int")
+    well_formed = t.rlike(r"^\d{2}/[A-Za-z]{3}/\d{4}:\d{2}:\d{2}:\d{2}$")
+    return F.when(well_formed, F.try_make_timestamp_ntz(
+        part(8, 4), month, part(1, 2), part(13, 2), part(16, 2), part(19, 2)))
 
 
 def hour_band(hour: str | Column) -> Column:

@@ -46,3 +46,17 @@ def test_top_files_base_name_and_ties(spark):
 def test_daily_counts_excludes_unparsed(spark):
     d = L.daily_counts(L.parse_access_log(lines(spark))).collect()
     assert [(r.day, r.requests) for r in d] == [(1, 2), (2, 2)]
+
+
+def test_parse_time_ignores_session_zone_and_rejects_bad_dates(spark):
+    from tessera.functions.logs import parse_log_time
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("08/Mar/2020:02:30:00",), ("31/Feb/2024:10:00:00",),
+                                    ("01/Foo/2024:10:00:00",), ("1/Jan/2024:10:00:00",)], "t string")
+        got = [r.ts for r in df.select(parse_log_time("t").alias("ts")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    import datetime as dt
+    assert got == [dt.datetime(2020, 3, 8, 2, 30), None, None, None]
