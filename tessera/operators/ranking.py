@@ -11,7 +11,7 @@ column's domain and for the AUC running sum we instead:
    task is retried),
 3. take running sums inside each (range, group),
 4. add the total of all earlier ranges of the group, taken from a table of
-   one row per (range, group) — small by construction, so it is broadcast.
+   one row per (range, group) — broadcast after checking its size.
 """
 
 from __future__ import annotations
@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from tessera.session import ensure_checkpoint_dir
 
 
+MAX_BROADCAST_OFFSETS = 1_000_000
+
+
 def ordered_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str | Column],
                    weight: str | Column | None = None, out: str = "prefix",
                    partitions: int | None = None) -> DataFrame:
@@ -48,8 +51,11 @@ def ordered_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str |
     earlier = Window.partitionBy(*group_cols).orderBy("_range").rowsBetween(before, -1)
     offsets = totals.select("_range", *group_cols,
                             F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
-    # offsets has one row per (range, group): bounded by partitions x groups.
-    return (local.join(F.broadcast(offsets), ["_range", *group_cols])
+    # One row per (range, group). Broadcast it after checking that bound
+    # (a small job over the checkpoint); with very many groups, shuffle.
+    if totals.count() <= MAX_BROADCAST_OFFSETS:
+        offsets = F.broadcast(offsets)
+    return (local.join(offsets, ["_range", *group_cols])
             .withColumn(out, F.col("_local") + F.col("_offset"))
             .drop("_w", "_range", "_local", "_offset"))
 
