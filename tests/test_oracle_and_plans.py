@@ -63,3 +63,8 @@ def test_scans_are_pruned(spark):
     df = E.queries()["metric_auc"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "l_extendedprice" not in plan
+
+
+@pytest.mark.parametrize("name", ["cluster_top_tags", "cluster_coverage", "encode_roundtrip"])
+def test_bounded_lookups_are_broadcast(spark, name):
+    assert "BroadcastHashJoin" in _plan(E.queries()[name](spark, SF_SMALL))
