@@ -56,32 +56,34 @@ def log_filter_counts(lines: DataFrame, month: str = DEFAULT_MONTH,
     )
 
 
-def daily_counts(parsed: DataFrame) -> DataFrame:
-    """Requests per day of month, ascending; unparseable lines excluded.
-
-    Lines without a timestamp fall into the NULL day with zero counted
-    requests and are dropped after the aggregate: a filter on the parsed
-    value before it would be pushed into the scan-side filter and parse
-    every line twice."""
-    return (parsed.groupBy("day").agg(F.count("ts").alias("requests"))
+def band_day_cells(parsed: DataFrame) -> DataFrame:
+    """(hour_band, day, n, month_days): requests per 4-hour band and day.
+
+    One map-side partial aggregate over the parsed lines; everything about
+    days and bands is derived from these at most 6 x 31 cells. count(ts)
+    leaves unparseable lines in a NULL cell with n = 0 that the consumers
+    drop after aggregating: a filter on the parsed value before the
+    aggregate would be pushed into the scan-side filter and parse every
+    line twice."""
+    return (parsed.groupBy("hour_band", "day")
+            .agg(F.count("ts").alias("n"),
+                 F.max(F.dayofmonth(F.last_day("ts"))).alias("month_days")))
+
+
+def daily_counts(parsed: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """Requests per day of month, ascending; unparseable lines excluded."""
+    cells = band_day_cells(parsed) if cells is None else cells
+    return (cells.groupBy("day").agg(F.sum("n").alias("requests"))
             .filter(F.col("requests") > 0)
             .orderBy("day"))
 
 
-def hour_band_averages(parsed: DataFrame) -> DataFrame:
+def hour_band_averages(parsed: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     """Requests per 4-hour band and their average per day, once over the days
     actually observed and once over all calendar days of the month (days
-    without traffic count as zero).
-
-    The big input is reduced to (band, day) counts with a map-side partial
-    aggregate; both divisors are then computed over those at most 6 x 31
-    rows, so no literal day count and no join is needed.
-    """
-    # count(ts) leaves unparseable lines in a NULL cell with n = 0 that the
-    # last filter drops (parsing each line once, see daily_counts)
-    cells = (parsed.groupBy("hour_band", "day")
-             .agg(F.count("ts").alias("n"),
-                  F.max(F.dayofmonth(F.last_day("ts"))).alias("month_days")))
+    without traffic count as zero). Both divisors come from the band-day
+    cells, so no literal day count and no join is needed."""
+    cells = band_day_cells(parsed) if cells is None else cells
     everything = Window.partitionBy()  # <= 6 bands x 31 days of one month (+ the NULL cell)
     cells = cells.select(
         "hour_band", "n",

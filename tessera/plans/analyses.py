@@ -45,10 +45,12 @@ def web_log_report(spark: SparkSession, path: str, month: str = "Jul", year: int
     requests per day and the most requested .html files of one month."""
     lines = files.read_lines(spark, path)
     parsed = L.parse_access_log(lines, month, year)
+    # days and bands both come from the same (tiny) band-day cells: one parse
+    cells = L.band_day_cells(parsed).cache()
     return {
         "counts": L.log_filter_counts(lines, month, year),
-        "daily": L.daily_counts(parsed),
-        "bands": L.hour_band_averages(parsed),
+        "daily": L.daily_counts(parsed, cells),
+        "bands": L.hour_band_averages(parsed, cells),
         "top_files": L.top_files(L.month_lines(lines, month, year), top_n),
     }
 
