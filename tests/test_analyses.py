@@ -62,3 +62,25 @@ def test_tuned_particle_models_small_grid(spark, tmp_path):
                                   forest_grid={"numTrees": [2, 4]}, gbt_grid={"maxIter": [2]}).collect()
     assert sorted(r.model for r in out) == ["forest", "gbt"]
     assert all(0.5 < r.cv_auc <= 1.0 and 0 < r.n_test for r in out)
+
+
+def test_web_log_report_month_invariants(spark, tmp_path):
+    """28 of 31 July days present, one stray record from another month, one
+    line without a timestamp: averages divide by 28 and by 31."""
+    lines = []
+    for d in [x for x in range(1, 32) if x not in (29, 30, 31)]:
+        for h in (0, 5, 9, 13, 17, 22):
+            lines.append(f'host - - [{d:02d}/Jul/1995:{h:02d}:00:00 -0400] "GET /a/b/page{d % 3}.html HTTP/1.0" 200 1')
+    lines.append('host - - [31/Aug/1995:00:00:00 -0400] "GET /x.html HTTP/1.0" 200 1')
+    lines.append('broken /Jul/1995 line')
+    path = str(tmp_path / "nasa")
+    files.write_lines(spark.createDataFrame([(v,) for v in lines], "value string"), path)
+    rep = A.web_log_report(spark, path, month="Jul", year=1995)
+    c = rep["counts"].first()
+    assert (c.n_lines, c.n_month, c.n_unparsed) == (len(lines), len(lines) - 1, 1)
+    bands = rep["bands"].collect()
+    assert len(bands) == 6 and all(b.observed_days == 28 and b.calendar_days == 31 for b in bands)
+    assert all(b.requests == 28 and b.avg_per_observed_day == 1.0 for b in bands)
+    assert rep["daily"].count() == 28
+    top = rep["top_files"].collect()
+    assert [t.file_name for t in top] == ["page1", "page2", "page0"]
