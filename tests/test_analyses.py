@@ -83,4 +83,5 @@ def test_web_log_report_month_invariants(spark, tmp_path):
     assert all(b.requests == 28 and b.avg_per_observed_day == 1.0 for b in bands)
     assert rep["daily"].count() == 28
     top = rep["top_files"].collect()
-    assert [t.file_name for t in top] == ["page1", "page2", "page0"]
+    # page1 on 10 days; page0 and page2 on 9 days each: tie broken by name
+    assert [(t.file_name, t.requests) for t in top] == [("page1", 60), ("page0", 54), ("page2", 54)]
