@@ -95,8 +95,8 @@ def hour_band_averages(parsed: DataFrame, cells: DataFrame | None = None) -> Dat
                  F.first("calendar_days").alias("calendar_days"))
             .select("hour_band", band_range("hour_band").alias("band_range"), "requests",
                     "observed_days", "calendar_days",
-                    (F.col("requests") / F.col("observed_days")).alias("avg_per_observed_day"),
-                    (F.col("requests") / F.col("calendar_days")).alias("avg_per_calendar_day"))
+                    F.try_divide("requests", "observed_days").alias("avg_per_observed_day"),
+                    F.try_divide("requests", "calendar_days").alias("avg_per_calendar_day"))
             .filter(F.col("requests") > 0)
             .orderBy("hour_band"))
 

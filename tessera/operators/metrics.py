@@ -35,7 +35,8 @@ def auc(df: DataFrame, score: str | Column, label: str | Column, by: list[str] |
                                 weight="neg", out="neg_before").drop("_all")
     credit = F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)
     return ranked.groupBy(*by).agg(
-        (F.sum(credit) / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+        # a group without positives or without negatives has no AUC: NULL
+        F.try_divide(F.sum(credit), F.sum("pos") * F.sum("neg")).alias("auc"))
 
 
 def accuracy(df: DataFrame, prediction: str | Column, label: str | Column) -> DataFrame:
@@ -61,8 +62,8 @@ def regression_metrics(df: DataFrame, prediction: str | Column, label: str | Col
             F.count(F.lit(1)).alias("n_scored"))
     n = F.sum("_w")
     return scored.groupBy(*by).agg(
-        F.sqrt(F.sum(F.col("_w") * F.col("_err") * F.col("_err")) / n).alias("rmse"),
-        (F.sum(F.col("_w") * F.abs("_err")) / n).alias("mae"),
+        F.sqrt(F.try_divide(F.sum(F.col("_w") * F.col("_err") * F.col("_err")), n)).alias("rmse"),
+        F.try_divide(F.sum(F.col("_w") * F.abs("_err")), n).alias("mae"),
         n.cast("bigint").alias("n_scored"))
 
 

@@ -90,8 +90,8 @@ def shrunk_item_mean_cells(folded: DataFrame, reg_params=REG_PARAMS) -> DataFram
     per_fold = per_item_fold.groupBy("fold").agg(F.sum("s").alias("fs"), F.sum("n").alias("fn"))
     every_fold = Window.partitionBy()  # k rows, one per fold
     fold_mean = per_fold.select(
-        "fold", ((F.sum("fs").over(every_fold) - F.col("fs"))
-                 / (F.sum("fn").over(every_fold) - F.col("fn"))).alias("mu"))
+        "fold", F.try_divide(F.sum("fs").over(every_fold) - F.col("fs"),
+                             F.sum("fn").over(every_fold) - F.col("fn")).alias("mu"))
     train = (per_item_fold.join(per_item, "movieId")
              .select("movieId", "fold", (F.col("item_s") - F.col("s")).alias("ts"),
                      (F.col("item_n") - F.col("n")).alias("tn"))

@@ -70,3 +70,17 @@ def test_weighted_metrics_equal_expanded_rows(spark):
     u = M.regression_metrics(spark.createDataFrame(flat, "p double, y double"), "p", "y").first()
     assert w.n_scored == u.n_scored == 6
     assert abs(w.rmse - u.rmse) < 1e-12 and abs(w.mae - u.mae) < 1e-12
+
+
+def test_degenerate_groups_give_null_not_errors(spark):
+    df = spark.createDataFrame([("a", 1.0, True), ("a", 2.0, True), ("b", 0.5, False), ("b", 0.7, True)],
+                               "g string, s double, y boolean")
+    got = {r.g: r.auc for r in M.auc(df, "s", "y", by=["g"]).collect()}
+    assert got == {"a": None, "b": 1.0}
+
+
+def test_log_bands_with_no_parseable_lines(spark):
+    from tessera.operators import logs as L
+    lines = spark.createDataFrame([("garbage /Jan/2024",)], "value string")
+    assert L.hour_band_averages(L.parse_access_log(lines)).count() == 0
+    assert L.daily_counts(L.parse_access_log(lines)).count() == 0
