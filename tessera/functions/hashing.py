@@ -16,9 +16,11 @@ TWO_POW_32 = 4294967296.0
 
 
 def key_text(*cols: str | Column) -> Column:
-    """Text form of a (possibly composite) key: values joined with '|'."""
+    """Text form of a (possibly composite) key: values joined with '|'. Never
+    NULL, so a row with a NULL key still gets a draw (and a split)."""
     parts = [F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols]
-    return parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
+    text = parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
+    return F.coalesce(text, F.lit(""))
 
 
 def uniform(*cols: str | Column, seed: int = 123) -> Column:
@@ -30,7 +32,7 @@ def uniform(*cols: str | Column, seed: int = 123) -> Column:
 def uniform_sql(*cols: str, seed: int = 123) -> str:
     """The same number as DuckDB SQL text (used by the oracle)."""
     if len(cols) == 1:
-        text = f"cast({cols[0]} as varchar)"
+        text = f"coalesce(cast({cols[0]} as varchar), '')"
     else:
         text = "concat_ws('|', " + ", ".join(f"cast({c} as varchar)" for c in cols) + ")"
     return (f"(cast(('0x'||substr(md5({text}||':{seed}'),1,8)) as bigint)"

@@ -26,6 +26,7 @@ def auc(df: DataFrame, score: str | Column, label: str | Column, by: list[str] |
     by = by or []
     pos = _c(label).cast("boolean")
     grouped = (df.select(*by, _c(score).cast("double").alias("score"), pos.alias("_pos"))
+               .filter(F.col("score").isNotNull() & ~F.isnan("score") & F.col("_pos").isNotNull())
                .groupBy(*by, "score")
                .agg(F.count_if(F.col("_pos")).alias("pos"), F.count_if(~F.col("_pos")).alias("neg")))
     if by:

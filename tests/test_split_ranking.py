@@ -53,3 +53,9 @@ def test_dense_ids(spark):
     df = spark.createDataFrame([("a", "z"), ("a", "b"), ("a", "b"), ("c", "m")], "grp string, v string")
     got = {(r.grp, r.v): r.id for r in dense_ids(df, "grp", "v").collect()}
     assert got == {("a", "b"): 1, ("a", "z"): 2, ("c", "m"): 1}
+
+
+def test_null_keys_still_get_a_split(spark):
+    df = spark.createDataFrame([(None,), ("a",), (None,)], "k string")
+    train, test = S.train_test(df, ["k"], 0.5)
+    assert train.count() + test.count() == 3
