@@ -65,7 +65,7 @@ def read_particles(spark: SparkSession, path: str, names: list[str] = PARTICLE_C
     raw = files.read_positional_csv(spark, path, names)
     label, feats = names[0], names[1:]
     return raw.select(F.xxhash64(*names).alias("row_key"),
-                      F.col(label).try_cast("double").cast("int").alias("label"),
+                      F.col(label).try_cast("double").try_cast("int").alias("label"),
                       *[F.col(c).try_cast("double").alias(c) for c in feats])
 
 

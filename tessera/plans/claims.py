@@ -66,7 +66,7 @@ def label_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.write_csv(text, path, header=False)
     back = files.read_positional_csv(spark, path, names)
     return back.select(F.col("vec_id").try_cast("bigint").alias("vec_id"),
-                       F.col("label").try_cast("double").cast("int").alias("label"),
+                       F.col("label").try_cast("double").try_cast("int").alias("label"),
                        *[F.col(n).try_cast("double").alias(n) for n in names[2:]])
 
 
