@@ -32,6 +32,7 @@ from pyspark.util import inheritable_thread_target
 from tessera.operators import metrics as M
 from tessera.operators.split import assign_folds
 
+# The seed of every split, sample and estimator.
 SEED = 123
 
 

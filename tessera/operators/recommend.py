@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A fully scored item carries this many tags in the real genome table.
+# A fully scored item carries this many tags in the genome table.
 FULL_TAG_COUNT = 1128
 
 

@@ -12,8 +12,8 @@ from tessera.sources import files
 from tessera.sources.fixtures import CLAIM_KEY, claims
 
 KEY = list(CLAIM_KEY)
-# Dictionary-building script: top-N for the large columns, full domain for
-# the string categories.
+# The columns that get top-N dictionaries (the string
+# categories get full-domain ones).
 TOPN_COLUMNS = ["Blind_Make", "Blind_Model", "Blind_Submodel", "Model_Year"]
 
 
