@@ -51,6 +51,22 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.write.mode("overwrite").option("header", header).csv(path)
 
 
+def write_report(tables: dict[str, DataFrame], out_dir: str, fmt: str = "csv") -> dict[str, str]:
+    """Write each result table of an analysis to ``out_dir/<name>`` (CSV with
+    a header, or Parquet); returns the paths. Result tables are small
+    aggregates, but they are written by the executors like any table."""
+    paths = {}
+    for name, df in tables.items():
+        path = f"{out_dir.rstrip('/')}/{name}"
+        writer = df.write.mode("overwrite")
+        if fmt == "csv":
+            writer.option("header", True).csv(path)
+        else:
+            writer.format(fmt).save(path)
+        paths[name] = path
+    return paths
+
+
 def write_mapping(mapping: DataFrame, path: str) -> None:
     mapping.write.mode("overwrite").partitionBy("column_name").parquet(path)
 

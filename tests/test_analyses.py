@@ -85,3 +85,12 @@ def test_web_log_report_month_invariants(spark, tmp_path):
     top = rep["top_files"].collect()
     # page1 on 10 days; page0 and page2 on 9 days each: tie broken by name
     assert [(t.file_name, t.requests) for t in top] == [("page1", 60), ("page0", 54), ("page2", 54)]
+
+
+def test_write_report_round_trip(spark, tmp_path):
+    path = str(tmp_path / "log")
+    files.write_lines(access_log(spark, SF_SMALL), path)
+    rep = A.web_log_report(spark, path, month="Jan", year=2024)
+    out = files.write_report({"bands": rep["bands"], "top_files": rep["top_files"]}, str(tmp_path / "out"))
+    back = spark.read.option("header", True).csv(out["top_files"])
+    assert back.count() == 20 and set(back.columns) == {"file_name", "requests"}
