@@ -59,3 +59,13 @@ def test_null_keys_still_get_a_split(spark):
     df = spark.createDataFrame([(None,), ("a",), (None,)], "k string")
     train, test = S.train_test(df, ["k"], 0.5)
     assert train.count() + test.count() == 3
+
+
+def test_spread_only_when_far_fewer_splits_than_slots(spark):
+    from tessera.sources.tables import spread
+    slots = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 100).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == slots
+    many = spark.range(0, 100, numPartitions=slots)
+    assert spread(many).rdd.getNumPartitions() == slots
+    assert spread(many).count() == 100
