@@ -101,7 +101,9 @@ def fit_claim_severity(positives: DataFrame, categorical: list[str], numeric: li
                        max_iter: int = 50, reg_param: float = 0.01):
     """Gamma GLM (log link) on one-hot categories and numbers, trained on
     rows with an actual claim. Categories are indexed first so that a raw
-    value such as a year does not set the one-hot width."""
+    value such as a year does not set the one-hot width. The gamma family
+    needs a strictly positive label, so non-positive amounts are left out."""
+    positives = positives.filter(F.col("Claim_Amount") > 0)
     idx = [c + "_idx" for c in categorical]
     ohe = [c + "_ohe" for c in categorical]
     indexer = StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep",
