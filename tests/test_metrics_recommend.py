@@ -84,3 +84,20 @@ def test_log_bands_with_no_parseable_lines(spark):
     lines = spark.createDataFrame([("garbage /Jan/2024",)], "value string")
     assert L.hour_band_averages(L.parse_access_log(lines)).count() == 0
     assert L.daily_counts(L.parse_access_log(lines)).count() == 0
+
+
+def test_cluster_without_scored_members(spark):
+    assign = spark.createDataFrame([(7, 0), (8, 0), (1, 1)], "movieId long, prediction int")
+    tags = spark.createDataFrame([(2, "two")], "tagId int, tag string")
+    best = R.item_best_tag(scores(spark))  # scores items 1-4 only
+    cov = {r.prediction: (r.n_members, r.n_scored) for r in R.cluster_coverage(assign, best, k=2).collect()}
+    assert cov == {0: (2, 0), 1: (1, 1)}
+    top = R.cluster_top_tags(assign, best, tags, k_clusters=2).collect()
+    assert [(r.prediction, r.tagId) for r in top] == [(1, 2)]
+
+
+def test_empty_stratum_split(spark):
+    from tessera.operators.split import stratified_split
+    df = spark.createDataFrame([(i, 0) for i in range(20)], "k int, y int")
+    out = stratified_split(df, ["k"], "y")
+    assert out.filter("y = 1").count() == 0 and out.count() == 20
