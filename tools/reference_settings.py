@@ -1,0 +1,66 @@
+"""Run the model pipelines once with the analyses' own settings (the library
+defaults) on the test-table stand-ins and print their quality figures as
+one JSON line. The registered queries use smaller settings to stay fast.
+
+usage: python tools/reference_settings.py [sf_dir]
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import sys
+import time
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+
+def main(argv):
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+
+    from tessera.operators import metrics as MT
+    from tessera.operators import models as M
+    from tessera.operators.tandem import gate
+    from tessera.plans import models as P
+    from tessera.plans.recommend import REG_PARAMS, rating_folds
+    from tessera.session import build_session
+
+    spark = build_session("local[8]", shuffle_partitions=8)
+    out = {"sf_dir": sf_dir}
+
+    t = time.time()  # boosted trees: depth 10, 10 bins, 20 iterations, 70/30 holdout
+    train, test = P._particle_split(spark, sf_dir)
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=P.FEATURES, outputCol="features"), M.gbt("label")])
+    with M.persisted(train):
+        model = pipe.fit(train)
+    r = M.binary_report(model.transform(test), "label").first()
+    out["gbt_holdout"] = {"auc": round(r.auc, 4), "accuracy": round(r.accuracy, 4),
+                          "n_test": r.n_test, "sec": round(time.time() - t, 1)}
+
+    t = time.time()  # two-part claim model: tree depth 20, gamma GLM 50 iterations, regParam 0.01
+    data, cat, num = P._encoded_claims(spark, sf_dir)
+    with M.persisted(data):
+        tr = data.filter(F.col("split") == "train")
+        clf = M.fit_claim_gate(tr, cat, num, max_depth=20)
+        reg = M.fit_claim_severity(tr.filter(F.col("y") == 1), cat, num, max_iter=50, reg_param=0.01)
+        scored = reg.transform(clf.transform(data.filter(F.col("split") == "test")).drop("features"))
+        r = MT.regression_metrics(scored.select(gate().alias("p"), "Claim_Amount"), "p", "Claim_Amount").first()
+    out["tandem_model"] = {"rmse": round(r.rmse, 2), "mae": round(r.mae, 2), "n": r.n_scored,
+                           "sec": round(time.time() - t, 1)}
+
+    t = time.time()  # ALS rank 10, 10 iterations, regParam 0.1 / 0.5 / 1.0, 3 folds
+    cells = M.als_grid(rating_folds(spark, sf_dir), REG_PARAMS, folds=3)
+    m = MT.fold_metric_matrix(cells).orderBy("model").collect()
+    out["als_fold_grid"] = {"mean_rmse": [round(x.mean_rmse, 4) for x in m],
+                            "mean_mae": [round(x.mean_mae, 4) for x in m],
+                            "sec": round(time.time() - t, 1)}
+    print(json.dumps(out))
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main(sys.argv)
