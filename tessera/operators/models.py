@@ -117,10 +117,16 @@ def fit_claim_severity(positives: DataFrame, categorical: list[str], numeric: li
                     ).fit(positives)
 
 
-def als(reg_param: float = 0.1, rank: int = 10, max_iter: int = 10, seed: int = SEED) -> ALS:
-    """Explicit-feedback ALS; cold-start rows are dropped when scoring."""
-    return ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol="userId",
-               itemCol="movieId", ratingCol="rating", coldStartStrategy="drop", seed=seed)
+def als(reg_param: float = 0.1, rank: int = 10, max_iter: int = 10, seed: int = SEED,
+        num_blocks: int | None = None) -> ALS:
+    """Explicit-feedback ALS; cold-start rows are dropped when scoring.
+    ``num_blocks`` sets the user and item block counts (Spark's default is
+    10; on a large cluster raise it towards the number of cores)."""
+    est = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol="userId",
+              itemCol="movieId", ratingCol="rating", coldStartStrategy="drop", seed=seed)
+    if num_blocks:
+        est = est.setNumUserBlocks(num_blocks).setNumItemBlocks(num_blocks)
+    return est
 
 
 def kmeans(k: int = 25, seed: int = SEED, max_iter: int = 20) -> KMeans:
