@@ -2,7 +2,7 @@
 defaults) on the test-table stand-ins and print their quality figures as
 one JSON line. The registered queries use smaller settings to stay fast.
 
-usage: python tools/reference_settings.py [sf_dir]
+usage: python tools/reference_settings.py [sf_dir] [--tuned]
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ sys.path.insert(0, ROOT)
 
 
 def main(argv):
-    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    sf_dir = next((a for a in argv[1:] if not a.startswith("--")), "/root/testdata/sf0.01")
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.sql import functions as F
@@ -58,6 +58,19 @@ def main(argv):
     out["als_fold_grid"] = {"mean_rmse": [round(x.mean_rmse, 4) for x in m],
                             "mean_mae": [round(x.mean_mae, 4) for x in m],
                             "sec": round(time.time() - t, 1)}
+    if "--tuned" in argv:  # both tuned models at the full grids (a few minutes)
+        from tessera.plans import analyses as A
+        from tessera.session import scratch_path
+        from tessera.sources import files
+        from tessera.sources.fixtures import particles
+        path = scratch_path(spark, "particles-csv")
+        cols = [F.col("label_signal").cast("double").cast("string")] + \
+            [F.col(f"f{i}").cast("string") for i in range(1, 29)]
+        files.write_csv(particles(spark, sf_dir).select(*cols), path, header=False)
+        t = time.time()
+        rows = A.tuned_particle_models(spark, path, sample_fraction=1.0, folds=5).collect()
+        out["tuned_particle_models"] = {"rows": [r.asDict() for r in rows],
+                                        "sec": round(time.time() - t, 1)}
     print(json.dumps(out))
     spark.stop()
 
