@@ -68,3 +68,9 @@ def test_scans_are_pruned(spark):
 @pytest.mark.parametrize("name", ["cluster_top_tags", "cluster_coverage", "encode_roundtrip"])
 def test_bounded_lookups_are_broadcast(spark, name):
     assert "BroadcastHashJoin" in _plan(E.queries()[name](spark, SF_SMALL))
+
+
+@pytest.mark.parametrize("name", ["gbt_holdout", "tandem_model", "feature_importance"])
+def test_model_plans_have_no_python(spark, name):
+    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
