@@ -62,6 +62,7 @@ def read_particles(spark: SparkSession, path: str, names: list[str] = PARTICLE_C
     and ``row_key``, a 64-bit hash of the line's fields, as the key of hash
     splits (the file has no id; one key column also keeps filter
     expressions small for the optimizer)."""
+    ensure_checkpoint_dir(spark)  # boosted trees checkpoint their lineage there
     raw = files.read_positional_csv(spark, path, names)
     label, feats = names[0], names[1:]
     return raw.select(F.xxhash64(*names).alias("row_key"),

@@ -34,6 +34,7 @@ LABEL = "label_signal"  # the particle label with learnable signal
 
 
 def _particle_split(spark, sf_dir):
+    ensure_checkpoint_dir(spark)  # boosted trees checkpoint their lineage there
     p = spread(particles(spark, sf_dir).select("vec_id", F.col(LABEL).alias("label"), *FEATURES))
     return train_test(p, ["vec_id"], 0.7, M.SEED)
 
