@@ -51,9 +51,10 @@ def ordered_prefix(df: DataFrame, group_cols: list[str], order_cols: list[str |
     earlier = Window.partitionBy(*group_cols).orderBy("_range").rowsBetween(before, -1)
     offsets = totals.select("_range", *group_cols,
                             F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
-    # One row per (range, group). Broadcast it after checking that bound
-    # (a small job over the checkpoint); with very many groups, shuffle.
-    if totals.count() <= MAX_BROADCAST_OFFSETS:
+    # One row per (range, group). Without groups that is one row per range,
+    # bounded by the partition count; otherwise check the bound (a small job
+    # over the checkpoint) and shuffle when there are very many groups.
+    if not group_cols or totals.count() <= MAX_BROADCAST_OFFSETS:
         offsets = F.broadcast(offsets)
     return (local.join(offsets, ["_range", *group_cols])
             .withColumn(out, F.col("_local") + F.col("_offset"))
