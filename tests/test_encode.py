@@ -69,3 +69,9 @@ def test_encode_shuffle_paths_equal_broadcast(spark):
     assert want == [(0, 1.0, 1.0), (1, 2.0, 2.0), (2, 1.0, 0.0), (3, 0.0, 1.0), (4, 0.0, 0.0)]
     assert rows(E.encode(df, m, ["c1", "c2"], max_broadcast=0)) == want
     assert rows(E.encode(df, m, ["c1", "c2"], max_broadcast=0, key=["k"])) == want
+
+
+def test_one_dictionary_per_column(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        E.learn_dictionaries(wide(spark), ["c1"], ["c1", "c2"])
