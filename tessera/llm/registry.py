@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from tessera.llm import licences, mixing, pii, simhash
+from tessera.llm import licences, mixing, near_dup, pii, simhash, topk
 
 QUERIES = {
     "op3_pii": pii.op3_pii,
+    "op4_topk": topk.op4_topk,
     "op6_licences": licences.op6_licences,
     "op8_mixing": mixing.op8_mixing,
+    "op9_near_dup": near_dup.op9_near_dup,
     "op10_simhash": simhash.op10_simhash,
 }
 
 ORACLE = {
+    "op4_topk": topk.OP4_SQL,
     "op8_mixing": mixing.OP8_SQL,
 }
