@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tessera.llm import licences, mixing, near_dup, pii, simhash, topk
+from tessera.llm import licences, mixing, near_dup, pieces, pii, quality, simhash, topk
 
 QUERIES = {
     "op3_pii": pii.op3_pii,
     "op4_topk": topk.op4_topk,
+    "op5_pieces": pieces.op5_pieces,
     "op6_licences": licences.op6_licences,
+    "op7_quality": quality.op7_quality,
     "op8_mixing": mixing.op8_mixing,
     "op9_near_dup": near_dup.op9_near_dup,
     "op10_simhash": simhash.op10_simhash,
