@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.llm import language, licences, mixing, near_dup, pieces, pii, quality, simhash, topk
+from tessera.llm import language, licences, mixing, near_dup, passages, pieces, pii, quality, simhash, topk
 
 QUERIES = {
+    "op1_passages": passages.op1_passages,
     "op2_language": language.op2_language,
     "op3_pii": pii.op3_pii,
     "op4_topk": topk.op4_topk,
