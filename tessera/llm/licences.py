@@ -1,8 +1,8 @@
 """Licence scan with a positional index of rare words.
 
 Templates are licence notices as word lists. Each template keeps postings of
-its rarest words (highest inverse document frequency, counted over the whole
-corpus): word -> position. A file's occurrences of such a word, less the
+the rarest words of its key phrases (highest inverse document frequency,
+counted over the whole corpus): word -> position. A file's occurrences of such a word, less the
 posting's position, propose where the template starts; the postings of the
 template's second rare word at the matching relative position must agree where
 there is one. A proposed place counts when every mandatory key phrase stands at
@@ -85,10 +85,12 @@ def idf(n: int, counts: dict[str, int]) -> dict[str, float]:
     return {w: log((1 + n) / (1 + counts.get(w, 0))) + 0.001 for w in vocabulary()}
 
 
-def rare_postings(words: list[str], weight: dict[str, float]) -> list[tuple[str, int]]:
-    """The template's rarest words with their first positions. A word that
-    repeats in the template cannot say where it starts, so it comes last."""
-    order = sorted(set(words), key=lambda w: (words.count(w), -weight[w], w))
+def rare_postings(words: list[str], phrases: list[list[str]], weight: dict[str, float]) -> list[tuple[str, int]]:
+    """The rarest words of the template's key phrases (every place holds
+    them) with their first positions. A word that repeats in the template
+    cannot say where it starts, so it comes last."""
+    key = {w for p in phrases for w in p}
+    order = sorted(key, key=lambda w: (words.count(w), -weight[w], w))
     return [(w, words.index(w)) for w in order[:RARE_WORDS]]
 
 
@@ -97,7 +99,7 @@ def scan(df: DataFrame, weight: dict[str, float], text: str = "text", out: str =
     ``out``_words: the number of words."""
     found = templates()
     words = F.col("__lic_words")
-    anchors = sorted({rare_postings(t, weight)[0][0] for _, t, _, _ in found})
+    anchors = sorted({rare_postings(t, phrases, weight)[0][0] for _, t, phrases, _ in found})
     body = clean_text(text)
     # Look-up: positions of words that lead a template. Most files hold none,
     # and only those that may are cut into words.
@@ -108,7 +110,7 @@ def scan(df: DataFrame, weight: dict[str, float], text: str = "text", out: str =
     df = df.withColumn("__lic_hits", at)
 
     def place(label: str, t: list[str], phrases: list[list[str]], base: bool) -> Column:
-        (first, q1), *more = rare_postings(t, weight)
+        (first, q1), *more = rare_postings(t, phrases, weight)
         mass = sum(weight[w] for w in t)
 
         def word_at(s: Column, j: int) -> Column:
@@ -121,7 +123,7 @@ def scan(df: DataFrame, weight: dict[str, float], text: str = "text", out: str =
         starts = F.transform(F.filter("__lic_hits", lambda h: h["w"] == first), lambda h: h["p"] - q1)
         if more:  # the second posting at the same relative position
             second, q2 = more[0]
-            if any(second in p for p in phrases):
+            if t.count(second) == 1:
                 starts = F.filter(starts, lambda s: found_at(s, q2, second))
         for p in phrases:
             offset = next(i for i in range(len(t)) if t[i:i + len(p)] == p)
