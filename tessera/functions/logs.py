@@ -34,11 +34,21 @@ def parse_log_time(text: str | Column) -> Column:
     def part(pos: int, length: int) -> Column:
         return F.substring(t, pos, length).try_cast("int")
     month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.substring(t, 4, 3)).cast("int")
-    well_formed = t.rlike(r"^\d{2}/[A-Za-z]{3}/\d{4}:\d{2}:\d{2}:\d{2}$")
+    # [0-5]\d: a leap second or any other second over 59 is malformed
+    well_formed = t.rlike(r"^\d{2}/[A-Za-z]{3}/\d{4}:\d{2}:\d{2}:[0-5]\d$")
     return F.when(well_formed, F.try_make_timestamp_ntz(
         part(8, 4), month, part(1, 2), part(13, 2), part(16, 2), part(19, 2)))
 
 
+def line_time(value: str | Column, month: str, year: int) -> Column:
+    """Wall-clock timestamp of a log line of the given month, NULL if it has
+    no valid one: a single regular expression rewrites the line to ISO text
+    (lines without a timestamp stay as they are and fail the cast)."""
+    pattern = r"(?s)^.*?(\d{2})/" + month + "/" + str(year) + r":(\d{2}:\d{2}:\d{2}).*$"
+    iso = F.regexp_replace(value, pattern, f"{year:04d}-{MONTHS.index(month) + 1:02d}-$1 $2")
+    return iso.try_cast("timestamp_ntz")
+
+
 def hour_band(hour: str | Column) -> Column:
     """Hour of day -> '1'..'6', one band per four hours."""
     h = F.col(hour) if isinstance(hour, str) else hour

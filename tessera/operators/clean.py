@@ -21,9 +21,13 @@ STRING_CATEGORIES = [f"Cat{i}" for i in range(1, 13)] + ["NVCat"]
 LARGE_CATEGORIES = ["Blind_Submodel", "Model_Year"]
 
 
-def present(df: DataFrame, wanted: list[str]) -> list[str]:
-    """The wanted columns that the table has, in wanted order."""
+def columns_of(df: DataFrame, wanted: list[str], optional: tuple[str, ...] = ()) -> list[str]:
+    """The wanted columns, in order. A missing one is an error unless it is
+    listed as ``optional``: a misspelt header must not shrink a model."""
     have = set(df.columns)
+    missing = [c for c in wanted if c not in have and c not in optional]
+    if missing:
+        raise ValueError(f"columns missing from the table: {missing}")
     return [c for c in wanted if c in have]
 
 
@@ -37,6 +41,8 @@ def dropped_profile(df: DataFrame, kept: list[str]) -> DataFrame:
     """(column_name, n_values): each column a projection to ``kept`` leaves
     out, with how many non-NULL values it held (one aggregate pass)."""
     dropped = dropped_columns(df, kept)
+    if not dropped:
+        return df.sparkSession.createDataFrame([], "column_name string, n_values bigint")
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in dropped])
     return counts.unpivot([], dropped, "column_name", "n_values")
 

@@ -15,39 +15,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.logs import (
-    HTML_SUFFIX, band_range, hour_band, html_file_name, month_token, parse_log_time,
-    timestamp_text,
+    HTML_SUFFIX, band_range, hour_band, html_file_name, line_time, month_token,
 )
 
-DEFAULT_MONTH = "Jan"
-DEFAULT_YEAR = 2024
 
-
-def month_lines(lines: DataFrame, month: str = DEFAULT_MONTH, year: int = DEFAULT_YEAR) -> DataFrame:
+def month_lines(lines: DataFrame, month: str, year: int) -> DataFrame:
     """Keep lines of one month (a substring filter, pushed to Parquet scans)."""
     return lines.filter(F.col("value").contains(month_token(month, year)))
 
 
-def parse_access_log(lines: DataFrame, month: str = DEFAULT_MONTH,
-                     year: int = DEFAULT_YEAR) -> DataFrame:
+def parse_access_log(lines: DataFrame, month: str, year: int,
+                     valid_only: bool = False) -> DataFrame:
     """value -> value, ts (NULL if the line has no valid timestamp), day, hour,
-    hour_band. Lines outside the month are dropped."""
-    text = timestamp_text("value", month, year)
+    hour_band. Lines outside the month are dropped, with ``valid_only`` also
+    those without a timestamp: by a generator, as a filter on the parsed
+    value would be pushed below the projection and parse every line twice."""
+    ts = line_time("value", month, year)
+    if valid_only:
+        ts = F.explode(F.array_compact(F.array(ts)))
     return (month_lines(lines, month, year)
-            .select("value", parse_log_time(text).alias("ts"))
+            .select("value", ts.alias("ts"))
             .select("value", "ts",
                     F.dayofmonth("ts").alias("day"),
                     F.hour("ts").alias("hour"),
                     hour_band(F.hour("ts")).alias("hour_band")))
 
 
-def log_filter_counts(lines: DataFrame, month: str = DEFAULT_MONTH,
-                      year: int = DEFAULT_YEAR) -> DataFrame:
+def log_filter_counts(lines: DataFrame, month: str, year: int) -> DataFrame:
     """One row, one pass: all lines, lines of the month, of those the lines
     requesting an .html file and the lines without a parseable timestamp."""
     token = month_token(month, year)
     in_month = F.col("value").contains(token)
-    ts = parse_log_time(timestamp_text("value", month, year))
+    ts = line_time("value", month, year)
     return lines.agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if(in_month).alias("n_month"),

@@ -15,7 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from tessera.operators import metrics as M
-from tessera.operators.split import assign_folds
+from tessera.operators.split import assign_folds, fold_train_test
 
 # The seed of every split, sample and estimator.
 SEED = 123
@@ -90,6 +90,11 @@ def check_glm_width(width: int) -> int:
     return width
 
 
+def glm_width(labels: list, numeric: list[str]) -> int:
+    """Features of the severity model: a slot per seen category, and numbers."""
+    return sum(len(seen) for seen in labels) + len(numeric)
+
+
 def fit_claim_gate(train: DataFrame, categorical: list[str], numeric: list[str],
                    max_depth: int = 20):
     """Tree on the encoded ids (as plain doubles) and numbers: y = 0 / 1."""
@@ -102,16 +107,20 @@ def fit_claim_severity(positives: DataFrame, categorical: list[str], numeric: li
     """Gamma GLM (log link) on one-hot categories and numbers, trained on
     rows with an actual claim. Categories are indexed first so that a raw
     value such as a year does not set the one-hot width. The gamma family
-    needs a strictly positive label, so non-positive amounts are left out."""
-    positives = positives.filter(F.col("Claim_Amount") > 0)
+    needs a strictly positive label: other amounts are an error, not left
+    out. A category not seen in training has no active slot."""
+    wrong = positives.filter(~F.coalesce(F.col("Claim_Amount") > 0, F.lit(False))).count()
+    if wrong:
+        raise ValueError(f"{wrong} claim amounts are not positive")
     idx = [c + "_idx" for c in categorical]
     ohe = [c + "_ohe" for c in categorical]
     indexer = StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep",
                             stringOrderType="alphabetAsc").fit(positives)
-    # one slot per seen category per column (+1 kept for unseen, -1 dropped last)
-    check_glm_width(sum(len(labels) for labels in indexer.labelsArray) + len(numeric))
+    # one slot per seen category; the encoder drops the last one, which is the
+    # indexer's slot for unseen values
+    check_glm_width(glm_width(indexer.labelsArray, numeric))
     return Pipeline(stages=[indexer,
-                            OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="keep"),
+                            OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True),
                             VectorAssembler(inputCols=ohe + numeric, outputCol="features"),
                             gamma_glm("Claim_Amount", max_iter=max_iter, reg_param=reg_param)]
                     ).fit(positives)
@@ -170,33 +179,35 @@ def top_importances(importances: DataFrame, n: int = 3) -> DataFrame:
 def cross_validate(train: DataFrame, feature_cols: list[str], estimator, grid: list,
                    key: list[str], label: str = "label", folds: int = 5, seed: int = SEED,
                    parallelism: int = 2):
-    """k-fold CV over a pipeline (assembler + estimator) with hash folds.
-    Returns the fitted CrossValidatorModel and a (params, auc) DataFrame.
+    """k-fold CV with hash folds; the features are assembled once, before the
+    fits. Returns the best model (assembler included) and a (cell, params,
+    auc, best) DataFrame; of tied cells the first is the best, which is the
+    one that was refitted.
 
     ``seed`` must differ from the one that split ``train`` off: with the
     same key and seed every training row has u < train_fraction and the
     folds would be unbalanced."""
     data = assign_folds(train, key, folds, seed, out="fold").withColumn(
         "fold", F.col("fold") - 1)
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol="features"),
-                            estimator])
+    assembler = VectorAssembler(inputCols=feature_cols, outputCol="features")
+    data = assembler.transform(data).select("features", label, "fold")
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
                                        metricName="areaUnderROC")
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
                         foldCol="fold", seed=seed, parallelism=parallelism)
     with persisted(data):
         model = cv.fit(data)
-    rows = []
-    for pm, m in zip(grid, model.avgMetrics):
-        rows.append(({p.name: float(v) for p, v in pm.items()}, float(m)))
-    spark = train.sparkSession
-    metrics = spark.createDataFrame(rows, "params map<string,double>, auc double")
-    return model, metrics
+    best = model.avgMetrics.index(max(model.avgMetrics))
+    rows = [(i, {p.name: str(v) for p, v in pm.items()}, float(m), i == best)
+            for i, (pm, m) in enumerate(zip(grid, model.avgMetrics))]
+    metrics = train.sparkSession.createDataFrame(
+        rows, "cell int, params map<string,string>, auc double, best boolean")
+    return PipelineModel(stages=[assembler, model.bestModel]), metrics
 
 
 def grid_best(grid_metrics: DataFrame) -> DataFrame:
-    """The grid cell with the highest metric."""
-    return grid_metrics.agg(F.max_by("params", "auc").alias("params"), F.max("auc").alias("auc"))
+    """The grid cell of the refitted model: the first with the highest metric."""
+    return grid_metrics.filter("best").select("params", "auc")
 
 
 def param_grid(estimator, **values) -> list:
@@ -210,9 +221,11 @@ def param_grid(estimator, **values) -> list:
 # --- ratings -----------------------------------------------------------------
 
 def als_grid(folded: DataFrame, reg_params: tuple[float, ...], folds: int = 3, rank: int = 10,
-             max_iter: int = 10, parallelism: int = 3, fold_col: str = "fold") -> DataFrame:
+             max_iter: int = 10, parallelism: int = 3, fold_col: str = "fold",
+             num_blocks: int | None = None) -> DataFrame:
     """Fit one ALS model per (fold, regParam) on the other folds, score the
-    held-out fold and return (model, fold, rmse, mae, n_scored) cells.
+    held-out fold and return (model, fold, rmse, mae, n_scored, n_rows) cells
+    (cold-start rows are in n_rows only).
 
     Each fit is a distributed job; up to ``parallelism`` fits run at once
     (as CrossValidator's ``parallelism`` does). Only the per-cell metric row
@@ -222,29 +235,28 @@ def als_grid(folded: DataFrame, reg_params: tuple[float, ...], folds: int = 3, r
 
     def cell(task):
         k, i, reg = task
-        train = folded.filter(F.col(fold_col) != k)
-        test = folded.filter(F.col(fold_col) == k)
-        model = als(reg, rank=rank, max_iter=max_iter).fit(train)
+        train, test = fold_train_test(folded, k, fold_col)
+        model = als(reg, rank=rank, max_iter=max_iter, num_blocks=num_blocks).setColdStartStrategy("nan").fit(train)
         r = M.regression_metrics(model.transform(test), "prediction", "rating").first()
-        return (i, k, float(r["rmse"]), float(r["mae"]), int(r["n_scored"]))
+        return (i, k, r["rmse"], r["mae"], int(r["n_scored"]), int(r["n_rows"]))
 
     tasks = [(k, i, reg) for k in range(1, folds + 1) for i, reg in enumerate(reg_params, start=1)]
     with persisted(folded):
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             # job group / local properties follow the caller into the workers
             rows = list(pool.map(inheritable_thread_target(spark)(cell), tasks))
-    return spark.createDataFrame(rows, "model int, fold int, rmse double, mae double, n_scored long")
+    return spark.createDataFrame(rows, "model int, fold int, rmse double, mae double, n_scored long, n_rows long")
 
 
 def item_clusters(ratings: DataFrame, k: int = 25, reg_param: float = 0.1, rank: int = 10,
-                  max_iter: int = 10, kmeans_iter: int = 20, seed: int = SEED) -> DataFrame:
+                  max_iter: int = 10, kmeans_iter: int = 20, seed: int = SEED,
+                  num_blocks: int | None = None) -> DataFrame:
     """ALS item factors -> dense vectors -> k-means: (movieId, prediction).
-    The assignment is materialised (cached) so the two fits run once."""
+    The assignment is checkpointed, so the two fits run once."""
     from tessera.operators.features import factor_vectors
-    factors = als(reg_param, rank=rank, max_iter=max_iter, seed=seed).fit(ratings).itemFactors
+    factors = als(reg_param, rank=rank, max_iter=max_iter, seed=seed, num_blocks=num_blocks).fit(ratings).itemFactors
     vecs = factor_vectors(factors).persist(StorageLevel.MEMORY_AND_DISK)
     model = kmeans(k, seed=seed, max_iter=kmeans_iter).fit(vecs)
-    assigned = model.transform(vecs).select("movieId", "prediction").cache()
-    assigned.count()
+    assigned = model.transform(vecs).select("movieId", "prediction").checkpoint(eager=True)
     vecs.unpersist()
     return assigned

@@ -53,8 +53,3 @@ def fold_train_test(df: DataFrame, fold: int, fold_col: str = "fold") -> tuple[D
     """Training rows (all other folds) and test rows of one fold: two filters
     over the same input instead of a union of the other folds."""
     return df.filter(F.col(fold_col) != fold), df.filter(F.col(fold_col) == fold)
-
-
-def random_split(df: DataFrame, weights: list[float], seed: int = 123) -> list[DataFrame]:
-    """Spark's ``randomSplit``: kept for parity; depends on partition layout."""
-    return df.randomSplit(weights, seed)

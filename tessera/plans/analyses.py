@@ -25,7 +25,8 @@ from tessera.operators.split import assign_folds, hash_sample, hash_split, train
 from tessera.operators.tandem import gate
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources import files
-from tessera.sources.tables import spread
+from tessera.plans.models import FOREST_GRID, GBT_GRID
+from tessera.sources.tables import fit_layout
 
 # Column names of the particle CSV (label, then 28 features).
 PARTICLE_COLUMNS = [
@@ -46,7 +47,9 @@ def web_log_report(spark: SparkSession, path: str, month: str = "Jul", year: int
     lines = files.read_lines(spark, path)
     parsed = L.parse_access_log(lines, month, year)
     # days and bands both come from the same (tiny) band-day cells: one parse
-    cells = L.band_day_cells(parsed).cache()
+    # and a checkpoint, so that the two reports do not parse the log again
+    ensure_checkpoint_dir(spark)
+    cells = L.band_day_cells(parsed).checkpoint(eager=True)
     return {
         "counts": L.log_filter_counts(lines, month, year),
         "daily": L.daily_counts(parsed, cells),
@@ -73,7 +76,7 @@ def read_particles(spark: SparkSession, path: str, names: list[str] = PARTICLE_C
 def particle_classifier(spark: SparkSession, path: str, max_depth: int = 10, max_bins: int = 10,
                         max_iter: int = 20, train_fraction: float = 0.7) -> dict[str, DataFrame]:
     """Boosted trees on a 70/30 holdout: auc, accuracy, top-3 importances."""
-    data = spread(read_particles(spark, path))
+    data = fit_layout(read_particles(spark, path), ["row_key"])
     feats = PARTICLE_COLUMNS[1:]
     train, test = train_test(data, ["row_key"], train_fraction, M.SEED)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
@@ -85,18 +88,13 @@ def particle_classifier(spark: SparkSession, path: str, max_depth: int = 10, max
             "top_features": M.top_importances(imp, 3)}
 
 
-# The tuning grids of the two particle models.
-FOREST_GRID = {"numTrees": [5, 10, 20], "maxBins": [3, 5, 10]}
-GBT_GRID = {"maxBins": [3, 5, 10], "maxIter": [5, 10, 15]}
-
-
 def tuned_particle_models(spark: SparkSession, path: str, sample_fraction: float = 0.05,
                           folds: int = 5, parallelism: int = 2, max_depth: int = 10,
                           forest_grid: dict = FOREST_GRID, gbt_grid: dict = GBT_GRID) -> DataFrame:
     """Forest (trees x bins) and boosted trees (bins x iterations), each tuned
     by k-fold CV on a hash sample; best cell and held-out auc/accuracy."""
     feats = PARTICLE_COLUMNS[1:]
-    data = spread(hash_sample(read_particles(spark, path), ["row_key"], sample_fraction, M.SEED))
+    data = fit_layout(hash_sample(read_particles(spark, path), ["row_key"], sample_fraction, M.SEED), ["row_key"])
     train, test = train_test(data, ["row_key"], 0.7, M.SEED + 1)  # independent of the sample draw
     rf = M.forest("label", max_depth=max_depth, max_bins=10, num_trees=20)
     gb = M.gbt("label", max_depth=max_depth, max_bins=5, max_iter=10)
@@ -116,12 +114,12 @@ def tuned_particle_models(spark: SparkSession, path: str, sample_fraction: float
 # --- claims ----------------------------------------------------------------------
 
 def claim_dictionaries(spark: SparkSession, csv_path: str, out_path: str,
-                       top_n: int = E.DEFAULT_TOP_N) -> DataFrame:
+                       top_n: int = E.DEFAULT_TOP_N, optional: tuple[str, ...] = ()) -> DataFrame:
     """Learn the claims dictionaries (top-N for large columns, full domain for
     string categories, fixed overrides) and save them partitioned by column."""
     raw = spark.read.option("header", True).csv(csv_path)  # all strings, no inference
-    top_cols = C.present(raw, ["Blind_Make", "Blind_Model", "Blind_Submodel", "Model_Year"])
-    ord_cols = C.present(raw, C.STRING_CATEGORIES)
+    top_cols = C.columns_of(raw, ["Blind_Make", "Blind_Model", "Blind_Submodel", "Model_Year"], optional)
+    ord_cols = C.columns_of(raw, C.STRING_CATEGORIES, optional)
     filled = C.fill_missing_category(raw, top_cols + ord_cols)
     forced, domains = E.reference_overrides(spark)
     mapping = E.apply_overrides(E.learn_dictionaries(filled, top_cols, ord_cols, top_n),
@@ -132,18 +130,18 @@ def claim_dictionaries(spark: SparkSession, csv_path: str, out_path: str,
 
 def tandem_claims(spark: SparkSession, csv_path: str, dictionary_path: str, tree_depth: int = 20,
                   glm_iter: int = 50, reg_param: float = 0.01,
-                  key: list[str] | None = None) -> DataFrame:
+                  key: list[str] | None = None, optional: tuple[str, ...] = ()) -> DataFrame:
     """Two-part claim model: a tree decides zero / non-zero, a gamma GLM
     trained on actual claims predicts the amount of rows the tree lets
     through, every other row predicts 0. Returns rmse, mae on the test split.
     ``key`` (default: a hash of the whole line) feeds the hash split."""
-    raw = spread(spark.read.option("header", True).csv(csv_path))
+    raw = spark.read.option("header", True).csv(csv_path)  # all strings
     if not key:  # no id column: a 64-bit hash of the whole line
         raw, key = raw.withColumn("row_key", F.xxhash64(*raw.columns)), ["row_key"]
-    ints, nums = C.present(raw, C.INT_CATEGORIES), C.present(raw, C.NUMERIC_FEATURES)
-    cats = C.present(raw, C.STRING_CATEGORIES) + C.present(raw, C.LARGE_CATEGORIES)
+    ints, nums = C.columns_of(raw, C.INT_CATEGORIES, optional), C.columns_of(raw, C.NUMERIC_FEATURES, optional)
+    cats = C.columns_of(raw, C.STRING_CATEGORIES + C.LARGE_CATEGORIES, optional)
     clean = C.clean_claims(raw, key, ints, nums, cats)
-    enc = E.encode(clean, files.read_mapping(spark, dictionary_path), cats)
+    enc = fit_layout(E.encode(clean, files.read_mapping(spark, dictionary_path), cats), key)
     data = hash_split(enc, key + ["y"], 0.7, M.SEED)
     categorical = ints + cats
     with M.persisted(data):
@@ -162,39 +160,37 @@ def tandem_claims(spark: SparkSession, csv_path: str, dictionary_path: str, tree
 # --- ratings ---------------------------------------------------------------------
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.option("header", True).csv(path)
-    return raw.select(F.col("userId").try_cast("bigint").alias("userId"),
-                      F.col("movieId").try_cast("bigint").alias("movieId"),
-                      F.col("rating").try_cast("double").alias("rating"))
+    """Headered CSV (userId, movieId, rating, timestamp) with a typed schema."""
+    raw = files.read_csv(spark, path, "userId bigint, movieId bigint, rating double, timestamp bigint", null_text="")
+    return raw.select("userId", "movieId", "rating")
 
 
 def rating_grid(spark: SparkSession, ratings_path: str, reg_params=(0.1, 0.5, 1.0),
-                rank: int = 10, max_iter: int = 10, folds: int = 3) -> DataFrame:
+                rank: int = 10, max_iter: int = 10, folds: int = 3,
+                num_blocks: int | None = None) -> DataFrame:
     """ALS over folds x regParam; rmse/mae per fold with mean and std."""
     ensure_checkpoint_dir(spark)
     folded = assign_folds(read_ratings(spark, ratings_path), ["userId", "movieId"], folds, M.SEED)
-    cells = M.als_grid(folded, tuple(reg_params), folds=folds, rank=rank, max_iter=max_iter)
+    cells = M.als_grid(folded, tuple(reg_params), folds=folds, rank=rank, max_iter=max_iter,
+                       num_blocks=num_blocks)
     return MT.fold_metric_matrix(cells, folds=folds)
 
 
 def tag_clusters(spark: SparkSession, ratings_path: str, scores_path: str, tags_path: str,
-                 k: int = 25, folds: int = 3, rank: int = 10, max_iter: int = 10) -> DataFrame:
+                 k: int = 25, folds: int = 3, rank: int = 10, max_iter: int = 10,
+                 num_blocks: int | None = None) -> DataFrame:
     """Per rating split alone: ALS item factors -> k-means -> the 3 biggest
     clusters' 3 strongest tags with their names."""
     ensure_checkpoint_dir(spark)
     folded = assign_folds(read_ratings(spark, ratings_path), ["userId", "movieId"], folds, M.SEED)
-    scores = spark.read.option("header", True).csv(scores_path).select(
-        F.col("movieId").try_cast("bigint").alias("movieId"),
-        F.col("tagId").try_cast("int").alias("tagId"),
-        F.col("relevance").try_cast("double").alias("relevance"))
-    tags = spark.read.option("header", True).csv(tags_path).select(
-        F.col("tagId").try_cast("int").alias("tagId"), "tag")
-    best = R.item_best_tag(scores)
+    scores = files.read_csv(spark, scores_path, "movieId bigint, tagId int, relevance double", null_text="")
+    tags = files.read_csv(spark, tags_path, "tagId int, tag string", null_text="")
+    best = R.item_best_tag(scores).checkpoint(eager=True)  # used for each split, twice
     out = None
     with M.persisted(folded):
         for split in range(1, folds + 1):
             assigned = M.item_clusters(folded.filter(F.col("fold") == split), k=k, rank=rank,
-                                       max_iter=max_iter)
+                                       max_iter=max_iter, num_blocks=num_blocks)
             top = (R.cluster_top_tags(assigned, best, tags)
                    .join(R.cluster_coverage(assigned, best), "prediction")
                    .withColumn("split", F.lit(split)))

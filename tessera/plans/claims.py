@@ -10,6 +10,7 @@ from tessera.operators import encode as E
 from tessera.session import scratch_path
 from tessera.sources import files
 from tessera.sources.fixtures import CLAIM_KEY, claims
+from tessera.sources.tables import read_table
 
 KEY = list(CLAIM_KEY)
 # The columns that get top-N dictionaries (the string
@@ -18,18 +19,19 @@ TOPN_COLUMNS = ["Blind_Make", "Blind_Model", "Blind_Submodel", "Model_Year"]
 
 
 def claim_columns(raw: DataFrame) -> dict[str, list[str]]:
-    """The claim-model column families that this table has."""
+    """The claim-model column families; a missing column is an error."""
     return {
-        "int": C.present(raw, C.INT_CATEGORIES),
-        "numeric": C.present(raw, C.NUMERIC_FEATURES),
-        "string": C.present(raw, C.STRING_CATEGORIES),
-        "large": C.present(raw, C.LARGE_CATEGORIES),
-        "topn": C.present(raw, TOPN_COLUMNS),
+        "int": C.columns_of(raw, C.INT_CATEGORIES),
+        "numeric": C.columns_of(raw, C.NUMERIC_FEATURES),
+        "string": C.columns_of(raw, C.STRING_CATEGORIES),
+        "large": C.columns_of(raw, C.LARGE_CATEGORIES),
+        # the cleaned table no longer has the makes and models
+        "topn": C.columns_of(raw, TOPN_COLUMNS, optional=("Blind_Make", "Blind_Model")),
     }
 
 
-def cleaned_claims(spark: SparkSession, sf_dir: str, spread_input: bool = False) -> DataFrame:
-    raw = claims(spark, sf_dir, spread_input)
+def cleaned_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = claims(spark, sf_dir)
     c = claim_columns(raw)
     return C.clean_claims(raw, KEY, c["int"], c["numeric"], c["string"] + c["large"])
 
@@ -42,7 +44,8 @@ def learned_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = C.fill_missing_category(raw, c["topn"] + c["string"])
     mapping = E.learn_dictionaries(filled, c["topn"], c["string"])
     forced, domains = E.reference_overrides(spark)
-    return E.apply_overrides(mapping, forced=forced, domains=domains)
+    # read once for the sizes and once for each encoded column
+    return E.apply_overrides(mapping, forced=forced, domains=domains).checkpoint(eager=True)
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +57,23 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, path, files.string_schema(raw.columns))
 
 
+def text_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (line ends, quotes, commas, blanks) through CSV and back with
+    a typed schema."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
+    path = scratch_path(spark, "documents-csv")
+    files.write_csv(docs, path, multi_line=True)
+    return files.read_csv(spark, path, docs.schema, multi_line=True)
+
+
+def encode_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Cat12 dictionary learned from rows without missing values: it has
+    no missing category, so the replacement domain takes its place."""
+    raw = claims(spark, sf_dir).filter(F.col("Cat12").isNotNull())
+    _, domains = E.reference_overrides(spark)
+    return E.apply_overrides(E.ordinal_mapping(raw, ["Cat12"]), domains=domains)
+
+
 def label_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headerless positional CSV (label in float notation, then features):
     read as strings, renamed, label cast double -> int, features to double."""
@@ -144,7 +164,9 @@ def stratified_split(spark: SparkSession, sf_dir: str, train_fraction: float = 0
 
 QUERIES = {
     "csv_roundtrip": csv_roundtrip,
+    "text_csv_roundtrip": text_csv_roundtrip,
     "label_cast": label_cast,
+    "encode_domain": encode_domain,
     "null_profile": null_profile,
     "dropped_columns": dropped_columns,
     "claims_clean": claims_clean,

@@ -3,6 +3,7 @@ vectors, nearest-centre assignment and the saturated gamma GLM."""
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tessera.operators import features as X
 from tessera.operators.models import persisted
 from tessera.sources.fixtures import PARTICLE_FEATURES, particles
-from tessera.sources.tables import read_table, spread
+from tessera.sources.tables import read_table
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 FEATURES = [f"f{i}" for i in range(1, PARTICLE_FEATURES + 1)]
@@ -57,15 +58,15 @@ def glm_group_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     a saturated model, so its prediction per group is the group mean."""
     li = read_table(spark, sf_dir, "lineitem", "l_returnflag", "l_extendedprice")
     si = StringIndexer(inputCol="l_returnflag", outputCol="flag_idx", stringOrderType="alphabetAsc")
-    idx = si.fit(li).transform(li)
-    ohe = OneHotEncoder(inputCols=["flag_idx"], outputCols=["flag_ohe"]).fit(idx).transform(idx)
-    data = spread(VectorAssembler(inputCols=["flag_ohe"], outputCol="features").transform(ohe))
+    prepare = Pipeline(stages=[si, OneHotEncoder(inputCols=["flag_idx"], outputCols=["flag_ohe"]),
+                               VectorAssembler(inputCols=["flag_ohe"], outputCol="features")]).fit(li)
+    data = prepare.transform(li)
     glm = GeneralizedLinearRegression(family="gamma", link="log", labelCol="l_extendedprice",
                                       maxIter=50, regParam=0.0, tol=1e-12)
     with persisted(data):
         model = glm.fit(data)
     # one prediction per group: score the distinct groups, not every line
-    groups = data.select("l_returnflag", "features").dropDuplicates(["l_returnflag"])
+    groups = prepare.transform(li.select("l_returnflag").distinct())
     return model.transform(groups).select("l_returnflag", F.round("prediction", 4).alias("prediction"))
 
 

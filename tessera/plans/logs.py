@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tessera.operators import logs as L
 from tessera.session import scratch_path
@@ -11,30 +10,33 @@ from tessera.sources import files
 from tessera.sources.fixtures import access_log
 
 
+# The month of the stand-in log.
+MONTH, YEAR = "Jan", 2024
+
+
 def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as the analyses receive it — gzip text files — read back as
     lines and parsed. Lines without a valid timestamp are counted by
     ``log_filter_count`` (n_unparsed) and left out here."""
     path = scratch_path(spark, "access-log")
     files.write_lines(access_log(spark, sf_dir), path)
-    parsed = L.parse_access_log(files.read_lines(spark, path))
-    return parsed.filter(F.col("ts").isNotNull())
+    return L.parse_access_log(files.read_lines(spark, path), MONTH, YEAR, valid_only=True)
 
 
 def log_filter_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.log_filter_counts(access_log(spark, sf_dir))
+    return L.log_filter_counts(access_log(spark, sf_dir), MONTH, YEAR)
 
 
 def log_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.daily_counts(L.parse_access_log(access_log(spark, sf_dir)))
+    return L.daily_counts(L.parse_access_log(access_log(spark, sf_dir), MONTH, YEAR))
 
 
 def log_hour_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.hour_band_averages(L.parse_access_log(access_log(spark, sf_dir)))
+    return L.hour_band_averages(L.parse_access_log(access_log(spark, sf_dir), MONTH, YEAR))
 
 
 def log_top_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.top_files(L.month_lines(access_log(spark, sf_dir)), n=20)
+    return L.top_files(L.month_lines(access_log(spark, sf_dir), MONTH, YEAR), n=20)
 
 
 QUERIES = {

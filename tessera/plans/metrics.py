@@ -24,7 +24,7 @@ def _lines(spark, sf_dir, *cols):
 
 def metric_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _lines(spark, sf_dir, "l_quantity", "l_returnflag")
-    return M.auc(li, "l_quantity", F.col("l_returnflag") == "R").select(F.round("auc", 12).alias("auc"))
+    return M.auc(li, "l_quantity", F.col("l_returnflag") == "R").withColumn("auc", F.round("auc", 12))
 
 
 def metric_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,12 +34,12 @@ def metric_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metric_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _lines(spark, sf_dir, "l_extendedprice")
-    return M.rmse(li, F.col("l_extendedprice") * 0.9, "l_extendedprice").select(F.round("rmse", 6).alias("rmse"))
+    return M.rmse(li, F.col("l_extendedprice") * 0.9, "l_extendedprice").withColumn("rmse", F.round("rmse", 6))
 
 
 def metric_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _lines(spark, sf_dir, "l_extendedprice")
-    return M.mae(li, F.col("l_extendedprice") * 0.9, "l_extendedprice").select(F.round("mae", 6).alias("mae"))
+    return M.mae(li, F.col("l_extendedprice") * 0.9, "l_extendedprice").withColumn("mae", F.round("mae", 6))
 
 
 def class_balance(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,8 @@
-"""Registered model queries (rows-only checks plus property tests).
-
-The library defaults in ``operators.models`` are the analyses' settings
-(depth 10/20, 20 trees or iterations, rank 10, k = 25, 5 folds); the
-registered queries pass smaller depths and iteration counts so the
-correctness run stays short. They always train on the whole tables.
+"""Registered model queries, at the analyses' own settings: depth 10, 20
+iterations, 3 x 3 grids and 5 folds for the particle models, depth 20 and 50
+iterations for the claims, rank 10 and 10 iterations for the ratings. They
+train on the whole tables. ``plans.model_checks`` has companions whose results
+SQL can state.
 """
 
 from __future__ import annotations
@@ -24,10 +23,14 @@ from tessera.operators.encode import encode
 from tessera.operators.split import hash_split, train_test
 from tessera.operators.tandem import gate
 from tessera.plans import claims as CP
-from tessera.plans.recommend import REG_PARAMS, rating_folds
+from tessera.plans.recommend import RATING_KEY, REG_PARAMS, rating_folds
 from tessera.sources.fixtures import genome_scores, genome_tags, particles
 from tessera.session import ensure_checkpoint_dir
-from tessera.sources.tables import spread
+from tessera.sources.tables import fit_layout
+
+# The tuning grids of the two particle models.
+FOREST_GRID = {"numTrees": [5, 10, 20], "maxBins": [3, 5, 10]}
+GBT_GRID = {"maxBins": [3, 5, 10], "maxIter": [5, 10, 15]}
 
 FEATURES = [f"f{i}" for i in range(1, 29)]
 LABEL = "label_signal"  # the particle label with learnable signal
@@ -35,14 +38,14 @@ LABEL = "label_signal"  # the particle label with learnable signal
 
 def _particle_split(spark, sf_dir):
     ensure_checkpoint_dir(spark)  # boosted trees checkpoint their lineage there
-    p = spread(particles(spark, sf_dir).select("vec_id", F.col(LABEL).alias("label"), *FEATURES))
-    return train_test(p, ["vec_id"], 0.7, M.SEED)
+    p = particles(spark, sf_dir).select("vec_id", F.col(LABEL).alias("label"), *FEATURES)
+    return train_test(fit_layout(p, ["vec_id"]), ["vec_id"], 0.7, M.SEED)
 
 
-def _fit_gbt(spark, sf_dir, max_depth=4, max_iter=5):
+def _fit_gbt(spark, sf_dir):
     train, test = _particle_split(spark, sf_dir)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"),
-                            M.gbt("label", max_depth=max_depth, max_bins=10, max_iter=max_iter)])
+                            M.gbt("label")])
     with M.persisted(train):
         model = pipe.fit(train)
     return model, test
@@ -62,18 +65,18 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cv(spark, sf_dir, which: str):
     train, test = _particle_split(spark, sf_dir)
     if which == "forest":
-        est = M.forest("label", max_depth=4, max_bins=10, num_trees=10)
-        grid = M.param_grid(est, numTrees=[5, 10], maxBins=[5, 10])
+        est = M.forest("label")
+        grid = M.param_grid(est, **FOREST_GRID)
     else:
-        est = M.gbt("label", max_depth=3, max_bins=5, max_iter=5)
-        grid = M.param_grid(est, maxBins=[5, 10], maxIter=[3, 5])
-    model, cells = M.cross_validate(train, FEATURES, est, grid, ["vec_id"], "label", folds=3,
-                                    seed=M.SEED + 1, parallelism=2)
+        est = M.gbt("label", max_bins=5, max_iter=10)
+        grid = M.param_grid(est, **GBT_GRID)
+    model, cells = M.cross_validate(train, FEATURES, est, grid, ["vec_id"], "label", folds=5,
+                                    seed=M.SEED + 1, parallelism=4)
     return model, cells, test
 
 
 def _cells_out(cells: DataFrame) -> DataFrame:
-    return cells.select(F.to_json("params").alias("params"), "auc")
+    return cells.select(F.to_json("params").alias("params"), "auc", "best")
 
 
 def forest_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,28 +106,30 @@ def grid_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- two-part claim model ---------------------------------------------------
 
 def _encoded_claims(spark, sf_dir):
-    clean = CP.cleaned_claims(spark, sf_dir, spread_input=True)
+    clean = CP.cleaned_claims(spark, sf_dir)
     cols = CP.claim_columns(clean)
     mapping = CP.learned_mapping(spark, sf_dir)
     enc = encode(clean, mapping, cols["large"] + cols["string"])
     categorical = cols["int"] + cols["string"] + cols["large"]
+    # the whole row as key: the business key repeats in small tables
+    enc = fit_layout(enc.withColumn("row_key", F.xxhash64(*enc.columns)), ["row_key"])
     return hash_split(enc, CP.KEY + ["y"], 0.7, M.SEED), categorical, cols["numeric"]
 
 
-def _fit_classifier(data, categorical, numeric, max_depth):
-    return M.fit_claim_gate(data.filter(F.col("split") == "train"), categorical, numeric, max_depth)
+def _fit_classifier(data, categorical, numeric):
+    return M.fit_claim_gate(data.filter(F.col("split") == "train"), categorical, numeric)
 
 
-def _fit_severity(data, categorical, numeric, max_iter):
+def _fit_severity(data, categorical, numeric):
     positives = data.filter((F.col("split") == "train") & (F.col("y") == 1))
-    return M.fit_claim_severity(positives, categorical, numeric, max_iter=max_iter)
+    return M.fit_claim_severity(positives, categorical, numeric)
 
 
 def claim_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tree gate on the training split: predicted ones, actual ones, rows."""
     data, cat, num = _encoded_claims(spark, sf_dir)
     with M.persisted(data):
-        model = _fit_classifier(data, cat, num, max_depth=5)
+        model = _fit_classifier(data, cat, num)
         scored = model.transform(data.filter(F.col("split") == "train"))
         return _materialised(class_balance(scored, F.col("prediction1") != 0, F.col("y") != 0))
 
@@ -140,7 +145,7 @@ def claim_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gamma GLM on actual claims; rmse/mae on the test split's claims."""
     data, cat, num = _encoded_claims(spark, sf_dir)
     with M.persisted(data):
-        model = _fit_severity(data, cat, num, max_iter=10)
+        model = _fit_severity(data, cat, num)
         test_pos = data.filter((F.col("split") == "test") & (F.col("y") == 1))
         return _materialised(
             MT.regression_metrics(model.transform(test_pos), "prediction2", "Claim_Amount"))
@@ -150,8 +155,8 @@ def tandem_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classifier gates the GLM on the test split; ungated rows predict 0."""
     data, cat, num = _encoded_claims(spark, sf_dir)
     with M.persisted(data):
-        clf = _fit_classifier(data, cat, num, max_depth=5)
-        reg = _fit_severity(data, cat, num, max_iter=10)
+        clf = _fit_classifier(data, cat, num)
+        reg = _fit_severity(data, cat, num)
         test = data.filter(F.col("split") == "test")
         both = reg.transform(clf.transform(test).drop("features"))
         final = both.select(gate("prediction1", "prediction2").alias("prediction"), "Claim_Amount")
@@ -160,28 +165,27 @@ def tandem_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- ratings: ALS grid and clusters ------------------------------------------
 
-def als_fold_grid(spark: SparkSession, sf_dir: str, rank: int = 4, max_iter: int = 3) -> DataFrame:
+def als_fold_grid(spark: SparkSession, sf_dir: str, num_blocks: int | None = None) -> DataFrame:
     """3 folds x 3 regularisation values; metric matrix with mean/std."""
     ensure_checkpoint_dir(spark)  # ALS checkpoints its factor lineage there
-    cells = M.als_grid(rating_folds(spark, sf_dir), REG_PARAMS, folds=3, rank=rank,
-                       max_iter=max_iter, parallelism=3)
+    folded = fit_layout(rating_folds(spark, sf_dir), RATING_KEY)
+    cells = M.als_grid(folded, REG_PARAMS, folds=3, parallelism=3, num_blocks=num_blocks)
     return MT.fold_metric_matrix(cells)
 
 
-def item_clusters(spark: SparkSession, sf_dir: str, rank: int = 4, max_iter: int = 3,
-                  k: int = 25) -> DataFrame:
+def item_clusters(spark: SparkSession, sf_dir: str, k: int = 25, num_blocks: int | None = None) -> DataFrame:
     """Per rating fold alone: ALS item factors -> k-means -> the 3 biggest
     clusters' 3 strongest tags (by summed best-tag relevance) with names,
     plus each cluster's member and scored-member counts. The three splits
     are fitted concurrently."""
     ensure_checkpoint_dir(spark)
-    folded = rating_folds(spark, sf_dir)
-    best = R.item_best_tag(genome_scores(spark, sf_dir))
+    folded = fit_layout(rating_folds(spark, sf_dir), RATING_KEY)
+    best = R.item_best_tag(genome_scores(spark, sf_dir)).checkpoint(eager=True)  # used for each split, twice
     tags = genome_tags(spark, sf_dir)
 
     def clusters(split):
         part = folded.filter(F.col("fold") == split)
-        return split, M.item_clusters(part, k=k, rank=rank, max_iter=max_iter)
+        return split, M.item_clusters(part, k=k, num_blocks=num_blocks)
 
     with M.persisted(folded), ThreadPoolExecutor(max_workers=3) as pool:
         assigned = list(pool.map(inheritable_thread_target(spark)(clusters), (1, 2, 3)))

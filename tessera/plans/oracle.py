@@ -16,7 +16,7 @@ from tessera.functions.hashing import uniform_sql
 # ---------------------------------------------------------------------------
 
 ACCESS_LOG = r"""access_log as (
-select case when event_id%1000=7 then concat('garbage /Jan/2024 row ',event_id) else concat('host',user_id,'.example.com - - [',strftime(ts,'%d/%b/%Y:%H:%M:%S'),' -0400] "GET /',event_type,'/f',(event_id*7)%97,case when event_id%5=0 then '.gif' else '.html' end,' HTTP/1.0" 200 ',cast(floor(value*100) as bigint)) end as value from events)"""
+select case when event_id%1000=7 then concat('garbage /Jan/2024 row ',event_id) when event_id%1000=11 then concat('stray - - [01/Feb/2024:00:00:01 -0400] "GET /x/stray.html" ',event_id) else concat('host',user_id,'.example.com - - [',strftime(ts,'%d/%b/%Y:%H:%M:%S'),' -0400] "GET /',event_type,'/f',(event_id*7)%97,case when event_id%5=0 then '.gif' else '.html' end,' HTTP/1.0" 200 ',cast(floor(value*100) as bigint)) end as value from events)"""
 
 PARSED_LOG = r"""parsed as (
 select value, try_strptime(nullif(regexp_extract(value, '\d{2}/Jan/2024:\d{2}:\d{2}:\d{2}', 0), ''), '%d/%b/%Y:%H:%M:%S') as ts
@@ -32,7 +32,7 @@ GENOME_TAGS = """genome_tags as (
 select t as tagId,concat('tag_',t) as tag from (select cast(unnest(range(1,41)) as int) t) where t%9<>0)"""
 
 CLAIMS = """claims as (
-select l_orderkey,l_linenumber,l_partkey,l_suppkey,cast(year(l_shipdate) as varchar) Calendar_Year,substr(o_orderpriority,1,1) OrdCat,cast(l_quantity as varchar) Var1,case when l_partkey%50=0 then null else cast(l_tax as varchar) end Var2,p_type Cat1,c_mktsegment Cat2,case when l_suppkey%10=0 then null else l_returnflag end Cat12,p_brand Blind_Make,concat(p_name,'/',p_brand) Blind_Submodel,case when l_orderkey%97=1 then null when l_orderkey%10=0 then cast(l_extendedprice as varchar) else '0' end Claim_Amount from lineitem join orders on l_orderkey=o_orderkey join part on l_partkey=p_partkey join customer on o_custkey=c_custkey)"""
+select l_orderkey,l_linenumber,l_partkey,l_suppkey,cast(year(l_shipdate) as varchar) Calendar_Year,substr(o_orderpriority,1,1) OrdCat,cast(l_quantity as varchar) Var1,case when l_partkey%50=0 then null else cast(l_tax as varchar) end Var2,cast(l_discount as varchar) Var3,cast(l_linenumber as varchar) Var4,cast(p_size as varchar) Var5,cast(p_retailprice as varchar) Var6,cast(c_acctbal as varchar) Var7,cast(o_totalprice as varchar) Var8,p_type Cat1,c_mktsegment Cat2,o_orderstatus Cat3,l_linestatus Cat4,l_returnflag Cat5,cast(p_size%5 as varchar) Cat6,substr(p_type,1,3) Cat7,cast(c_nationkey as varchar) Cat8,cast(l_linenumber%3 as varchar) Cat9,cast(month(l_shipdate) as varchar) Cat10,cast(l_suppkey%7 as varchar) Cat11,case when l_suppkey%10=0 then null else l_returnflag end Cat12,cast(l_orderkey%4 as varchar) NVCat,p_brand Blind_Make,concat(p_type,'/',p_brand) Blind_Model,concat(p_name,'/',p_brand) Blind_Submodel,cast(year(o_orderdate) as varchar) Model_Year,case when l_orderkey%97=1 then null when l_orderkey%10=0 then cast(l_extendedprice as varchar) else '0' end Claim_Amount from lineitem join orders on l_orderkey=o_orderkey join part on l_partkey=p_partkey join customer on o_custkey=c_custkey)"""
 
 PARTICLE_COLS = ", ".join(f"cast(embedding[{i + 1}] as double) as f{i + 1}" for i in range(28))
 PARTICLES = f"""particles as (
@@ -89,8 +89,11 @@ ORACLE.update(LOGS)
 # ---------------------------------------------------------------------------
 
 CLAIM_KEY_SQL = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
-CLAIM_STRINGS = ["Cat1", "Cat2", "Cat12"]
-CLAIM_TOPN = ["Blind_Make", "Blind_Submodel"]
+CLAIM_INTS = ["Calendar_Year", "OrdCat"]
+CLAIM_NUMBERS = [f"Var{i}" for i in range(1, 9)]
+CLAIM_STRINGS = [f"Cat{i}" for i in range(1, 13)] + ["NVCat"]
+CLAIM_LARGE = ["Blind_Submodel", "Model_Year"]
+CLAIM_TOPN = ["Blind_Make", "Blind_Model", "Blind_Submodel", "Model_Year"]
 
 
 def _num(c: str) -> str:
@@ -98,10 +101,8 @@ def _num(c: str) -> str:
 
 
 CLEAN = f"""clean as (
-select {CLAIM_KEY_SQL}, {_num('Calendar_Year')} as Calendar_Year, {_num('OrdCat')} as OrdCat,
-       {_num('Var1')} as Var1, {_num('Var2')} as Var2,
-       coalesce(Cat1,'ZZZ') as Cat1, coalesce(Cat2,'ZZZ') as Cat2, coalesce(Cat12,'ZZZ') as Cat12,
-       coalesce(Blind_Submodel,'ZZZ') as Blind_Submodel,
+select {CLAIM_KEY_SQL}, {", ".join(f"{_num(c)} as {c}" for c in CLAIM_INTS + CLAIM_NUMBERS)},
+       {", ".join(f"coalesce({c},'ZZZ') as {c}" for c in CLAIM_STRINGS + CLAIM_LARGE)},
        {_num('Claim_Amount')} as Claim_Amount,
        cast({_num('Claim_Amount')} <> 0 as double) as y
 from claims)"""
@@ -129,6 +130,11 @@ where not (column_name = 'Blind_Submodel' and value = 'AE.3.0')
 union all select 'Blind_Submodel', 'AE.3.0', 0)"""
 
 
+# Without missing values no 'ZZZ' is learned, so the replacement domain is used.
+DOMAIN_SQL = "select 'Cat12' as column_name, value, cast(id as int) as id from (values " + ", ".join(
+    f"('{v}', {i})" for v, i in {"ZZZ": 1, "F": 2, "E": 3, "B": 4, "D": 5, "C": 6, "A": 7}.items()) + ") d(value, id)"
+
+
 def _enc(c: str) -> str:
     return (f"coalesce((select cast(m.id as double) from mapping m where m.column_name = '{c}' "
             f"and m.value = clean.{c}), 0.0) as {c}")
@@ -141,12 +147,11 @@ CLAIMS_SQL = {
 
     "null_profile": with_(CLAIMS) + " union all ".join(
         f"select '{c}' as column_name, count(*) - count({c}) as n_null from claims"
-        for c in ["Calendar_Year", "OrdCat", "Var1", "Var2", "Cat1", "Cat2", "Cat12",
-                  "Blind_Make", "Blind_Submodel", "Claim_Amount"]),
+        for c in [*CLAIM_INTS, *CLAIM_NUMBERS, *CLAIM_STRINGS, *CLAIM_TOPN, "Claim_Amount"]),
 
-    "dropped_columns": with_(CLAIMS) + "select 'Blind_Make' as column_name, count(Blind_Make) as n_values from claims",
+    "dropped_columns": with_(CLAIMS) + "select 'Blind_Make' as column_name, count(Blind_Make) as n_values from claims union all select 'Blind_Model', count(Blind_Model) from claims",
 
-    "claims_clean": with_(CLAIMS, CLEAN) + f"select {CLAIM_KEY_SQL}, Calendar_Year, OrdCat, Var1, Var2, Cat1, Cat2, Cat12, Blind_Submodel, Claim_Amount from clean",
+    "claims_clean": with_(CLAIMS, CLEAN) + f"select {CLAIM_KEY_SQL}, {', '.join(CLAIM_INTS + CLAIM_NUMBERS + CLAIM_STRINGS + CLAIM_LARGE)}, Claim_Amount from clean",
 
     "claim_indicator": with_(CLAIMS, CLEAN) + f"select {CLAIM_KEY_SQL}, Claim_Amount, y from clean",
 
@@ -160,11 +165,15 @@ CLAIMS_SQL = {
 
     "encode_override": with_(CLAIMS, TOPN_SQL, ORDINAL_SQL, OVERRIDE_SQL) + "select * from mapping",
 
+    "encode_domain": DOMAIN_SQL,
+
+    "text_csv_roundtrip": "select doc_id, text, lang, source, n_chars from documents",
+
     "mapping_sizes": with_(CLAIMS, TOPN_SQL, ORDINAL_SQL, OVERRIDE_SQL) + "select column_name, count(*) as n_values from mapping group by 1",
 
     "encode_roundtrip": with_(CLAIMS, CLEAN, TOPN_SQL, ORDINAL_SQL, OVERRIDE_SQL) + f"""
-select {CLAIM_KEY_SQL}, Calendar_Year, OrdCat, Var1, Var2, {_enc('Cat1')}, {_enc('Cat2')}, {_enc('Cat12')},
-       {_enc('Blind_Submodel')}, Claim_Amount, y from clean""",
+select {CLAIM_KEY_SQL}, {", ".join(CLAIM_INTS + CLAIM_NUMBERS)}, {", ".join(_enc(c) for c in CLAIM_STRINGS + CLAIM_LARGE)},
+       Claim_Amount, y from clean""",
 
     "stratified_split": with_(CLAIMS, CLEAN) + f"""
 select {CLAIM_KEY_SQL}, y, case when {U('l_orderkey', 'l_linenumber', 'l_partkey', 'l_suppkey', 'y')} < 0.7 then 'train' else 'test' end as split from clean""",
@@ -193,6 +202,17 @@ _MATRIX_COLS = ", ".join(
 RECOMMEND_SQL = {
     "kfold_train_test": with_(RATINGS, FOLDS) + "select * from folds",
 
+    "fold_train_sets": with_(RATINGS, FOLDS) + """
+select cast(k as int) as k, userId, movieId, case when fold = k then 'test' else 'train' end as part
+from folds, range(1, 4) r(k)""",
+
+    "ratings_csv": with_(RATINGS) + "select userId, movieId, rating from ratings",
+
+    "tag_names_csv": with_(GENOME_TAGS) + "select tagId, tag from genome_tags",
+
+    "best_tag_csv": with_(GENOME_SCORES, GENOME_TAGS, BEST_TAG) + """
+select movieId, max_relevance, tag from best left join genome_tags using (tagId)""",
+
     "item_tag_counts": with_(GENOME_SCORES) + "select movieId, count(*) as n_tags from genome_scores group by 1",
 
     "complete_items": with_(GENOME_SCORES) + """
@@ -237,6 +257,7 @@ cells as (
   from scored group by 1, 2)
 select model, {_MATRIX_COLS} from cells group by model""",
 }
+RECOMMEND_SQL["fold_matrix_csv"] = RECOMMEND_SQL["fold_metric_matrix"]
 ORACLE.update(RECOMMEND_SQL)
 
 # ---------------------------------------------------------------------------
@@ -250,16 +271,17 @@ METRICS_SQL = {
 with g as (select cast(l_quantity as double) as score, count(*) filter (where l_returnflag = 'R') as pos,
                   count(*) filter (where l_returnflag <> 'R') as neg from lineitem group by 1),
 c as (select pos, neg, coalesce(sum(neg) over (order by score rows between unbounded preceding and 1 preceding), 0) as neg_before from g)
-select round(sum(pos * (neg_before + neg / 2.0)) / (sum(pos) * sum(neg)), 12) as auc from c""",
+select round(sum(pos * (neg_before + neg / 2.0)) / (sum(pos) * sum(neg)), 12) as auc,
+       cast(sum(pos + neg) as bigint) as n_scored, cast(sum(pos + neg) as bigint) as n_rows from c""",
 
     "metric_accuracy": """
-select avg(cast((l_quantity > 25) = (l_returnflag = 'R') as double)) as accuracy from lineitem""",
+select avg(cast((l_quantity > 25) = (l_returnflag = 'R') as double)) as accuracy, count(*) as n_scored, count(*) as n_rows from lineitem""",
 
     "metric_rmse": """
-select round(sqrt(avg((l_extendedprice * 0.9 - l_extendedprice) * (l_extendedprice * 0.9 - l_extendedprice))), 6) as rmse from lineitem""",
+select round(sqrt(avg((l_extendedprice * 0.9 - l_extendedprice) * (l_extendedprice * 0.9 - l_extendedprice))), 6) as rmse, count(*) as n_scored, count(*) as n_rows from lineitem""",
 
     "metric_mae": """
-select round(avg(abs(l_extendedprice * 0.9 - l_extendedprice)), 6) as mae from lineitem""",
+select round(avg(abs(l_extendedprice * 0.9 - l_extendedprice)), 6) as mae, count(*) as n_scored, count(*) as n_rows from lineitem""",
 
     "class_balance": """
 select count(*) filter (where l_quantity > 25) as predicted_ones, count(*) filter (where l_returnflag = 'R') as actual_ones,
@@ -307,3 +329,38 @@ select vec_id, cast(arg_min(idx, (dist, idx)) as int) as prediction from d group
 select l_returnflag, round(avg(l_extendedprice), 4) as prediction from lineitem group by 1""",
 }
 ORACLE.update(FEATURES_SQL)
+
+# ---------------------------------------------------------------------------
+# Model companions: answers that follow from the input
+# ---------------------------------------------------------------------------
+
+MODEL_SQL = {
+    "tree_families": """
+select model, 1.0::double as accuracy, count(*) as n_scored, count(*) as n_rows, 1.0::double as importance_x, 0.0::double as importance_z
+from lineitem, (values ('tree'), ('forest'), ('gbt')) m(model) group by model""",
+
+    "cv_cells": """
+select cast(cell as int) as cell, numTrees, maxBins, 1.0::double as auc, cell = 0 as best
+from (values (0, '1', '5'), (1, '1', '10'), (2, '2', '5'), (3, '2', '10')) g(cell, numTrees, maxBins)
+where (select count(distinct l_quantity > 25) from lineitem) = 2""",
+
+    "cv_fold_sizes": f"""
+select cast(floor({U('vec_id', seed=124)} * 5) + 1 as int) as fold, count(*) as n from embeddings group by 1""",
+
+    "als_scored": with_(RATINGS, FOLDS) + """,
+u as (select distinct userId, fold from folds), i as (select distinct movieId, fold from folds)
+select f.fold, count(*) filter (where exists (select 1 from u where u.userId = f.userId and u.fold <> f.fold)
+                                  and exists (select 1 from i where i.movieId = f.movieId and i.fold <> f.fold)) as n_scored,
+       count(*) as n_rows
+from folds f group by f.fold""",
+
+    "two_centres": """
+select cast(vec_id % 2 as int) as grp, cast(i - 1 as int) as pos,
+       round(avg(cast(embedding[i] as double) + 100 * (vec_id % 2)), 6) + 0.0 as value
+from embeddings, range(1, 65) r(i) group by 1, i""",
+
+    "gate_report": """
+select count(*) filter (where l_quantity > 25) as predicted_ones, count(*) filter (where l_quantity > 25) as actual_ones,
+       count(*) as n_rows from lineitem""",
+}
+ORACLE.update(MODEL_SQL)

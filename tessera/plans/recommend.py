@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from tessera.operators import metrics as M
 from tessera.operators import recommend as R
-from tessera.operators.split import assign_folds
-from tessera.session import ensure_checkpoint_dir
+from tessera.operators.split import assign_folds, fold_train_test
+from tessera.session import ensure_checkpoint_dir, scratch_path
+from tessera.sources import files
 from tessera.sources.fixtures import FIXTURE_TAGS, genome_scores, genome_tags, ratings
 
 RATING_KEY = ["userId", "movieId"]
@@ -36,6 +37,48 @@ def kfold_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rating_folds(spark, sf_dir)
 
 
+def fold_train_sets(spark: SparkSession, sf_dir: str, folds: int = 3) -> DataFrame:
+    """(k, userId, movieId, part): for each fold k, the union of the other
+    folds as 'train' and fold k as 'test'."""
+    folded = rating_folds(spark, sf_dir, folds)
+    out = None
+    for k in range(1, folds + 1):
+        for part, rows in zip(("train", "test"), fold_train_test(folded, k)):
+            rows = rows.select(F.lit(k).alias("k"), *RATING_KEY, F.lit(part).alias("part"))
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def ratings_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings written as headered CSV and read back with a typed schema."""
+    path = scratch_path(spark, "ratings-csv")
+    files.write_csv(ratings(spark, sf_dir), path)
+    return files.read_csv(spark, path, "userId bigint, movieId bigint, rating double")
+
+
+def tag_names_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tag-name lookup of the scored items' tags, through CSV."""
+    names = genome_scores(spark, sf_dir).select("tagId").distinct().join(genome_tags(spark, sf_dir), "tagId")
+    path = scratch_path(spark, "tags-csv")
+    files.write_csv(names, path)
+    return files.read_csv(spark, path, "tagId int, tag string")
+
+
+def best_tag_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best tag of every item with its name, written as a report and read
+    back; tags without a name stay NULL."""
+    best = R.item_best_tag(genome_scores(spark, sf_dir)).join(genome_tags(spark, sf_dir), "tagId", "left")
+    paths = files.write_report({"best": best.select("movieId", "max_relevance", "tag")}, scratch_path(spark, "best-tag"))
+    return files.read_csv(spark, paths["best"], "movieId bigint, max_relevance double, tag string")
+
+
+def fold_matrix_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fold-metric matrix written as a report and read back."""
+    matrix = fold_metric_matrix(spark, sf_dir)
+    paths = files.write_report({"matrix": matrix}, scratch_path(spark, "fold-matrix"))
+    return files.read_csv(spark, paths["matrix"], matrix.schema)
+
+
 def item_tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.item_tag_counts(genome_scores(spark, sf_dir))
 
@@ -116,6 +159,11 @@ def fold_metric_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "kfold_train_test": kfold_train_test,
+    "fold_train_sets": fold_train_sets,
+    "ratings_csv": ratings_csv,
+    "tag_names_csv": tag_names_csv,
+    "best_tag_csv": best_tag_csv,
+    "fold_matrix_csv": fold_matrix_csv,
     "item_tag_counts": item_tag_counts,
     "complete_items": complete_items,
     "item_max_relevance": item_max_relevance,

@@ -4,10 +4,10 @@ folder used for checkpoints and intermediate tables.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale as much as locally: adaptive execution
@@ -31,13 +31,21 @@ DEFAULT_CONF = {
 
 def build_session(master: str = "local[*]", app: str = "tessera",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    """Local/test session. On a cluster, the launcher owns the master and
-    the checkpoint directory; this helper only fills in what is unset."""
-    builder = SparkSession.builder.master(master).appName(app)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    """Local/test session. What the launcher set (spark-submit, its defaults
+    file, or a running session) is kept: this helper only fills in what is
+    unset. ``extra`` is the caller's own choice and always applies."""
+    conf = {"spark.master": master, "spark.app.name": app,
+            "spark.sql.shuffle.partitions": str(shuffle_partitions), **DEFAULT_CONF}
+    if SparkContext._active_spark_context is None:
+        # Defaults go to the JVM's launch, where the launcher's arguments
+        # override them; what results is what the session is built with.
+        SparkContext._ensure_initialized(conf=SparkConf().setAll([*conf.items(), *(extra or {}).items()]))
+        given = dict(SparkConf().getAll())
+        conf = {k: v for k, v in conf.items() if k not in given}
+    else:
+        conf = {}
+    builder = SparkSession.builder
+    for k, v in {**conf, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -71,9 +79,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     sep = "" if base.endswith("/") else "/"
     return f"{base}{sep}{name}-{uuid.uuid4().hex[:12]}"
 
-
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # pragma: no cover - connect sessions
-        return int(os.environ.get("BENCH_CPUS", "8"))

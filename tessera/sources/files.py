@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.encode import MAPPING_SCHEMA
@@ -34,10 +35,21 @@ def string_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str,
-             header: bool = True) -> DataFrame:
-    """CSV with a given schema; with ``header`` the first line is skipped."""
-    return spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").csv(path)
+# NULL is written as this text, so that it differs from an empty string.
+NULL_TEXT = "\\N"
+# Nothing is trimmed, quotes inside quotes are doubled, empty strings are quoted.
+CSV_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
+             multi_line: bool = False, null_text: str = NULL_TEXT) -> DataFrame:
+    """CSV with a given schema; with ``header`` the first line is skipped.
+    ``multi_line`` reads line ends inside quotes, but a file is then one
+    split: leave it off for large files. ``null_text`` is what stands for
+    NULL (files of other origin often use the empty string)."""
+    return (spark.read.schema(schema).options(**CSV_OPTIONS).option("nullValue", null_text)
+            .option("header", header).option("multiLine", multi_line).option("mode", "FAILFAST" if multi_line else "PERMISSIVE")
+            .csv(path))
 
 
 def read_positional_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
@@ -47,8 +59,20 @@ def read_positional_csv(spark: SparkSession, path: str, names: list[str]) -> Dat
     return raw.toDF(*names)
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    df.write.mode("overwrite").option("header", header).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True, multi_line: bool = False) -> None:
+    """CSV that ``read_csv`` reads back unchanged. Text that would not survive
+    (the NULL text itself; line ends, unless ``multi_line``) fails the job."""
+    def checked(f: T.StructField):
+        if not isinstance(f.dataType, T.StringType):
+            return F.col(f.name)
+        bad = F.col(f.name) == NULL_TEXT
+        if not multi_line:
+            bad = bad | F.col(f.name).rlike("[\\r\\n]")
+        return F.when(bad, F.raise_error(F.lit(f"column {f.name} holds text that CSV would not give back"))).otherwise(
+            F.col(f.name)).alias(f.name)
+
+    (df.select(*[checked(f) for f in df.schema.fields]).write.mode("overwrite").options(**CSV_OPTIONS)
+     .option("nullValue", NULL_TEXT).option("emptyValue", '""').option("quoteAll", True).option("header", header).csv(path))
 
 
 def write_report(tables: dict[str, DataFrame], out_dir: str, fmt: str = "csv") -> dict[str, str]:
@@ -58,17 +82,18 @@ def write_report(tables: dict[str, DataFrame], out_dir: str, fmt: str = "csv") -
     paths = {}
     for name, df in tables.items():
         path = f"{out_dir.rstrip('/')}/{name}"
-        writer = df.write.mode("overwrite")
         if fmt == "csv":
-            writer.option("header", True).csv(path)
+            write_csv(df, path)
         else:
-            writer.format(fmt).save(path)
+            df.write.mode("overwrite").format(fmt).save(path)
         paths[name] = path
     return paths
 
 
 def write_mapping(mapping: DataFrame, path: str) -> None:
-    mapping.write.mode("overwrite").partitionBy("column_name").parquet(path)
+    """One folder per column, one file each (dictionaries are small next to
+    the data they encode)."""
+    mapping.repartition("column_name").write.mode("overwrite").partitionBy("column_name").parquet(path)
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:

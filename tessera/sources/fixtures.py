@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.tables import read_table, spread
+from tessera.sources.tables import read_table
 
 # Number of tags a fully scored item carries in the stand-in genome table
 # (the real genome table uses 1128).
@@ -29,8 +29,11 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(' HTTP/1.0" 200 '), F.floor(F.col("value") * 100).cast("bigint").cast("string"),
     )
     garbage = F.concat(F.lit("garbage /Jan/2024 row "), F.col("event_id").cast("string"))
+    stray = F.concat(F.lit('stray - - [01/Feb/2024:00:00:01 -0400] "GET /x/stray.html" '),
+                     F.col("event_id").cast("string"))  # another month
     return ev.select(
-        F.when(F.col("event_id") % 1000 == 7, garbage).otherwise(line).alias("value"))
+        F.when(F.col("event_id") % 1000 == 7, garbage)
+        .when(F.col("event_id") % 1000 == 11, stray).otherwise(line).alias("value"))
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,18 +76,18 @@ def particles(spark: SparkSession, sf_dir: str) -> DataFrame:
         *feats)
 
 
-def claims(spark: SparkSession, sf_dir: str, spread_input: bool = False) -> DataFrame:
+def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-string claims table keyed by (l_orderkey, l_linenumber, l_partkey,
-    l_suppkey), with NULLs in Var2, Cat12 and Claim_Amount. ``spread_input``
-    spreads a single-split line scan over all task slots (for model fits)."""
+    l_suppkey): the analyses' 2 integer, 8 numeric, 13 string and 4 large
+    columns, with NULLs in Var2, Cat12 and Claim_Amount."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
-                    "l_suppkey", "l_shipdate", "l_quantity", "l_tax", "l_returnflag",
-                    "l_extendedprice")
-    if spread_input:
-        li = spread(li)
-    od = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
-    pt = read_table(spark, sf_dir, "part", "p_partkey", "p_type", "p_brand", "p_name")
-    cu = read_table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
+                    "l_suppkey", "l_shipdate", "l_quantity", "l_tax", "l_discount", "l_returnflag",
+                    "l_linestatus", "l_extendedprice")
+    od = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority",
+                    "o_orderstatus", "o_totalprice", "o_orderdate")
+    pt = read_table(spark, sf_dir, "part", "p_partkey", "p_type", "p_brand", "p_name", "p_size",
+                    "p_retailprice")
+    cu = read_table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal")
     j = (li.join(od, li.l_orderkey == od.o_orderkey)
          .join(pt, li.l_partkey == pt.p_partkey)
          .join(cu, od.o_custkey == cu.c_custkey))
@@ -95,12 +98,23 @@ def claims(spark: SparkSession, sf_dir: str, spread_input: bool = False) -> Data
         F.substring("o_orderpriority", 1, 1).alias("OrdCat"),
         s("l_quantity").alias("Var1"),
         F.when(F.col("l_partkey") % 50 == 0, F.lit(None).cast("string")).otherwise(s("l_tax")).alias("Var2"),
+        s("l_discount").alias("Var3"), s("l_linenumber").alias("Var4"), s("p_size").alias("Var5"),
+        s("p_retailprice").alias("Var6"), s("c_acctbal").alias("Var7"), s("o_totalprice").alias("Var8"),
         F.col("p_type").alias("Cat1"),
         F.col("c_mktsegment").alias("Cat2"),
+        F.col("o_orderstatus").alias("Cat3"), F.col("l_linestatus").alias("Cat4"),
+        F.col("l_returnflag").alias("Cat5"), (F.col("p_size") % 5).cast("string").alias("Cat6"),
+        F.substring("p_type", 1, 3).alias("Cat7"), s("c_nationkey").alias("Cat8"),
+        (F.col("l_linenumber") % 3).cast("string").alias("Cat9"),
+        F.month("l_shipdate").cast("string").alias("Cat10"),
+        (F.col("l_suppkey") % 7).cast("string").alias("Cat11"),
         F.when(F.col("l_suppkey") % 10 == 0, F.lit(None).cast("string"))
          .otherwise(F.col("l_returnflag")).alias("Cat12"),
+        (F.col("l_orderkey") % 4).cast("string").alias("NVCat"),
         F.col("p_brand").alias("Blind_Make"),
+        F.concat(F.col("p_type"), F.lit("/"), F.col("p_brand")).alias("Blind_Model"),
         F.concat(F.col("p_name"), F.lit("/"), F.col("p_brand")).alias("Blind_Submodel"),
+        F.year("o_orderdate").cast("string").alias("Model_Year"),
         F.when(F.col("l_orderkey") % 97 == 1, F.lit(None).cast("string"))
          .when(F.col("l_orderkey") % 10 == 0, s("l_extendedprice"))
          .otherwise(F.lit("0")).alias("Claim_Amount"),

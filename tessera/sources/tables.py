@@ -24,12 +24,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
+# Partitions of training data; raise it on a large cluster with the setting
+# tessera.fitPartitions.
+FIT_PARTITIONS = 8
+
+
+def fit_layout(df: DataFrame, key: list[str], partitions: int | None = None) -> DataFrame:
+    """One layout for model fits: hash-partitioned by ``key`` into a fixed
+    number of partitions, rows in key order. Sampling inside tree ensembles
+    depends on the layout, so the same rows give the same model however the
+    input was split."""
+    n = partitions or int(df.sparkSession.conf.get("tessera.fitPartitions", str(FIT_PARTITIONS)))
+    return df.repartition(n, *key).sortWithinPartitions(*key)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin rows that sit in far fewer partitions than the cluster has
     task slots (a single Parquet row group or a gzip file is one split)
-    before work that passes over them many times (model training). Big
-    inputs already have many splits and are returned unchanged, so this
-    adds no shuffle at scale. Set ``tessera.spreadScans=false`` to disable."""
+    before heavy parsing. Only for file scans, whose splits are known without
+    running a job; big inputs already have many splits and are returned
+    unchanged, so this adds no shuffle at scale. Set ``tessera.spreadScans=false`` to disable."""
     spark = df.sparkSession
     if spark.conf.get("tessera.spreadScans", "true") != "true":
         return df
@@ -38,8 +52,3 @@ def spread(df: DataFrame) -> DataFrame:
         return df.repartition(slots)
     return df
 
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Expose the input tables to ``spark.sql`` under their own names."""
-    for name in names:
-        spark.read.parquet(table_path(sf_dir, name)).createOrReplaceTempView(name)

@@ -57,7 +57,7 @@ def test_als_prediction_is_factor_dot_product(spark):
 
 def test_tree_importances_and_glm_positive(spark):
     from tessera.plans.models import _fit_gbt
-    model, _ = _fit_gbt(spark, SF_SMALL, max_depth=2, max_iter=2)
+    model, _ = _fit_gbt(spark, SF_SMALL)
     imp = model.stages[-1].featureImportances.toArray()
     assert (imp >= 0).all() and abs(imp.sum() - 1.0) < 1e-9
     from tessera.plans.features import glm_group_mean

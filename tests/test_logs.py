@@ -17,7 +17,7 @@ def lines(spark):
 
 
 def test_parse_keeps_month_and_nulls_bad_time(spark):
-    rows = L.parse_access_log(lines(spark)).orderBy("value").collect()
+    rows = L.parse_access_log(lines(spark), "Jan", 2024).orderBy("value").collect()
     assert len(rows) == 5  # December line dropped
     bad = [r for r in rows if r.value.startswith("garbage")][0]
     assert bad.ts is None and bad.day is None
@@ -26,12 +26,12 @@ def test_parse_keeps_month_and_nulls_bad_time(spark):
 
 
 def test_filter_counts(spark):
-    r = L.log_filter_counts(lines(spark)).first()
+    r = L.log_filter_counts(lines(spark), "Jan", 2024).first()
     assert (r.n_lines, r.n_month, r.n_html, r.n_unparsed) == (6, 5, 3, 1)
 
 
 def test_hour_bands_divisors(spark):
-    res = {r.hour_band: r for r in L.hour_band_averages(L.parse_access_log(lines(spark))).collect()}
+    res = {r.hour_band: r for r in L.hour_band_averages(L.parse_access_log(lines(spark), "Jan", 2024)).collect()}
     assert set(res) == {"1", "2", "6"}
     assert res["1"].requests == 2 and res["1"].observed_days == 2 and res["1"].calendar_days == 31
     assert res["1"].avg_per_observed_day == 1.0 and abs(res["1"].avg_per_calendar_day - 2 / 31) < 1e-15
@@ -39,12 +39,12 @@ def test_hour_bands_divisors(spark):
 
 
 def test_top_files_base_name_and_ties(spark):
-    top = L.top_files(L.month_lines(lines(spark)), n=2).collect()
+    top = L.top_files(L.month_lines(lines(spark), "Jan", 2024), n=2).collect()
     assert [(r.file_name, r.requests) for r in top] == [("index", 2), ("about", 1)]
 
 
 def test_daily_counts_excludes_unparsed(spark):
-    d = L.daily_counts(L.parse_access_log(lines(spark))).collect()
+    d = L.daily_counts(L.parse_access_log(lines(spark), "Jan", 2024)).collect()
     assert [(r.day, r.requests) for r in d] == [(1, 2), (2, 2)]
 
 

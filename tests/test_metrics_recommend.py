@@ -82,8 +82,8 @@ def test_degenerate_groups_give_null_not_errors(spark):
 def test_log_bands_with_no_parseable_lines(spark):
     from tessera.operators import logs as L
     lines = spark.createDataFrame([("garbage /Jan/2024",)], "value string")
-    assert L.hour_band_averages(L.parse_access_log(lines)).count() == 0
-    assert L.daily_counts(L.parse_access_log(lines)).count() == 0
+    assert L.hour_band_averages(L.parse_access_log(lines, "Jan", 2024)).count() == 0
+    assert L.daily_counts(L.parse_access_log(lines, "Jan", 2024)).count() == 0
 
 
 def test_cluster_without_scored_members(spark):
