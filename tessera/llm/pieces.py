@@ -11,8 +11,8 @@ A model (BPE with byte fallback) is compiled once into
 
 An input is composed with them and the shortest path in the tropical semiring
 (min, +) gives its ids. Merging a text's prefix gives a prefix of its pieces,
-so all finite paths to a position end with one piece: the search keeps one
-state a position and is linear in the text. As pieces hold U+2581 only at
+so one finite path at most leads to a position, and all that reach the end
+weigh the same: the search visits a position once and is linear in the text. As pieces hold U+2581 only at
 their front, a text is the concatenation of its words' paths, and words are
 looked up in a cache of bounded size.
 
@@ -29,7 +29,6 @@ import re
 from array import array
 from collections.abc import Iterator
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +43,7 @@ MAX_MODEL_BYTES = 64_000_000
 SPACE = "▁"
 BYTE_COST = 1.0
 INFINITY = float("inf")
-MAX_WORDS, MAX_PAIRS = 400_000, 500_000
+MAX_WORDS, MAX_PAIRS = 1_000_000, 500_000
 BATCH_CHARS = 4_000_000
 
 
@@ -68,11 +67,8 @@ class PieceTransducer:
         self.ids = ids
         self.byte_ids = bytes_first
         self.dummy_prefix = dummy_prefix
+        self.prefixes = {p[:i] for p in ids for i in range(2, len(p) + 1)}
         self.line_ends_apart = not any("\n" in p for p in ids)
-        self.arcs = ahocorasick.Automaton()
-        for p in ids:
-            self.arcs.add_word(p, len(p))
-        self.arcs.make_automaton()
         self.spelled: dict[int, bytes] = {i: p.replace(SPACE, " ").encode() for p, i in ids.items()}
         self.spelled |= {i: bytes([b]) for b, i in bytes_first.items()}
         self._caches()
@@ -142,34 +138,42 @@ class PieceTransducer:
         return 0 if len(parts) == 1 else len(parts[0]) if len(parts) == 2 else -1
 
     def path(self, text: str) -> bytes:
-        """Ids (int32 bytes) on the shortest path of a normalised text."""
-        n, cut = len(text), self.cut
-        ends = [0] * (n + 1)  # the length of the piece that ends the path to a position
-        lone = [i for i, c in enumerate(text) if c not in self.ids]
-        at = 0
-        # arcs (end, length) in order of their ends, from the compiled pieces
-        for end, length in self.arcs.iter(text):
-            end += 1
-            while at < len(lone) and lone[at] + 1 < end:
-                ends[lone[at] + 1] = ends[lone[at] + 1] or 1  # no piece: its fallback arc
-                at += 1
-            if not ends[end]:
-                left = ends[end - length]
-                if cut[text[end - length - left:end]] == left:
-                    ends[end] = length
-        for i in lone[at:]:
-            ends[i + 1] = ends[i + 1] or 1
+        """Ids (int32 bytes) on the shortest path of a normalised text: a
+        search that takes the longest arc first. A position that no finite
+        path leaves is on none, so it is visited once."""
+        n, ids, cut, prefixes = len(text), self.ids, self.cut, self.prefixes
+        pieces: list[str] = []
+        dead: set[int] = set()
+        pos, last, end = 0, "", n
+        while pos < n:
+            if end > pos + 1 and text[pos:pos + 2] in prefixes:  # the longest arc from here
+                far = pos + 2
+                while far < end and text[pos:far + 1] in prefixes:
+                    far += 1
+                end = far
+            else:
+                end = min(end, pos + 1)
+            while end > pos:
+                piece = text[pos:end]
+                # a lone character always has an arc
+                if (piece in ids or end == pos + 1) and end not in dead and cut[last + piece] == len(last):
+                    break
+                end -= 1
+            if end > pos:
+                pieces.append(piece)
+                pos, last, end = end, piece, n
+            else:
+                dead.add(pos)
+                end = pos - 1
+                pos -= len(pieces.pop())
+                last = pieces[-1] if pieces else ""
         out: list[int] = []
-        j = n
-        while j:
-            piece = text[j - ends[j]:j]
-            at = self.ids.get(piece)
+        for piece in pieces:
+            at = ids.get(piece)
             if at is None:  # byte-fallback arcs
-                out.extend(self.byte_ids[b] for b in reversed(piece.encode()))
+                out.extend(map(self.byte_ids.__getitem__, piece.encode()))
             else:
                 out.append(at)
-            j -= len(piece)
-        out.reverse()
         return array("i", out).tobytes()
 
     def weight(self, ids: list[int]) -> float:
