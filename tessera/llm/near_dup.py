@@ -9,16 +9,17 @@
    registers' (early termination). Registers of two documents agree with
    their probability Jaccard similarity.
 3. Bands of registers propose buckets. Within a bucket no all-pairs join is
-   made: members are verified against one hub, those that fail go on to the
-   next round with a new hub, until few are left, which are then paired.
-   Pairs that this skips are either in one class already or excluded by the
-   triangle inequality (Jaccard distance is a metric); borderline pairs that
-   neither excludes are verified.
+   made: members are verified against two hubs; those that fail, and that no
+   other link has tied to the hub, go on to the next round with new hubs, until
+   few are left, which are then paired. Pairs that this skips are either in one
+   class already or excluded by the triangle inequality (Jaccard distance is a
+   metric); pairs that neither excludes are verified in the end.
 4. Verification is exact: Jaccard similarity of the shingle sets >= 0.8.
 5. Linked documents form classes (connected components).
 
-With BANDS x ROWS = 30 x 5 a pair of similarity 0.8 shares a bucket with
-probability 1 - (1 - 0.8**5)**30 > 0.99999.
+With BANDS x ROWS = 36 x 5 a pair of similarity 0.8 agrees in at least
+SHARED_BANDS = 2 bands with probability > 0.99998 (more similar ones surely);
+pairs that agree in one only are not verified.
 
 Defined results: NULL and blank texts are copies of each other; a text of
 fewer than five words is one shingle; repeated rows are copies; an empty table
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.components import connected_components
+from tessera.llm.components import connected_components, maybe_in, thin
 from tessera.llm.shingles import GOLDEN, list_array, list_parts, mix64, row_chunks, row_sets, shingles, word_hashes
 from tessera.llm.text import clean_text, lower_words
 from tessera.session import scratch_path
@@ -43,11 +44,12 @@ from tessera.sources.tables import read_table
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 30, 5
+BANDS, ROWS = 36, 5
+SHARED_BANDS = 2  # that a pair must agree in to be verified
 CHUNK_WORDS, CHUNK_ROWS = 400_000, 4_000
 # Pairs left in the buckets are enumerated once they are at most this many
 # times the bucket entries: work stays linear in the input.
-LINEAR = 4
+LINEAR = 1
 
 
 def prob_min_hash(row: np.ndarray, key: np.ndarray, weight: np.ndarray, rows: int, registers: int) -> np.ndarray:
@@ -113,71 +115,108 @@ def digest(text: str = "text"):
     return F.md5(F.concat_ws(" ", lower_words(clean_text(text))))
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
+def _kept(df: DataFrame, name: str, small: bool = True) -> DataFrame:
     path = scratch_path(df.sparkSession, f"near-{name}")
-    df.write.parquet(path)
+    (thin(df) if small else df).write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def _hubs(members: DataFrame) -> DataFrame:
-    """(key, hub, n) of buckets with at least two members. Hubs follow one
-    random order, so a large cluster soon provides one."""
-    hubs = members.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("digest").alias("h"), "digest")).alias("hub"))
-    return hubs.filter("n > 1").select("key", F.col("hub.digest").alias("hub"), "n")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Exact Jaccard similarity ``j`` of each distinct pair (a, b)."""
-    a = sets.select(F.col("digest").alias("a"), F.col("items").alias("x"))
-    b = sets.select(F.col("digest").alias("b"), F.col("items").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    j = both / (F.size("x") + F.size("y") - both)
-    return pairs.select("a", "b").distinct().join(a, "a").join(b, "b").select("a", "b", j.alias("j"))
-
-
-def _links(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) that connect all documents of a class, from bucket entries
-    (key, digest)."""
+    """(key, hubs, n) of buckets with at least two members: the first and the
+    last in one random order, so a large cluster soon provides one."""
+    place = F.struct(F.xxhash64("digest").alias("h"), "digest")
+    hubs = members.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("x"), F.max(place).alias("z"))
+    return hubs.filter("n > 1").select("key", F.array("x.digest", "z.digest").alias("hubs"), "n")
+
+
+def _judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, keys, open, j): each distinct pair of (key, a, b, served) with the
+    buckets it came from (at most one a band), those where a has not served as
+    a hub, and its exact Jaccard similarity; 0 for pairs that agree in fewer
+    than SHARED_BANDS bands. ``sets``: (digest, bands, items)."""
+    pairs = pairs.repartition("a").groupBy("a", "b").agg(
+        F.collect_list("key").alias("keys"), F.collect_list(F.when(~F.col("served"), F.col("key"))).alias("open"))
+
+    def with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+        for c, out in (("a", "x"), ("b", "y")):
+            pairs = pairs.join(table.select(F.col("digest").alias(c), F.col(column).alias(out)), c)
+        return pairs.withColumn("both", F.size(F.array_intersect("x", "y")))
+
+    pairs = _kept(with_both(pairs, sets, "bands").select("a", "b", "keys", "open", F.col("both").alias("shared")), "pairs", small=False)
+    likely = pairs.filter(F.col("shared") >= SHARED_BANDS)
+    ends = likely.select(F.explode(F.array("a", "b")).alias("digest"))
+    found = with_both(likely, maybe_in(sets.select("digest", "items"), "digest", ends), "items")
+    j = F.col("both") / (F.size("x") + F.size("y") - F.col("both"))
+    found = found.select("a", "b", "keys", "open", j.alias("j"))
+    return found.unionByName(pairs.filter(F.col("shared") < SHARED_BANDS).select("a", "b", "keys", "open", F.lit(0.0).alias("j")))
+
+
+def _classes_of(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(node, root) of the linked documents, from bucket entries (key, digest,
+    hubs, n)."""
     size = members.count()
-    active, links, judged = members, None, []
+    active, links, judged = members, None, None
     while True:
-        hubs = _kept(_hubs(active), "hubs")
-        left, pairs = hubs.agg(F.count("*"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
+        left, pairs = active.groupBy("key").agg(F.max("n").alias("n")).agg(
+            F.count("*"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
         if not left:
             break
-        here = active.join(hubs, "key")
-        if pairs <= LINEAR * size:
-            other = here.select("key", F.col("digest").alias("b"))
-            found = _kept(_verified(here.select("key", F.col("digest").alias("a")).join(other, "key").filter("a < b"), sets), "pairs")
-            new = found.filter(F.col("j") >= threshold).select("a", "b")
-            links = new if links is None else links.unionByName(new)
-            break
-        here = here.filter("digest <> hub").select("key", F.col("digest").alias("a"), F.col("hub").alias("b"))
-        found = _kept(_verified(here, sets), "star")
-        here = _kept(here.join(found, ["a", "b"]), "judged")
-        judged.append(here)
+        last = pairs <= LINEAR * size
+        if last:  # few enough: all pairs of each bucket
+            other = active.select("key", F.col("digest").alias("b"))
+            here = active.select("key", F.col("digest").alias("a")).join(other, "key").filter("a < b").withColumn("served", F.lit(True))
+        else:
+            here = active.select("key", F.col("digest").alias("a"), F.explode("hubs").alias("b"),
+                                 F.array_contains("hubs", F.col("digest")).alias("served")).filter("a <> b")
+        found = _kept(_judged(here, sets), "judged", small=False)
         new = found.filter(F.col("j") >= threshold).select("a", "b")
         links = new if links is None else links.unionByName(new)
-        active = here.filter(F.col("j") < threshold).select("key", F.col("a").alias("digest"))
+        if last:
+            break
+        judged = found if judged is None else judged.unionByName(found)
+        # go on with members that failed and that no link ties to the hub
+        # within two steps
+        lead = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(
+            F.min(F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("d"))).alias("m"))
+        lead = _kept(lead.select("a", F.least(F.col("m"), F.struct(F.xxhash64("a").alias("h"), F.col("a").alias("d")))["d"].alias("lead")), "lead")
+        second = lead.select(F.col("a").alias("lead"), F.col("lead").alias("label"))
+        label = lead.join(second, "lead").select(F.col("a").alias("node"), F.col("label").alias("root"))
+        failed = _apart(found.filter(F.col("j") < threshold), _kept(label, "label"))
+        failed = _kept(failed.select(F.explode("open").alias("key"), F.col("a").alias("digest")).distinct(), "failed")
+        active = _kept(failed.join(_hubs(failed), "key"), "active")
     if links is None:
-        return members.sparkSession.createDataFrame([], "a string, b string")
-    if not judged:
-        return links
-    # Members near the hub but below the threshold may still be linked to one
-    # that is above it: verify such pairs across components. If d(b, hub) >
-    # 2 (1 - threshold), or d(b, hub) - d(a, hub) > 1 - threshold, they can't.
+        return members.sparkSession.createDataFrame([], "node string, root string")
     roots = _kept(connected_components(links), "roots")
-    root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    for here in judged:
-        edge = here.filter((F.col("j") < threshold) & (F.col("j") >= 2 * threshold - 1))
-        edge = edge.join(root("a"), "a", "left").join(root("b"), "b", "left")
-        edge = edge.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-        edge = edge.select("key", F.col("b").alias("hub"), F.col("a").alias("low"), F.col("j").alias("j_low"))
-        close = here.filter(F.col("j") >= threshold).select("key", F.col("a").alias("high"), F.col("j").alias("j_high"))
-        pairs = edge.join(close, "key").filter(F.col("j_high") - F.col("j_low") <= 1 - threshold)
-        found = _verified(pairs.select(F.col("low").alias("a"), F.col("high").alias("b")), sets)
-        links = links.unionByName(_kept(found.filter(F.col("j") >= threshold).select("a", "b"), "edge"))
-    return links
+    if judged is None:
+        return roots
+    # What the rounds skipped: pairs of a member in the hub's component and one
+    # that is not. They can't be linked if their distances to the hub differ by
+    # more than 1 - threshold (triangle inequality); the rest is verified.
+    # (Members that agree with the hub in one band only have no known distance;
+    # what they resemble meets them in other buckets.)
+    near = judged.filter("j > 0").select("a", "b", "j", F.explode("keys").alias("key"))
+    near = _with_roots(near, roots)
+    tied = near.filter("root_a = root_b").select("key", "b", F.col("a").alias("in"), F.col("j").alias("j_in"))
+    apart = near.filter("root_a <> root_b").select("key", "b", F.col("a").alias("out"), F.col("j").alias("j_out"))
+    # the hub itself is a member, too, but was compared with all
+    pairs = apart.join(tied, ["key", "b"]).filter(F.abs(F.col("j_in") - F.col("j_out")) <= 1 - threshold)
+    pairs = _kept(pairs.select("key", F.col("out").alias("a"), F.col("in").alias("b"), F.lit(True).alias("served")), "border")
+    if not pairs.limit(1).count():
+        return roots
+    new = _judged(pairs, sets).filter(F.col("j") >= threshold).select("a", "b")
+    return connected_components(_kept(new, "edge").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
+def _with_roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    for c in ("a", "b"):
+        pairs = pairs.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
+        pairs = pairs.withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
+    return pairs
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of (a, b, ...) whose ends are in different components."""
+    return _with_roots(pairs, roots).filter("root_a <> root_b").drop("root_a", "root_b")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
@@ -185,22 +224,25 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     """(rows, map): doc_id and digest of every row, and for every digest its
     class: digest, class_id, class_size, keep (the digest of the class's row
     to keep) and repeats (rows that repeat the kept id and digest)."""
-    docs = docs.select("doc_id", clean_text("text").alias("text")).withColumn("digest", digest())
-    hashed = docs.select("doc_id", "digest", word_hashes(F.col("text")).alias("hashes"))
+    docs = docs.select("doc_id", clean_text("text").alias("text"))
+    words = docs.withColumn("w", lower_words(F.col("text")))  # used twice, cut once
+    hashed = words.select("doc_id", F.md5(F.concat_ws(" ", "w")).alias("digest"),
+                          F.transform("w", lambda v: F.xxhash64(v)).alias("hashes"))
+    docs = docs.withColumn("digest", digest())
     sig = _kept(hashed.mapInArrow(lambda it: _signatures(it, bands, rows, width),
-                                  "doc_id bigint, digest string, bands array<bigint>"), "signatures")
+                                  "doc_id bigint, digest string, bands array<bigint>"), "signatures", small=False)
     reps = _kept(sig.groupBy("digest").agg(F.min("doc_id").alias("rep_id"), F.count("*").alias("n"),
-                                           F.first("bands").alias("bands")), "reps")
-    entries = reps.select("digest", F.explode("bands").alias("key"))
-    members = _kept(entries.join(_hubs(entries).select("key"), "key", "left_semi"), "members")
-    needed = members.select("digest").distinct().join(reps.select("digest", "rep_id"), "digest")
-    texts = docs.join(needed.withColumnRenamed("digest", "d2"),
-                      (F.col("digest") == F.col("d2")) & F.col("doc_id").eqNullSafe(F.col("rep_id")))
+                                           F.first("bands").alias("bands")), "reps", small=False)
+    entries = reps.select("digest", "rep_id", F.explode("bands").alias("key"))
+    members = _kept(entries.join(_hubs(entries), "key"), "members", small=False)
+    needed = _kept(members.select(F.col("digest").alias("d2"), "rep_id").distinct(), "needed")
+    texts = maybe_in(docs, "digest", needed.select(F.col("d2").alias("digest"))).join(
+        needed, (F.col("digest") == F.col("d2")) & F.col("doc_id").eqNullSafe(F.col("rep_id")))
+    texts = texts.dropDuplicates(["digest", "doc_id"])  # rows may repeat id and text
     sets = texts.select("digest", word_hashes(F.col("text")).alias("hashes")).mapInArrow(
         lambda it: _sets(it, width), "digest string, items array<bigint>")
-    # a row may repeat id and text
-    sets = _kept(sets.groupBy("digest").agg(F.first("items").alias("items")), "sets")
-    roots = connected_components(_links(members, sets, threshold))
+    sets = _kept(sets.join(reps.select("digest", "bands"), "digest"), "sets", small=False)
+    roots = _classes_of(members.drop("rep_id"), sets, threshold)
     merged = reps.select("digest", "rep_id", "n").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
     merged = _kept(merged.withColumn("root", F.coalesce("root", "digest")), "merged")
     least = F.min(F.struct(F.col("rep_id").isNull().alias("none"), "rep_id", "digest"))

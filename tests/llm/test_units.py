@@ -90,12 +90,13 @@ def test_star_rounds_lose_no_link(spark):
     base = list(range(100))
     sets = {"a": base, "b": base[:95] + [500], "c": list(range(1000, 1100)), "d": list(range(1000, 1095)) + [7],
             "e": base[10:] + list(range(200, 212)), "f": list(range(5000, 5010))}
-    s = spark.createDataFrame([(k, v) for k, v in sets.items()], "digest string, items array<bigint>")
+    s = spark.createDataFrame([(k, v, [1, 2]) for k, v in sets.items()], "digest string, items array<bigint>, bands array<bigint>")
     members = spark.createDataFrame([(1, k) for k in sets], "key bigint, digest string")
+    members = members.join(near_dup._hubs(members), "key")
     for linear in (0, near_dup.LINEAR):
         keep, near_dup.LINEAR = near_dup.LINEAR, linear
         try:
-            roots = {r["node"]: r["root"] for r in connected_components(near_dup._links(members, s, 0.8)).collect()}
+            roots = {r["node"]: r["root"] for r in near_dup._classes_of(members, s, 0.8).collect()}
         finally:
             near_dup.LINEAR = keep
         want = {}
