@@ -11,14 +11,15 @@ Tokens are five-word shingles. For each of BANDS pairs of hash functions:
    add nothing and are dropped. Range minima come from sparse tables, a batch
    of documents at a time.
 2. Cells of different documents with equal minima are joined: those of a group
-   with one hub, by diagonals (the interval between the first and the last cell
-   on one offset). Groups are kept small: what meets in one batch of documents
+   with one hub, as intervals (from the first to the last cell that two
+   documents share). Groups are kept small: what meets in one batch of documents
    gets a group of its own, tied to the others by its hub.
 3. Each interval pair is verified on the shingles themselves: the passage is a
    stretch of shared shingles with small gaps, at least MIN_WORDS long, whose
-   shingle sets have Jaccard similarity >= 0.8. Cells that fail against their
-   hub are compared with their whole group, in further rounds while that would
-   be more than linear in the number of cells.
+   shingle sets have Jaccard similarity >= 0.8. Cells whose place no hub has
+   verified (they share a shorter passage with it) are grouped anew by the
+   content of the shortest windows that hold them, so that no exact repeat is
+   lost to an unlike hub, and their groups are verified, too.
 4. Verified stretches that overlap in a document are one passage; links make
    classes of passages (connected components).
 
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.components import connected_components
+from tessera.llm.components import connected_components, maybe_in, thin
 from tessera.llm.shingles import GOLDEN, list_array, list_parts, mix64, row_chunks, shingles, word_hashes
 from tessera.llm.text import clean_text, lower_words
 from tessera.session import scratch_path
@@ -56,7 +57,6 @@ THRESHOLD = 0.8
 MAX_GAP = 2 * SHINGLE_WORDS + 2  # shingles that two close edits can break
 MARGIN = 2 * MIN_SHINGLES  # shingles around an interval that verification sees
 CHUNK_WORDS, CHUNK_ROWS = 400_000, 4_000
-LINEAR = 4
 
 
 class RangeMinimum:
@@ -177,16 +177,25 @@ def _stretches(at: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(at[np.concatenate([[0], cut + 1])], at[np.concatenate([cut, [len(at) - 1]])])) if len(at) else []
 
 
-def shared_passages(x: np.ndarray, y: np.ndarray, least: int = MIN_SHINGLES, threshold: float = THRESHOLD):
+def shared_passages(x: np.ndarray, y: np.ndarray, least: int = MIN_SHINGLES, threshold: float = THRESHOLD,
+                    shared: np.ndarray | None = None):
     """Verified near-duplicate stretches of two shingle sequences, as
-    (first, last) of x and of y, ends inclusive."""
+    (first, last) of x and of y, ends inclusive. ``shared``: the positions of
+    x that y has, where they are known."""
     out = []
-    todo = _stretches(np.flatnonzero(np.isin(x, y)))
+    shared = np.flatnonzero(np.isin(x, y)) if shared is None else shared
+    todo = _stretches(shared)
     while todo:
         s, e = todo.pop()
         if e - s + 1 < least:
             continue
         part = x[s:e + 1]
+        if np.searchsorted(shared, e) - np.searchsorted(shared, s) == e - s:  # no gap: often the same sequence
+            n = len(part)
+            same = next((u for u in np.flatnonzero(y[:len(y) - n + 1] == part[0]) if (y[u:u + n] == part).all()), None)
+            if same is not None:
+                out.append((int(s), int(e), int(same), int(same) + n - 1))
+                continue
         hits = _stretches(np.flatnonzero(np.isin(y, part)))
         u, v = max(hits, key=lambda h: (h[1] - h[0], -h[0]))
         mine, other = np.unique(part), np.unique(y[u:v + 1])
@@ -202,23 +211,37 @@ def shared_passages(x: np.ndarray, y: np.ndarray, least: int = MIN_SHINGLES, thr
     return out
 
 
+def _hopeful(xs: tuple, ys: tuple, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows whose two lists share a stretch of at least ``least``, and the
+    positions of x that y has, found for all rows at once."""
+    row_x, row_y = (np.repeat(np.arange(len(o) - 1), np.diff(o)).astype(np.uint64) for _, o in (xs, ys))
+    at = np.flatnonzero(np.isin(mix64(xs[0] ^ mix64(row_x + GOLDEN)), mix64(ys[0] ^ mix64(row_y + GOLDEN))))
+    if not len(at):
+        return
+    row = row_x[at]
+    cut = np.flatnonzero((row[1:] != row[:-1]) | (np.diff(at) > MAX_GAP))
+    first, last = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(at) - 1]])
+    for i in np.unique(row[first][at[last] - at[first] + 1 >= least]):
+        yield int(i), at[np.searchsorted(row, i):np.searchsorted(row, i, side="right")] - xs[1][int(i)]
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         xs, ys = list_parts(batch.column("x")), list_parts(batch.column("y"))
         cols = [batch.column(c).to_numpy() for c in ("doc", "hub", "x0", "y0")]
         rows = []
-        for i in range(batch.num_rows):
+        for i, shared in _hopeful(xs, ys, MIN_SHINGLES):
             x, y = (v[o[i]:o[i + 1]] for v, o in (xs, ys))
             doc, hub, x0, y0 = (int(c[i]) for c in cols)
-            rows += [(doc, x0 + s, x0 + e, hub, y0 + u, y0 + v) for s, e, u, v in shared_passages(x, y)]
+            rows += [(doc, x0 + s, x0 + e, hub, y0 + u, y0 + v) for s, e, u, v in shared_passages(x, y, shared=shared)]
         names = ["doc", "s", "e", "hub", "hs", "he"]
         data = np.array(rows, np.int64).reshape(-1, 6)
         yield pa.RecordBatch.from_arrays([pa.array(data[:, i].copy()) for i in range(6)], names=names)
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
+def _kept(df: DataFrame, name: str, small: bool = True) -> DataFrame:
     path = scratch_path(df.sparkSession, f"passages-{name}")
-    df.write.parquet(path)
+    (thin(df) if small else df).write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -232,72 +255,104 @@ def _last(pos: str):
 
 def _accepted(pairs: DataFrame, lists: DataFrame) -> DataFrame:
     """Verified stretches (doc, s, e, hub, hs, he) of cell pairs (doc, pos,
-    hub, hub_pos): one verification for each diagonal of two documents."""
-    d = pairs.select("doc", "hub", _first("pos").alias("p"), _last("pos").alias("q"), _first("hub_pos").alias("hp"), _last("hub_pos").alias("hq"))
-    hull = d.groupBy("doc", "hub", (F.col("p") - F.col("hp")).alias("diagonal")).agg(
-        F.min("p").alias("p"), F.max("q").alias("q"), F.min("hp").alias("hp"), F.max("hq").alias("hq"))
+    hub, hub_pos): one verification for each pair of documents, over the
+    interval that their cells span."""
+    hull = pairs.groupBy("doc", "hub").agg(
+        F.min(_first("pos")).alias("p"), F.max(_last("pos")).alias("q"),
+        F.min(_first("hub_pos")).alias("hp"), F.max(_last("hub_pos")).alias("hq"))
+    hull = _kept(hull, "hulls")
 
     def crop(lo: str, hi: str, first: str, out: str):
         start = F.greatest(F.col(lo) - MARGIN, F.lit(0))
         return [start.alias(first), F.slice("s", (start + 1).cast("int"), (F.col(hi) + MARGIN - start + 1).cast("int")).alias(out)]
 
-    both = hull.join(lists, "doc").select("doc", "hub", "hp", "hq", *crop("p", "q", "x0", "x"))
-    both = both.join(lists.withColumnRenamed("doc", "hub"), "hub").select("doc", "hub", "x0", "x", *crop("hp", "hq", "y0", "y"))
+    def lists_of(side: str) -> DataFrame:
+        return maybe_in(lists.withColumnRenamed("doc", side), side, hull.select(side).distinct())
+
+    both = hull.join(lists_of("hub"), "hub").select("doc", "hub", "p", "q", *crop("hp", "hq", "y0", "y"))
+    both = both.join(lists_of("doc"), "doc").select("doc", "hub", "y0", "y", *crop("p", "q", "x0", "x"))
     found = both.mapInArrow(_verify, "doc bigint, s bigint, e bigint, hub bigint, hs bigint, he bigint")
-    return _kept(found.distinct(), "accepted")
+    return _kept(found.distinct(), "accepted", small=False)
+
+
+def _exact_windows(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Rows (key, doc, pos) of all windows of ``least`` shingles that hold one
+    of a document's cells; the key is a hash of the window's content."""
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(least, np.uint64(0x5851F42D4C957F2D)))
+        for batch in batches:
+            lists, spots = list_parts(batch.column("s")), list_parts(batch.column("spots"))
+            docs = batch.column("doc").to_numpy()
+            for i in range(batch.num_rows):
+                s = lists[0][lists[1][i]:lists[1][i + 1]]
+                pos = spots[0][spots[1][i]:spots[1][i + 1]]
+                lo, hi = (pos >> np.uint64(32)).astype(np.int64), (pos & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                first, last = np.maximum(hi - least + 1, 0), np.minimum(lo, len(s) - least)
+                edge = np.zeros(len(s) + 1, np.int64)  # starts covered by any cell
+                ok = first <= last
+                np.add.at(edge, first[ok], 1)
+                np.add.at(edge, last[ok] + 1, -1)
+                starts = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+                if not len(starts):
+                    continue
+                content = mix64(np.lib.stride_tricks.sliding_window_view(mix64(s), least)[starts] @ powers)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(content.view(np.int64)), pa.array(np.full(len(starts), docs[i])),
+                     pa.array((starts << 32) | (starts + least - 1))], names=["key", "doc", "pos"])
+
+
+def _with_hub(windows: DataFrame) -> DataFrame:
+    """(key, doc, pos, hub, hub_pos): the least document of each group as hub."""
+    least = windows.groupBy("key").agg(F.min(F.struct("doc", "pos")).alias("h"), F.max("doc").alias("z"))
+    hubs = least.filter(F.col("h.doc") < F.col("z")).select("key", F.col("h.doc").alias("hub"), F.col("h.pos").alias("hub_pos"))
+    return windows.join(hubs, "key").filter("doc <> hub")
 
 
 def _all_accepted(windows: DataFrame, lists: DataFrame) -> list[DataFrame]:
     """Verified stretches of all groups of cells (key, doc, pos)."""
-    size = windows.count()
-    w = Window.partitionBy("key")
-    hub = F.min(F.struct("doc", "pos")).over(w)
-    pairs = windows.withColumn("h", hub).select("key", "doc", "pos", F.col("h.doc").alias("hub"), F.col("h.pos").alias("hub_pos"))
-    out, served = [], None
-    while True:
-        pairs = _kept(pairs.filter("doc <> hub"), "pairs")
-        found = _accepted(pairs, lists)
-        out.append(found)
-        inside = (F.col("s") <= _first("pos")) & (F.col("e") >= _last("pos"))
-        failed = pairs.join(found.select(F.col("doc").alias("d"), F.col("hub").alias("h"), "s", "e"),
-                            (F.col("doc") == F.col("d")) & (F.col("hub") == F.col("h")) & inside, "left_anti")
-        failed = failed.select("key", "doc", "pos")
-        if served is not None:  # only those that failed against every hub so far
-            failed = failed.join(served, ["key", "doc"], "left_semi")
-        failed = _kept(failed, "failed")
-        per_key = failed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc", "pos")).alias("h"))
-        sizes = windows.join(per_key.select("key", "n"), "key").groupBy("key").agg(F.count("*").alias("m"), F.max("n").alias("n"))
-        cross = sizes.agg(F.sum(F.col("m") * F.col("n"))).first()[0]
-        if not cross:
-            return out
-        others = windows.select("key", F.col("doc").alias("hub"), F.col("pos").alias("hub_pos"))
-        if cross <= LINEAR * size:
-            out.append(_accepted(failed.join(others, "key").filter("doc <> hub"), lists))
-            return out
-        hubs = per_key.select("key", F.col("h.doc").alias("hub"), F.col("h.pos").alias("hub_pos"))
-        served = _kept(failed.join(hubs.select("key", "hub"), "key").filter("doc <> hub").select("key", "doc"), "served")
-        pairs = windows.join(hubs, "key")
+    pairs = _kept(_with_hub(windows), "pairs")
+    found = _accepted(pairs, lists)
+    # A cell is settled once its place lies in any verified stretch. The others
+    # share something short with their hub; they are grouped anew by the whole
+    # content of the shortest windows around them, however many they are.
+    places = found.select(F.col("doc").alias("d"), "s", "e").unionByName(
+        found.select(F.col("hub").alias("d"), F.col("hs").alias("s"), F.col("he").alias("e"))).distinct()
+    inside = (F.col("s") <= _first("pos")) & (F.col("e") >= _last("pos"))
+    spots = windows.select("doc", "pos").distinct()
+    failed = spots.join(places, (F.col("doc") == F.col("d")) & inside, "left_anti")
+    failed = _kept(failed.groupBy("doc").agg(F.collect_list("pos").alias("spots")), "failed")
+    more = maybe_in(lists, "doc", failed.select("doc")).join(failed, "doc").select("doc", "s", "spots")
+    exact = more.mapInArrow(lambda it: _exact_windows(it, MIN_SHINGLES), "key bigint, doc bigint, pos bigint")
+    exact = _kept(exact, "windows", small=False)
+    return [found, _accepted(_kept(_with_hub(exact), "pairs"), lists)]
 
 
 def repeated_passages(docs: DataFrame, bands: int = BANDS) -> DataFrame:
     """One row for each passage of each document that (nearly) repeats in
     another: doc_id, start_word, end_word (exclusive), class_doc_id,
     class_start_word (the class's least document and place), n_docs."""
-    body = lower_words(clean_text("text"))
-    # A document's key is the hash of its words: copies are one document.
-    rows = docs.select("doc_id", clean_text("text").alias("text"), F.size(body).alias("n_words"),
-                       F.xxhash64(F.concat_ws(" ", body), F.size(body)).alias("doc")).filter(F.col("n_words") >= MIN_WORDS)
-    ids = _kept(rows.select("doc_id", "doc", "n_words"), "ids")
-    windows = rows.select("doc", word_hashes(F.col("text")).alias("hashes")).mapInArrow(
+    rows = docs.select("doc_id", clean_text("text").alias("text")).withColumn("w", lower_words(F.col("text")))
+    # A document's key is the hash of its words: copies are one document. (The
+    # words are used several times, so no filter on them here: it would be
+    # pushed down and cut every text again.)
+    rows = rows.withColumn("doc", F.xxhash64(F.concat_ws(" ", "w"), F.size("w")))
+    ids = _kept(rows.select("doc_id", "doc", F.size("w").alias("n_words")), "ids", small=False).filter(F.col("n_words") >= MIN_WORDS)
+    hashes = F.transform("w", lambda v: F.xxhash64(v)).alias("hashes")
+    windows = rows.select("doc", hashes).mapInArrow(
         lambda it: _windows(it, MIN_SHINGLES, bands), "key bigint, doc bigint, pos bigint")
     w = Window.partitionBy("key")
     met = windows.withColumn("a", F.min("doc").over(w)).withColumn("z", F.max("doc").over(w)).filter("a <> z")
-    met = _kept(met.select("key", "doc", "pos").distinct(), "cells")
+    last = F.lag(F.struct("doc", "pos")).over(w.orderBy("doc", "pos"))  # copies in several chunks
+    met = met.withColumn("last", last).filter(~F.col("last").eqNullSafe(F.struct("doc", "pos")))
+    met = _kept(met.select("key", "doc", "pos"), "cells", small=False)
     copies = ids.groupBy("doc").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("one"), F.first("n_words").alias("n_words"))
     needed = met.select("doc").distinct().join(copies, "doc").select(F.col("doc").alias("d"), F.col("one.doc_id").alias("one"))
-    texts = rows.join(needed, (F.col("doc") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("one")))
+    needed = _kept(needed, "needed")
+    texts = maybe_in(rows.drop("w"), "doc", needed.select(F.col("d").alias("doc"))).join(needed, (F.col("doc") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("one")))
     lists = texts.select("doc", word_hashes(F.col("text")).alias("hashes")).mapInArrow(_shingle_lists, "doc bigint, s array<bigint>")
-    lists = _kept(lists.groupBy("doc").agg(F.first("s").alias("s")), "lists")
+    if ids.groupBy("doc", "doc_id").count().filter("count > 1").limit(1).count():  # rows that repeat id and text
+        lists = lists.groupBy("doc").agg(F.first("s").alias("s"))
+    lists = _kept(lists, "lists", small=False)
     accepted = _all_accepted(met, lists)
     links = accepted[0]
     for more in accepted[1:]:
@@ -305,15 +360,18 @@ def repeated_passages(docs: DataFrame, bands: int = BANDS) -> DataFrame:
     links = _kept(links.distinct(), "links")
     whole = copies.filter("n > 1").select("doc", F.lit(0).cast("bigint").alias("s"), (F.col("n_words") - SHINGLE_WORDS).cast("bigint").alias("e"))
     spans = links.select("doc", "s", "e").unionByName(links.select(F.col("hub").alias("doc"), F.col("hs").alias("s"), F.col("he").alias("e")))
-    spans = spans.unionByName(whole).distinct()
+    # The longest stretch from each place is enough to see what overlaps, and
+    # bounds a document's rows by its length, however many documents match it.
+    spans = spans.unionByName(whole).groupBy("doc", "s").agg(F.max("e").alias("e"))
     order = Window.partitionBy("doc").orderBy("s", "e")
     reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("fresh", F.when(F.col("s") > F.coalesce(reach, F.lit(-2)), 1).otherwise(0))
     spans = spans.withColumn("island", F.sum("fresh").over(order))
     spans = _kept(spans.withColumn("node", F.concat_ws(":", "doc", "island")), "spans")
-    side = spans.select("doc", "s", "e", "node")
-    edges = links.join(side.withColumnRenamed("node", "a"), ["doc", "s", "e"]).join(
-        side.select(F.col("doc").alias("hub"), F.col("s").alias("hs"), F.col("e").alias("he"), F.col("node").alias("b")), ["hub", "hs", "he"])
+    side = spans.select("doc", "s", "node")
+    edges = links.select("doc", "s", "hub", "hs").distinct()
+    edges = edges.join(side.withColumnRenamed("node", "a"), ["doc", "s"]).join(
+        side.select(F.col("doc").alias("hub"), F.col("s").alias("hs"), F.col("node").alias("b")), ["hub", "hs"])
     roots = connected_components(edges.select("a", "b").distinct())
     found = spans.groupBy("node", "doc").agg(F.min("s").alias("start_word"), (F.max("e") + SHINGLE_WORDS).alias("end_word"))
     found = found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
