@@ -192,7 +192,7 @@ def shared_passages(x: np.ndarray, y: np.ndarray, least: int = MIN_SHINGLES, thr
         part = x[s:e + 1]
         if np.searchsorted(shared, e) - np.searchsorted(shared, s) == e - s:  # no gap: often the same sequence
             n = len(part)
-            same = next((u for u in np.flatnonzero(y[:len(y) - n + 1] == part[0]) if (y[u:u + n] == part).all()), None)
+            same = next((u for u in np.flatnonzero(y[:max(0, len(y) - n + 1)] == part[0]) if (y[u:u + n] == part).all()), None)
             if same is not None:
                 out.append((int(s), int(e), int(same), int(same) + n - 1))
                 continue

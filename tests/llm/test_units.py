@@ -57,6 +57,9 @@ def test_shared_passages_bridge_edits_and_drop_short_ones():
     y[40:45] = rng.integers(1, 1 << 60, 5)
     assert passages.shared_passages(x, y) == [(50, 149, 0, 99)]
     assert passages.shared_passages(x, y[:30]) == []
+    # a stretch that repeats itself is longer than what it is compared with
+    again = np.tile(x[:50], 3)
+    assert passages.shared_passages(again, x[:50]) == [(0, 149, 0, 49)]
 
 
 def test_dual_tree_equals_brute_force():
