@@ -16,10 +16,11 @@ Tokens are five-word shingles. For each of BANDS pairs of hash functions:
    gets a group of its own, tied to the others by its hub.
 3. Each interval pair is verified on the shingles themselves: the passage is a
    stretch of shared shingles with small gaps, at least MIN_WORDS long, whose
-   shingle sets have Jaccard similarity >= 0.8. Cells whose place no hub has
-   verified (they share a shorter passage with it) are grouped anew by the
-   content of the shortest windows that hold them, so that no exact repeat is
-   lost to an unlike hub, and their groups are verified, too.
+   shingle sets have Jaccard similarity >= 0.8. Where a cell's place is not
+   verified with its hub (they share a shorter passage), all cells of its key
+   are grouped anew by the content of the shortest windows that hold them, so
+   that no exact repeat is lost to an unlike hub, and their groups are
+   verified, too.
 4. Verified stretches that overlap in a document are one passage; links make
    classes of passages (connected components).
 
@@ -125,8 +126,8 @@ def cells(hashes: np.ndarray, offsets: np.ndarray, band: int, least: int) -> tup
 
 
 def _windows(batches: Iterator[pa.RecordBatch], least: int, bands: int) -> Iterator[pa.RecordBatch]:
-    """Rows (key, doc, pos): a cell's key, its document and its span of
-    shingles (first << 32 | last)."""
+    """Rows (key, part, doc, pos): a cell's key, its group (0, or one of the
+    chunk's own), its document and its span of shingles (first << 32 | last)."""
     for batch in batches:
         values, offsets = list_parts(batch.column("hashes"))
         docs = batch.column("doc").to_numpy()
@@ -154,13 +155,14 @@ def _windows(batches: Iterator[pa.RecordBatch], least: int, bands: int) -> Itera
             many = np.bincount(group)[group] > 1 if len(group) else head
             with np.errstate(over="ignore"):
                 # cells that meet in this chunk: a group of their own, whose head also joins the others
-                local = mix64(key[many] ^ mix64(np.uint64(doc[0].astype(np.int64).view(np.uint64)) + GOLDEN))
-            key = np.concatenate([key[head], local])
+                local = np.int64(mix64(np.uint64(doc[0].astype(np.int64).view(np.uint64)) + GOLDEN) >> np.uint64(1)) | 1
+            part = np.repeat(np.array([0, local]), [head.sum(), many.sum()])
+            key = np.concatenate([key[head], key[many]])
             row, pos = np.concatenate([row[head], row[many]]), np.concatenate([pos[head], pos[many]])
             for s in range(0, len(key), 100_000):
                 e = s + 100_000
-                yield pa.RecordBatch.from_arrays([pa.array(key[s:e].view(np.int64)), pa.array(doc[row[s:e]]), pa.array(pos[s:e])],
-                                                 names=["key", "doc", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(key[s:e].view(np.int64)), pa.array(part[s:e]), pa.array(doc[row[s:e]]),
+                                                  pa.array(pos[s:e])], names=["key", "part", "doc", "pos"])
 
 
 def _shingle_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,28 +304,29 @@ def _exact_windows(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa
 
 
 def _with_hub(windows: DataFrame) -> DataFrame:
-    """(key, doc, pos, hub, hub_pos): the least document of each group as hub."""
-    least = windows.groupBy("key").agg(F.min(F.struct("doc", "pos")).alias("h"), F.max("doc").alias("z"))
-    hubs = least.filter(F.col("h.doc") < F.col("z")).select("key", F.col("h.doc").alias("hub"), F.col("h.pos").alias("hub_pos"))
-    return windows.join(hubs, "key").filter("doc <> hub")
+    """(key, part, doc, pos, hub, hub_pos): the least document of each group as hub."""
+    least = windows.groupBy("key", "part").agg(F.min(F.struct("doc", "pos")).alias("h"), F.max("doc").alias("z"))
+    hubs = least.filter(F.col("h.doc") < F.col("z")).select("key", "part", F.col("h.doc").alias("hub"), F.col("h.pos").alias("hub_pos"))
+    return windows.join(hubs, ["key", "part"]).filter("doc <> hub")
 
 
 def _all_accepted(windows: DataFrame, lists: DataFrame) -> list[DataFrame]:
-    """Verified stretches of all groups of cells (key, doc, pos)."""
+    """Verified stretches of all groups of cells (key, part, doc, pos)."""
     pairs = _kept(_with_hub(windows), "pairs")
     found = _accepted(pairs, lists)
-    # A cell is settled once its place lies in any verified stretch. The others
-    # share something short with their hub; they are grouped anew by the whole
-    # content of the shortest windows around them, however many they are.
-    places = found.select(F.col("doc").alias("d"), "s", "e").unionByName(
-        found.select(F.col("hub").alias("d"), F.col("hs").alias("s"), F.col("he").alias("e"))).distinct()
+    # A cell is settled once its place lies in a stretch verified with the hub
+    # of its own group. Where one is not, it shares something short with the
+    # hub, and may share more with any cell of that key, settled or not: all of
+    # them are grouped anew by the whole content of the shortest windows around
+    # them, however many they are.
     inside = (F.col("s") <= _first("pos")) & (F.col("e") >= _last("pos"))
-    spots = windows.select("doc", "pos").distinct()
-    failed = spots.join(places, (F.col("doc") == F.col("d")) & inside, "left_anti")
+    settled = found.select(F.col("doc").alias("d"), F.col("hub").alias("h"), "s", "e")
+    unlike = pairs.join(settled, (F.col("doc") == F.col("d")) & (F.col("hub") == F.col("h")) & inside, "left_anti")
+    failed = windows.join(unlike.select("key").distinct(), "key", "left_semi").select("doc", "pos").distinct()
     failed = _kept(failed.groupBy("doc").agg(F.collect_list("pos").alias("spots")), "failed")
     more = maybe_in(lists, "doc", failed.select("doc")).join(failed, "doc").select("doc", "s", "spots")
     exact = more.mapInArrow(lambda it: _exact_windows(it, MIN_SHINGLES), "key bigint, doc bigint, pos bigint")
-    exact = _kept(exact, "windows", small=False)
+    exact = _kept(exact.withColumn("part", F.lit(0).cast("bigint")), "windows", small=False)
     return [found, _accepted(_kept(_with_hub(exact), "pairs"), lists)]
 
 
@@ -339,12 +342,12 @@ def repeated_passages(docs: DataFrame, bands: int = BANDS) -> DataFrame:
     ids = _kept(rows.select("doc_id", "doc", F.size("w").alias("n_words")), "ids", small=False).filter(F.col("n_words") >= MIN_WORDS)
     hashes = F.transform("w", lambda v: F.xxhash64(v)).alias("hashes")
     windows = rows.select("doc", hashes).mapInArrow(
-        lambda it: _windows(it, MIN_SHINGLES, bands), "key bigint, doc bigint, pos bigint")
-    w = Window.partitionBy("key")
+        lambda it: _windows(it, MIN_SHINGLES, bands), "key bigint, part bigint, doc bigint, pos bigint")
+    w = Window.partitionBy("key", "part")
     met = windows.withColumn("a", F.min("doc").over(w)).withColumn("z", F.max("doc").over(w)).filter("a <> z")
     last = F.lag(F.struct("doc", "pos")).over(w.orderBy("doc", "pos"))  # copies in several chunks
     met = met.withColumn("last", last).filter(~F.col("last").eqNullSafe(F.struct("doc", "pos")))
-    met = _kept(met.select("key", "doc", "pos"), "cells", small=False)
+    met = _kept(met.select("key", "part", "doc", "pos"), "cells", small=False)
     copies = ids.groupBy("doc").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("one"), F.first("n_words").alias("n_words"))
     needed = met.select("doc").distinct().join(copies, "doc").select(F.col("doc").alias("d"), F.col("one.doc_id").alias("one"))
     needed = _kept(needed, "needed")
