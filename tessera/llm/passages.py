@@ -15,8 +15,9 @@ Tokens are five-word shingles. For each of BANDS pairs of hash functions:
    documents share). Groups are kept small: what meets in one batch of documents
    gets a group of its own, tied to the others by its hub.
 3. Each interval pair is verified on the shingles themselves: the passage is a
-   stretch of shared shingles with small gaps, at least MIN_WORDS long, whose
-   shingle sets have Jaccard similarity >= 0.8. Where a cell's place is not
+   stretch of shared shingles, at least MIN_WORDS long, whose shingle sets
+   have Jaccard similarity >= 0.8; gaps are bridged, on both sides, as long
+   as that can be reached. Where a cell's place is not
    verified with its hub (they share a shorter passage), all cells of its key
    are grouped anew by the content of the shortest windows that hold them, so
    that no exact repeat is lost to an unlike hub, and their groups are
@@ -55,7 +56,6 @@ MIN_WORDS = 50
 MIN_SHINGLES = MIN_WORDS - SHINGLE_WORDS + 1
 BANDS = 2
 THRESHOLD = 0.8
-MAX_GAP = 2 * SHINGLE_WORDS + 2  # shingles that two close edits can break
 MARGIN = 2 * MIN_SHINGLES  # shingles around an interval that verification sees
 CHUNK_WORDS, CHUNK_ROWS = 400_000, 4_000
 
@@ -173,10 +173,78 @@ def _shingle_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([batch.column("doc").slice(a, b - a), list_array(h.view(np.int64), ends)], names=["doc", "s"])
 
 
-def _stretches(at: np.ndarray) -> list[tuple[int, int]]:
-    """Runs of sorted positions whose gaps are at most MAX_GAP."""
-    cut = np.flatnonzero(np.diff(at) > MAX_GAP)
-    return list(zip(at[np.concatenate([[0], cut + 1])], at[np.concatenate([cut, [len(at) - 1]])])) if len(at) else []
+def _weights(threshold: float) -> tuple[int, int]:
+    """What a shared position adds and another takes: a stretch whose sum is
+    negative can't reach the threshold."""
+    return round(1000 * (1 - threshold)), round(1000 * threshold)
+
+
+def _stretches(at: np.ndarray, least: int, threshold: float) -> list[tuple[int, int]]:
+    """Longest intervals of at least ``least`` positions, of which the sorted
+    positions ``at`` are at least ``threshold``. Ends that hold more other
+    positions than of ``at`` are cut off and looked at on their own."""
+    out, todo = [], [at]
+    while todo:
+        at = todo.pop()
+        if not len(at):
+            continue
+        cut = np.flatnonzero(np.diff(at) > 1)
+        a, b = at[np.concatenate([[0], cut + 1])], at[np.concatenate([cut, [len(at) - 1]])]
+        n, gap = b - a + 1, np.concatenate([[0], a[1:] - b[:-1] - 1])
+        up, down = _weights(threshold)
+        end = np.cumsum(up * n - down * gap)
+        best = np.maximum.accumulate(end[::-1])[::-1]
+        to = np.searchsorted(-best, up * n - end, side="right") - 1  # the last run that each can reach
+        fresh = b[to] - a + 1 >= least
+        fresh[1:] &= to[1:] > np.maximum.accumulate(to)[:-1]
+        even = np.cumsum(n - gap)
+        for i in np.flatnonzero(fresh):
+            j = to[i]
+            hi = i + int(even[i:j + 1].argmax())
+            lo = i + int((even - n)[i:hi + 1].argmin())
+            if b[hi] - a[lo] + 1 < least:
+                lo, hi = i, j
+            out.append((int(a[lo]), int(b[hi])))
+            todo += [at[(at >= p) & (at <= q)] for p, q in ((a[i], a[lo] - 1), (b[hi] + 1, b[j])) if q - p + 1 >= least]
+    return sorted(set(out))
+
+
+def _solved(x: np.ndarray, y: np.ndarray, s: int, e: int, least: int, threshold: float) -> list[tuple[int, int, int, int]]:
+    """Verified (first, last) of x within s..e and of y: both sides are
+    narrowed to what they share, and split where that is too unlike."""
+    out, todo, seen = [], [(s, e, 0, len(y) - 1)], set()
+    while todo:
+        here = s, e, u, v = todo.pop()
+        if here in seen or min(e - s, v - u) + 1 < least:
+            continue
+        seen.add(here)
+        part, other = x[s:e + 1], y[u:v + 1]
+        if np.array_equal(part, other):
+            out.append(here)
+            continue
+        at = s + np.flatnonzero(np.isin(part, other))
+        mine = _stretches(at, least, threshold)
+        if mine != [(s, e)]:
+            todo += [(*m, u, v) for m in mine]
+            continue
+        there = u + np.flatnonzero(np.isin(other, part))
+        others = _stretches(there, least, threshold)
+        if others != [(u, v)]:
+            todo += [(s, e, *o) for o in others]
+            continue
+        a, b = np.unique(part), np.unique(other)
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        if both >= threshold * (len(a) + len(b) - both):
+            out.append(here)
+            continue
+        gap, hole = np.diff(at), np.diff(there)  # cut at the widest gap of either and try both parts
+        if gap.max() >= hole.max():
+            g = int(gap.argmax())
+            todo += [(s, int(at[g]), u, v), (int(at[g + 1]), e, u, v)]
+        else:
+            g = int(hole.argmax())
+            todo += [(s, e, u, int(there[g])), (s, e, int(there[g + 1]), v)]
+    return out
 
 
 def shared_passages(x: np.ndarray, y: np.ndarray, least: int = MIN_SHINGLES, threshold: float = THRESHOLD,
@@ -184,46 +252,39 @@ def shared_passages(x: np.ndarray, y: np.ndarray, least: int = MIN_SHINGLES, thr
     """Verified near-duplicate stretches of two shingle sequences, as
     (first, last) of x and of y, ends inclusive. ``shared``: the positions of
     x that y has, where they are known."""
-    out = []
+    out, known = [], {}
     shared = np.flatnonzero(np.isin(x, y)) if shared is None else shared
-    todo = _stretches(shared)
-    while todo:
-        s, e = todo.pop()
-        if e - s + 1 < least:
-            continue
-        part = x[s:e + 1]
-        if np.searchsorted(shared, e) - np.searchsorted(shared, s) == e - s:  # no gap: often the same sequence
-            n = len(part)
-            same = next((u for u in np.flatnonzero(y[:max(0, len(y) - n + 1)] == part[0]) if (y[u:u + n] == part).all()), None)
-            if same is not None:
-                out.append((int(s), int(e), int(same), int(same) + n - 1))
-                continue
-        hits = _stretches(np.flatnonzero(np.isin(y, part)))
-        u, v = max(hits, key=lambda h: (h[1] - h[0], -h[0]))
-        mine, other = np.unique(part), np.unique(y[u:v + 1])
-        both = len(np.intersect1d(mine, other, assume_unique=True))
-        if v - u + 1 >= least and both >= threshold * (len(mine) + len(other) - both):
-            out.append((int(s), int(e), int(u), int(v)))
+    for s, e in _stretches(shared, least, threshold):
+        content = x[s:e + 1].tobytes()
+        if content in known:  # a repeat in x: one partner for each stretch ties it to the rest
+            first, found = known[content]
+            out += [(a + s - first, b + s - first, u, v) for (a, b), (u, v) in found.items()]
             continue
-        at = s + np.flatnonzero(np.isin(part, y))  # cut at the widest gap and try both parts
-        gaps = np.diff(at)
-        if len(gaps) and gaps.max() > 1:
-            g = int(gaps.argmax())
-            todo += [(s, at[g]), (at[g + 1], e)]
+        found = _solved(x, y, s, e, least, threshold)
+        known[content] = s, {(a, b): (u, v) for a, b, u, v in reversed(found)}
+        out += found
     return out
 
 
 def _hopeful(xs: tuple, ys: tuple, least: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Rows whose two lists share a stretch of at least ``least``, and the
+    """Rows where a stretch of x of at least ``least`` is in y to THRESHOLD, and the
     positions of x that y has, found for all rows at once."""
     row_x, row_y = (np.repeat(np.arange(len(o) - 1), np.diff(o)).astype(np.uint64) for _, o in (xs, ys))
     at = np.flatnonzero(np.isin(mix64(xs[0] ^ mix64(row_x + GOLDEN)), mix64(ys[0] ^ mix64(row_y + GOLDEN))))
     if not len(at):
         return
-    row = row_x[at]
-    cut = np.flatnonzero((row[1:] != row[:-1]) | (np.diff(at) > MAX_GAP))
-    first, last = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(at) - 1]])
-    for i in np.unique(row[first][at[last] - at[first] + 1 >= least]):
+    # least .. sums over stretches that end at each position; a row lies far below the one before
+    up, down = _weights(THRESHOLD)
+    weight = np.full(len(xs[0]), -down)
+    weight[at] = up
+    row = row_x.astype(np.int64)
+    total = np.concatenate([[0], np.cumsum(weight)])
+    far = 2 * (up + down) * (len(weight) + 1)
+    before = np.minimum.accumulate(total[:-1] - far * row)
+    good = (total[least:] - far * row[least - 1:] >= before[:len(before) - least + 1]) if len(weight) >= least else np.zeros(0, bool)
+    hopeful = np.unique(row[least - 1:][good])
+    row = row[at]
+    for i in hopeful:
         yield int(i), at[np.searchsorted(row, i):np.searchsorted(row, i, side="right")] - xs[1][int(i)]
 
 

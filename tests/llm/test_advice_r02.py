@@ -23,3 +23,37 @@ def test_passages_that_overlap_in_a_third_document_are_all_found(spark):
     rows = passage_rows(spark, texts, bands=2)
     assert {r["doc_id"] for r in rows} == set(texts)
     assert all(r["class_doc_id"] == r["doc_id"] // 3 * 3 for r in rows)
+
+
+def test_passages_with_inserted_words_are_one_stretch():
+    rng = np.random.default_rng(3)
+    for n in (64, 76, 90):
+        plain = rng.integers(1, 1 << 60, n).astype(np.uint64)
+        gap = rng.integers(1, 1 << 60, 12).astype(np.uint64)  # 8 words, as shingles
+        more = np.concatenate([plain[:n // 2], gap, plain[n // 2:]])
+        around = [rng.integers(1, 1 << 60, 60).astype(np.uint64) for _ in range(4)]
+        x, y = np.concatenate([around[0], plain, around[1]]), np.concatenate([around[2], more, around[3]])
+        assert passages.shared_passages(x, y) == [(60, 59 + n, 60, 71 + n)]
+        assert passages.shared_passages(y, x) == [(60, 71 + n, 60, 59 + n)]
+        lists = [(v, np.array([0, len(v)])) for v in (y, x)]
+        assert [i for i, _ in passages._hopeful(*lists, passages.MIN_SHINGLES)] == [0]
+
+
+def test_unlike_text_on_one_side_splits_a_stretch():
+    rng = np.random.default_rng(4)
+    a, b, other = (rng.integers(1, 1 << 60, n).astype(np.uint64) for n in (60, 60, 300))
+    x, y = np.concatenate([a, b]), np.concatenate([a, other, b])
+    assert sorted(passages.shared_passages(x, y)) == [(0, 59, 0, 59), (60, 119, 360, 419)]
+    assert sorted(passages.shared_passages(y, x)) == [(0, 59, 0, 59), (360, 419, 60, 119)]
+    assert sorted(passages.shared_passages(a, y[np.r_[0:360, 0:60]])) == [(0, 59, 0, 59), (0, 59, 360, 419)]
+
+
+def test_an_80_word_passage_with_8_words_inserted_is_found(spark):
+    rng, texts = np.random.default_rng(5), {}
+    for i in range(20):
+        body, more = words(rng, 80), words(rng, 8)
+        pair = [body, body[:40] + more + body[40:]]
+        for k in range(2):
+            texts[2 * i + k] = words(rng, 60) + pair[(i + k) % 2] + words(rng, 60)
+    rows = passage_rows(spark, texts)
+    assert len({r["doc_id"] for r in rows}) >= 36  # as far as the bands propose them
