@@ -8,7 +8,8 @@ Tokens are five-word shingles. For each of BANDS pairs of hash functions:
    out. The second function refines each window by the minima of its
    subsequences around c, so a cell stands for all subsequences that share
    both minima. Cells whose minima are farther apart than the shortest passage
-   add nothing and are dropped. Range minima come from sparse tables, a batch
+   add nothing and are dropped; a key's places in a document are all kept.
+   Range minima come from sparse tables, a batch
    of documents at a time.
 2. Cells of different documents with equal minima are joined: those of a group
    with one hub, as intervals (from the first to the last cell that two
@@ -144,15 +145,16 @@ def _windows(batches: Iterator[pa.RecordBatch], least: int, bands: int) -> Itera
             key, row, lo, hi = (np.concatenate(x) for x in zip(*parts))
             keep = once[row]
             key, row, lo, hi = key[keep], row[keep], lo[keep], hi[keep]
-            order = np.lexsort((lo, row, key))
+            order = np.lexsort((hi, lo, row, key))
             key, row, lo, hi = key[order], row[order], lo[order], hi[order]
             new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])  # a document's first cell of a key
-            key, row, pos = key[new], row[new], (lo[new] << 32) | hi[new]
-            head = np.ones(len(key), bool)
-            head[1:] = key[1:] != key[:-1]
-            group = np.cumsum(head) - 1
-            many = np.bincount(group)[group] > 1 if len(group) else head
+            new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+            key, row, pos = key[new], row[new], (lo[new] << 32) | hi[new]  # all places of a key
+            first = np.ones(len(key), bool)
+            first[1:] = key[1:] != key[:-1]
+            group, start = np.cumsum(first) - 1, np.flatnonzero(first)
+            head = row == row[start[group]]  # the places of a group's first document
+            many = (np.bincount(group, ~head)[group] > 0) if len(group) else head
             with np.errstate(over="ignore"):
                 # cells that meet in this chunk: a group of their own, whose head also joins the others
                 local = np.int64(mix64(np.uint64(doc[0].astype(np.int64).view(np.uint64)) + GOLDEN) >> np.uint64(1)) | 1
@@ -318,11 +320,11 @@ def _last(pos: str):
 
 def _accepted(pairs: DataFrame, lists: DataFrame) -> DataFrame:
     """Verified stretches (doc, s, e, hub, hs, he) of cell pairs (doc, pos,
-    hub, hub_pos): one verification for each pair of documents, over the
+    hub, hub_first, hub_last): one verification for each pair of documents, over the
     interval that their cells span."""
     hull = pairs.groupBy("doc", "hub").agg(
         F.min(_first("pos")).alias("p"), F.max(_last("pos")).alias("q"),
-        F.min(_first("hub_pos")).alias("hp"), F.max(_last("hub_pos")).alias("hq"))
+        F.min("hub_first").alias("hp"), F.max("hub_last").alias("hq"))
     hull = _kept(hull, "hulls")
 
     def crop(lo: str, hi: str, first: str, out: str):
@@ -365,9 +367,13 @@ def _exact_windows(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa
 
 
 def _with_hub(windows: DataFrame) -> DataFrame:
-    """(key, part, doc, pos, hub, hub_pos): the least document of each group as hub."""
-    least = windows.groupBy("key", "part").agg(F.min(F.struct("doc", "pos")).alias("h"), F.max("doc").alias("z"))
-    hubs = least.filter(F.col("h.doc") < F.col("z")).select("key", "part", F.col("h.doc").alias("hub"), F.col("h.pos").alias("hub_pos"))
+    """(key, part, doc, pos, hub, hub_first, hub_last): the least document of
+    each group as hub, with the span of its places in the group."""
+    least = windows.groupBy("key", "part").agg(
+        F.min(F.struct("doc", "pos")).alias("h"), F.max("doc").alias("z"),
+        F.max(F.struct(F.bitwise_not("doc").alias("d"), _last("pos").alias("last"))).alias("l"))
+    hubs = least.filter(F.col("h.doc") < F.col("z")).select(
+        "key", "part", F.col("h.doc").alias("hub"), _first("h.pos").alias("hub_first"), F.col("l.last").alias("hub_last"))
     return windows.join(hubs, ["key", "part"]).filter("doc <> hub")
 
 

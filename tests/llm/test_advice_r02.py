@@ -57,3 +57,17 @@ def test_an_80_word_passage_with_8_words_inserted_is_found(spark):
             texts[2 * i + k] = words(rng, 60) + pair[(i + k) % 2] + words(rng, 60)
     rows = passage_rows(spark, texts)
     assert len({r["doc_id"] for r in rows}) >= 36  # as far as the bands propose them
+
+
+def test_a_passage_is_found_after_an_earlier_partial_copy(spark):
+    rng, texts = np.random.default_rng(2), {}
+    for i in range(20):
+        body = words(rng, 50)
+        texts[2 * i] = words(rng, 30) + body[:45] + words(rng, 200) + body + words(rng, 30)
+        texts[2 * i + 1] = words(rng, 60) + body + words(rng, 20) + body[:45] + words(rng, 300) + body
+    got = {}
+    for r in passage_rows(spark, texts, bands=2):
+        got.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
+    for i, t in texts.items():
+        places = [275] if i % 2 == 0 else [60, len(t) - 50]
+        assert all(set(range(p, p + 50)) <= got.get(i, set()) for p in places)
