@@ -21,7 +21,8 @@ Tokens are five-word shingles. For each of BANDS pairs of hash functions:
    as that can be reached. Where a cell's place is not
    verified with its hub (they share a shorter passage), all cells of its key
    are grouped anew by the content of the shortest windows that hold them, so
-   that no exact repeat is lost to an unlike hub, and their groups are
+   that no exact repeat is lost to an unlike hub, and by min-hashes of their
+   neighbourhoods, so that near copies find like hubs; these groups are
    verified, too.
 4. Verified stretches that overlap in a document are one passage; links make
    classes of passages (connected components).
@@ -55,7 +56,8 @@ from tessera.sources.tables import read_table
 SHINGLE_WORDS = 5
 MIN_WORDS = 50
 MIN_SHINGLES = MIN_WORDS - SHINGLE_WORDS + 1
-BANDS = 2
+BANDS = 5
+NEAR_HASHES = 4  # by which the neighbourhoods of failed cells are compared
 THRESHOLD = 0.8
 MARGIN = 2 * MIN_SHINGLES  # shingles around an interval that verification sees
 CHUNK_WORDS, CHUNK_ROWS = 400_000, 4_000
@@ -340,9 +342,23 @@ def _accepted(pairs: DataFrame, lists: DataFrame) -> DataFrame:
     return _kept(found.distinct(), "accepted", small=False)
 
 
-def _exact_windows(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+def _near_places(s: np.ndarray, lo: np.ndarray, hi: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, place) of the minima of ``least`` shingles before, around and
+    after each cell, under NEAR_HASHES functions."""
+    keys, places, n = [], [], len(s)
+    first = np.concatenate([np.maximum(hi - least + 1, 0), np.maximum(lo - least // 2, 0), lo])
+    last = np.concatenate([hi, np.minimum(hi + least // 2, n - 1), np.minimum(lo + least - 1, n - 1)])
+    for f in range(NEAR_HASHES):
+        m = np.unique(RangeMinimum(mix64(s ^ mix64(GOLDEN + np.uint64(f))), min(n, 2 * least))(first, last))
+        keys.append(mix64(mix64(s[m] + np.uint64(f + 1)) + GOLDEN))
+        places.append(m)
+    return np.concatenate(keys), np.concatenate(places)
+
+
+def _new_groups(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """Rows (key, doc, pos) of all windows of ``least`` shingles that hold one
-    of a document's cells; the key is a hash of the window's content."""
+    of a document's cells, the key a hash of the window's content; and of the
+    minima near the cells."""
     with np.errstate(over="ignore"):
         powers = np.cumprod(np.full(least, np.uint64(0x5851F42D4C957F2D)))
         for batch in batches:
@@ -355,6 +371,9 @@ def _exact_windows(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa
                 first, last = np.maximum(hi - least + 1, 0), np.minimum(lo, len(s) - least)
                 edge = np.zeros(len(s) + 1, np.int64)  # starts covered by any cell
                 ok = first <= last
+                near, m = _near_places(s, lo, hi, least)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(near.view(np.int64)), pa.array(np.full(len(m), docs[i])), pa.array((m << 32) | m)], names=["key", "doc", "pos"])
                 np.add.at(edge, first[ok], 1)
                 np.add.at(edge, last[ok] + 1, -1)
                 starts = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
@@ -384,15 +403,16 @@ def _all_accepted(windows: DataFrame, lists: DataFrame) -> list[DataFrame]:
     # A cell is settled once its place lies in a stretch verified with the hub
     # of its own group. Where one is not, it shares something short with the
     # hub, and may share more with any cell of that key, settled or not: all of
-    # them are grouped anew by the whole content of the shortest windows around
-    # them, however many they are.
+    # them are grouped anew, however many they are: by the whole content of the
+    # shortest windows around them, and (for near copies) by minima near them,
+    # which gives them hubs that are alike beyond the cell.
     inside = (F.col("s") <= _first("pos")) & (F.col("e") >= _last("pos"))
     settled = found.select(F.col("doc").alias("d"), F.col("hub").alias("h"), "s", "e")
     unlike = pairs.join(settled, (F.col("doc") == F.col("d")) & (F.col("hub") == F.col("h")) & inside, "left_anti")
     failed = windows.join(unlike.select("key").distinct(), "key", "left_semi").select("doc", "pos").distinct()
     failed = _kept(failed.groupBy("doc").agg(F.collect_list("pos").alias("spots")), "failed")
     more = maybe_in(lists, "doc", failed.select("doc")).join(failed, "doc").select("doc", "s", "spots")
-    exact = more.mapInArrow(lambda it: _exact_windows(it, MIN_SHINGLES), "key bigint, doc bigint, pos bigint")
+    exact = more.mapInArrow(lambda it: _new_groups(it, MIN_SHINGLES), "key bigint, doc bigint, pos bigint")
     exact = _kept(exact.withColumn("part", F.lit(0).cast("bigint")), "windows", small=False)
     return [found, _accepted(_kept(_with_hub(exact), "pairs"), lists)]
 
