@@ -2,12 +2,13 @@
 
 1. Exact copies (equal word sequences, case and white space aside) collapse
    by digest.
-2. Each document's five-word shingles, weighted ``1 + log2(count)``, get a
-   ProbMinHash signature: element arrivals of a Poisson process whose rate is
+2. The set of each document's five-word shingles (weight 1 each, as the
+   verified measure counts them) gets a ProbMinHash signature: element arrivals of a Poisson process whose rate is
    the weight fall into random registers, the earliest arrival names the
    register; an element stops as soon as its next arrival is later than all
    registers' (early termination). Registers of two documents agree with
-   their probability Jaccard similarity.
+   their probability Jaccard similarity, which for weights of 1 is the
+   Jaccard similarity of the sets.
 3. Bands of registers propose buckets. Within a bucket no all-pairs join is
    made: members are verified against two hubs; those that fail, and that no
    other link has tied to the hub, go on to the next round with new hubs, until
@@ -89,8 +90,8 @@ def _signatures(batches: Iterator[pa.RecordBatch], bands: int, rows: int, width:
         values, offsets = list_parts(batch.column("hashes"))
         for lo, hi in row_chunks(offsets, CHUNK_WORDS, CHUNK_ROWS):
             part, base = offsets[lo:hi + 1] - offsets[lo], values[offsets[lo]:offsets[hi]]
-            row, key, count = row_sets(*shingles(base, part, width))
-            sig = prob_min_hash(row, key, 1.0 + np.log2(count), hi - lo, bands * rows)
+            row, key, _ = row_sets(*shingles(base, part, width))
+            sig = prob_min_hash(row, key, np.ones(len(key)), hi - lo, bands * rows)
             keys = band_keys(sig, bands, rows)
             some = np.diff(part) > 0
             ends = np.concatenate([[0], np.cumsum(np.where(some, bands, 0))])
