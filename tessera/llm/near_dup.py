@@ -11,7 +11,7 @@
    Jaccard similarity of the sets.
 3. Bands of registers propose buckets. Within a bucket no all-pairs join is
    made: members are verified against two hubs; those that fail, and that no
-   other link has tied to the hub, go on to the next round with new hubs, until
+   other link has tied to the hub, or that share too few bands with it, go on to the next round with new hubs, until
    few are left, which are then paired. Pairs that this skips are either in one
    class already or excluded by the triangle inequality (Jaccard distance is a
    metric); pairs that neither excludes are verified in the end.
@@ -130,26 +130,30 @@ def _hubs(members: DataFrame) -> DataFrame:
     return hubs.filter("n > 1").select("key", F.array("x.digest", "z.digest").alias("hubs"), "n")
 
 
+def _with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    for c, out in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(table.select(F.col("digest").alias(c), F.col(column).alias(out)), c)
+    return pairs.withColumn("both", F.size(F.array_intersect("x", "y")))
+
+
+def _exact(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, keys, open) with their Jaccard similarity j."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("digest"))
+    found = _with_both(pairs, maybe_in(sets.select("digest", "items"), "digest", ends), "items")
+    return found.select("a", "b", "keys", "open", (F.col("both") / (F.size("x") + F.size("y") - F.col("both"))).alias("j"))
+
+
 def _judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, keys, open, j): each distinct pair of (key, a, b, served) with the
     buckets it came from (at most one a band), those where a has not served as
-    a hub, and its exact Jaccard similarity; 0 for pairs that agree in fewer
+    a hub, and its exact Jaccard similarity; NULL for pairs that agree in fewer
     than SHARED_BANDS bands. ``sets``: (digest, bands, items)."""
     pairs = pairs.repartition("a").groupBy("a", "b").agg(
         F.collect_list("key").alias("keys"), F.collect_list(F.when(~F.col("served"), F.col("key"))).alias("open"))
 
-    def with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
-        for c, out in (("a", "x"), ("b", "y")):
-            pairs = pairs.join(table.select(F.col("digest").alias(c), F.col(column).alias(out)), c)
-        return pairs.withColumn("both", F.size(F.array_intersect("x", "y")))
-
-    pairs = _kept(with_both(pairs, sets, "bands").select("a", "b", "keys", "open", F.col("both").alias("shared")), "pairs", small=False)
-    likely = pairs.filter(F.col("shared") >= SHARED_BANDS)
-    ends = likely.select(F.explode(F.array("a", "b")).alias("digest"))
-    found = with_both(likely, maybe_in(sets.select("digest", "items"), "digest", ends), "items")
-    j = F.col("both") / (F.size("x") + F.size("y") - F.col("both"))
-    found = found.select("a", "b", "keys", "open", j.alias("j"))
-    return found.unionByName(pairs.filter(F.col("shared") < SHARED_BANDS).select("a", "b", "keys", "open", F.lit(0.0).alias("j")))
+    pairs = _kept(_with_both(pairs, sets, "bands").select("a", "b", "keys", "open", F.col("both").alias("shared")), "pairs", small=False)
+    found = _exact(pairs.filter(F.col("shared") >= SHARED_BANDS).drop("shared"), sets)
+    return found.unionByName(pairs.filter(F.col("shared") < SHARED_BANDS).select("a", "b", "keys", "open", F.lit(None).cast("double").alias("j")))
 
 
 def _classes_of(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -176,13 +180,14 @@ def _classes_of(members: DataFrame, sets: DataFrame, threshold: float) -> DataFr
             break
         judged = found if judged is None else judged.unionByName(found)
         # go on with members that failed and that no link ties to the hub
-        # within two steps
+        # within two steps, or whose distance to the hub is not known
         lead = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(
             F.min(F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("d"))).alias("m"))
         lead = _kept(lead.select("a", F.least(F.col("m"), F.struct(F.xxhash64("a").alias("h"), F.col("a").alias("d")))["d"].alias("lead")), "lead")
         second = lead.select(F.col("a").alias("lead"), F.col("lead").alias("label"))
         label = lead.join(second, "lead").select(F.col("a").alias("node"), F.col("label").alias("root"))
         failed = _apart(found.filter(F.col("j") < threshold), _kept(label, "label"))
+        failed = failed.unionByName(found.filter("j IS NULL"))
         failed = _kept(failed.select(F.explode("open").alias("key"), F.col("a").alias("digest")).distinct(), "failed")
         active = _kept(failed.join(_hubs(failed), "key"), "active")
     if links is None:
@@ -193,18 +198,24 @@ def _classes_of(members: DataFrame, sets: DataFrame, threshold: float) -> DataFr
     # What the rounds skipped: pairs of a member in the hub's component and one
     # that is not. They can't be linked if their distances to the hub differ by
     # more than 1 - threshold (triangle inequality); the rest is verified.
-    # (Members that agree with the hub in one band only have no known distance;
-    # what they resemble meets them in other buckets.)
-    near = judged.filter("j > 0").select("a", "b", "j", F.explode("keys").alias("key"))
+    # A member that agreed with the hub in too few bands never left because of
+    # it, but others did: its distance is computed now.
+    tied = _with_roots(judged.filter("j IS NOT NULL"), roots).filter("root_a = root_b").select(F.explode("keys").alias("key"), "b").distinct()
+    blank = _apart(judged.filter("j IS NULL"), roots).select("a", "b", F.explode("keys").alias("key"))
+    blank = blank.join(tied, ["key", "b"], "left_semi").groupBy("a", "b").agg(F.collect_list("key").alias("keys"))
+    late = _kept(_exact(blank.withColumn("open", F.col("keys")), sets), "late", small=False)
+    near = judged.filter("j IS NOT NULL").unionByName(late).select("a", "b", "j", F.explode("keys").alias("key"))
     near = _with_roots(near, roots)
     tied = near.filter("root_a = root_b").select("key", "b", F.col("a").alias("in"), F.col("j").alias("j_in"))
     apart = near.filter("root_a <> root_b").select("key", "b", F.col("a").alias("out"), F.col("j").alias("j_out"))
     # the hub itself is a member, too, but was compared with all
     pairs = apart.join(tied, ["key", "b"]).filter(F.abs(F.col("j_in") - F.col("j_out")) <= 1 - threshold)
     pairs = _kept(pairs.select("key", F.col("out").alias("a"), F.col("in").alias("b"), F.lit(True).alias("served")), "border")
-    if not pairs.limit(1).count():
+    new = late.filter(F.col("j") >= threshold).select("a", "b")
+    if pairs.limit(1).count():
+        new = new.unionByName(_judged(pairs, sets).filter(F.col("j") >= threshold).select("a", "b"))
+    elif not new.limit(1).count():
         return roots
-    new = _judged(pairs, sets).filter(F.col("j") >= threshold).select("a", "b")
     return connected_components(_kept(new, "edge").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
