@@ -40,7 +40,7 @@ def edge_dir(spark, tmp_path_factory):
     v = [float(i) / 7 for i in range(8)]
     vectors = [(0, v, 1), (100, v, 1), (100, v, 1), (1, v, 1), (2, [-x for x in v], 1), (3, None, 1), (4, v[:-1] + [math.nan], 1),
                (5, v[:-1] + [None], 1), (6, v[:-1] + [math.inf], 1), (7, [], 1), (8, [1.0, 2.0], 1), (None, v, 1), (300, [], 1)]
-    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>, q int").write.parquet(f"{out}/embeddings.parquet")
+    spark.createDataFrame([(i, e, 5 if i in (2, 8) else 1, q) for i, e, q in vectors], "vec_id bigint, embedding array<float>, label int, q int").write.parquet(f"{out}/embeddings.parquet")
     return out
 
 

@@ -8,7 +8,7 @@ from tessera.llm.registry import QUERIES
 
 from .conftest import edge_documents
 
-PER_DOCUMENT = ["op3_pii", "op5_pieces", "op6_licences", "op7_quality", "op8_mixing", "op9_near_dup", "op10_simhash"]
+PER_DOCUMENT = ["op3_pii", "op5_pieces", "op6_licences", "op7_quality", "op8_mixing", "op9_near_dup", "op10_simhash", "op12_secrets"]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
