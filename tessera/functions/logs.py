@@ -49,6 +49,13 @@ def line_time(value: str | Column, month: str, year: int) -> Column:
     return iso.try_cast("timestamp_ntz")
 
 
+def any_line_time(value: str | Column) -> Column:
+    """Wall-clock timestamp of a log line of any month, NULL if it has no
+    valid one."""
+    text = F.nullif(F.regexp_extract(value, r"\d{2}/[A-Z][a-z]{2}/\d{4}:\d{2}:\d{2}:\d{2}", 0), F.lit(""))
+    return parse_log_time(text)
+
+
 def hour_band(hour: str | Column) -> Column:
     """Hour of day -> '1'..'6', one band per four hours."""
     h = F.col(hour) if isinstance(hour, str) else hour

@@ -11,11 +11,11 @@ the task slots.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.logs import (
-    HTML_SUFFIX, band_range, hour_band, html_file_name, line_time, month_token,
+    HOURS_PER_BAND, HTML_SUFFIX, any_line_time, band_range, hour_band, html_file_name, line_time, month_token,
 )
 
 
@@ -100,6 +100,36 @@ def hour_band_averages(parsed: DataFrame, cells: DataFrame | None = None) -> Dat
             .orderBy("hour_band"))
 
 
+def calendar_spine(first: Column, last: Column, source: DataFrame) -> DataFrame:
+    """(date, hour_band): every 4-hour band of every day from ``first`` to
+    ``last``, both included; these are aggregates over ``source`` and the table
+    has 6 rows a day of that span, whatever the size of ``source``."""
+    bands = F.array(*[F.lit(str(b)) for b in range(1, 24 // HOURS_PER_BAND + 1)])
+    span = source.agg(first.alias("first"), last.alias("last")).filter(F.col("first").isNotNull())
+    days = span.select(F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("date"))
+    return days.select("date", F.explode(bands).alias("hour_band"))
+
+
+def traffic_calendar(lines: DataFrame) -> DataFrame:
+    """(date, hour_band, requests, month_requests, month_average): requests of
+    every band of every day of the months the log touches, 0 where there were
+    none, with the band's total and average per calendar day of that month.
+
+    The log is parsed and counted in one partial aggregate; what is joined
+    with the calendar, and summed by month, has 6 rows a day."""
+    parsed = lines.select(any_line_time("value").alias("ts"))
+    # a NULL cell for lines without a time, dropped when joined: a filter here
+    # would be pushed below the parse and run it twice
+    cells = (parsed.groupBy(F.to_date("ts").alias("date"), hour_band(F.hour("ts")).alias("hour_band"))
+             .agg(F.count("ts").alias("n")).checkpoint(eager=True))
+    spine = calendar_spine(F.trunc(F.min("date"), "month"), F.last_day(F.max("date")), cells)
+    filled = spine.join(cells, ["date", "hour_band"], "left").select(
+        "date", "hour_band", F.coalesce("n", F.lit(0)).cast("bigint").alias("requests"))
+    month = Window.partitionBy("hour_band", F.trunc("date", "month"))  # <= 31 rows
+    return filled.select("date", "hour_band", "requests", F.sum("requests").over(month).alias("month_requests"),
+                         (F.sum("requests").over(month) / F.count(F.lit(1)).over(month)).alias("month_average"))
+
+
 def top_files(lines: DataFrame, n: int = 20) -> DataFrame:
     """The n most requested .html file base names (ties by name).
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from math import ceil
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -31,6 +32,8 @@ from pyspark.util import inheritable_thread_target
 
 from tessera.operators import metrics as M
 from tessera.operators.split import assign_folds, fold_train_test
+from tessera.session import releasing
+from tessera.sources.tables import fit_layout
 
 # The seed of every split, sample and estimator.
 SEED = 123
@@ -126,11 +129,21 @@ def fit_claim_severity(positives: DataFrame, categorical: list[str], numeric: li
                     ).fit(positives)
 
 
+# Ratings in one block of ALS.
+ALS_BLOCK_ROWS, MAX_ALS_BLOCKS = 50_000, 4_000
+
+
+def als_blocks(ratings: int) -> int:
+    """User and item blocks for a number of ratings: block sizes, not the
+    cluster, decide, so a model does not depend on where it was fitted."""
+    return min(max(1, ceil(ratings / ALS_BLOCK_ROWS)), MAX_ALS_BLOCKS)
+
+
 def als(reg_param: float = 0.1, rank: int = 10, max_iter: int = 10, seed: int = SEED,
         num_blocks: int | None = None) -> ALS:
     """Explicit-feedback ALS; cold-start rows are dropped when scoring.
-    ``num_blocks`` sets the user and item block counts (Spark's default is
-    10; on a large cluster raise it towards the number of cores)."""
+    ``num_blocks`` sets the user and item block counts (Spark's default is 10
+    whatever the size; ``als_blocks`` derives them from the number of ratings)."""
     est = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol="userId",
               itemCol="movieId", ratingCol="rating", coldStartStrategy="drop", seed=seed)
     if num_blocks:
@@ -241,7 +254,8 @@ def als_grid(folded: DataFrame, reg_params: tuple[float, ...], folds: int = 3, r
         return (i, k, r["rmse"], r["mae"], int(r["n_scored"]), int(r["n_rows"]))
 
     tasks = [(k, i, reg) for k in range(1, folds + 1) for i, reg in enumerate(reg_params, start=1)]
-    with persisted(folded):
+    with releasing(spark), persisted(folded):
+        num_blocks = num_blocks or als_blocks(folded.count())
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             # job group / local properties follow the caller into the workers
             rows = list(pool.map(inheritable_thread_target(spark)(cell), tasks))
@@ -253,10 +267,20 @@ def item_clusters(ratings: DataFrame, k: int = 25, reg_param: float = 0.1, rank:
                   num_blocks: int | None = None) -> DataFrame:
     """ALS item factors -> dense vectors -> k-means: (movieId, prediction).
     The assignment is checkpointed, so the two fits run once."""
+    return clustered_items(ratings, k, reg_param, rank, max_iter, kmeans_iter, seed, num_blocks)[0]
+
+
+def clustered_items(ratings: DataFrame, k: int = 25, reg_param: float = 0.1, rank: int = 10, max_iter: int = 10,
+                    kmeans_iter: int = 20, seed: int = SEED, num_blocks: int | None = None) -> tuple[DataFrame, DataFrame, list]:
+    """((movieId, prediction), (movieId, features), the centres): factors and
+    assignment are checkpointed, and what the fits held is released with the
+    caller's ``releasing`` block."""
     from tessera.operators.features import factor_vectors
+    num_blocks = num_blocks or als_blocks(ratings.count())
     factors = als(reg_param, rank=rank, max_iter=max_iter, seed=seed, num_blocks=num_blocks).fit(ratings).itemFactors
-    vecs = factor_vectors(factors).persist(StorageLevel.MEMORY_AND_DISK)
-    model = kmeans(k, seed=seed, max_iter=kmeans_iter).fit(vecs)
+    vecs = factor_vectors(factors).checkpoint(eager=True)
+    # k-means starts from a sample, which depends on the layout
+    with persisted(fit_layout(vecs, ["movieId"])) as data:
+        model = kmeans(k, seed=seed, max_iter=kmeans_iter).fit(data)
     assigned = model.transform(vecs).select("movieId", "prediction").checkpoint(eager=True)
-    vecs.unpersist()
-    return assigned
+    return assigned, vecs, model.clusterCenters()

@@ -23,7 +23,7 @@ from tessera.operators import models as M
 from tessera.operators import recommend as R
 from tessera.operators.split import assign_folds, hash_sample, hash_split, train_test
 from tessera.operators.tandem import gate
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, releasing
 from tessera.sources import files
 from tessera.plans.models import FOREST_GRID, GBT_GRID
 from tessera.sources.tables import fit_layout
@@ -117,7 +117,7 @@ def claim_dictionaries(spark: SparkSession, csv_path: str, out_path: str,
                        top_n: int = E.DEFAULT_TOP_N, optional: tuple[str, ...] = ()) -> DataFrame:
     """Learn the claims dictionaries (top-N for large columns, full domain for
     string categories, fixed overrides) and save them partitioned by column."""
-    raw = spark.read.option("header", True).csv(csv_path)  # all strings, no inference
+    raw = files.read_string_csv(spark, csv_path)  # no inference
     top_cols = C.columns_of(raw, ["Blind_Make", "Blind_Model", "Blind_Submodel", "Model_Year"], optional)
     ord_cols = C.columns_of(raw, C.STRING_CATEGORIES, optional)
     filled = C.fill_missing_category(raw, top_cols + ord_cols)
@@ -135,7 +135,7 @@ def tandem_claims(spark: SparkSession, csv_path: str, dictionary_path: str, tree
     trained on actual claims predicts the amount of rows the tree lets
     through, every other row predicts 0. Returns rmse, mae on the test split.
     ``key`` (default: a hash of the whole line) feeds the hash split."""
-    raw = spark.read.option("header", True).csv(csv_path)  # all strings
+    raw = files.read_string_csv(spark, csv_path)
     if not key:  # no id column: a 64-bit hash of the whole line
         raw, key = raw.withColumn("row_key", F.xxhash64(*raw.columns)), ["row_key"]
     ints, nums = C.columns_of(raw, C.INT_CATEGORIES, optional), C.columns_of(raw, C.NUMERIC_FEATURES, optional)
@@ -152,9 +152,7 @@ def tandem_claims(spark: SparkSession, csv_path: str, dictionary_path: str, tree
         test = data.filter(F.col("split") == "test")
         scored = reg.transform(clf.transform(test).drop("features"))
         final = scored.select(gate().alias("prediction"), "Claim_Amount")
-        result = MT.regression_metrics(final, "prediction", "Claim_Amount").cache()
-        result.count()
-    return result
+        return MT.regression_metrics(final, "prediction", "Claim_Amount").checkpoint(eager=True)
 
 
 # --- ratings ---------------------------------------------------------------------
@@ -187,7 +185,7 @@ def tag_clusters(spark: SparkSession, ratings_path: str, scores_path: str, tags_
     tags = files.read_csv(spark, tags_path, "tagId int, tag string", null_text="")
     best = R.item_best_tag(scores).checkpoint(eager=True)  # used for each split, twice
     out = None
-    with M.persisted(folded):
+    with releasing(spark), M.persisted(folded):
         for split in range(1, folds + 1):
             assigned = M.item_clusters(folded.filter(F.col("fold") == split), k=k, rank=rank,
                                        max_iter=max_iter, num_blocks=num_blocks)

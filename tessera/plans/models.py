@@ -25,7 +25,7 @@ from tessera.operators.tandem import gate
 from tessera.plans import claims as CP
 from tessera.plans.recommend import RATING_KEY, REG_PARAMS, rating_folds
 from tessera.sources.fixtures import genome_scores, genome_tags, particles
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, releasing
 from tessera.sources.tables import fit_layout
 
 # The tuning grids of the two particle models.
@@ -135,10 +135,9 @@ def claim_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _materialised(result: DataFrame) -> DataFrame:
-    """Compute a small result while the training data is still persisted."""
-    result = result.cache()
-    result.count()
-    return result
+    """Compute a small result while the training data is still persisted; it
+    is written, so nothing stays held for it."""
+    return result.checkpoint(eager=True)
 
 
 def claim_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,7 +186,7 @@ def item_clusters(spark: SparkSession, sf_dir: str, k: int = 25, num_blocks: int
         part = folded.filter(F.col("fold") == split)
         return split, M.item_clusters(part, k=k, num_blocks=num_blocks)
 
-    with M.persisted(folded), ThreadPoolExecutor(max_workers=3) as pool:
+    with releasing(spark), M.persisted(folded), ThreadPoolExecutor(max_workers=3) as pool:
         assigned = list(pool.map(inheritable_thread_target(spark)(clusters), (1, 2, 3)))
     out = None
     for split, a in assigned:

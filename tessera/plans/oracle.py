@@ -81,9 +81,85 @@ from access_log where contains(value,'/Jan/2024') and contains(value,'.html')
 group by 1 order by requests desc, file_name asc limit 20""",
 }
 
+LOGS["log_calendar"] = """
+with moved as (
+  select event_id, ts, cast(cast(ts as date) + to_months(cast(event_id % 5 as int)) as date) as date from events),
+cells as (
+  select date, cast(cast(floor(hour(ts)/4)+1 as int) as varchar) as hour_band, count(*) as n
+  from moved where day(date) % 6 <> 0 and event_id % 500 <> 3 group by 1, 2),
+span as (select date_trunc('month', min(date)) as first, last_day(max(date)) as last from cells),
+spine as (
+  select cast(d as date) as date, cast(b as varchar) as hour_band
+  from (select unnest(generate_series(first, last, interval 1 day)) as d from span), range(1, 7) r(b)),
+filled as (select s.date, s.hour_band, coalesce(c.n, 0) as requests from spine s left join cells c using (date, hour_band))
+select cast(date as varchar) as date, hour_band, requests, cast(sum(requests) over m as bigint) as month_requests, round(avg(requests) over m, 9) as month_average
+from filled window m as (partition by hour_band, date_trunc('month', date))"""
+
+LOGS["log_report_file"] = with_(ACCESS_LOG, PARSED_LOG) + """,
+top as (
+  select string_split(split_part(value, '.html', 1), '/')[-1] as file_name, count(*) as requests
+  from access_log where contains(value,'/Jan/2024') and contains(value,'.html') group by 1 order by requests desc, file_name limit 20),
+daily as (select day(ts) as day, count(*) as requests from parsed where ts is not null group by 1)
+select 'top_files' as file, cast(row_number() over (order by requests desc, file_name) as int) as line_no, concat(file_name, ',', requests) as line from top
+union all select 'daily', cast(row_number() over (order by day) as int), concat(day, ',', requests) from daily
+union all values ('top_files', 0, 'file_name,requests'), ('daily', 0, 'day,requests')"""
+
 ORACLE: dict[str, str] = {}
 ORACLE.update(LOGS)
 
+# ---------------------------------------------------------------------------
+# Reading: malformed lines, schemas
+# ---------------------------------------------------------------------------
+
+RATING_LINES = """lines as (
+select *, (l_orderkey * 31 + l_linenumber * 7 + l_partkey) % 97 as m from lineitem)"""
+
+_OUTCOME = "case m when 0 then 'short' when 1 then 'long' when 2 then 'type' when 3 then 'type' when 4 then 'quote' else 'good' end"
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "array<float>": "FLOAT[]"}
+
+INGEST_SQL = {
+    "csv_outcomes": with_(RATING_LINES) + f"""
+select {_OUTCOME} as outcome, count(*) as n from lines group by 1
+union all select 'type of userId', count(*) from lines where m in (2, 4) having count(*) > 0
+union all select 'type of rating', count(*) from lines where m = 3 having count(*) > 0
+union all select 'type of timestamp', count(*) from lines where m = 3 having count(*) > 0
+union all select 'lines', count(*) from lines""",
+
+    "csv_good_rows": with_(RATING_LINES) + """
+select case when m = 6 then -1 else l_orderkey end as userId, l_partkey as movieId, l_quantity as rating,
+       case when m = 6 then -1 else cast(l_linenumber as bigint) end as timestamp from lines where m > 4""",
+
+    "csv_bad_lines": with_(RATING_LINES) + f"""
+select case m when 0 then concat(l_orderkey, ',', l_partkey)
+  when 1 then concat(l_orderkey, ',', l_partkey, ',', l_quantity, ',', l_linenumber, ',extra')
+  when 2 then concat('x', l_orderkey, ',', l_partkey, ',', l_quantity, ',', l_linenumber)
+  when 3 then concat(l_orderkey, ',', l_partkey, ',abc,', l_linenumber, '.5')
+  else concat('"', l_orderkey, ',', l_partkey, ',', l_quantity, ',', l_linenumber) end as line, {_OUTCOME} as outcome,
+  case m when 0 then 'short' when 1 then 'long' when 2 then 'type:userId' when 3 then 'type:rating,type:timestamp' else 'quote,type:userId' end as reasons,
+  case m when 0 then 2 when 1 then 5 else 4 end as n_fields
+from lines where m < 5""",
+
+    "table_schemas": "with c as (" + " union all ".join(
+        f"select '{t}' as table_name, '{c}' as column_name, count(*) as n_rows, count(*) - count({c}) as n_null from {t}"
+        for t, cols in {
+            "region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"],
+            "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+            "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+            "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+            "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+            "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                         "l_returnflag", "l_linestatus", "l_shipdate"],
+            "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+            "documents": ["doc_id", "text", "lang", "source", "n_chars"], "embeddings": ["vec_id", "embedding", "label"],
+            "pages": ["page_id", "url", "html"], "benchmark": ["item_id", "text"], "labels": ["doc_id", "quality", "toxic"],
+            "conversations": ["conv_id", "turn", "role", "text"]}.items() for c in cols) + """)
+select c.table_name, c.column_name, cast(i.ordinal_position as int) as position,
+       case i.data_type """ + " ".join(f"when '{d}' then '{s}'" for s, d in _TYPES.items()) + """ else i.data_type end as data_type,
+       c.n_null, c.n_rows
+from c join information_schema.columns i on i.table_name = c.table_name and i.column_name = c.column_name""",
+}
+ORACLE.update(INGEST_SQL)
+
 # ---------------------------------------------------------------------------
 # Claims: profile, clean, dictionaries, encoding, stratified split
 # ---------------------------------------------------------------------------

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from tessera.plans import claims, features, logs, metrics, model_checks, models, recommend
+from tessera.plans import claims, features, ingest, logs, metrics, model_checks, models, recommend
 
 
 def all_queries() -> dict:
     out: dict = {}
-    for mod in (logs, claims, recommend, metrics, features, model_checks, models):
+    for mod in (logs, ingest, claims, recommend, metrics, features, model_checks, models):
         out.update(mod.QUERIES)
     return out
 

@@ -6,6 +6,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
@@ -79,3 +81,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     sep = "" if base.endswith("/") else "/"
     return f"{base}{sep}{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def held_tables(spark: SparkSession) -> dict[int, str]:
+    """Id and name of everything the executors hold persisted for this
+    application (DataFrames that were cached, and what estimators keep)."""
+    held = spark.sparkContext._jsc.getPersistentRDDs()
+    return {int(i): str(held[i].name() or held[i].toString()) for i in held}
+
+
+# Names under which ALS persists its factors; its estimator keeps them after the fit.
+ESTIMATOR_TABLES = ("userFactors", "itemFactors", "userInBlocks", "userOutBlocks", "itemInBlocks", "itemOutBlocks")
+
+
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Release what estimators persist within the block and do not release
+    themselves. Results that depend on it must be written or checkpointed
+    inside. Tables that were held before, or that a caller caches under names
+    of its own, stay."""
+    before = held_tables(spark)
+    try:
+        yield
+    finally:
+        held = spark.sparkContext._jsc.getPersistentRDDs()
+        for i in list(held):
+            if int(i) not in before and str(held[i].name() or "").startswith(ESTIMATOR_TABLES):
+                held[i].unpersist()
+
+
+@contextmanager
+def held_audit(spark: SparkSession) -> Iterator[dict[int, str]]:
+    """An initially empty dictionary that holds, after the block, what the block
+    left persisted."""
+    left: dict[int, str] = {}
+    before = held_tables(spark)
+    yield left
+    left.update({i: name for i, name in held_tables(spark).items() if i not in before})

@@ -3,20 +3,25 @@
 * text lines: one ``value`` column; gzip is not splittable, so the scan is
   repartitioned right away to spread the parse over the cluster;
 * headered CSV: all columns as strings (cast later with ``try_cast``) or an
-  explicit typed schema;
+  explicit typed schema; malformed lines fail the read, or are kept apart by
+  ``sources.quarantine``;
 * headerless CSV: positional ``_c0.._cN`` strings renamed in one ``toDF``;
+* result tables: CSV folders, or one ordered file, published by a rename;
 * dictionaries: Parquet partitioned by ``column_name`` (partition pruning when
   one column's dictionary is read).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.encode import MAPPING_SCHEMA
-from tessera.sources.tables import spread
+from tessera.sources.quarantine import CSV_OPTIONS, as_schema, fail_on_bad, with_raw_line
+from tessera.sources.tables import fresh_name, spread
 
 
 def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
@@ -37,19 +42,26 @@ def string_schema(names: list[str]) -> T.StructType:
 
 # NULL is written as this text, so that it differs from an empty string.
 NULL_TEXT = "\\N"
-# Nothing is trimmed, quotes inside quotes are doubled, empty strings are quoted.
-CSV_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
              multi_line: bool = False, null_text: str = NULL_TEXT) -> DataFrame:
-    """CSV with a given schema; with ``header`` the first line is skipped.
+    """CSV with a given schema; a header line must name its columns. A line
+    with too few or too many fields, or a field that is not of its type, fails
+    the job: ``quarantine.read_checked_csv`` keeps such lines apart instead.
     ``multi_line`` reads line ends inside quotes, but a file is then one
     split: leave it off for large files. ``null_text`` is what stands for
     NULL (files of other origin often use the empty string)."""
-    return (spark.read.schema(schema).options(**CSV_OPTIONS).option("nullValue", null_text)
-            .option("header", header).option("multiLine", multi_line).option("mode", "FAILFAST" if multi_line else "PERMISSIVE")
-            .csv(path))
+    schema = as_schema(schema)
+    line = fresh_name([f.name for f in schema.fields], "csv_line")
+    return fail_on_bad(with_raw_line(spark, path, schema, line, header, multi_line, null_text), line)
+
+
+def read_string_csv(spark: SparkSession, path: str, null_text: str = "") -> DataFrame:
+    """Headered CSV with all columns as strings, named by the header (of the
+    first file; the others must agree)."""
+    names = spark.read.options(**CSV_OPTIONS).option("header", True).csv(path).columns
+    return read_csv(spark, path, string_schema(names), null_text=null_text)
 
 
 def read_positional_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
@@ -75,14 +87,53 @@ def write_csv(df: DataFrame, path: str, header: bool = True, multi_line: bool =
      .option("nullValue", NULL_TEXT).option("emptyValue", '""').option("quoteAll", True).option("header", header).csv(path))
 
 
-def write_report(tables: dict[str, DataFrame], out_dir: str, fmt: str = "csv") -> dict[str, str]:
+# A result file is meant to be read by people and scripts.
+MAX_RESULT_ROWS = 1_000_000
+
+
+def write_result_file(df: DataFrame, path: str, order_by: list[str | Column], max_rows: int = MAX_RESULT_ROWS,
+                      header: bool = True, null_text: str = "") -> str:
+    """Write a result table as the one CSV file ``path``, its rows in the given
+    order. The table may have at most ``max_rows`` rows (checked before anything
+    is written, as one task writes the file). The file appears complete, by a
+    rename within its folder, and replaces an older one in the same step:
+    readers never see a part of it, and a job that fails leaves what was there."""
+    n = df.limit(max_rows + 1).count()
+    if n > max_rows:
+        raise ValueError(f"more than {max_rows} rows do not go into one file")
+    spark = df.sparkSession
+    folder, _, name = path.rstrip("/").rpartition("/")
+    hidden = f"{folder}/_{name}-{uuid.uuid4().hex[:12]}"
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    try:
+        (df.repartition(1).sortWithinPartitions(*order_by).write.options(**CSV_OPTIONS).option("nullValue", null_text)
+         .option("emptyValue", '""').option("header", header).csv(hidden))
+        home = fs.Path(hidden).getFileSystem(conf)
+        part = [f.getPath() for f in home.listStatus(fs.Path(hidden)) if f.getPath().getName().startswith("part-")]
+        if len(part) != 1:  # a table without rows and a file per task otherwise
+            raise RuntimeError(f"{len(part)} files were written, not one")
+        replace = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+        replace[0] = fs.Options.Rename.OVERWRITE
+        fs.FileContext.getFileContext(part[0].toUri(), conf).rename(part[0], home.makeQualified(fs.Path(path)), replace)
+    finally:
+        fs.Path(hidden).getFileSystem(conf).delete(fs.Path(hidden), True)
+    return path
+
+
+def write_report(tables: dict[str, DataFrame], out_dir: str, fmt: str = "csv",
+                 order_by: dict[str, list[str | Column]] | None = None) -> dict[str, str]:
     """Write each result table of an analysis to ``out_dir/<name>`` (CSV with
     a header, or Parquet); returns the paths. Result tables are small
-    aggregates, but they are written by the executors like any table."""
+    aggregates, but they are written by the executors like any table. Tables
+    named in ``order_by`` become one ordered file, ``out_dir/<name>.csv``."""
     paths = {}
     for name, df in tables.items():
         path = f"{out_dir.rstrip('/')}/{name}"
-        if fmt == "csv":
+        if fmt == "csv" and name in (order_by or {}):
+            path = write_result_file(df, f"{path}.csv", order_by[name])
+        elif fmt == "csv":
             write_csv(df, path)
         else:
             df.write.mode("overwrite").format(fmt).save(path)

@@ -36,6 +36,19 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_id") % 1000 == 11, stray).otherwise(line).alias("value"))
 
 
+def long_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log over several months: each event is moved on by up to four months,
+    and every sixth day of a month is without traffic."""
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "event_type")
+    moved = F.add_months(F.to_date("ts"), (F.col("event_id") % 5).cast("int"))
+    stamp = F.concat(F.date_format(moved, "dd/MMM/yyyy"), F.lit(":"), F.date_format("ts", "HH:mm:ss"))
+    line = F.concat(F.lit("host - - ["), stamp, F.lit(' -0400] "GET /'), F.col("event_type"), F.lit('.html HTTP/1.0" 200 '),
+                    F.col("event_id").cast("string"))
+    broken = F.concat(F.lit("host - - [31/Feb/2024:00:00:00] "), F.col("event_id").cast("string"))
+    return ev.filter(F.dayofmonth(moved) % 6 != 0).select(
+        F.when(F.col("event_id") % 500 == 3, broken).otherwise(line).alias("value"))
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(userId, movieId, rating): one row per (customer, part)."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
@@ -76,6 +89,28 @@ def particles(spark: SparkSession, sf_dir: str) -> DataFrame:
         *feats)
 
 
+RATING_LINE_SCHEMA = "userId bigint, movieId bigint, rating double, timestamp bigint"
+
+
+def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key columns, m, line): one CSV line per order line as other tools
+    write ratings, with faults by the residue m: too short, too long, text in
+    one or two number columns, a quote that does not end; then good lines with
+    quoted and with empty fields."""
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_linenumber")
+    m = (F.col("l_orderkey") * 31 + F.col("l_linenumber") * 7 + F.col("l_partkey")) % 97
+    s = lambda c: F.col(c).cast("string")
+    user, movie, rating, stamp = s("l_orderkey"), s("l_partkey"), s("l_quantity"), s("l_linenumber")
+    cases = [(user, movie), (user, movie, rating, stamp, F.lit("extra")), (F.concat(F.lit("x"), user), movie, rating, stamp),
+             (user, movie, F.lit("abc"), F.concat(stamp, F.lit(".5"))), (F.concat(F.lit('"'), user), movie, rating, stamp),
+             (F.concat(F.lit('"'), user, F.lit('"')), F.concat(F.lit('"'), movie, F.lit('"')), rating, stamp),
+             (F.lit(""), movie, rating, F.lit(""))]
+    line = F.concat_ws(",", user, movie, rating, stamp)
+    for i, fields in enumerate(cases):
+        line = F.when(F.col("m") == i, F.concat_ws(",", *fields)).otherwise(line)
+    return li.withColumn("m", m).withColumn("line", line)
+
+
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-string claims table keyed by (l_orderkey, l_linenumber, l_partkey,
     l_suppkey): the analyses' 2 integer, 8 numeric, 13 string and 4 large

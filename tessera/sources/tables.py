@@ -3,7 +3,12 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.session import scratch_path
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -12,6 +17,14 @@ TABLES = (
 )
 
 
+def fresh_name(taken: list[str], wanted: str) -> str:
+    """A column name that no column of ``taken`` has."""
+    have = {c.lower() for c in taken}
+    while wanted.lower() in have:
+        wanted += "_"
+    return wanted
+
+
 def table_path(sf_dir: str, name: str) -> str:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
@@ -24,18 +37,47 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
-# Partitions of training data; raise it on a large cluster with the setting
-# tessera.fitPartitions.
-FIT_PARTITIONS = 8
+# Training rows of one bucket: small tables still give every core work, very
+# large ones do not get more buckets than a cluster schedules well, and no
+# bucket grows beyond what a task holds.
+BUCKET_ROWS, MAX_BUCKETS, MAX_BUCKET_ROWS = 10_000, 10_000, 2_000_000
 
 
-def fit_layout(df: DataFrame, key: list[str], partitions: int | None = None) -> DataFrame:
-    """One layout for model fits: hash-partitioned by ``key`` into a fixed
-    number of partitions, rows in key order. Sampling inside tree ensembles
-    depends on the layout, so the same rows give the same model however the
-    input was split."""
-    n = partitions or int(df.sparkSession.conf.get("tessera.fitPartitions", str(FIT_PARTITIONS)))
-    return df.repartition(n, *key).sortWithinPartitions(*key)
+def bucket_count(rows: int) -> int:
+    """Buckets of a training table, from its row count alone."""
+    each = min(max(BUCKET_ROWS, ceil(rows / MAX_BUCKETS)), MAX_BUCKET_ROWS)
+    return max(1, ceil(rows / each))
+
+
+def fit_layout(df: DataFrame, key: list[str], buckets: int | None = None) -> DataFrame:
+    """One layout for model fits: rows dealt by a hash of ``key`` into buckets,
+    in key order inside each. Sampling inside tree ensembles and the sums of
+    iterative solvers depend on the layout; this one follows from the rows and
+    their number, so the same rows give the same model however the input was
+    split and whatever cluster it is fitted on.
+
+    The rows are written to the shared scratch folder first (they are counted,
+    dealt and read in every pass of a fit; a lost executor re-reads them
+    instead of what they were made from). A key that alone would fill a bucket
+    is split: its equal rows, which nothing tells apart, are dealt in turn, its
+    differing rows by a hash of all columns."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "training-rows")
+    df.write.parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path)
+    per_key = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    total, most = per_key.agg(F.sum("n"), F.max("n")).first()
+    buckets = buckets or bucket_count(total or 0)
+    bucket = fresh_name(df.columns, "bucket")
+    if (total or 0) > 1 and buckets > 1 and most > total / buckets / 2:
+        turn = fresh_name([*df.columns, bucket], "turn")
+        same = rows.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(turn))
+        dealt = same.withColumn(turn, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(turn))))
+        dealt = dealt.withColumn(bucket, ((F.pmod(F.xxhash64(*df.columns), F.lit(buckets)) + F.col(turn)) % buckets).cast("int")).drop(turn)
+    else:
+        dealt = rows.withColumn(bucket, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+    order = [*key, *[c for c in df.columns if c not in key]]
+    return dealt.repartitionById(buckets, F.col(bucket)).sortWithinPartitions(*order).select(*df.columns)
 
 
 def spread(df: DataFrame) -> DataFrame:
