@@ -28,12 +28,3 @@ def uniform(*cols: str | Column, seed: int = 123) -> Column:
     digest = F.md5(F.concat(key_text(*cols), F.lit(f":{seed}")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(TWO_POW_32)
 
-
-def uniform_sql(*cols: str, seed: int = 123) -> str:
-    """The same number as DuckDB SQL text (used by the oracle)."""
-    if len(cols) == 1:
-        text = f"coalesce(cast({cols[0]} as varchar), '')"
-    else:
-        text = "concat_ws('|', " + ", ".join(f"cast({c} as varchar)" for c in cols) + ")"
-    return (f"(cast(('0x'||substr(md5({text}||':{seed}'),1,8)) as bigint)"
-            f"/4294967296.0::double)")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import metrics as M
 from tessera.operators.clean import class_balance as balance
+from tessera.operators.rowid import stable_ids
 from tessera.operators.split import hash_sample, hash_split
 from tessera.operators.tandem import combine_by_key
 from tessera.sources.fixtures import particles
@@ -49,18 +50,25 @@ def class_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tandem_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line gets the gate's decision; gated lines get the severity
-    prediction from a separate table, joined back on a row key.
+    prediction from a separate table, joined back on a row id.
 
     (orderkey, linenumber, partkey, suppkey) repeats in small tables, so the
-    join key also carries the models' inputs (quantity -> gate, price ->
-    amount): rows with equal keys then have equal predictions."""
-    key = LINE_KEY + ["l_quantity", "l_extendedprice"]
-    li = _lines(spark, sf_dir, *key)
-    all_rows = li.select(*key, (F.col("l_quantity") > 25).cast("double").alias("prediction1"),
+    lines get stable ids first; the severity table carries only the id."""
+    key, row_id = LINE_KEY + ["l_quantity", "l_extendedprice"], ["row_hash", "row_nth"]
+    li = stable_ids(_lines(spark, sf_dir, *key))
+    all_rows = li.select(*LINE_KEY, *row_id, (F.col("l_quantity") > 25).cast("double").alias("prediction1"),
                          F.col("l_extendedprice").alias("Claim_Amount"))
     severity = (li.filter(F.col("l_quantity") > 25)
-                .select(*key, F.col("l_extendedprice").alias("prediction2")))
-    return combine_by_key(all_rows, severity, key).drop("l_quantity", "l_extendedprice")
+                .select(*row_id, F.col("l_extendedprice").alias("prediction2")))
+    return combine_by_key(all_rows, severity, row_id).drop(*row_id)
+
+
+def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of rows that repeat many times: the ordinals of equal rows, and
+    whether the id occurs once."""
+    li = stable_ids(_lines(spark, sf_dir, "l_returnflag", "l_linestatus", "l_quantity"))
+    once = li.groupBy("row_hash", "row_nth").agg((F.count(F.lit(1)) == 1).alias("unique"))
+    return li.join(once, ["row_hash", "row_nth"]).drop("row_hash")
 
 
 def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +88,7 @@ QUERIES = {
     "metric_mae": metric_mae,
     "class_balance": class_balance,
     "tandem_combine": tandem_combine,
+    "row_ids": row_ids,
     "holdout_split": holdout_split,
     "subsample": subsample,
 }

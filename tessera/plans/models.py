@@ -105,7 +105,7 @@ def grid_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- two-part claim model ---------------------------------------------------
 
-def _encoded_claims(spark, sf_dir):
+def encoded_claims(spark, sf_dir):
     clean = CP.cleaned_claims(spark, sf_dir)
     cols = CP.claim_columns(clean)
     mapping = CP.learned_mapping(spark, sf_dir)
@@ -127,7 +127,7 @@ def _fit_severity(data, categorical, numeric):
 
 def claim_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tree gate on the training split: predicted ones, actual ones, rows."""
-    data, cat, num = _encoded_claims(spark, sf_dir)
+    data, cat, num = encoded_claims(spark, sf_dir)
     with M.persisted(data):
         model = _fit_classifier(data, cat, num)
         scored = model.transform(data.filter(F.col("split") == "train"))
@@ -142,7 +142,7 @@ def _materialised(result: DataFrame) -> DataFrame:
 
 def claim_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gamma GLM on actual claims; rmse/mae on the test split's claims."""
-    data, cat, num = _encoded_claims(spark, sf_dir)
+    data, cat, num = encoded_claims(spark, sf_dir)
     with M.persisted(data):
         model = _fit_severity(data, cat, num)
         test_pos = data.filter((F.col("split") == "test") & (F.col("y") == 1))
@@ -152,7 +152,7 @@ def claim_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tandem_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classifier gates the GLM on the test split; ungated rows predict 0."""
-    data, cat, num = _encoded_claims(spark, sf_dir)
+    data, cat, num = encoded_claims(spark, sf_dir)
     with M.persisted(data):
         clf = _fit_classifier(data, cat, num)
         reg = _fit_severity(data, cat, num)

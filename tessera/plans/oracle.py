@@ -9,8 +9,6 @@ dialects; counts are BIGINT and small integers INT in both.
 
 from __future__ import annotations
 
-from tessera.functions.hashing import uniform_sql
-
 # ---------------------------------------------------------------------------
 # Derived inputs (DuckDB dialect of tessera.sources.fixtures)
 # ---------------------------------------------------------------------------
@@ -43,7 +41,13 @@ def with_(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
 
-U = uniform_sql  # noqa: E305
+def U(*keys: str, seed: int = 123) -> str:  # noqa: N802
+    """A row's draw, stated apart from the library: the key's parts joined by
+    '|', a colon and the seed; the first eight hex digits of the md5 of that
+    text, read as a number and divided by 2**32."""
+    text = f"concat(concat_ws('|', {', '.join(f'cast({k} as varchar)' for k in keys)}), ':', '{seed}')"
+    return f"(cast(concat('0x', left(md5({text}), 8)) as ubigint) / power(2.0::double, 32))"
+
 
 # ---------------------------------------------------------------------------
 # Web logs
@@ -439,4 +443,100 @@ from embeddings, range(1, 65) r(i) group by 1, i""",
 select count(*) filter (where l_quantity > 25) as predicted_ones, count(*) filter (where l_quantity > 25) as actual_ones,
        count(*) as n_rows from lineitem""",
 }
+
+# Equations and counts of models fitted at their own settings.
+_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+SPLIT_ROWS = """line_labels as (
+select *, l_quantity + 200 * l_discount + 100 * l_tax + l_linenumber > 43 as hit from lineitem)"""
+
+
+def _bits(ones: str, n: str) -> str:
+    """Entropy in bits of a 0/1 label."""
+    part = lambda q: f"case when {q} > 0 then -({q}) * log2({q}) else 0.0 end"
+    return f"({part(f'({ones} / {n})')} + {part(f'(1 - {ones} / {n})')})"
+
+
+def _gains(bins: dict[str, int]) -> str:
+    values = " union all ".join(f"select '{c}' as feature, cast({c} as double) as value, cast(hit as int) as one, {b} as most from line_labels"
+                                for c, b in bins.items())
+    return f"""gains as (
+with v as ({values}),
+c as (select feature, most, value, count(*) as n, sum(one) as ones from v group by all),
+p as (select *, coalesce(sum(n) over (partition by feature order by value rows between unbounded preceding and 1 preceding), 0) as before,
+             row_number() over (partition by feature order by value) - 1 as nth,
+             count(*) over (partition by feature) as values_, sum(n) over (partition by feature) as total from c),
+b as (select feature, cast(case when values_ <= most then nth else floor(before * most / total) end as int) as bin,
+             min(value) as low, max(value) as high, sum(n) as n, sum(ones) as ones from p group by 1, 2),
+r as (select feature, (high + lead(low) over w) / 2 as threshold, sum(n) over w as nl, sum(ones) over w as ol,
+             sum(n) over (partition by feature) as na, sum(ones) over (partition by feature) as oa from b
+      window w as (partition by feature order by bin))
+select feature, threshold, cast(nl as bigint) as n_left, cast(na - nl as bigint) as n_right,
+       {_bits('oa', 'na')} - (nl * {_bits('ol', 'nl')} + (na - nl) * {_bits('(oa - ol)', '(na - nl)')}) / na as gain
+from r where threshold is not null)"""
+
+
+_SPLIT_BINS = {"l_quantity": 64, "l_discount": 64, "l_tax": 64, "l_linenumber": 64}
+_SEVERITY_LEVELS = " union all ".join(
+    f"select '{c}' as feature, cast({c} as varchar) as level, count(*) as n from train group by 2"
+    for c in CLAIM_INTS + CLAIM_STRINGS + CLAIM_LARGE)
+_SEVERITY_NUMBERS = " union all ".join(f"select '{c}' as feature, '' as level, count(*) as n from train" for c in [*CLAIM_NUMBERS, "(intercept)"])
+_TUNING = f"""sample as (
+select *, l_quantity > 25 as hit, {U(*_KEYS, seed=124)} as u, cast(floor({U(*_KEYS, seed=125)} * 5) + 1 as int) as fold
+from lineitem where {U(*_KEYS)} < 0.05)"""
+
+MODEL_SQL |= {
+    "split_gains": with_(SPLIT_ROWS, _gains({**_SPLIT_BINS, "l_extendedprice": 32})) + """
+select feature, threshold, n_left, n_right, round(gain, 9) as gain from gains""",
+
+    "tree_roots": with_(SPLIT_ROWS, _gains(_SPLIT_BINS)) + """
+select source, feature, threshold from (select * from gains order by round(gain, 12) desc, feature, threshold limit 1),
+  (values ('tree'), ('gains')) s(source)""",
+
+    "importance_rank": f"""
+with r as (select l_quantity > 25 as x, l_discount > 0.07 as z from lineitem),
+c as (select count(*) as n, count(*) filter (where x) as nx, count(*) filter (where z) as nz, count(*) filter (where x and z) as nxz from r),
+g as (  -- the gain of either column at the root, and what the other adds below it, times rows
+  select 'x' as root, 'z' as other, n * {_bits('(nx + nz - nxz)', 'n')} - (n - nx) * {_bits('(nz - nxz)', '(n - nx)')} as at_root,
+         (n - nx) * {_bits('(nz - nxz)', '(n - nx)')} as below from c
+  union all
+  select 'z', 'x', n * {_bits('(nx + nz - nxz)', 'n')} - (n - nz) * {_bits('(nx - nxz)', '(n - nz)')},
+         (n - nz) * {_bits('(nx - nxz)', '(n - nz)')} from c),
+t as (select * from g order by at_root desc limit 1),
+i as (select root as feature, at_root / (at_root + below) as importance from t
+      union all select other, below / (at_root + below) from t union all select 'w', 0.0)
+select cast(row_number() over (order by importance desc, feature) as int) as rank, feature, round(importance, 9) as importance from i""",
+
+    "holdout_separable": f"""
+with r as (select l_quantity > 25 as hit, {U(*_KEYS)} < 0.7 as train from lineitem)
+select 1.0::double as auc, 1.0::double as accuracy, count(*) filter (where not train) as n_scored, count(*) filter (where not train) as n_rows,
+       count(*) filter (where not train) as n_test, count(*) filter (where train) as n_train,
+       count(*) filter (where train and hit) as train_positives, 'x' as feature from r""",
+
+    "tuning_folds": with_(_TUNING) + """
+select case when u < 0.7 then 'train' else 'test' end as part, case when u < 0.7 then fold else 0 end as fold,
+       count(*) as n, count(*) filter (where hit) as positives from sample group by 1, 2""",
+
+    "gbt_cells": with_(_TUNING) + """
+select cast(cell as int) as cell, maxBins, maxIter, 1.0::double as auc, cell = 0 as best, 1.0::double as accuracy,
+       (select count(*) from sample where u >= 0.7) as n_test
+from (values (0, '5', '1'), (1, '5', '2'), (2, '10', '1'), (3, '10', '2')) g(cell, maxBins, maxIter)""",
+
+    "severity_equations": with_(CLAIMS, CLEAN, TOPN_SQL, ORDINAL_SQL, OVERRIDE_SQL) + f""",
+enc as (select {", ".join(CLAIM_INTS)}, {", ".join(_enc(c) for c in CLAIM_STRINGS + CLAIM_LARGE)},
+               {U(*_KEYS, 'y')} < 0.7 as in_train from clean where y = 1),
+train as (select * from enc where in_train)
+select *, true as solved from ({_SEVERITY_LEVELS} union all {_SEVERITY_NUMBERS}
+  union all select '(test rows)', '', count(*) from enc where not in_train)""",
+
+    "als_equations": with_(RATINGS, FOLDS) + """,
+t as (select cast(k as int) as k, f.* from folds f, range(1, 4) r(k) where f.fold <> k)
+select k as fold, 'user' as side, userId as id, count(*) as n, true as solved from t group by 1, 3
+union all select k, 'item', movieId, count(*), true from t group by 1, 3""",
+
+    "split_fits": with_(RATINGS, FOLDS) + """
+select fold, count(*) as n_ratings, count(distinct movieId) as n_items, true as at_rest from folds group by 1""",
+}
+MODEL_SQL["row_ids"] = """
+select l_returnflag, l_linestatus, l_quantity, row_number() over (partition by l_returnflag, l_linestatus, l_quantity) - 1 as row_nth,
+       true as "unique" from lineitem"""
 ORACLE.update(MODEL_SQL)
