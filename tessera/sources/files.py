@@ -44,17 +44,35 @@ def string_schema(names: list[str]) -> T.StructType:
 NULL_TEXT = "\\N"
 
 
+def escape_lines(text: Column) -> Column:
+    """Text without line ends: backslash, line feed and carriage return as two
+    characters each."""
+    for plain, escaped in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    return text
+
+
+def unescape_lines(text: Column) -> Column:
+    """What ``escape_lines`` was given."""
+    parts = F.transform(F.split(text, r"\\\\"), lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(parts, "\\")
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
-             multi_line: bool = False, null_text: str = NULL_TEXT) -> DataFrame:
+             multi_line: bool = False, null_text: str = NULL_TEXT, escaped: bool = False) -> DataFrame:
     """CSV with a given schema; a header line must name its columns. A line
     with too few or too many fields, or a field that is not of its type, fails
     the job: ``quarantine.read_checked_csv`` keeps such lines apart instead.
     ``multi_line`` reads line ends inside quotes, but a file is then one
     split: leave it off for large files. ``null_text`` is what stands for
-    NULL (files of other origin often use the empty string)."""
+    NULL (files of other origin often use the empty string). ``escaped`` undoes
+    what ``write_csv`` did under that name."""
     schema = as_schema(schema)
     line = fresh_name([f.name for f in schema.fields], "csv_line")
-    return fail_on_bad(with_raw_line(spark, path, schema, line, header, multi_line, null_text), line)
+    df = fail_on_bad(with_raw_line(spark, path, schema, line, header, multi_line, null_text), line)
+    if not escaped:
+        return df
+    return df.select(*[unescape_lines(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else f.name for f in schema.fields])
 
 
 def read_string_csv(spark: SparkSession, path: str, null_text: str = "") -> DataFrame:
@@ -71,12 +89,16 @@ def read_positional_csv(spark: SparkSession, path: str, names: list[str]) -> Dat
     return raw.toDF(*names)
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, multi_line: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, header: bool = True, multi_line: bool = False, escaped: bool = False) -> None:
     """CSV that ``read_csv`` reads back unchanged. Text that would not survive
-    (the NULL text itself; line ends, unless ``multi_line``) fails the job."""
+    (the NULL text itself; line ends, unless ``multi_line``) fails the job.
+    With ``escaped`` line ends and backslashes are written as escapes, so any
+    text survives and the files can still be split between lines."""
     def checked(f: T.StructField):
         if not isinstance(f.dataType, T.StringType):
             return F.col(f.name)
+        if escaped:
+            return escape_lines(F.col(f.name)).alias(f.name)
         bad = F.col(f.name) == NULL_TEXT
         if not multi_line:
             bad = bad | F.col(f.name).rlike("[\\r\\n]")

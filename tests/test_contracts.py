@@ -43,8 +43,11 @@ def test_encode_agrees_on_repeated_and_null_values(spark):
     df = spark.createDataFrame([(None, "a"), (1, "a"), (2, "a"), (2, "b"), (3, None)], "k int, c string")
     m = E.fixed_mapping(spark, [("c", "a", 1), ("c", "b", 2)])
     want = [0.0, 1.0, 1.0, 1.0, 2.0]
-    for limit in (0, 10):
-        assert sorted(r.c for r in E.encode(df, m, ["c"], max_broadcast=limit).collect()) == want
+    for limits in ({"max_broadcast": 0}, {"max_broadcast": 10}, {"max_bytes": 1}, {"max_bytes": 2}):
+        got = E.encode(df, m, ["c"], **limits)
+        assert sorted(r.c for r in got.collect()) == want
+        # a hint is given only within both bounds
+        assert ("ResolvedHint" in got._jdf.queryExecution().analyzed().toString()) == (limits in ({"max_broadcast": 10}, {"max_bytes": 2}))
 
 
 def test_top_n_gives_no_id_to_null(spark):
@@ -102,6 +105,16 @@ def test_csv_round_trip_of_odd_text(spark, tmp_path):
     assert sorted(map(tuple, back.collect()), key=key) == sorted(map(tuple, multi.collect()), key=key)
 
 
+def test_escaped_csv_keeps_any_text_on_one_line(spark, tmp_path):
+    rows = [("x\ny",), ("\r\n",), ("\\n",), ("\\\\n\n",), ("\\N",), (None,), ("",), ('"\n,"',), ("\\",), ("\\\\",), ("\\r\\\r",)]
+    df = spark.createDataFrame(rows, "v string")
+    path = str(tmp_path / "csv")
+    files.write_csv(df, path, escaped=True)
+    assert spark.read.text(path).filter("value <> '\"v\"'").count() == len(rows)
+    key = lambda r: (r[0] is None, r[0] or "")
+    assert sorted(map(tuple, files.read_csv(spark, path, "v string", escaped=True).collect()), key=key) == sorted(rows, key=key)
+
+
 @pytest.mark.parametrize("text", ["x\ny", "\\N"])
 def test_csv_refuses_what_it_would_lose(spark, tmp_path, text):
     with pytest.raises(Exception, match="would not give back|USER_RAISED"):
