@@ -158,9 +158,8 @@ def tandem_claims(spark: SparkSession, csv_path: str, dictionary_path: str, tree
 # --- ratings ---------------------------------------------------------------------
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """Headered CSV (userId, movieId, rating, timestamp) with a typed schema."""
-    raw = files.read_csv(spark, path, "userId bigint, movieId bigint, rating double, timestamp bigint", null_text="")
-    return raw.select("userId", "movieId", "rating")
+    """Headered CSV with (at least) userId, movieId and rating, typed."""
+    return files.read_named_csv(spark, path, {"userId": "bigint", "movieId": "bigint", "rating": "double"})
 
 
 def rating_grid(spark: SparkSession, ratings_path: str, reg_params=(0.1, 0.5, 1.0),
@@ -181,8 +180,8 @@ def tag_clusters(spark: SparkSession, ratings_path: str, scores_path: str, tags_
     clusters' 3 strongest tags with their names."""
     ensure_checkpoint_dir(spark)
     folded = assign_folds(read_ratings(spark, ratings_path), ["userId", "movieId"], folds, M.SEED)
-    scores = files.read_csv(spark, scores_path, "movieId bigint, tagId int, relevance double", null_text="")
-    tags = files.read_csv(spark, tags_path, "tagId int, tag string", null_text="")
+    scores = files.read_named_csv(spark, scores_path, {"movieId": "bigint", "tagId": "int", "relevance": "double"})
+    tags = files.read_named_csv(spark, tags_path, {"tagId": "int", "tag": "string"})
     best = R.item_best_tag(scores).checkpoint(eager=True)  # used for each split, twice
     out = None
     with releasing(spark), M.persisted(folded):

@@ -82,6 +82,18 @@ def read_string_csv(spark: SparkSession, path: str, null_text: str = "") -> Data
     return read_csv(spark, path, string_schema(names), null_text=null_text)
 
 
+def read_named_csv(spark: SparkSession, path: str, types: dict[str, str], null_text: str = "") -> DataFrame:
+    """The named columns of a headered CSV, typed; the header decides where they
+    stand. Other columns are checked for their number only. A name that the
+    header lacks is an error."""
+    names = spark.read.options(**CSV_OPTIONS).option("header", True).csv(path).columns
+    missing = [c for c in types if c not in names]
+    if missing:
+        raise ValueError(f"columns missing from the header of {path}: {missing}")
+    schema = T.StructType([T.StructField(n, T.DataType.fromDDL(types.get(n, "string"))) for n in names])
+    return read_csv(spark, path, schema, null_text=null_text).select(*types)
+
+
 def read_positional_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     """Headerless CSV whose columns are known by position: read as strings
     named ``_c0..``, then renamed in one projection."""

@@ -73,6 +73,13 @@ def test_a_header_must_name_the_columns(spark, tmp_path):
     assert files.read_string_csv(spark, path).columns == ["a", "c", "b", "d", "e"]
 
 
+def test_named_columns_may_stand_anywhere(spark, tmp_path):
+    path = write(str(tmp_path / "in"), ["x,2,1.5", "y,3,2.5"], "other,b,a")
+    assert sorted(map(tuple, files.read_named_csv(spark, path, {"a": "double", "b": "int"}).collect())) == [(1.5, 2), (2.5, 3)]
+    with pytest.raises(ValueError, match="'c'"):
+        files.read_named_csv(spark, path, {"a": "double", "c": "int"})
+
+
 def test_names_of_the_quarantine_do_not_clash(spark, tmp_path):
     path = write(str(tmp_path / "in"), ["1,2,3", "1,x,3"])
     got = Q.read_checked_csv(spark, path, "csv_line bigint, CSV_OUTCOME int, csv_reasons string", header=False)
