@@ -2,30 +2,39 @@
 
 1. Exact copies (equal word sequences, case and white space aside) collapse
    by digest.
-2. The set of each document's five-word shingles (weight 1 each, as the
-   verified measure counts them) gets a ProbMinHash signature: element arrivals of a Poisson process whose rate is
-   the weight fall into random registers, the earliest arrival names the
-   register; an element stops as soon as its next arrival is later than all
-   registers' (early termination). Registers of two documents agree with
-   their probability Jaccard similarity, which for weights of 1 is the
-   Jaccard similarity of the sets.
-3. Bands of registers propose buckets. Within a bucket no all-pairs join is
-   made: members are verified against two hubs; those that fail, and that no
-   other link has tied to the hub, or that share too few bands with it, go on to the next round with new hubs, until
-   few are left, which are then paired. Pairs that this skips are either in one
-   class already or excluded by the triangle inequality (Jaccard distance is a
-   metric); pairs that neither excludes are verified in the end.
+2. The five-word shingles of each document get ProbMinHash signatures: element
+   arrivals of a Poisson process whose rate is the weight fall into random
+   registers, the earliest arrival names the register; an element stops as soon
+   as its next arrival is later than all registers' (early termination).
+   Registers of two documents agree with their probability Jaccard similarity.
+   One signature gives every shingle weight 1, as the verified measure counts
+   it, so its registers agree with the Jaccard similarity of the sets; a second,
+   shorter one weighs a shingle by 1 + log2(its count) and proposes documents
+   whose repeated parts are alike.
+3. Bands of registers propose buckets. The pairs of a bucket are never
+   enumerated:
+   a. members of the first bands are verified against their bucket's hub, and
+      links form components;
+   b. in buckets that still hold several components, members outside the
+      largest one are verified against its hub, the member with the most links;
+   c. what is left is settled exactly by symmetric differences. If d(x) is the
+      difference of x from the hub's set, then x and y differ by
+      |d(x)| + |d(y)| - 2 |d(x) & d(y)|, so a pair that is similar enough must
+      share a known number of elements of their differences. These are small and
+      mostly the documents' own edits: ordered by how often they occur in the
+      hub's group, pairs must meet in a short prefix of rare ones. Pairs that
+      meet there are verified; all others are excluded by that bound.
 4. Verification is exact: Jaccard similarity of the shingle sets >= 0.8.
 5. Linked documents form classes (connected components).
 
-With BANDS x ROWS = 36 x 5 a pair of similarity 0.8 agrees in at least
-SHARED_BANDS = 2 bands with probability > 0.99998 (more similar ones surely);
-pairs that agree in one only are not verified.
+With BANDS x ROWS = 36 x 5 a pair of similarity 0.8 shares a bucket with
+probability > 0.9999999 (more similar ones surely).
 
 Defined results: NULL and blank texts are copies of each other; a text of
-fewer than five words is one shingle; repeated rows are copies; an empty table
-gives no rows; NULL ids take part, a class's id is its least id that is not
-NULL. Other columns are not touched.
+fewer than five words is one shingle; repeated rows are copies; texts may have
+any length; an empty table gives no rows; NULL ids take part, a class's id is
+its least id that is not NULL. Other columns are not touched, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -34,23 +43,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.components import connected_components, maybe_in, thin
 from tessera.llm.shingles import GOLDEN, list_array, list_parts, mix64, row_chunks, row_sets, shingles, word_hashes
 from tessera.llm.text import clean_text, lower_words
 from tessera.session import scratch_path
-from tessera.sources.tables import read_table
+from tessera.sources.tables import fresh_name, read_table
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 36, 5
-SHARED_BANDS = 2  # that a pair must agree in to be verified
+WEIGHTED_BANDS = 4  # of the signature that weighs repeated shingles more
+FIRST_BANDS = 4  # whose buckets make the first components
 CHUNK_WORDS, CHUNK_ROWS = 400_000, 4_000
-# Pairs left in the buckets are enumerated once they are at most this many
-# times the bucket entries: work stays linear in the input.
-LINEAR = 1
+# Classes of members of a hub's group, by difference and by size: ratios of
+# neighbouring classes.
+DIFFERENCE_STEP, SIZE_STEP = 1.1, 1.15
 
 
 def prob_min_hash(row: np.ndarray, key: np.ndarray, weight: np.ndarray, rows: int, registers: int) -> np.ndarray:
@@ -85,16 +95,20 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
         return acc
 
 
-def _signatures(batches: Iterator[pa.RecordBatch], bands: int, rows: int, width: int) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch], bands: int, rows: int, width: int,
+                weighted_bands: int = WEIGHTED_BANDS) -> Iterator[pa.RecordBatch]:
+    every = bands + weighted_bands
     for batch in batches:
         values, offsets = list_parts(batch.column("hashes"))
         for lo, hi in row_chunks(offsets, CHUNK_WORDS, CHUNK_ROWS):
             part, base = offsets[lo:hi + 1] - offsets[lo], values[offsets[lo]:offsets[hi]]
-            row, key, _ = row_sets(*shingles(base, part, width))
-            sig = prob_min_hash(row, key, np.ones(len(key)), hi - lo, bands * rows)
-            keys = band_keys(sig, bands, rows)
+            row, key, count = row_sets(*shingles(base, part, width))
+            keys = band_keys(prob_min_hash(row, key, np.ones(len(key)), hi - lo, bands * rows), bands, rows)
+            if weighted_bands:
+                more = prob_min_hash(row, mix64(key), 1.0 + np.log2(count), hi - lo, weighted_bands * rows)
+                keys = np.concatenate([keys, mix64(band_keys(more, weighted_bands, rows))], axis=1)
             some = np.diff(part) > 0
-            ends = np.concatenate([[0], np.cumsum(np.where(some, bands, 0))])
+            ends = np.concatenate([[0], np.cumsum(np.where(some, every, 0))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(lo, hi - lo), batch.column("digest").slice(lo, hi - lo),
                  list_array(keys[some].reshape(-1).view(np.int64), ends)], names=["doc_id", "digest", "bands"])
@@ -122,113 +136,122 @@ def _kept(df: DataFrame, name: str, small: bool = True) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _hubs(members: DataFrame) -> DataFrame:
-    """(key, hubs, n) of buckets with at least two members: the first and the
-    last in one random order, so a large cluster soon provides one."""
-    place = F.struct(F.xxhash64("digest").alias("h"), "digest")
-    hubs = members.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("x"), F.max(place).alias("z"))
-    return hubs.filter("n > 1").select("key", F.array("x.digest", "z.digest").alias("hubs"), "n")
-
+def _with_items(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, ...) with the sets x of a and y of b. The side b, which
+    repeats (hubs), is joined while the rows are still thin."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("digest"))
+    sets = maybe_in(sets.select("digest", "items"), "digest", ends)
+    for c, out in (("b", "y"), ("a", "x")):
+        pairs = pairs.join(sets.select(F.col("digest").alias(c), F.col("items").alias(out)), c)
+    return pairs
 
-def _with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
-    for c, out in (("a", "x"), ("b", "y")):
-        pairs = pairs.join(table.select(F.col("digest").alias(c), F.col(column).alias(out)), c)
-    return pairs.withColumn("both", F.size(F.array_intersect("x", "y")))
 
+def _similar(difference: Column, x: Column, y: Column, threshold: float) -> Column:
+    """Whether sets of sizes x and y that differ by so many elements have the
+    wanted Jaccard similarity."""
+    both = ((x + y - difference) / 2).cast("bigint")
+    return both / (x + y - both) >= threshold
 
-def _exact(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, keys, open) with their Jaccard similarity j."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("digest"))
-    found = _with_both(pairs, maybe_in(sets.select("digest", "items"), "digest", ends), "items")
-    return found.select("a", "b", "keys", "open", (F.col("both") / (F.size("x") + F.size("y") - F.col("both"))).alias("j"))
 
+def _links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose Jaccard similarity reaches the threshold."""
+    both = F.size(F.array_intersect("x", "y"))
+    found = _with_items(pairs.distinct(), sets)
+    return found.filter(both / (F.size("x") + F.size("y") - both) >= threshold).select("a", "b")
 
-def _judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, keys, open, j): each distinct pair of (key, a, b, served) with the
-    buckets it came from (at most one a band), those where a has not served as
-    a hub, and its exact Jaccard similarity; NULL for pairs that agree in fewer
-    than SHARED_BANDS bands. ``sets``: (digest, bands, items)."""
-    pairs = pairs.repartition("a").groupBy("a", "b").agg(
-        F.collect_list("key").alias("keys"), F.collect_list(F.when(~F.col("served"), F.col("key"))).alias("open"))
 
-    pairs = _kept(_with_both(pairs, sets, "bands").select("a", "b", "keys", "open", F.col("both").alias("shared")), "pairs", small=False)
-    found = _exact(pairs.filter(F.col("shared") >= SHARED_BANDS).drop("shared"), sets)
-    return found.unionByName(pairs.filter(F.col("shared") < SHARED_BANDS).select("a", "b", "keys", "open", F.lit(None).cast("double").alias("j")))
+def _info(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root, size, rep) of all linked nodes: rep is the node of the
+    component with the most links."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    best = roots.join(degree, "node").groupBy("root").agg(
+        F.count(F.lit(1)).alias("size"), F.max(F.struct("degree", F.xxhash64("node").alias("h"), "node"))["node"].alias("rep"))
+    return _kept(roots.join(best, "root").select("node", "root", "size", "rep"), "info")
 
 
-def _classes_of(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(node, root) of the linked documents, from bucket entries (key, digest,
-    hubs, n)."""
-    size = members.count()
-    active, links, judged = members, None, None
-    while True:
-        left, pairs = active.groupBy("key").agg(F.max("n").alias("n")).agg(
-            F.count("*"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
-        if not left:
-            break
-        last = pairs <= LINEAR * size
-        if last:  # few enough: all pairs of each bucket
-            other = active.select("key", F.col("digest").alias("b"))
-            here = active.select("key", F.col("digest").alias("a")).join(other, "key").filter("a < b").withColumn("served", F.lit(True))
-        else:
-            here = active.select("key", F.col("digest").alias("a"), F.explode("hubs").alias("b"),
-                                 F.array_contains("hubs", F.col("digest")).alias("served")).filter("a <> b")
-        found = _kept(_judged(here, sets), "judged", small=False)
-        new = found.filter(F.col("j") >= threshold).select("a", "b")
-        links = new if links is None else links.unionByName(new)
-        if last:
-            break
-        judged = found if judged is None else judged.unionByName(found)
-        # go on with members that failed and that no link ties to the hub
-        # within two steps, or whose distance to the hub is not known
-        lead = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(
-            F.min(F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("d"))).alias("m"))
-        lead = _kept(lead.select("a", F.least(F.col("m"), F.struct(F.xxhash64("a").alias("h"), F.col("a").alias("d")))["d"].alias("lead")), "lead")
-        second = lead.select(F.col("a").alias("lead"), F.col("lead").alias("label"))
-        label = lead.join(second, "lead").select(F.col("a").alias("node"), F.col("label").alias("root"))
-        failed = _apart(found.filter(F.col("j") < threshold), _kept(label, "label"))
-        failed = failed.unionByName(found.filter("j IS NULL"))
-        failed = _kept(failed.select(F.explode("open").alias("key"), F.col("a").alias("digest")).distinct(), "failed")
-        active = _kept(failed.join(_hubs(failed), "key"), "active")
-    if links is None:
-        return members.sparkSession.createDataFrame([], "node string, root string")
-    roots = _kept(connected_components(links), "roots")
-    if judged is None:
-        return roots
-    # What the rounds skipped: pairs of a member in the hub's component and one
-    # that is not. They can't be linked if their distances to the hub differ by
-    # more than 1 - threshold (triangle inequality); the rest is verified.
-    # A member that agreed with the hub in too few bands never left because of
-    # it, but others did: its distance is computed now.
-    tied = _with_roots(judged.filter("j IS NOT NULL"), roots).filter("root_a = root_b").select(F.explode("keys").alias("key"), "b").distinct()
-    blank = _apart(judged.filter("j IS NULL"), roots).select("a", "b", F.explode("keys").alias("key"))
-    blank = blank.join(tied, ["key", "b"], "left_semi").groupBy("a", "b").agg(F.collect_list("key").alias("keys"))
-    late = _kept(_exact(blank.withColumn("open", F.col("keys")), sets), "late", small=False)
-    near = judged.filter("j IS NOT NULL").unionByName(late).select("a", "b", "j", F.explode("keys").alias("key"))
-    near = _with_roots(near, roots)
-    tied = near.filter("root_a = root_b").select("key", "b", F.col("a").alias("in"), F.col("j").alias("j_in"))
-    apart = near.filter("root_a <> root_b").select("key", "b", F.col("a").alias("out"), F.col("j").alias("j_out"))
-    # the hub itself is a member, too, but was compared with all
-    pairs = apart.join(tied, ["key", "b"]).filter(F.abs(F.col("j_in") - F.col("j_out")) <= 1 - threshold)
-    pairs = _kept(pairs.select("key", F.col("out").alias("a"), F.col("in").alias("b"), F.lit(True).alias("served")), "border")
-    new = late.filter(F.col("j") >= threshold).select("a", "b")
-    if pairs.limit(1).count():
-        new = new.unionByName(_judged(pairs, sets).filter(F.col("j") >= threshold).select("a", "b"))
-    elif not new.limit(1).count():
-        return roots
-    return connected_components(_kept(new, "edge").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-
-
-def _with_roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    for c in ("a", "b"):
-        pairs = pairs.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
-        pairs = pairs.withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
-    return pairs
+def _mixed(members: DataFrame, info: DataFrame) -> DataFrame:
+    """(hub, digest, root, hub_root): members of buckets that hold several
+    components, each with the hub of the bucket's largest component (which need
+    not stand in the bucket)."""
+    alone = F.col("digest")
+    labelled = members.join(info.withColumnRenamed("node", "digest"), "digest", "left").select(
+        "key", "digest", F.coalesce("root", alone).alias("root"), F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("rep", alone).alias("rep"))
+    labelled = _kept(labelled, "labelled", small=False)
+    top = labelled.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"),
+                                      F.max(F.struct("size", F.xxhash64("root").alias("h"), "root", "rep")).alias("top"))
+    top = top.filter("least <> most").select("key", F.col("top.rep").alias("hub"), F.col("top.root").alias("hub_root"))
+    found = labelled.join(top, "key").filter("digest <> hub").select("hub", "digest", "root", "hub_root").distinct()
+    return _kept(found, "mixed", small=False)
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of (a, b, ...) whose ends are in different components."""
-    return _with_roots(pairs, roots).filter("root_a <> root_b").drop("root_a", "root_b")
+def _classes_of(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(node, root) of the linked documents, from bucket entries (key, band,
+    digest) of buckets with at least two members, and (digest, items)."""
+    first = members.filter(F.col("band") < FIRST_BANDS)
+    place = F.struct(F.xxhash64("digest").alias("h"), "digest")
+    hubs = first.groupBy("key").agg(F.min(place)["digest"].alias("b"))
+    links = _kept(_links(first.join(hubs, "key").select(F.col("digest").alias("a"), "b").filter("a <> b"), sets, threshold), "links")
+    for _ in range(2):  # the second time hardly anything is left
+        info = _info(links, connected_components(links))
+        outside = _mixed(members, info).filter("root <> hub_root").select(F.col("digest").alias("a"), F.col("hub").alias("b"))
+        links = _kept(links.unionByName(_links(outside, sets, threshold)), "links")
+    info = _info(links, connected_components(links))
+    near = _kept(_by_difference(_mixed(members, info), sets, threshold), "near")
+    return connected_components(_kept(links.unionByName(near), "all-links"))
+
+
+def _by_difference(grouped: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """All links (a, b) between members of different components of each hub's
+    group (hub, digest, root, hub_root)."""
+    kappa = (1 - threshold) / (1 + threshold)  # similar pairs differ by at most this share of their sizes
+    pairs = grouped.select(F.col("digest").alias("a"), F.col("hub").alias("b"), "root", "hub_root")
+    diff = _with_items(pairs, sets).select(
+        F.xxhash64("b").alias("group"), "a", "b", F.xxhash64("root").alias("root"), F.size("x").alias("size"), F.size("y").alias("hub_size"),
+        F.concat(F.array_except("x", "y"), F.array_except("y", "x")).alias("d"))
+    diff = diff.withColumn("n", F.size("d")).withColumn("linked", _similar(F.col("n"), F.col("size"), F.col("hub_size"), threshold))
+    diff = _kept(diff.withColumn("id", F.monotonically_increasing_id()), "differences", small=False)  # written: ids are fixed
+    joined = diff.filter("linked").select("a", "b")
+    outside = diff.filter(~F.col("linked"))
+    if not outside.limit(1).count():
+        return joined
+    # classes of members outside the hub's reach, by their differences and sizes
+    step = lambda c, by: F.floor(F.log(F.greatest(F.col(c), F.lit(1)).cast("double")) / F.log(F.lit(by))).cast("int")
+    outside = outside.withColumns({"dc": step("n", DIFFERENCE_STEP), "sc": step("size", SIZE_STEP)})
+    kinds = outside.groupBy("group", "dc", "sc").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("size").alias("small"), F.max("size").alias("large"))
+    kinds = kinds.groupBy("group").agg(F.collect_list(F.struct("dc", "sc", "least", "most", "small", "large")).alias("kinds"))
+    # elements of the differences by how many members of the group have them
+    tokens = diff.join(kinds.select("group"), "group", "left_semi").select("group", "id", F.explode("d").alias("token"))
+    tokens = _kept(tokens, "tokens", small=False)
+    often = tokens.groupBy("group", "token").agg(F.count(F.lit(1)).alias("often"))
+    ranked = tokens.join(often, ["group", "token"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("ranked"))
+    ranked = _kept(diff.drop("d").join(ranked, "id"), "ranked", small=False)
+
+    def prefix(need: Column) -> Column:
+        """The rarest elements among which two members that share ``need`` must
+        meet; those that nobody else has need not be looked up."""
+        head = F.slice("ranked", F.lit(1), F.greatest(F.col("n") - need + 1, F.lit(0)))
+        return F.transform(F.filter(head, lambda t: t["often"] > 1), lambda t: t["token"])
+
+    def at_least(shared: Column) -> Column:
+        return F.greatest(F.ceil(shared - 1e-9).cast("int"), F.lit(1))
+
+    size, n = F.col("size"), F.col("n")
+    own = at_least(n - kappa * size * (1 + 1 / threshold))
+    index = ranked.filter(~F.col("linked")).withColumns({"dc": step("n", DIFFERENCE_STEP), "sc": step("size", SIZE_STEP)})
+    index = index.select("group", "dc", "sc", F.col("id").alias("u"), F.col("root").alias("root_u"), F.explode(prefix(own)).alias("token"))
+
+    def needed(k: Column) -> Column:
+        return at_least((k["least"] + n - kappa * (F.least(k["large"].cast("double"), size / threshold) + size)) / 2)
+
+    fits = lambda k: ((needed(k) <= n) & (needed(k) <= k["most"]) & (k["large"] >= threshold * size) & (k["small"] <= size / threshold))
+    probe = ranked.join(kinds, "group").withColumn("kind", F.explode(F.filter("kinds", fits)))
+    probe = probe.select("group", F.col("kind.dc").alias("dc"), F.col("kind.sc").alias("sc"), F.col("id").alias("v"), F.col("root").alias("root_v"),
+                         F.explode(prefix(needed(F.col("kind")))).alias("token"))
+    met = index.join(probe, ["group", "dc", "sc", "token"]).filter("u <> v and root_u <> root_v").select("u", "v").distinct()
+    names = ranked.select("id", "a")
+    met = met.join(names.toDF("u", "a"), "u").join(names.toDF("v", "b"), "v")
+    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return joined.unionByName(_links(_kept(met, "met"), sets, threshold))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
@@ -245,16 +268,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
                                   "doc_id bigint, digest string, bands array<bigint>"), "signatures", small=False)
     reps = _kept(sig.groupBy("digest").agg(F.min("doc_id").alias("rep_id"), F.count("*").alias("n"),
                                            F.first("bands").alias("bands")), "reps", small=False)
-    entries = reps.select("digest", "rep_id", F.explode("bands").alias("key"))
-    members = _kept(entries.join(_hubs(entries), "key"), "members", small=False)
+    entries = reps.select("digest", "rep_id", F.posexplode("bands").alias("band", "key"))
+    shared = entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    members = _kept(entries.join(shared, "key"), "members", small=False)
     needed = _kept(members.select(F.col("digest").alias("d2"), "rep_id").distinct(), "needed")
     texts = maybe_in(docs, "digest", needed.select(F.col("d2").alias("digest"))).join(
         needed, (F.col("digest") == F.col("d2")) & F.col("doc_id").eqNullSafe(F.col("rep_id")))
     texts = texts.dropDuplicates(["digest", "doc_id"])  # rows may repeat id and text
     sets = texts.select("digest", word_hashes(F.col("text")).alias("hashes")).mapInArrow(
         lambda it: _sets(it, width), "digest string, items array<bigint>")
-    sets = _kept(sets.join(reps.select("digest", "bands"), "digest"), "sets", small=False)
-    roots = _classes_of(members.drop("rep_id"), sets, threshold)
+    roots = _classes_of(members.select("key", "band", "digest"), _kept(sets, "sets", small=False), threshold)
     merged = reps.select("digest", "rep_id", "n").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
     merged = _kept(merged.withColumn("root", F.coalesce("root", "digest")), "merged")
     least = F.min(F.struct(F.col("rep_id").isNull().alias("none"), "rep_id", "digest"))
@@ -266,16 +289,18 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each class: the one of its least id."""
     rows, found = classes(docs, threshold)
-    cols = docs.columns
-    keep = found.filter(F.col("digest") == F.col("keep")).select(F.col("digest").alias("__d"), F.col("class_id").alias("__id"))
-    again = rows.join(keep, (F.col("digest") == F.col("__d")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    names: list[str] = []
+    for wanted in ("own_digest", "kept_digest", "kept_id", "nth"):  # that no column of docs has
+        names.append(fresh_name([*docs.columns, *names], wanted))
+    own, kept, kept_id, nth = names
+    keep = found.filter(F.col("digest") == F.col("keep")).select(F.col("digest").alias(kept), F.col("class_id").alias(kept_id))
+    again = rows.join(keep, (F.col("digest") == F.col(kept)) & F.col("doc_id").eqNullSafe(F.col(kept_id)))
     repeated = again.groupBy("digest").count().filter("count > 1").limit(1).count() > 0
-    out = docs.withColumn("__digest", digest()).join(
-        keep, (F.col("__digest") == F.col("__d")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    out = docs.withColumn(own, digest()).join(keep, (F.col(own) == F.col(kept)) & F.col("doc_id").eqNullSafe(F.col(kept_id)))
     if repeated:
-        w = Window.partitionBy("__digest", "__id").orderBy(F.lit(0))
-        out = out.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1")
-    return out.select(*cols)
+        w = Window.partitionBy(own, kept_id).orderBy(F.lit(0))
+        out = out.withColumn(nth, F.row_number().over(w)).filter(F.col(nth) == 1)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Parts of the operators on their own."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,30 +88,69 @@ def test_components(spark):
     assert {k: v for k, v in got.items()} == {k: v for k, v in want.items() if k in got} and len(got) >= 100
 
 
-def test_star_rounds_lose_no_link(spark):
-    """Three groups of sets in one bucket, one of them a chain through a
-    member that its hub does not resemble."""
-    base = list(range(100))
-    sets = {"a": base, "b": base[:95] + [500], "c": list(range(1000, 1100)), "d": list(range(1000, 1095)) + [7],
-            "e": base[10:] + list(range(200, 212)), "f": list(range(5000, 5010))}
-    s = spark.createDataFrame([(k, v, [1, 2]) for k, v in sets.items()], "digest string, items array<bigint>, bands array<bigint>")
-    members = spark.createDataFrame([(1, k) for k in sets], "key bigint, digest string")
-    members = members.join(near_dup._hubs(members), "key")
-    for linear in (0, near_dup.LINEAR):
-        keep, near_dup.LINEAR = near_dup.LINEAR, linear
-        try:
-            roots = {r["node"]: r["root"] for r in near_dup._classes_of(members, s, 0.8).collect()}
-        finally:
-            near_dup.LINEAR = keep
-        want = {}
-        for x in sets:
-            for y in sets:
-                i = len(set(sets[x]) & set(sets[y]))
-                if x < y and i >= 0.8 * (len(sets[x]) + len(sets[y]) - i):
-                    want.setdefault(x, set()).add(y)
-        for x, ys in want.items():
-            assert all(roots[x] == roots[y] for y in ys)
-        assert roots.get("c") != roots.get("a")
+def drifting_sets(kind, n, rng):
+    """Sets of a large group: edited copies of a base, a chain of versions,
+    parts of different sizes, or several bases that share half."""
+    base = np.arange(120)
+    out, last = [], base
+    for i in range(n):
+        if kind == "edits":
+            s = base.copy()
+            at = rng.choice(120, int(rng.integers(0, 30)), replace=False)
+            s[at] = rng.integers(1000, 10 ** 6, len(at))
+        elif kind == "chain":
+            s = last.copy()
+            at = rng.choice(len(s), 6, replace=False)
+            s[at] = rng.integers(1000, 10 ** 6, 6)
+            last = s if rng.random() < 0.5 else last
+        elif kind == "parts":
+            s = base[:int(rng.integers(20, 120))] if rng.random() < 0.5 else np.concatenate([base, rng.integers(1000, 2000, int(rng.integers(0, 60)))])
+        else:
+            s = np.concatenate([base[:60], 10_000 * (1 + i % 5) + np.arange(60)])
+            at = rng.choice(120, int(rng.integers(0, 12)), replace=False)
+            s[at] = rng.integers(0, 150, len(at))
+        out.append(sorted({int(v) for v in s}))
+    return out
+
+
+@pytest.mark.parametrize("band", [0, 30])
+@pytest.mark.parametrize("kind", ["edits", "chain", "parts", "bases"])
+def test_large_groups_lose_no_link(spark, kind, band):
+    """All pairs of one bucket against every pair compared; band 0 makes its
+    first components by its hub, band 30 leaves them to the later steps."""
+    rng = np.random.default_rng([len(kind), band])
+    sets = drifting_sets(kind, 250, rng)
+    digests = [f"{kind}{i * 7919 % 1000:03d}" for i in range(250)]
+    s = spark.createDataFrame(list(zip(digests, sets)), "digest string, items array<bigint>")
+    members = spark.createDataFrame([(1, band, d) for d in digests], "key bigint, band int, digest string")
+    for threshold in (0.8, 0.6):
+        root = {d: d for d in digests}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for i, x in enumerate(sets):
+            for j in range(i):
+                both = len(set(x) & set(sets[j]))
+                if both / (len(x) + len(sets[j]) - both) >= threshold:
+                    a, b = find(digests[i]), find(digests[j])
+                    root[max(a, b)] = min(a, b)
+        got = {d: d for d in digests} | {r["node"]: r["root"] for r in near_dup._classes_of(members, s, threshold).collect()}
+        assert got == {d: find(d) for d in digests}, (kind, threshold)
+
+
+def test_repeated_parts_have_bands_of_their_own():
+    base = np.random.default_rng(1).integers(1, 1 << 60, 60)
+    more = np.concatenate([base, np.tile(base[:6], 200)])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a", "b"]), pa.array([base, more], pa.list_(pa.int64()))],
+                                       names=["doc_id", "digest", "hashes"])
+    (plain,) = near_dup._signatures(iter([batch]), 36, 5, 5, 0)
+    (both,) = near_dup._signatures(iter([batch]), 36, 5, 5, 4)
+    one, two = both.column("bands").to_pylist()
+    assert len(one) == len(two) == 40 and one[:36] == plain.column("bands").to_pylist()[0]
+    assert len(set(one[:36]) & set(two[:36])) > len(set(one[36:]) & set(two[36:]))
 
 
 def test_checksums(spark):
