@@ -10,13 +10,13 @@ range partitions and offsets, never one task.
 
 Defined results: NULL text has size 0; documents of size 0 are never taken;
 NULL is a source of its own, last in order; rows repeating id and text are
-queued each; an empty table gives no rows; order depends on ids and texts only,
-so reruns agree.
+queued each; an empty table gives no rows; texts may have any length; other
+columns may have any name; order depends on ids and texts only, so reruns agree.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.ranking import ordered_prefix
@@ -97,26 +97,27 @@ def mixed(docs: DataFrame, weights=WEIGHTS, cap: int = MAX_REPEATS) -> DataFrame
 
 
 def apply_mix(docs: DataFrame, weights=WEIGHTS, cap: int = MAX_REPEATS) -> DataFrame:
-    """The mix itself: ``docs`` with each document as often as it is taken."""
-    cols = docs.columns
+    """The mix itself: ``docs`` with each document as often as it is taken; all
+    columns stay as they are, whatever their names."""
     plan = mixed(docs, weights, cap).groupBy("doc_id", "t").agg(
-        F.count("*").alias("__n"), F.sum("copies").alias("__k"), F.max("copies").alias("__m")).filter("__k > 0")
-    plan = plan.select(F.col("doc_id").alias("__id"), F.col("t").alias("__t"), "__n", "__k", "__m")
+        F.count("*").alias("n"), F.sum("copies").alias("k")).filter("k > 0")
     path = scratch_path(docs.sparkSession, "mixing-plan")
     plan.write.parquet(path)
     plan = docs.sparkSession.read.parquet(path)
-    repeated = plan.filter("__n > 1").limit(1).count() > 0
-    joined = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("__id"))
-                       & (F.md5(F.coalesce("text", F.lit(""))) == F.col("__t")))
-    times = F.col("__k")
+    repeated = plan.filter("n > 1").limit(1).count() > 0
+    names = [f"c{i}" for i in range(len(docs.columns))]  # no name of the input's own clashes
+    plain = docs.toDF(*names)
+    at = {c: F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text")}
+    joined = plain.join(plan, at["doc_id"].eqNullSafe(F.col("doc_id")) & (F.md5(F.coalesce(at["text"], F.lit(""))) == F.col("t")))
+    times = F.col("k")
     if repeated:
         # rows that repeat id and text share their copies, the first rows more
-        from pyspark.sql import Window
-        joined = joined.withColumn("__rn", F.row_number().over(Window.partitionBy("__id", "__t").orderBy(F.lit(0))))
-        times = F.floor(F.col("__k") / F.col("__n")) + F.when(
-            F.col("__rn") <= F.col("__k") % F.col("__n"), 1).otherwise(0)
-    out = joined.withColumn("__c", times.cast("int")).filter("__c > 0")
-    return out.withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("__c")))).select(*cols)
+        nth = F.row_number().over(Window.partitionBy("doc_id", "t").orderBy(F.lit(0)))
+        joined = joined.withColumn("nth", nth)
+        times = F.floor(F.col("k") / F.col("n")) + F.when(F.col("nth") <= F.col("k") % F.col("n"), 1).otherwise(0)
+    out = joined.withColumn("times", times.cast("int")).filter("times > 0")
+    out = out.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return out.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

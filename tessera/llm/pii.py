@@ -91,49 +91,63 @@ def _spans(kind: str, text: Column, hits: Column, gaps: Column) -> Column:
     def step(acc: Column, p: Column) -> Column:
         start = acc["pos"] + F.length(p["gap"])
         end = start + F.length(p["hit"])
-        near = F.concat(F.right(p["gap"], F.lit(CONTEXT_BEFORE)), F.lit(" "), F.left(p["after"], F.lit(CONTEXT_AFTER)))
+        # words of the text before, earlier matches included
+        before = F.right(F.concat(acc["tail"], p["gap"]), F.lit(CONTEXT_BEFORE))
+        near = F.concat(before, F.lit(" "), F.left(p["after"], F.lit(CONTEXT_AFTER)))
         score = F.lit(PRIOR[kind] + bonus) + F.when(F.lower(near).rlike(CONTEXT[kind]), CONTEXT_BONUS).otherwise(0.0)
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"),
                         F.lit(kind in BASE_KINDS).alias("base"), F.round(F.least(score, F.lit(1.0)), 3).alias("score"),
                         p["hit"].alias("text"))
-        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(span)).alias("out"))
+        tail = F.right(F.concat(before, p["hit"]), F.lit(CONTEXT_BEFORE))
+        return F.struct(end.alias("pos"), tail.alias("tail"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("tail"), F.array().cast(f"array<{SPAN}>").alias("out"))
     found = F.aggregate(parts, start, step, lambda acc: acc["out"])
     return F.filter(found, lambda s: _valid(kind, s["text"]) & (s["base"] | (s["score"] >= MIN_SCORE)))
 
 
-def with_spans(df: DataFrame, text: str = "text", out: str = "pii_spans") -> DataFrame:
-    """Add ``out``: all spans as structs (kind, start, end, base, score, text),
-    by start, then kind as listed."""
-    body = "__pii_text"
-    df = df.withColumn(body, clean_text(text))
+def _add_spans(df: DataFrame, text: str) -> DataFrame:
+    """Add ``spans`` to a table whose columns are named c0, c1, ..."""
+    df = df.withColumn("body", clean_text(text))
     for kind, pattern in PATTERNS.items():
         # the cheap test keeps the two passes that follow off most texts
-        has = F.col(body).rlike(pattern)
-        hits, gaps = f"__pii_{kind}_hits", f"__pii_{kind}_gaps"
-        df = df.withColumn(hits, F.when(has, F.regexp_extract_all(body, F.lit(pattern), F.lit(0))))
-        df = df.withColumn(gaps, F.when(F.col(hits).isNotNull(), F.split(body, pattern, -1)))
+        has = F.col("body").rlike(pattern)
+        hits, gaps = f"{kind}_hits", f"{kind}_gaps"
+        df = df.withColumn(hits, F.when(has, F.regexp_extract_all("body", F.lit(pattern), F.lit(0))))
+        df = df.withColumn(gaps, F.when(F.col(hits).isNotNull(), F.split("body", pattern, -1)))
     none = F.array().cast(f"array<{SPAN}>")
-    each = [F.when(F.col(f"__pii_{k}_hits").isNotNull(), _spans(k, F.col(body), F.col(f"__pii_{k}_hits"), F.col(f"__pii_{k}_gaps")))
-            .otherwise(none) for k in KINDS]
+    each = [F.when(F.col(f"{k}_hits").isNotNull(), _spans(k, F.col("body"), F.col(f"{k}_hits"), F.col(f"{k}_gaps"))).otherwise(none) for k in KINDS]
     rank = F.array(*[F.lit(k) for k in KINDS])
 
     def before(a: Column, b: Column) -> Column:
         return (F.when(a["start"] != b["start"], a["start"] - b["start"])
                 .otherwise(F.array_position(rank, a["kind"]) - F.array_position(rank, b["kind"])).cast("int"))
 
-    df = df.withColumn("__pii_all", F.concat(*each))
-    df = df.withColumn(out, F.when(F.size("__pii_all") > 1, F.array_sort("__pii_all", before)).otherwise(F.col("__pii_all")))
-    return df.drop(body, "__pii_all", *[f"__pii_{k}_{x}" for k in KINDS for x in ("hits", "gaps")])
+    df = df.withColumn("every", F.concat(*each))
+    df = df.withColumn("spans", F.when(F.size("every") > 1, F.array_sort("every", before)).otherwise(F.col("every")))
+    return df.drop("body", "every", *[f"{k}_{x}" for k in KINDS for x in ("hits", "gaps")])
+
+
+def _plain(df: DataFrame, text: str) -> tuple[DataFrame, str]:
+    """``df`` with columns c0, c1, ..., and which of them is ``text``: names of
+    the input's own cannot clash with those of the work."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), f"c{df.columns.index(text)}"
+
+
+def with_spans(df: DataFrame, text: str = "text", out: str = "pii_spans") -> DataFrame:
+    """Add ``out``: all spans as structs (kind, start, end, base, score, text),
+    by start, then kind as listed."""
+    plain, at = _plain(df, text)
+    keep = [F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns) if c != out]
+    return _add_spans(plain, at).select(*keep, F.col("spans").alias(out))
 
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
     """Replace every span by its kind in brackets, e.g. ``[EMAIL]``; of
     overlapping spans the first names the whole stretch. Texts without spans
-    (and NULL) stay as they are."""
-    df = with_spans(df, text, "__pii_spans")
-    body = F.col(text)
+    (and NULL) stay as they are, and so do all other columns."""
+    plain, at = _plain(df, text)
+    found, body = _add_spans(plain, at), F.col(at)
 
     def step(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["pos"]
@@ -141,9 +155,10 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
         return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"),
                         F.concat(acc["out"], F.when(fresh, piece).otherwise(F.lit(""))).alias("out"))
 
-    clean = F.aggregate("__pii_spans", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step,
+    clean = F.aggregate("spans", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step,
                         lambda acc: F.concat(acc["out"], F.substring(body, acc["pos"] + 1, F.length(body))))
-    return df.withColumn(text, F.when(F.size("__pii_spans") > 0, clean).otherwise(body)).drop("__pii_spans")
+    clean = F.when(F.size("spans") > 0, clean).otherwise(body)
+    return found.select(*[(clean if f"c{i}" == at else F.col(f"c{i}")).alias(c) for i, c in enumerate(df.columns)])
 
 
 def joined(spans: Column) -> Column:

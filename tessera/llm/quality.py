@@ -13,8 +13,9 @@ Defined results: NULL text is empty; a document without label (or whose label
 rows disagree evenly, or hold NULL) is unlabelled; where the labelled rows hold
 one class only, or there are none, nothing can be learned: every document
 scores that class's share (1.0 without labels), so none is rejected for want of
-labels; repeated rows are scored each; an empty table gives no rows. Scores are
-rounded to 4 digits, as parallel sums differ in the last bits.
+labels; repeated rows are scored each; an empty table gives no rows; texts may
+have any length; other columns may have any name. Scores are rounded to 4
+digits, as parallel sums differ in the last bits.
 """
 
 from __future__ import annotations
@@ -41,11 +42,12 @@ THRESHOLD = 0.5
 MAX_ITER, REG = 25, 0.001
 
 
-def features(df: DataFrame) -> tuple[DataFrame, dict[str, list[str]]]:
+def features(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> tuple[DataFrame, dict[str, list[str]]]:
     """Add the columns of both views (names start with ``__a_`` and ``__b_``),
-    computed from ``text``, ``lang`` and ``source``."""
+    computed from the three named columns. ``df`` has no column whose name
+    starts with two underscores (``_scored`` sees to that)."""
     body = F.col("__q_text")
-    df = df.withColumn("__q_text", clean_text("text"))
+    df = df.withColumn("__q_text", clean_text(text))
     df = df.withColumn("__q_words", F.array_remove(F.split(body, r"[ \t\n\x0B\f\r]+"), ""))
     chars = F.greatest(F.length(body), F.lit(1))
     words = F.greatest(F.size("__q_words"), F.lit(1))
@@ -65,8 +67,8 @@ def features(df: DataFrame) -> tuple[DataFrame, dict[str, list[str]]]:
     stops = F.length(body) - F.length(F.replace(body, F.lit("."), F.lit("")))
     b = {"log_chars": F.log1p(F.length(body)), "line_length": F.log1p(F.length(body) / lines),
          "stops": F.least(stops / words, F.lit(1.0)), "ends": F.right(body, F.lit(1)).isin(".", "!", "?").cast("double")}
-    for name, buckets in (("source", SOURCE_BUCKETS), ("lang", LANG_BUCKETS)):
-        at = F.pmod(F.xxhash64(F.coalesce(F.col(name), F.lit(""))), F.lit(buckets))
+    for name, column, buckets in (("source", source, SOURCE_BUCKETS), ("lang", lang, LANG_BUCKETS)):
+        at = F.pmod(F.xxhash64(F.coalesce(F.col(column), F.lit(""))), F.lit(buckets))
         b |= {f"{name}{i}": (at == i).cast("double") for i in range(buckets)}
     df = df.select("*", *[x.cast("double").alias(f"__a_{k}") for k, x in a.items()],
                    *[x.cast("double").alias(f"__b_{k}") for k, x in b.items()])
@@ -154,17 +156,29 @@ def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTrai
     return model
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, out: str = "score") -> DataFrame:
-    """``docs`` with ``score`` (probability of being good), ``content_score``
-    and ``metadata_score``."""
+def _scored(docs: DataFrame, labels: DataFrame, rounds: int) -> DataFrame:
+    """Columns of ``docs`` as c0, c1, ... and the three scores: names of the
+    input's own cannot clash with those of the work."""
     model = co_train(docs, labels, rounds)
-    rows, views = features(docs)
-    return model.score(rows, out).drop(*views["a"], *views["b"])
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    at = {c: f"c{docs.columns.index(c)}" for c in ("text", "lang", "source")}
+    rows, views = features(plain, at["text"], at["lang"], at["source"])
+    return model.score(rows, "score").drop(*views["a"], *views["b"])
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """``docs`` with ``score`` (probability of being good), ``content_score``
+    and ``metadata_score``, which replace columns of these names."""
+    scores = ["score", "content_score", "metadata_score"]
+    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in scores]
+    return _scored(docs, labels, rounds).select(*own, *scores)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score at least ``threshold``."""
-    return score_documents(docs, labels, out="__score").filter(F.col("__score") >= threshold).select(*docs.columns)
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
+    """The documents that score at least ``threshold``; all columns stay as
+    they are."""
+    good = _scored(docs, labels, rounds).filter(F.col("score") >= threshold)
+    return good.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

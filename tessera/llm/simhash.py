@@ -101,47 +101,64 @@ def within_radius(queries: DataFrame, corpus: DataFrame, radius: int = RADIUS,
     return joined.select("query_fp", "fp", F.bit_count(differ).alias("distance"), "n")
 
 
+def _ranges(df: DataFrame, rows_per_range: int) -> DataFrame:
+    """Add ``range`` to (doc_id, text, tie): consecutive numbers in order of
+    (doc_id, NULLs first, tie). Ids are cut at approximate quantiles; an id that
+    many rows share (or NULL) gets ranges of its own, cut by ``tie``. At most
+    about twice MAX_RANGES numbers come to the driver."""
+    n = df.count()
+    each = max(rows_per_range, ceil(n / MAX_RANGES))
+    wanted = max(1, ceil(n / each))
+    found = df.agg(F.percentile_approx("doc_id", [i / wanted for i in range(1, wanted)], max(10_000, 20 * wanted))).first()[0] if wanted > 1 else []
+    common = df.groupBy("doc_id").agg(F.count("*").alias("n")).filter(F.col("n") > 2 * each).collect()  # at most n / each / 2 rows
+    # bounds are compared as doubles: larger ids would not be told apart
+    shared = {float("-inf") if r["doc_id"] is None else float(r["doc_id"]): r["n"] for r in common if abs(r["doc_id"] or 0) < 1 << 53}
+    splits = [float("-inf"), *sorted({float(x) for x in found or []} | set(shared) - {float("-inf")}), float("inf")]
+    pieces = [ceil(shared.get(x, 0) / each) for x in splits[:-1]]
+    first = [0]
+    for k in pieces:
+        first.append(first[-1] + k + 1)
+    df = df.withColumn("d", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
+    if len(splits) > 2:
+        df = Bucketizer(splits=splits, inputCol="d", outputCol="r").transform(df).withColumn("r", F.col("r").cast("int"))
+    else:
+        df = df.withColumn("r", F.lit(0))
+
+    def of(values: list) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), F.col("r"))
+
+    part = F.floor((F.col("tie").cast("double") / 2.0 ** 64 + 0.5) * of(pieces))
+    own = (of(pieces) > 0) & (of(splits[:-1]) == F.col("d"))
+    place = of(first[:-1]) + F.when(own, F.least(part, of(pieces) - 1)).otherwise(of(pieces))
+    return df.withColumn("range", place.cast("int")).drop("d", "r")
+
+
 def next_text(df: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """For (doc_id, text): add ``next``, the text of the next row in order of
     (doc_id, NULLs first, then text hash), the first row's for the last.
 
-    Rows are cut into id ranges at approximate quantiles (at most MAX_RANGES
-    numbers on the driver); a range's first rows are also sent to the range
-    before it, so one shuffle of the texts and a window inside each range
-    suffice. Returns (range, rn, copy, doc_id, text, next); rows with
-    ``copy > 0`` are those helpers."""
-    df = df.select("doc_id", clean_text("text").alias("text"))
-    n, least = df.agg(F.count("*"), F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id"))).first()
-    ranges = min(max(1, ceil(n / rows_per_range)), MAX_RANGES)
-    bounds: list[float] = []
-    if ranges > 1:
-        found = df.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)],
-                                           max(10_000, 20 * ranges))).first()[0]
-        bounds = sorted({float(x) for x in found or []})
-    df = df.withColumn("__d", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
-    splits = [float("-inf"), *bounds, float("inf")]
-    if bounds:
-        df = Bucketizer(splits=splits, inputCol="__d", outputCol="__r").transform(df)
-        df = df.withColumn("__r", F.col("__r").cast("int"))
-    else:
-        df = df.withColumn("__r", F.lit(0))
-    heads = F.array(*[F.lit(x) for x in splits])
-    is_head = (F.col("__r") > 0) & (F.element_at(heads, F.col("__r") + 1) == F.col("__d"))
-    is_first = F.col("doc_id").eqNullSafe(F.lit(least[1] if least else None).cast("bigint"))
-
-    def place(r: Column, copy: int) -> Column:
-        return F.struct(r.alias("range"), F.lit(copy).alias("copy"))
-
-    df = df.withColumn("__p", F.explode(F.array_compact(F.array(
-        place(F.col("__r"), 0), F.when(is_head, place(F.col("__r") - 1, 1)),
-        F.when(is_first, place(F.lit(len(bounds)), 2))))))
-    df = df.select("__p.*", "doc_id", "text", F.xxhash64("text").alias("__tie"))
+    Rows are cut into ranges of that order; one first row of every range is also
+    sent to the range before it, so one shuffle of the texts and a window inside
+    each range suffice. Returns (range, rn, copy, doc_id, text, next); rows with
+    ``copy > 0`` are those helpers. Rows that are equal in id and text lie in one
+    range."""
+    rows = _ranges(df.select("doc_id", clean_text("text").alias("text")).withColumn("tie", F.xxhash64("text")), rows_per_range)
+    least = rows.groupBy("range").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "tie")).alias("least"))
+    order = Window.orderBy("range")  # one row a range
+    to = least.select(F.col("range").alias("of"), "least.doc_id", "least.tie", F.lag("range").over(order).alias("before"),
+                      F.max("range").over(Window.partitionBy()).alias("last"))
+    to = F.broadcast(to.select("of", F.col("doc_id").alias("head_id"), F.col("tie").alias("head_tie"),
+                               F.coalesce("before", "last").alias("to"), F.when(F.col("before").isNull(), 2).otherwise(1).alias("copy")))
+    heads = rows.join(to, (F.col("range") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("tie") == F.col("head_tie")))
+    heads = heads.groupBy("to", "copy", "doc_id", "tie").agg(F.first("text").alias("text"))
+    both = rows.select("range", F.lit(0).alias("copy"), "doc_id", "text", "tie").unionByName(
+        heads.select(F.col("to").alias("range"), "copy", "doc_id", "text", "tie"))
     # An explicit count: the work per byte is heavy, so partitions must not be
     # merged by size.
-    df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "range")
-    w = Window.partitionBy("range").orderBy(F.col("copy") == 2, F.col("doc_id").asc_nulls_first(), "__tie", "copy")
-    return df.select("range", F.row_number().over(w).alias("rn"), "copy", "doc_id", "text",
-                     F.lead("text").over(w).alias("next"))
+    both = both.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "range")
+    w = Window.partitionBy("range").orderBy(F.col("copy") == 2, F.col("doc_id").asc_nulls_first(), "tie", "copy")
+    return both.select("range", F.row_number().over(w).alias("rn"), "copy", "doc_id", "text",
+                       F.lead("text").over(w).alias("next"))
 
 
 def edited_fingerprints(df: DataFrame) -> DataFrame:

@@ -14,8 +14,9 @@ the smaller id) are exact.
 
 Defined results: vectors that are null, or hold null or non-finite components,
 take no part, nor do rows without id; an id that repeats keeps its least
-vector; shorter vectors count as padded with zeros; with fewer than k
-candidates all are returned; an empty table gives no rows. Only the named
+vector; shorter vectors count as padded with zeros; components whose inner
+products could leave 64 bits fail the job; with fewer than k candidates all are
+returned; an empty table gives no rows. Only the named
 columns are read.
 """
 
@@ -166,12 +167,17 @@ def quantised(df: DataFrame, scale: float = SCALE) -> DataFrame:
     x = F.transform("embedding", lambda v: v.cast("double"))
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     valid = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~F.coalesce(bad, F.lit(True))
-    q = F.transform(x, lambda v: F.floor(F.lit(scale) * v).cast("bigint"))
+    # the floor of a larger number would be cut to a long without notice
+    q = F.transform(x, lambda v: F.when(F.abs(v) < 2.0 ** 52 / scale, F.floor(F.lit(scale) * v).cast("bigint"))
+                    .otherwise(F.raise_error(F.lit("a component is too large for an integer form")).cast("bigint")))
     rows = df.filter(valid).groupBy("vec_id").agg(F.min(q).alias("q"))
     path = scratch_path(df.sparkSession, "topk-vectors")
     rows.write.parquet(path)
     rows = df.sparkSession.read.parquet(path)
-    dim = max(1, rows.agg(F.max(F.size("q"))).first()[0] or 0)
+    dim, top = rows.agg(F.max(F.size("q")), F.max(F.array_max(F.transform("q", F.abs)))).first()
+    dim, top = max(1, dim or 0), top or 0
+    if dim * top * top >= 1 << 63:
+        raise ValueError(f"inner products of {dim} components up to {top} do not fit 64 bits")
     return rows.select("vec_id", F.concat("q", F.array_repeat(F.lit(0).cast("bigint"), F.lit(dim) - F.size("q"))).alias("q"))
 
 

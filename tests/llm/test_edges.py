@@ -2,6 +2,7 @@
 columns with clashing names, for every query and every pipeline stage."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tessera.llm.registry import QUERIES
@@ -110,3 +111,18 @@ def test_mix_shares_copies_among_repeated_rows(spark):
     for r in mixed(docs).collect():
         want[r["doc_id"]] = want.get(r["doc_id"], 0) + r["copies"]
     assert {i: got.count(i) for i in want} == want
+
+
+CLASHES = ["__d", "__id", "__digest", "__rn", "own_digest", "kept_id", "__k", "__n", "__t", "__c", "k", "n", "t", "times", "c0", "content_score", "score",
+           "__score", "__q_text", "__a_digits", "__pii_spans", "a.b", "digest", "root", "hub"]
+
+
+def test_stages_leave_columns_of_any_name_alone(spark, edge_dir):
+    docs = spark.read.parquet(f"{edge_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    extra = docs.select("*", *[F.lit(7).alias(c) for c in CLASHES])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, extra, edge_dir)
+        assert rows.columns == extra.columns, name
+        plain = sorted(str(tuple(r)[:5]) for r in rows.collect())
+        assert plain == sorted(str(tuple(r)) for r in stage(spark, docs, edge_dir).collect()), name
+        assert all(tuple(r)[5:] == (7,) * len(CLASHES) for r in rows.collect()), name

@@ -81,6 +81,13 @@ def test_large_components_do_not_overflow_exactness():
     assert found.tolist() == [[1, 0]] and score[0, 0] == 3 * (1 << 40) + 2 * (1 << 20)
 
 
+@pytest.mark.parametrize("value", [1e18, 2.0 ** 40])
+def test_components_that_would_overflow_fail(spark, value):
+    df = spark.createDataFrame([(0, [value, 1.0]), (1, [value, 2.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="do not fit|too large"):
+        topk.quantised(df).collect()
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40) if i % 10 != 9] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(links, "a int, b int")).collect()}
@@ -159,6 +166,12 @@ def test_checksums(spark):
     assert list(row) == [True, False, True, False]
 
 
+def test_context_reaches_over_earlier_matches(spark):
+    df = spark.createDataFrame([("ssn 078-05-1120, 219-09-9999",), ("x 078-05-1120, 219-09-9999",), ("ssn " + "y" * 60 + " 219-09-9999",)], "text string")
+    got = [r[0] for r in pii.with_spans(df).select(pii.joined(F.col("pii_spans"))).collect()]
+    assert got == ["ssn:4:15,ssn:17:28", "", ""]
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([("write to a@b.co or +1 202 555 0143.",), ("clean",), (None,)], "text string")
     assert [r[0] for r in pii.redact(df).collect()] == ["write to [EMAIL] or [PHONE].", "clean", None]
@@ -197,6 +210,22 @@ def test_next_text_across_ranges(spark, rows_per_range):
     assert at == "t6" and [ids[int(t[1:])] for t in walk] == [None, -4, 1, 5, 7, 9, 9, 2**60, 2**60 + 1]
 
 
+def test_next_text_splits_ids_that_many_rows_share(spark):
+    ids = [None if i % 3 == 0 else 50 if i % 3 == 1 else i for i in range(3000)]
+    df = spark.createDataFrame([(i, f"t{n // 2}") for n, i in enumerate(ids)], "doc_id bigint, text string")  # some rows repeat
+    rows = simhash.next_text(df, 100).collect()
+    own = [r for r in rows if r["copy"] == 0]
+    sizes, helpers = {}, [r for r in rows if r["copy"] > 0]
+    for r in own:
+        sizes[r["range"]] = sizes.get(r["range"], 0) + 1
+    assert len(own) == 3000 and max(sizes.values()) < 250 and len(helpers) == len(sizes)
+    tie = {r["text"]: r["tie"] for r in df.select("text", F.xxhash64("text").alias("tie")).distinct().collect()}
+    line = sorted(((i is not None, i or 0, tie[f"t{n // 2}"], f"t{n // 2}") for n, i in enumerate(ids)))
+    want = sorted((i if some else None, t, line[(k + 1) % 3000][3]) for k, (some, i, _, t) in enumerate(line) if some)
+    want += sorted((None, t, line[(k + 1) % 3000][3]) for k, (some, i, _, t) in enumerate(line) if not some)
+    assert sorted(((r["doc_id"], r["text"], r["next"]) for r in own), key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracles(spark, name):
     import duckdb
