@@ -216,39 +216,48 @@ def _by_difference(grouped: DataFrame, sets: DataFrame, threshold: float) -> Dat
         return joined
     # classes of members outside the hub's reach, by their differences and sizes
     step = lambda c, by: F.floor(F.log(F.greatest(F.col(c), F.lit(1)).cast("double")) / F.log(F.lit(by))).cast("int")
-    outside = outside.withColumns({"dc": step("n", DIFFERENCE_STEP), "sc": step("size", SIZE_STEP)})
-    kinds = outside.groupBy("group", "dc", "sc").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("size").alias("small"), F.max("size").alias("large"))
-    kinds = kinds.groupBy("group").agg(F.collect_list(F.struct("dc", "sc", "least", "most", "small", "large")).alias("kinds"))
-    # elements of the differences by how many members of the group have them
-    tokens = diff.join(kinds.select("group"), "group", "left_semi").select("group", "id", F.explode("d").alias("token"))
-    tokens = _kept(tokens, "tokens", small=False)
-    often = tokens.groupBy("group", "token").agg(F.count(F.lit(1)).alias("often"))
-    ranked = tokens.join(often, ["group", "token"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("ranked"))
-    ranked = _kept(diff.drop("d").join(ranked, "id"), "ranked", small=False)
-
-    def prefix(need: Column) -> Column:
-        """The rarest elements among which two members that share ``need`` must
-        meet; those that nobody else has need not be looked up."""
-        head = F.slice("ranked", F.lit(1), F.greatest(F.col("n") - need + 1, F.lit(0)))
-        return F.transform(F.filter(head, lambda t: t["often"] > 1), lambda t: t["token"])
+    outside = outside.drop("d").withColumns({"dc": step("n", DIFFERENCE_STEP), "sc": step("size", SIZE_STEP)})
+    kinds = outside.groupBy("group", "dc", "sc").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("size").alias("small"),
+                                                     F.max("size").alias("large"), F.min("root").alias("r1"), F.max("root").alias("r2"))
+    kinds = kinds.groupBy("group").agg(F.collect_list(F.struct("dc", "sc", "least", "most", "small", "large", "r1", "r2")).alias("kinds"))
+    size, n = F.col("size"), F.col("n")
 
     def at_least(shared: Column) -> Column:
         return F.greatest(F.ceil(shared - 1e-9).cast("int"), F.lit(1))
 
-    size, n = F.col("size"), F.col("n")
-    own = at_least(n - kappa * size * (1 + 1 / threshold))
-    index = ranked.filter(~F.col("linked")).withColumns({"dc": step("n", DIFFERENCE_STEP), "sc": step("size", SIZE_STEP)})
-    index = index.select("group", "dc", "sc", F.col("id").alias("u"), F.col("root").alias("root_u"), F.explode(prefix(own)).alias("token"))
-
     def needed(k: Column) -> Column:
         return at_least((k["least"] + n - kappa * (F.least(k["large"].cast("double"), size / threshold) + size)) / 2)
 
-    fits = lambda k: ((needed(k) <= n) & (needed(k) <= k["most"]) & (k["large"] >= threshold * size) & (k["small"] <= size / threshold))
-    probe = ranked.join(kinds, "group").withColumn("kind", F.explode(F.filter("kinds", fits)))
-    probe = probe.select("group", F.col("kind.dc").alias("dc"), F.col("kind.sc").alias("sc"), F.col("id").alias("v"), F.col("root").alias("root_v"),
-                         F.explode(prefix(needed(F.col("kind")))).alias("token"))
-    met = index.join(probe, ["group", "dc", "sc", "token"]).filter("u <> v and root_u <> root_v").select("u", "v").distinct()
-    names = ranked.select("id", "a")
+    def fits(k: Column) -> Column:
+        """Whether a member could resemble one of the class, of another component."""
+        return ((needed(k) <= n) & (needed(k) <= k["most"]) & (k["large"] >= threshold * size) & (k["small"] <= size / threshold)
+                & ((k["r1"] != F.col("root")) | (k["r2"] != F.col("root"))))
+
+    probes = diff.drop("d").join(kinds, "group").withColumn("kind", F.explode(F.filter("kinds", fits)))
+    probes = _kept(probes.select("group", F.col("kind.dc").alias("dc"), F.col("kind.sc").alias("sc"), F.col("id").alias("v"), "n",
+                                 F.col("root").alias("root_v"), needed(F.col("kind")).alias("need")), "probes", small=False)
+    index = _kept(outside.join(probes.select("group", "dc", "sc").distinct(), ["group", "dc", "sc"], "left_semi").select(
+        "group", "dc", "sc", F.col("id").alias("u"), "n", F.col("root").alias("root_u"),
+        at_least(n - kappa * size * (1 + 1 / threshold)).alias("need")), "index", small=False)
+    # elements of their differences by how many of them have these; an element
+    # that nobody else has only takes a place in the order
+    taking_part = probes.select(F.col("v").alias("id")).unionByName(index.select(F.col("u").alias("id"))).distinct()
+    tokens = _kept(diff.join(taking_part, "id", "left_semi").select("group", "id", F.explode("d").alias("token")), "tokens", small=False)
+    often = tokens.groupBy("group", "token").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    ranked = tokens.join(often, ["group", "token"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("ranked"))
+    ranked = _kept(ranked, "ranked", small=False)
+
+    def prefix(rows: DataFrame, who: str) -> DataFrame:
+        """The rarest elements of each row's member, among which two that share
+        ``need`` must meet, without those that nobody else has."""
+        alone = n - F.size("ranked")
+        head = F.slice("ranked", F.lit(1), F.greatest(n - F.col("need") + 1 - alone, F.lit(0)))
+        rows = rows.join(ranked.withColumnRenamed("id", who), who)
+        return rows.withColumn("token", F.explode(F.transform(head, lambda t: t["token"]))).drop("ranked", "n", "need")
+
+    met = prefix(index, "u").join(prefix(probes, "v"), ["group", "dc", "sc", "token"])
+    met = met.filter("u <> v and root_u <> root_v").select("u", "v").distinct()
+    names = diff.select("id", "a")
     met = met.join(names.toDF("u", "a"), "u").join(names.toDF("v", "b"), "v")
     met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return joined.unionByName(_links(_kept(met, "met"), sets, threshold))

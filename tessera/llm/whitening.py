@@ -41,7 +41,7 @@ from tessera.session import scratch_path
 from tessera.sources.tables import read_table
 
 SCALE, OFFSET, COMPONENTS = 64.0, 1_000_000, 32
-MAX_DIMENSIONS = 4096  # of a vector: bounds the matrix on the driver
+MAX_DIMENSIONS = 2048  # of a vector: bounds the matrix on the driver
 MAX_ENTRY = 2.0 ** 30  # beyond it sums of integer entries could leave 64 bits
 CLUSTER_GAP = 1e-3  # eigenvalues nearer than this share of the norm are one cluster
 EPS = float(np.finfo(np.float64).eps)
@@ -259,9 +259,10 @@ def centred_covariance(vectors: DataFrame, scaling: Scaling, centre: Means, dim:
                                              names=["i", "j", "s"])
 
     parts = vectors.select("v").mapInArrow(partial, "i int, j int, s double")
+    found = parts.groupBy("i", "j").agg(F.sum("s").alias("s")).toArrow()  # one row an entry of the matrix
+    i, j, s = (found.column(c).to_numpy() for c in ("i", "j", "s"))
     out = np.zeros((dim, dim))
-    for r in parts.groupBy("i", "j").agg(F.sum("s").alias("s")).collect():  # one row an entry of the matrix
-        out[r["i"], r["j"]] = out[r["j"], r["i"]] = r["s"] / centre.n
+    out[i, j] = out[j, i] = s / centre.n
     return out
 
 
