@@ -26,7 +26,9 @@ def stable_ids(df: DataFrame, hash_col: str = "row_hash", nth_col: str = "row_nt
     unique, and the same for the same rows whatever the layout. Different rows
     that share a hash (about n^2 / 2^65 of them) take successive ordinals in the
     order of their columns. One shuffle of the different rows on all columns, one
-    on the hash; columns must be of comparable types."""
+    on the hash; columns must be of comparable types. Joins with the result are
+    merge joins unless the caller asks for another kind: what the planner knows
+    is the size of the different rows, however many copies they stand for."""
     taken = [c for c in (hash_col, nth_col) if c in df.columns]
     if taken:
         raise ValueError(f"columns exist already: {taken}")
@@ -36,10 +38,12 @@ def stable_ids(df: DataFrame, hash_col: str = "row_hash", nth_col: str = "row_nt
     rows = df.groupBy(*names).agg(F.count(F.lit(1)).alias(n)).withColumn(hash_col, F.xxhash64(*names))
     same_hash = Window.partitionBy(hash_col).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn(before, F.coalesce(F.sum(n).over(same_hash), F.lit(0))).checkpoint(eager=True)
-    most = rows.agg(F.max(n)).first()[0] or 0
+    most, total, different = rows.agg(F.max(n), F.sum(n), F.count(F.lit(1))).first()
     parts = rows.withColumn(start, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1, F.lit(copies).cast("bigint"))))
-    if most > copies:  # deal the parts of very common rows to different tasks
-        parts = parts.repartition(hash_col, start)
+    if different and (most > copies or total > max(copies, 10 * different)):
+        # deal the parts of common rows to different tasks; they are few and
+        # small until they are written out, so the number of tasks is stated
+        parts = parts.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), hash_col, start)
     last = F.least(F.col(start) + copies, F.col(n)) - 1
     out = parts.withColumn(nth_col, F.explode(F.sequence(F.col(start) + F.col(before), last + F.col(before))))
-    return out.select(*names, hash_col, nth_col)
+    return out.select(*names, hash_col, nth_col).hint("merge")

@@ -40,6 +40,15 @@ def test_ids_of_rows_that_share_a_hash(spark, monkeypatch):
     assert {r.row_hash for r in got} == {7} and sorted(r.row_nth for r in got) == list(range(610))
 
 
+def test_ids_of_common_rows_are_not_broadcast(spark):
+    li = stable_ids(spark.range(5_000).select((F.col("id") % 3).alias("k")), copies=100)
+    assert li.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))  # not one task for all copies
+    joined = li.join(li.groupBy("row_hash", "row_nth").count(), ["row_hash", "row_nth"])
+    assert len(joined.collect()) == 5_000
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_ids_do_not_overwrite_columns(spark):
     with pytest.raises(ValueError, match="row_nth"):
         stable_ids(spark.range(1).withColumn("row_nth", F.lit(1)))
