@@ -13,7 +13,8 @@ from tessera.operators import logs as L
 from tessera.operators import models as M
 from tessera.operators.rowid import stable_ids
 from tessera.session import held_audit, held_tables, releasing
-from tessera.sources.tables import bucket_count, fit_layout
+from tessera.sources.fixtures import genome_scores
+from tessera.sources.tables import bucket_count, fit_layout, fit_tasks
 from tests.conftest import SF_SMALL
 
 
@@ -63,6 +64,14 @@ def test_bucket_count_follows_the_rows():
     assert all(math.ceil(n / bucket_count(n)) <= 2_000_000 for n in (10 ** k for k in range(1, 14)))
 
 
+def test_tasks_of_a_fit_do_not_follow_the_buckets(spark):
+    assert [fit_tasks(n) for n in (0, 10_001, 240_000)] == [bucket_count(n) for n in (0, 10_001, 240_000)]
+    assert [fit_tasks(n) for n in (600_000, 36_000_000, 216_000_000)] == [24, 24, 108]
+    data = fit_layout(spark.range(300_000), ["id"])
+    sizes = Counter(i for i, _ in placed(data))
+    assert len(sizes) == data.rdd.getNumPartitions() == 24 and sum(sizes.values()) == 300_000
+
+
 def placed(df):
     return df.rdd.mapPartitionsWithIndex(lambda i, rows: [(i, tuple(r)) for r in rows]).collect()
 
@@ -97,6 +106,19 @@ def test_als_blocks_follow_the_ratings():
     assert [M.als_blocks(n) for n in (0, 50_000, 50_001, 10 ** 12)] == [1, 1, 2, 4_000]
 
 
+def test_als_blocks_stay_few_and_shuffles_are_dropped():
+    assert [M.als_blocks(n) for n in (1_200_000, 36_000_000, 216_000_000)] == [24, 24, 54]
+    assert M.als().getCheckpointInterval() == 1
+
+
+def test_scored_items_are_spread_before_they_are_exploded(spark, monkeypatch):
+    want = sorted(map(tuple, genome_scores(spark, SF_SMALL).collect()))
+    monkeypatch.setattr("tessera.sources.fixtures.SCORED_ITEMS_PER_TASK", 50)
+    got = genome_scores(spark, SF_SMALL)
+    assert got.rdd.getNumPartitions() == math.ceil(spark.read.parquet(f"{SF_SMALL}/part.parquet").count() / 50) > 1
+    assert sorted(map(tuple, got.collect())) == want
+
+
 # --- equations ----------------------------------------------------------------------
 
 def brute_gains(rows, max_bins):
