@@ -106,19 +106,31 @@ def write_csv(df: DataFrame, path: str, header: bool = True, multi_line: bool =
     (the NULL text itself; line ends, unless ``multi_line``) fails the job.
     With ``escaped`` line ends and backslashes are written as escapes, so any
     text survives and the files can still be split between lines."""
-    def checked(f: T.StructField):
-        if not isinstance(f.dataType, T.StringType):
-            return F.col(f.name)
-        if escaped:
-            return escape_lines(F.col(f.name)).alias(f.name)
-        bad = F.col(f.name) == NULL_TEXT
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if escaped:
+        out = df.select(*[escape_lines(F.col(f.name)).alias(f.name) if f.name in texts else F.col(f.name) for f in df.schema.fields])
+    elif texts:
+        first = _refusing(texts, multi_line)
+        out = df.select(*[first.alias(c) if c == texts[0] else F.col(c) for c in df.columns])
+    else:
+        out = df
+    (out.write.mode("overwrite").options(**CSV_OPTIONS)
+     .option("nullValue", NULL_TEXT).option("emptyValue", '""').option("quoteAll", True).option("header", header).csv(path))
+
+
+def _refusing(names: list[str], multi_line: bool) -> Column:
+    """The first of the columns, which fails the job where any of them holds
+    text that CSV would not give back. One expression over an array of them: a
+    check a column makes generated code too long for the JVM to compile."""
+    def lost(v: Column) -> Column:
+        bad = v == NULL_TEXT
         if not multi_line:
-            bad = bad | F.col(f.name).rlike("[\\r\\n]")
-        return F.when(bad, F.raise_error(F.lit(f"column {f.name} holds text that CSV would not give back"))).otherwise(
-            F.col(f.name)).alias(f.name)
+            bad = bad | F.contains(v, F.lit("\r")) | F.contains(v, F.lit("\n"))
+        return F.coalesce(bad, F.lit(False))
 
-    (df.select(*[checked(f) for f in df.schema.fields]).write.mode("overwrite").options(**CSV_OPTIONS)
-     .option("nullValue", NULL_TEXT).option("emptyValue", '""').option("quoteAll", True).option("header", header).csv(path))
+    nth = F.array_position(F.transform(F.array(*names), lost), True)
+    said = F.concat(F.lit("column "), F.element_at(F.array(*map(F.lit, names)), nth.cast("int")), F.lit(" holds text that CSV would not give back"))
+    return F.when(nth > 0, F.raise_error(said)).otherwise(F.col(names[0]))
 
 
 # A result file is meant to be read by people and scripts.

@@ -121,6 +121,15 @@ def test_csv_refuses_what_it_would_lose(spark, tmp_path, text):
         files.write_csv(spark.createDataFrame([(text,)], "v string"), str(tmp_path / "csv"))
 
 
+def test_csv_names_the_column_it_refuses_in_one_check(spark, tmp_path):
+    wide = spark.createDataFrame([(None, "", "a\\n", "x\ry", 1)], "a string, b string, c string, d string, n int")
+    with pytest.raises(Exception, match="column d holds text"):
+        files.write_csv(wide, str(tmp_path / "bad"))
+    assert str(files._refusing(wide.columns[:4], False)).count("raise_error") == 1  # not one a column
+    files.write_csv(wide.drop("d"), str(tmp_path / "good"))
+    assert [tuple(r) for r in files.read_csv(spark, str(tmp_path / "good"), wide.drop("d").schema).collect()] == [(None, "", "a\\n", 1)]
+
+
 def test_forest_does_not_depend_on_input_splits(spark):
     from pyspark.ml.feature import VectorAssembler
     cols = [f"f{i}" for i in range(1, 29)]
