@@ -22,8 +22,12 @@
       |d(x)| + |d(y)| - 2 |d(x) & d(y)|, so a pair that is similar enough must
       share a known number of elements of their differences. These are small and
       mostly the documents' own edits: ordered by how often they occur in the
-      hub's group, pairs must meet in a short prefix of rare ones. Pairs that
-      meet there are verified; all others are excluded by that bound.
+      hub's group, pairs must meet in a short prefix of rare ones, and what
+      follows the places where they meet must suffice for the rest, as must the
+      parities of the differences' elements in PARITY_WORDS words of bits (an
+      odd number in one place is one differing element at least). Pairs that
+      pass are verified, each member's most promising ones first; pairs of
+      components that these join add nothing to the classes and are left out.
 4. Verification is exact: Jaccard similarity of the shingle sets >= 0.8.
 5. Linked documents form classes (connected components).
 
@@ -61,6 +65,8 @@ CHUNK_WORDS, CHUNK_ROWS = 400_000, 4_000
 # Classes of members of a hub's group, by difference and by size: ratios of
 # neighbouring classes.
 DIFFERENCE_STEP, SIZE_STEP = 1.1, 1.15
+PARITY_WORDS = 16
+PROMISING = 4  # pairs of each member, in either place, that are verified first
 
 
 def prob_min_hash(row: np.ndarray, key: np.ndarray, weight: np.ndarray, rows: int, registers: int) -> np.ndarray:
@@ -201,14 +207,18 @@ def _classes_of(members: DataFrame, sets: DataFrame, threshold: float) -> DataFr
 
 
 def _by_difference(grouped: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """All links (a, b) between members of different components of each hub's
-    group (hub, digest, root, hub_root)."""
+    """Links (a, b) between members of different components of each hub's group
+    (hub, digest, root, hub_root): all that join components, not all others."""
     kappa = (1 - threshold) / (1 + threshold)  # similar pairs differ by at most this share of their sizes
     pairs = grouped.select(F.col("digest").alias("a"), F.col("hub").alias("b"), "root", "hub_root")
     diff = _with_items(pairs, sets).select(
-        F.xxhash64("b").alias("group"), "a", "b", F.xxhash64("root").alias("root"), F.size("x").alias("size"), F.size("y").alias("hub_size"),
+        F.xxhash64("b").alias("group"), "a", "b", F.xxhash64("root").alias("root"), F.xxhash64("hub_root").alias("hub_root"),
+        F.size("x").alias("size"), F.size("y").alias("hub_size"),
         F.concat(F.array_except("x", "y"), F.array_except("y", "x")).alias("d"))
     diff = diff.withColumn("n", F.size("d")).withColumn("linked", _similar(F.col("n"), F.col("size"), F.col("hub_size"), threshold))
+    parity = F.expr(f"""transform(sequence(0, {PARITY_WORDS - 1}), w -> aggregate(d, 0L, (bits, t) ->
+        if(pmod(shiftright(t, 6), {PARITY_WORDS}) = w, bits ^ shiftleft(1L, cast(t & 63 as int)), bits)))""")
+    diff = diff.withColumn("parity", parity)
     diff = _kept(diff.withColumn("id", F.monotonically_increasing_id()), "differences", small=False)  # written: ids are fixed
     joined = diff.filter("linked").select("a", "b")
     outside = diff.filter(~F.col("linked"))
@@ -216,7 +226,7 @@ def _by_difference(grouped: DataFrame, sets: DataFrame, threshold: float) -> Dat
         return joined
     # classes of members outside the hub's reach, by their differences and sizes
     step = lambda c, by: F.floor(F.log(F.greatest(F.col(c), F.lit(1)).cast("double")) / F.log(F.lit(by))).cast("int")
-    outside = outside.drop("d").withColumns({"dc": step("n", DIFFERENCE_STEP), "sc": step("size", SIZE_STEP)})
+    outside = outside.drop("d", "parity").withColumns({"dc": step("n", DIFFERENCE_STEP), "sc": step("size", SIZE_STEP)})
     kinds = outside.groupBy("group", "dc", "sc").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("size").alias("small"),
                                                      F.max("size").alias("large"), F.min("root").alias("r1"), F.max("root").alias("r2"))
     kinds = kinds.groupBy("group").agg(F.collect_list(F.struct("dc", "sc", "least", "most", "small", "large", "r1", "r2")).alias("kinds"))
@@ -233,7 +243,7 @@ def _by_difference(grouped: DataFrame, sets: DataFrame, threshold: float) -> Dat
         return ((needed(k) <= n) & (needed(k) <= k["most"]) & (k["large"] >= threshold * size) & (k["small"] <= size / threshold)
                 & ((k["r1"] != F.col("root")) | (k["r2"] != F.col("root"))))
 
-    probes = diff.drop("d").join(kinds, "group").withColumn("kind", F.explode(F.filter("kinds", fits)))
+    probes = diff.drop("d", "parity").join(kinds, "group").withColumn("kind", F.explode(F.filter("kinds", fits)))
     probes = _kept(probes.select("group", F.col("kind.dc").alias("dc"), F.col("kind.sc").alias("sc"), F.col("id").alias("v"), "n",
                                  F.col("root").alias("root_v"), needed(F.col("kind")).alias("need")), "probes", small=False)
     index = _kept(outside.join(probes.select("group", "dc", "sc").distinct(), ["group", "dc", "sc"], "left_semi").select(
@@ -249,18 +259,50 @@ def _by_difference(grouped: DataFrame, sets: DataFrame, threshold: float) -> Dat
 
     def prefix(rows: DataFrame, who: str) -> DataFrame:
         """The rarest elements of each row's member, among which two that share
-        ``need`` must meet, without those that nobody else has."""
+        ``need`` must meet, without those that nobody else has, and their places
+        in the member's order."""
         alone = n - F.size("ranked")
         head = F.slice("ranked", F.lit(1), F.greatest(n - F.col("need") + 1 - alone, F.lit(0)))
-        rows = rows.join(ranked.withColumnRenamed("id", who), who)
-        return rows.withColumn("token", F.explode(F.transform(head, lambda t: t["token"]))).drop("ranked", "n", "need")
+        rows = rows.join(ranked.withColumnRenamed("id", who), who).withColumn("alone", alone)
+        rows = rows.select("*", F.posexplode(F.transform(head, lambda t: t["token"])).alias("at", "token"))
+        return rows.withColumn(f"at_{who}", F.col("at") + F.col("alone")).drop("ranked", "n", "need", "alone", "at")
 
     met = prefix(index, "u").join(prefix(probes, "v"), ["group", "dc", "sc", "token"])
-    met = met.filter("u <> v and root_u <> root_v").select("u", "v").distinct()
-    names = diff.select("id", "a")
-    met = met.join(names.toDF("u", "a"), "u").join(names.toDF("v", "b"), "v")
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return joined.unionByName(_links(_kept(met, "met"), sets, threshold))
+    met = met.filter("u <> v and root_u <> root_v").groupBy("u", "v").agg(
+        F.count(F.lit(1)).alias("shared"), F.max("at_u").alias("at_u"), F.max("at_v").alias("at_v"))
+    for who in ("u", "v"):
+        met = met.join(diff.select(F.col("id").alias(who), *(F.col(c).alias(f"{c}_{who}") for c in ("a", "n", "size", "root", "parity"))), who)
+    # what two share is what met and, at most, all that follows the last place
+    most = F.col("shared") + F.least(*(F.col(f"n_{w}") - F.col(f"at_{w}") - 1 for w in ("u", "v")))
+    far = kappa * (F.col("size_u") + F.col("size_v"))
+    odd = F.expr("aggregate(zip_with(parity_u, parity_v, (x, y) -> bit_count(x ^ y)), 0, (sum, n) -> sum + n)")
+    ends = [F.struct(F.col(f"a_{w}").alias("a"), F.col(f"root_{w}").alias("r")) for w in ("u", "v")]
+    met = met.filter(most >= at_least((F.col("n_u") + F.col("n_v") - far) / 2)).withColumn("hope", 1 - odd / far)
+    met = met.filter("hope >= -1e-9").withColumns({"x": F.least(*ends), "y": F.greatest(*ends)})
+    met = met.groupBy(F.col("x.a").alias("a"), F.col("y.a").alias("b"), F.col("x.r").alias("root_a"), F.col("y.r").alias("root_b")).agg(
+        F.max("hope").alias("hope"))
+    found = _joining(_kept(met, "met"), diff.filter("linked").select(F.col("root").alias("a"), F.col("hub_root").alias("b")), sets, threshold)
+    return joined.unionByName(found)
+
+
+def _joining(met: DataFrame, joined: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links among the pairs met (a, b, root_a, root_b, hope) that join
+    components; ``joined`` (a, b) are roots whose components are joined already.
+    Each member's most promising pairs are verified first, then those of the
+    rest that still lie between different components."""
+    def best(end: str) -> DataFrame:
+        nth = F.row_number().over(Window.partitionBy(end).orderBy(F.desc("hope"), "a", "b"))
+        return met.withColumn("nth", nth).filter(F.col("nth") <= PROMISING).select("a", "b")
+
+    first = _kept(best("a").unionByName(best("b")).distinct(), "promising")
+    links = _kept(_links(first, sets, threshold), "promised")
+    again = met.join(links, ["a", "b"], "left_semi").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    roots = connected_components(again.unionByName(joined).distinct())
+    rest = met.join(first, ["a", "b"], "left_anti")
+    for end in ("root_a", "root_b"):
+        rest = rest.join(roots.toDF(end, f"{end}_now"), end, "left").withColumn(f"{end}_now", F.coalesce(f"{end}_now", end))
+    rest = _kept(rest.filter("root_a_now <> root_b_now").select("a", "b"), "rest")
+    return links.unionByName(_links(rest, sets, threshold))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,

@@ -148,6 +148,29 @@ def test_large_groups_lose_no_link(spark, kind, band):
         assert got == {d: find(d) for d in digests}, (kind, threshold)
 
 
+def test_verified_pairs_of_a_large_group_grow_with_its_members(spark, monkeypatch):
+    """Members of five bases in one group: four are outside the hub's reach and
+    consist of links between most of their members, which are not all verified."""
+    seen, with_items = [], near_dup._with_items
+
+    def counted(pairs, sets):
+        seen.append(pairs.count())
+        return with_items(pairs, sets)
+
+    monkeypatch.setattr(near_dup, "_with_items", counted)
+    made = {}
+    for n in (150, 300):
+        sets = drifting_sets("bases", n, np.random.default_rng(5))
+        digests = [f"g{i * 7919 % 1000:03d}" for i in range(n)]
+        frame = spark.createDataFrame(list(zip(digests, sets)), "digest string, items array<bigint>")
+        members = spark.createDataFrame([(1, 30, d) for d in digests], "key bigint, band int, digest string")
+        root = {r["node"]: r["root"] for r in near_dup._classes_of(members, frame, 0.8).collect()}
+        assert len(root) == n and {root[d] for d in digests} == {min(digests[i::5]) for i in range(5)}
+        made[n] = sum(seen)
+        seen.clear()
+    assert made[300] <= 2.6 * made[150], made
+
+
 def test_repeated_parts_have_bands_of_their_own():
     base = np.random.default_rng(1).integers(1, 1 << 60, 60)
     more = np.concatenate([base, np.tile(base[:6], 200)])
