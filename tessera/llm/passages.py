@@ -48,9 +48,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.components import connected_components, maybe_in, thin
-from tessera.llm.shingles import GOLDEN, list_array, list_parts, mix64, row_chunks, shingles, word_hashes
+from tessera.llm.shingles import GOLDEN, list_array, list_parts, mix64, row_chunks, shingles
 from tessera.llm.text import clean_text, lower_words
-from tessera.session import scratch_path
+from tessera.session import drop_finished, scratch_path
 from tessera.sources.tables import read_table
 
 SHINGLE_WORDS = 5
@@ -61,56 +61,98 @@ NEAR_HASHES = 4  # by which the neighbourhoods of failed cells are compared
 THRESHOLD = 0.8
 MARGIN = 2 * MIN_SHINGLES  # shingles around an interval that verification sees
 CHUNK_WORDS, CHUNK_ROWS = 400_000, 4_000
+VERIFY_ROWS = 100  # pairs of documents that are first compared at once
+RANGE_WORDS = 4_000_000  # words (half as many cells) for each range of keys
+
+
+def possible_minima(values: np.ndarray, least: int) -> np.ndarray:
+    """Positions that hold the minimum of any ``least`` neighbours, ascending:
+    only these are minima of longer ranges."""
+    n = len(values)
+    if least > n:
+        return np.zeros(0, np.int64)
+
+    def slide(of, x, width):  # of every ``width`` neighbours
+        size = 1
+        while 2 * size <= width:
+            x = of(x[size:], x[:-size])
+            size *= 2
+        return of(x[:len(x) - width + size], x[width - size:]) if size < width else x
+
+    minima = slide(np.minimum, values, least)
+    edge = np.zeros(least - 1, values.dtype)
+    return np.flatnonzero(slide(np.maximum, np.concatenate([edge, minima, edge]), least) == values)
 
 
 class RangeMinimum:
-    """Position of the leftmost minimum of any range (a sparse table)."""
-
-    def __init__(self, values: np.ndarray, longest: int):
-        self.values = values
-        at = np.arange(len(values), dtype=np.int32)
-        least, rows, half = values, [at], 1
-        while 2 * half <= longest:
-            right = least[half:] < least[:-half]
+    """Position of the leftmost minimum of any range of at least ``least``
+    positions (a sparse table over those that are possible minima)."""
+
+    def __init__(self, values: np.ndarray, longest: int, least: int = 1):
+        self.at = possible_minima(values, least)
+        self.rank = np.zeros(len(values) + 1, np.int64)
+        self.rank[self.at + 1] = 1
+        np.cumsum(self.rank, out=self.rank)
+        self.values = values[self.at]
+        at, low = np.arange(len(self.at), dtype=np.int32), self.values
+        rows, half = [at], 1
+        while 2 * half <= min(longest, len(at)):
+            right = low[half:] < low[:-half]
             at = np.append(np.where(right, at[half:], at[:-half]), at[-half:])
-            least = np.append(np.where(right, least[half:], least[:-half]), least[-half:])
+            low = self.values[at]
             rows.append(at)
             half *= 2
         self.table = np.stack(rows)
 
     def __call__(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        level = np.frexp((hi - lo + 1).astype(np.float64))[1] - 1
+        lo, hi = self.rank[lo], self.rank[hi + 1]
+        level = np.frexp((hi - lo).astype(np.float64))[1] - 1
         a = self.table[level, lo]
-        b = self.table[level, hi - (1 << level) + 1]
-        return np.where(self.values[b] < self.values[a], b, a).astype(np.int64)
+        b = self.table[level, hi - (1 << level)]
+        return self.at[np.where(self.values[b] < self.values[a], b, a)]
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each possible minimum the place of the nearest one before that is
+        no larger and of the nearest one after that is smaller (-1 and the number
+        of all values where there is none as near as the longest range)."""
+        n = len(self.at)
+        before, after = np.arange(n), np.arange(1, n + 1)
+        for level in range(len(self.table) - 1, -1, -1):
+            low, step = self.values[self.table[level]], 1 << level
+            to = before - step
+            before = np.where((to >= 0) & (low[to] > self.values), to, before)
+            go = (after + step <= n) & (low[np.minimum(after, n - 1)] >= self.values)
+            after = np.where(go, after + step, after)
+        return np.append(self.at, -1)[before - 1], np.append(self.at, len(self.rank) - 1)[after]
 
 
 def compact_windows(first: RangeMinimum, lo: np.ndarray, hi: np.ndarray, least: int):
     """(l, c, r) of all nodes of the Cartesian trees over the given ranges
-    whose windows are at least ``least`` long, level by level."""
-    out = []
-    keep = hi - lo + 1 >= least
-    lo, hi = lo[keep], hi[keep]
-    while len(lo):
-        c = first(lo, hi)
-        out.append((lo, c, hi))
-        lo, hi = np.concatenate([lo, c + 1]), np.concatenate([c - 1, hi])
-        keep = hi - lo + 1 >= least
-        lo, hi = lo[keep], hi[keep]
-    if not out:
+    (ascending, apart) whose windows are at least ``least`` long: c is the
+    leftmost minimum of what reaches to the nearest smaller ones."""
+    c = first.at
+    if not len(c) or not len(lo):
         none = np.zeros(0, np.int64)
         return none, none, none
-    return tuple(np.concatenate(x) for x in zip(*out))
+    of = np.maximum(np.searchsorted(lo, c, side="right") - 1, 0)
+    before, after = first.windows()
+    left, right = np.maximum(before + 1, lo[of]), np.minimum(after - 1, hi[of])
+    keep = (right - left + 1 >= least) & (c >= left) & (c <= right)
+    return left[keep], c[keep], right[keep]
 
 
 def cells(hashes: np.ndarray, offsets: np.ndarray, band: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(c1, c2, key) of one band: subsequences of length ``least`` or more
-    whose minima under the band's two functions are at c1 and c2."""
+    whose minima under the band's two functions are at c1 and c2, less than
+    ``least`` apart."""
     longest = int(np.diff(offsets).max(initial=0))
     with np.errstate(over="ignore"):
         values = [mix64(hashes + np.uint64(2 * band + f + 1) * GOLDEN) for f in range(2)]
-        one, two = (RangeMinimum(v, longest) for v in values)
-        lo, c, hi = compact_windows(one, offsets[:-1], offsets[1:] - 1, least)
+        one, two = (RangeMinimum(v, n, least) for v, n in zip(values, (longest, min(longest, 2 * least))))
+        full = np.diff(offsets) >= least
+        lo, c, hi = compact_windows(one, offsets[:-1][full], offsets[1:][full] - 1, least)
+        # What lies farther from c adds no cell and hides none: it only goes first.
+        lo, hi = np.maximum(lo, c - least + 1), np.minimum(hi, c + least - 1)
         found = []
         while len(lo):
             d = two(lo, hi)
@@ -123,14 +165,14 @@ def cells(hashes: np.ndarray, offsets: np.ndarray, band: int, least: int) -> tup
             none = np.zeros(0, np.int64)
             return none, none, np.zeros(0, np.uint64)
         c, d = (np.concatenate(x) for x in zip(*found))
-        near = np.abs(c - d) < least
-        c, d = c[near], d[near]
         return c, d, mix64(mix64(hashes[c] + np.uint64(band + 1)) * GOLDEN + hashes[d])
 
 
-def _windows(batches: Iterator[pa.RecordBatch], least: int, bands: int) -> Iterator[pa.RecordBatch]:
-    """Rows (key, part, doc, pos): a cell's key, its group (0, or one of the
-    chunk's own), its document and its span of shingles (first << 32 | last)."""
+def _windows(batches: Iterator[pa.RecordBatch], least: int, bands: int, ranges: int) -> Iterator[pa.RecordBatch]:
+    """Rows (range, part, key[], doc[], lo[], width[]): cells with their key,
+    group (0, or one of the chunk's own), document and span of shingles; a row
+    for each chunk, group and range of keys. Cells of a document stand together,
+    which makes the shuffled rows smaller."""
     for batch in batches:
         values, offsets = list_parts(batch.column("hashes"))
         docs = batch.column("doc").to_numpy()
@@ -143,15 +185,12 @@ def _windows(batches: Iterator[pa.RecordBatch], least: int, bands: int) -> Itera
             parts = []
             for band in range(bands):
                 c, d, key = cells(h, ends, band, least)
-                parts.append((key, row_of[c], np.minimum(c, d) - ends[row_of[c]], np.maximum(c, d) - ends[row_of[c]]))
-            key, row, lo, hi = (np.concatenate(x) for x in zip(*parts))
+                row = row_of[c]
+                parts.append((key, row, ((np.minimum(c, d) - ends[row]) << 32) | (np.maximum(c, d) - ends[row])))
+            key, row, pos = (np.concatenate(x) for x in zip(*parts))
             keep = once[row]
-            key, row, lo, hi = key[keep], row[keep], lo[keep], hi[keep]
-            order = np.lexsort((hi, lo, row, key))
-            key, row, lo, hi = key[order], row[order], lo[order], hi[order]
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-            key, row, pos = key[new], row[new], (lo[new] << 32) | hi[new]  # all places of a key
+            key, row, pos = key[keep], row[keep], pos[keep]
+            key, row, pos = _sorted_cells(key, row, pos)
             first = np.ones(len(key), bool)
             first[1:] = key[1:] != key[:-1]
             group, start = np.cumsum(first) - 1, np.flatnonzero(first)
@@ -160,13 +199,52 @@ def _windows(batches: Iterator[pa.RecordBatch], least: int, bands: int) -> Itera
             with np.errstate(over="ignore"):
                 # cells that meet in this chunk: a group of their own, whose head also joins the others
                 local = np.int64(mix64(np.uint64(doc[0].astype(np.int64).view(np.uint64)) + GOLDEN) >> np.uint64(1)) | 1
-            part = np.repeat(np.array([0, local]), [head.sum(), many.sum()])
-            key = np.concatenate([key[head], key[many]])
-            row, pos = np.concatenate([row[head], row[many]]), np.concatenate([pos[head], pos[many]])
-            for s in range(0, len(key), 100_000):
-                e = s + 100_000
-                yield pa.RecordBatch.from_arrays([pa.array(key[s:e].view(np.int64)), pa.array(part[s:e]), pa.array(doc[row[s:e]]),
-                                                  pa.array(pos[s:e])], names=["key", "part", "doc", "pos"])
+            for part, of in ((0, head), (local, many)):
+                in_range = ((key[of] >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+                order = np.argsort(in_range * (b - a) + row[of])
+                of, in_range = np.flatnonzero(of)[order], in_range[order]
+                some, at = np.unique(in_range, return_index=True)
+                at = np.append(at, len(of))
+                lo, hi = pos[of] >> 32, pos[of] & 0xFFFFFFFF
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some.astype(np.int32)), pa.array(np.full(len(some), part, np.int64)),
+                     *(list_array(x, at) for x in (key[of].view(np.int64), doc[row[of]], lo.astype(np.int32), (hi - lo).astype(np.int16)))],
+                    names=["range", "part", "key", "doc", "lo", "width"])
+
+
+def _sorted_cells(key: np.ndarray, *others: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The cells by key and the other columns, each once. Few keys repeat: only
+    these are compared by more than the key."""
+    order = np.argsort(key)
+    key, *others = (x[order] for x in (key, *others))
+    tie = np.zeros(len(key) + 1, bool)
+    tie[1:-1] = key[1:] == key[:-1]
+    at = np.flatnonzero(tie[1:] | tie[:-1])
+    order = at[np.lexsort((*(x[at] for x in reversed(others)), key[at]))]
+    for x in others:
+        x[at] = x[order]
+    new = np.ones(len(key), bool)
+    new[1:] = ~np.logical_and.reduce([x[1:] == x[:-1] for x in (key, *others)])
+    return tuple(x[new] for x in (key, *others))
+
+
+def _met(table: pa.Table) -> pa.Table:
+    """Cells (key, part, doc, pos) of a range of keys that other documents of
+    their group have, too."""
+    lists = {c: table.column(c).combine_chunks() for c in ("key", "doc", "lo", "width")}
+    key, doc, lo, width = (x.flatten().to_numpy(zero_copy_only=False) for x in lists.values())
+    part = np.repeat(table.column("part").to_numpy(), lists["key"].value_lengths().to_numpy(zero_copy_only=False))
+    order = np.argsort(key)
+    again = np.zeros(len(key) + 1, bool)
+    again[1:-1] = key[order[1:]] == key[order[:-1]]
+    order = order[again[1:] | again[:-1]]
+    lo = lo[order].astype(np.int64)
+    key, part, doc, pos = _sorted_cells(key[order], part[order], doc[order], (lo << 32) | (lo + width[order]))
+    first = np.ones(len(key), bool)
+    first[1:] = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
+    group, start = np.cumsum(first) - 1, np.flatnonzero(first)
+    keep = (np.bincount(group, doc != doc[start[group]])[group] > 0) if len(group) else first
+    return pa.table([pa.array(x[keep]) for x in (key, part, doc, pos)], names=["key", "part", "doc", "pos"])
 
 
 def _shingle_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,71 +261,112 @@ def _weights(threshold: float) -> tuple[int, int]:
     return round(1000 * (1 - threshold)), round(1000 * threshold)
 
 
-def _stretches(at: np.ndarray, least: int, threshold: float) -> list[tuple[int, int]]:
-    """Longest intervals of at least ``least`` positions, of which the sorted
-    positions ``at`` are at least ``threshold``. Ends that hold more other
-    positions than of ``at`` are cut off and looked at on their own."""
-    out, todo = [], [at]
+def _runs(hit: np.ndarray, start: int = 0) -> tuple[list[int], list[int]]:
+    """First and last places of the runs of true values, counted from ``start``."""
+    wide = np.zeros(len(hit) + 2, bool)
+    wide[1:-1] = hit
+    edge = np.flatnonzero(wide[1:] != wide[:-1]) + start
+    return edge[::2].tolist(), (edge[1::2] - 1).tolist()
+
+
+def _stretches(first: list[int], last: list[int], least: int, threshold: float) -> list[tuple[int, int]]:
+    """Longest intervals of at least ``least`` positions, of which those in the
+    runs first..last are at least ``threshold``. Ends that hold more other
+    positions than those are cut off and looked at on their own. (Runs are
+    few: plain lists are faster than arrays.)"""
+    up, down = _weights(threshold)
+    out, todo = set(), [(first, last)]
     while todo:
-        at = todo.pop()
-        if not len(at):
+        a, b = todo.pop()
+        if not a or b[-1] - a[0] + 1 < least:
             continue
-        cut = np.flatnonzero(np.diff(at) > 1)
-        a, b = at[np.concatenate([[0], cut + 1])], at[np.concatenate([cut, [len(at) - 1]])]
-        n, gap = b - a + 1, np.concatenate([[0], a[1:] - b[:-1] - 1])
-        up, down = _weights(threshold)
-        end = np.cumsum(up * n - down * gap)
-        best = np.maximum.accumulate(end[::-1])[::-1]
-        to = np.searchsorted(-best, up * n - end, side="right") - 1  # the last run that each can reach
-        fresh = b[to] - a + 1 >= least
-        fresh[1:] &= to[1:] > np.maximum.accumulate(to)[:-1]
-        even = np.cumsum(n - gap)
-        for i in np.flatnonzero(fresh):
-            j = to[i]
-            hi = i + int(even[i:j + 1].argmax())
-            lo = i + int((even - n)[i:hi + 1].argmin())
+        if len(a) == 1:
+            out.add((a[0], b[0]))
+            continue
+        start, end, low, even, total, level, before = [], [], [], [], 0, 0, a[0] - 1
+        for p, q in zip(a, b):
+            gap, n, before = p - before - 1, q - p + 1, q
+            start.append(total - down * gap)
+            low.append(level - gap)
+            total += up * n - down * gap
+            level += n - gap
+            end.append(total)
+            even.append(level)
+        best = end[:]
+        for i in range(len(a) - 2, -1, -1):
+            best[i] = max(best[i], best[i + 1])
+        reach = -1
+        for i in range(len(a)):
+            if reach + 1 == len(a):
+                break
+            if best[reach + 1] < start[i]:
+                continue
+            while reach + 1 < len(a) and best[reach + 1] >= start[i]:
+                reach += 1  # the last run that each can reach
+            if b[reach] - a[i] + 1 < least:
+                continue
+            part = even[i:reach + 1]
+            hi = i + part.index(max(part))
+            part = low[i:hi + 1]
+            lo = i + part.index(min(part))
             if b[hi] - a[lo] + 1 < least:
-                lo, hi = i, j
-            out.append((int(a[lo]), int(b[hi])))
-            todo += [at[(at >= p) & (at <= q)] for p, q in ((a[i], a[lo] - 1), (b[hi] + 1, b[j])) if q - p + 1 >= least]
-    return sorted(set(out))
+                lo, hi = i, reach
+            out.add((a[lo], b[hi]))
+            if a[lo] - a[i] >= least:
+                todo.append((a[i:lo], b[i:lo]))
+            if b[reach] - b[hi] >= least:
+                todo.append((a[hi + 1:reach + 1], b[hi + 1:reach + 1]))
+    return sorted(out)
+
+
+def _widest(first: list[int], last: list[int]) -> tuple[int, int, int]:
+    """The widest step between neighbouring positions of the runs, and its ends."""
+    steps = [p - q for p, q in zip(first[1:], last)]
+    if not steps:
+        return 1, first[0], first[0] + 1
+    i = steps.index(max(steps))
+    return steps[i], last[i], first[i + 1]
 
 
 def _solved(x: np.ndarray, y: np.ndarray, s: int, e: int, least: int, threshold: float) -> list[tuple[int, int, int, int]]:
     """Verified (first, last) of x within s..e and of y: both sides are
-    narrowed to what they share, and split where that is too unlike."""
+    narrowed to what they share, and split where that is too unlike. x and y
+    hold small numbers, equal for equal shingles."""
     out, todo, seen = [], [(s, e, 0, len(y) - 1)], set()
+    met, turn = np.zeros(1 + max(int(x.max()), int(y.max())), np.int64), 0  # when a shingle was last marked
     while todo:
         here = s, e, u, v = todo.pop()
         if here in seen or min(e - s, v - u) + 1 < least:
             continue
         seen.add(here)
         part, other = x[s:e + 1], y[u:v + 1]
-        if np.array_equal(part, other):
+        if len(part) == len(other) and (part == other).all():
             out.append(here)
             continue
-        at = s + np.flatnonzero(np.isin(part, other))
-        mine = _stretches(at, least, threshold)
+        turn += 1
+        met[other] = turn
+        at = _runs(met[part] == turn, s)
+        mine = _stretches(*at, least, threshold)
         if mine != [(s, e)]:
             todo += [(*m, u, v) for m in mine]
             continue
-        there = u + np.flatnonzero(np.isin(other, part))
-        others = _stretches(there, least, threshold)
+        turn += 1
+        met[part] = turn
+        there = _runs(met[other] == turn, u)
+        others = _stretches(*there, least, threshold)
         if others != [(u, v)]:
             todo += [(s, e, *o) for o in others]
             continue
-        a, b = np.unique(part), np.unique(other)
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        if both >= threshold * (len(a) + len(b) - both):
+        one, two = np.zeros(len(met), bool), np.zeros(len(met), bool)
+        one[part] = two[other] = True
+        if np.count_nonzero(one & two) >= threshold * np.count_nonzero(one | two):
             out.append(here)
             continue
-        gap, hole = np.diff(at), np.diff(there)  # cut at the widest gap of either and try both parts
-        if gap.max() >= hole.max():
-            g = int(gap.argmax())
-            todo += [(s, int(at[g]), u, v), (int(at[g + 1]), e, u, v)]
+        gap, hole = _widest(*at), _widest(*there)  # cut at the widest gap of either and try both parts
+        if gap[0] >= hole[0]:
+            todo += [(s, gap[1], u, v), (gap[2], e, u, v)]
         else:
-            g = int(hole.argmax())
-            todo += [(s, e, u, int(there[g])), (s, e, int(there[g + 1]), v)]
+            todo += [(s, e, u, hole[1]), (s, e, hole[2], v)]
     return out
 
 
@@ -258,7 +377,14 @@ def shared_passages(x: np.ndarray, y: np.ndarray, least: int = MIN_SHINGLES, thr
     x that y has, where they are known."""
     out, known = [], {}
     shared = np.flatnonzero(np.isin(x, y)) if shared is None else shared
-    for s, e in _stretches(shared, least, threshold):
+    hit = np.zeros(len(x), bool)
+    hit[shared] = True
+    stretches = _stretches(*_runs(hit), least, threshold)
+    if not stretches:
+        return out
+    number = np.unique(np.concatenate([x, y]), return_inverse=True)[1]
+    x, y = number[:len(x)], number[len(x):]
+    for s, e in stretches:
         content = x[s:e + 1].tobytes()
         if content in known:  # a repeat in x: one partner for each stretch ties it to the rest
             first, found = known[content]
@@ -293,7 +419,7 @@ def _hopeful(xs: tuple, ys: tuple, least: int) -> Iterator[tuple[int, np.ndarray
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(i, VERIFY_ROWS) for b in batches for i in range(0, b.num_rows, VERIFY_ROWS)):
         xs, ys = list_parts(batch.column("x")), list_parts(batch.column("y"))
         cols = [batch.column(c).to_numpy() for c in ("doc", "hub", "x0", "y0")]
         rows = []
@@ -306,9 +432,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(data[:, i].copy()) for i in range(6)], names=names)
 
 
-def _kept(df: DataFrame, name: str, small: bool = True) -> DataFrame:
+def _kept(df: DataFrame, name: str, small: bool = True, codec: str = "snappy") -> DataFrame:
     path = scratch_path(df.sparkSession, f"passages-{name}")
-    (thin(df) if small else df).write.parquet(path)
+    (thin(df) if small else df).write.parquet(path, compression=codec)
     return df.sparkSession.read.parquet(path)
 
 
@@ -339,17 +465,19 @@ def _accepted(pairs: DataFrame, lists: DataFrame) -> DataFrame:
     both = hull.join(lists_of("hub"), "hub").select("doc", "hub", "p", "q", *crop("hp", "hq", "y0", "y"))
     both = both.join(lists_of("doc"), "doc").select("doc", "hub", "y0", "y", *crop("p", "q", "x0", "x"))
     found = both.mapInArrow(_verify, "doc bigint, s bigint, e bigint, hub bigint, hs bigint, he bigint")
-    return _kept(found.distinct(), "accepted", small=False)
+    found = _kept(found.distinct(), "accepted", small=False)
+    drop_finished(lists.sparkSession)
+    return found
 
 
-def _near_places(s: np.ndarray, lo: np.ndarray, hi: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+def _near_places(s: np.ndarray, lo: np.ndarray, hi: np.ndarray, start: np.ndarray, end: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(key, place) of the minima of ``least`` shingles before, around and
-    after each cell, under NEAR_HASHES functions."""
-    keys, places, n = [], [], len(s)
-    first = np.concatenate([np.maximum(hi - least + 1, 0), np.maximum(lo - least // 2, 0), lo])
-    last = np.concatenate([hi, np.minimum(hi + least // 2, n - 1), np.minimum(lo + least - 1, n - 1)])
+    after each cell, within its document (start..end), under NEAR_HASHES functions."""
+    keys, places = [], []
+    first = np.concatenate([np.maximum(hi - least + 1, start), np.maximum(lo - least // 2, start), lo])
+    last = np.concatenate([hi, np.minimum(hi + least // 2, end), np.minimum(lo + least - 1, end)])
     for f in range(NEAR_HASHES):
-        m = np.unique(RangeMinimum(mix64(s ^ mix64(GOLDEN + np.uint64(f))), min(n, 2 * least))(first, last))
+        m = np.unique(RangeMinimum(mix64(s ^ mix64(GOLDEN + np.uint64(f))), min(len(s), 2 * least))(first, last))
         keys.append(mix64(mix64(s[m] + np.uint64(f + 1)) + GOLDEN))
         places.append(m)
     return np.concatenate(keys), np.concatenate(places)
@@ -364,25 +492,30 @@ def _new_groups(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Re
         for batch in batches:
             lists, spots = list_parts(batch.column("s")), list_parts(batch.column("spots"))
             docs = batch.column("doc").to_numpy()
-            for i in range(batch.num_rows):
-                s = lists[0][lists[1][i]:lists[1][i + 1]]
-                pos = spots[0][spots[1][i]:spots[1][i + 1]]
-                lo, hi = (pos >> np.uint64(32)).astype(np.int64), (pos & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                first, last = np.maximum(hi - least + 1, 0), np.minimum(lo, len(s) - least)
-                edge = np.zeros(len(s) + 1, np.int64)  # starts covered by any cell
+            for a, b in row_chunks(lists[1], CHUNK_WORDS, CHUNK_ROWS):
+                s, offsets = lists[0][lists[1][a]:lists[1][b]], lists[1][a:b + 1] - lists[1][a]
+                row_of = np.repeat(np.arange(b - a), np.diff(offsets))
+                pos = spots[0][spots[1][a]:spots[1][b]]
+                row = np.repeat(np.arange(b - a), np.diff(spots[1][a:b + 1]))
+                start, end = offsets[row], offsets[row + 1] - 1
+                lo, hi = start + (pos >> np.uint64(32)).astype(np.int64), start + (pos & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                near, m = _near_places(s, lo, hi, start, end, least)
+                first, last = np.maximum(hi - least + 1, start), np.minimum(lo, end - least + 1)
                 ok = first <= last
-                near, m = _near_places(s, lo, hi, least)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(near.view(np.int64)), pa.array(np.full(len(m), docs[i])), pa.array((m << 32) | m)], names=["key", "doc", "pos"])
-                np.add.at(edge, first[ok], 1)
-                np.add.at(edge, last[ok] + 1, -1)
-                starts = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-                if not len(starts):
-                    continue
-                content = mix64(np.lib.stride_tricks.sliding_window_view(mix64(s), least)[starts] @ powers)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(content.view(np.int64)), pa.array(np.full(len(starts), docs[i])),
-                     pa.array((starts << 32) | (starts + least - 1))], names=["key", "doc", "pos"])
+                edge = np.bincount(first[ok], minlength=len(s) + 1) - np.bincount(last[ok] + 1, minlength=len(s) + 1)
+                starts = np.flatnonzero(np.cumsum(edge[:-1]) > 0)  # starts covered by any cell
+                content = np.zeros(len(starts), np.uint64)
+                mixed = mix64(s)
+                for i in range(least if len(starts) else 0):
+                    content += mixed[starts + i] * powers[i]
+                key = np.concatenate([near, mix64(content)])
+                from_, to = np.concatenate([m, starts]), np.concatenate([m, starts + least - 1])
+                doc, back = docs[a:b][row_of[from_]], offsets[row_of[from_]]
+                pos = ((from_ - back) << 32) | (to - back)
+                for i in range(0, len(key), 100_000):
+                    j = i + 100_000
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key[i:j].view(np.int64)), pa.array(doc[i:j]), pa.array(pos[i:j])], names=["key", "doc", "pos"])
 
 
 def _with_hub(windows: DataFrame) -> DataFrame:
@@ -422,27 +555,31 @@ def repeated_passages(docs: DataFrame, bands: int = BANDS) -> DataFrame:
     another: doc_id, start_word, end_word (exclusive), class_doc_id,
     class_start_word (the class's least document and place), n_docs."""
     rows = docs.select("doc_id", clean_text("text").alias("text")).withColumn("w", lower_words(F.col("text")))
-    # A document's key is the hash of its words: copies are one document. (The
-    # words are used several times, so no filter on them here: it would be
-    # pushed down and cut every text again.)
-    rows = rows.withColumn("doc", F.xxhash64(F.concat_ws(" ", "w"), F.size("w")))
-    ids = _kept(rows.select("doc_id", "doc", F.size("w").alias("n_words")), "ids", small=False).filter(F.col("n_words") >= MIN_WORDS)
-    hashes = F.transform("w", lambda v: F.xxhash64(v)).alias("hashes")
-    windows = rows.select("doc", hashes).mapInArrow(
-        lambda it: _windows(it, MIN_SHINGLES, bands), "key bigint, part bigint, doc bigint, pos bigint")
-    w = Window.partitionBy("key", "part")
-    met = windows.withColumn("a", F.min("doc").over(w)).withColumn("z", F.max("doc").over(w)).filter("a <> z")
-    last = F.lag(F.struct("doc", "pos")).over(w.orderBy("doc", "pos"))  # copies in several chunks
-    met = met.withColumn("last", last).filter(~F.col("last").eqNullSafe(F.struct("doc", "pos")))
-    met = _kept(met.select("key", "part", "doc", "pos"), "cells", small=False)
+    # A document's key is the hash of its words: copies are one document. Texts
+    # are cut into words once; what follows reads their hashes. (The words are
+    # used several times, so no filter on them here: it would be pushed down and
+    # cut every text again.)
+    rows = _kept(rows.select(
+        "doc_id", F.xxhash64(F.concat_ws(" ", "w"), F.size("w")).alias("doc"), F.size("w").alias("n_words"),
+        F.transform("w", lambda v: F.xxhash64(v)).alias("hashes")), "words", small=False, codec="zstd").filter(F.col("n_words") >= MIN_WORDS)
+    ids = rows.select("doc_id", "doc", "n_words")
+    n_words = ids.agg(F.sum("n_words")).first()[0] or 0
+    ranges = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_words // RANGE_WORDS)
+    windows = rows.select("doc", "hashes").mapInArrow(
+        lambda it: _windows(it, MIN_SHINGLES, bands, ranges),
+        "range int, part bigint, key array<bigint>, doc array<bigint>, lo array<int>, width array<smallint>")
+    met = windows.groupBy("range").applyInArrow(_met, "key bigint, part bigint, doc bigint, pos bigint")
+    met = _kept(met, "cells", small=False)
+    drop_finished(docs.sparkSession)
     copies = ids.groupBy("doc").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("one"), F.first("n_words").alias("n_words"))
     needed = met.select("doc").distinct().join(copies, "doc").select(F.col("doc").alias("d"), F.col("one.doc_id").alias("one"))
     needed = _kept(needed, "needed")
-    texts = maybe_in(rows.drop("w"), "doc", needed.select(F.col("d").alias("doc"))).join(needed, (F.col("doc") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("one")))
-    lists = texts.select("doc", word_hashes(F.col("text")).alias("hashes")).mapInArrow(_shingle_lists, "doc bigint, s array<bigint>")
+    texts = maybe_in(rows.drop("n_words"), "doc", needed.select(F.col("d").alias("doc"))).join(needed, (F.col("doc") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("one")))
+    lists = texts.select("doc", "hashes").mapInArrow(_shingle_lists, "doc bigint, s array<bigint>")
     if ids.groupBy("doc", "doc_id").count().filter("count > 1").limit(1).count():  # rows that repeat id and text
         lists = lists.groupBy("doc").agg(F.first("s").alias("s"))
     lists = _kept(lists, "lists", small=False)
+    drop_finished(docs.sparkSession)
     accepted = _all_accepted(met, lists)
     links = accepted[0]
     for more in accepted[1:]:
