@@ -230,7 +230,7 @@ def _sorted_cells(key: np.ndarray, *others: np.ndarray) -> tuple[np.ndarray, ...
 
 def _met(table: pa.Table) -> pa.Table:
     """Cells (key, part, doc, pos) of a range of keys that other documents of
-    their group have, too."""
+    their group have, too, with the group's hub as in ``_with_hub``."""
     lists = {c: table.column(c).combine_chunks() for c in ("key", "doc", "lo", "width")}
     key, doc, lo, width = (x.flatten().to_numpy(zero_copy_only=False) for x in lists.values())
     part = np.repeat(table.column("part").to_numpy(), lists["key"].value_lengths().to_numpy(zero_copy_only=False))
@@ -243,8 +243,11 @@ def _met(table: pa.Table) -> pa.Table:
     first = np.ones(len(key), bool)
     first[1:] = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
     group, start = np.cumsum(first) - 1, np.flatnonzero(first)
-    keep = (np.bincount(group, doc != doc[start[group]])[group] > 0) if len(group) else first
-    return pa.table([pa.array(x[keep]) for x in (key, part, doc, pos)], names=["key", "part", "doc", "pos"])
+    hub = doc[start[group]]  # the rows are in order
+    hub_last = np.maximum.reduceat(np.where(doc == hub, pos & 0xFFFFFFFF, 0), start)[group] if len(group) else pos
+    keep = (np.bincount(group, doc != hub)[group] > 0) if len(group) else first
+    return pa.table([pa.array(x[keep]) for x in (key, part, doc, pos, hub, pos[start[group]] >> 32, hub_last)],
+                    names=["key", "part", "doc", "pos", "hub", "hub_first", "hub_last"])
 
 
 def _shingle_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -454,6 +457,7 @@ def _accepted(pairs: DataFrame, lists: DataFrame) -> DataFrame:
         F.min(_first("pos")).alias("p"), F.max(_last("pos")).alias("q"),
         F.min("hub_first").alias("hp"), F.max("hub_last").alias("hq"))
     hull = _kept(hull, "hulls")
+    drop_finished(lists.sparkSession)
 
     def crop(lo: str, hi: str, first: str, out: str):
         start = F.greatest(F.col(lo) - MARGIN, F.lit(0))
@@ -530,8 +534,8 @@ def _with_hub(windows: DataFrame) -> DataFrame:
 
 
 def _all_accepted(windows: DataFrame, lists: DataFrame) -> list[DataFrame]:
-    """Verified stretches of all groups of cells (key, part, doc, pos)."""
-    pairs = _kept(_with_hub(windows), "pairs")
+    """Verified stretches of all groups of cells (key, part, doc, pos) with their hubs."""
+    pairs = windows.filter("doc <> hub")
     found = _accepted(pairs, lists)
     # A cell is settled once its place lies in a stretch verified with the hub
     # of its own group. Where one is not, it shares something short with the
@@ -568,7 +572,8 @@ def repeated_passages(docs: DataFrame, bands: int = BANDS) -> DataFrame:
     windows = rows.select("doc", "hashes").mapInArrow(
         lambda it: _windows(it, MIN_SHINGLES, bands, ranges),
         "range int, part bigint, key array<bigint>, doc array<bigint>, lo array<int>, width array<smallint>")
-    met = windows.groupBy("range").applyInArrow(_met, "key bigint, part bigint, doc bigint, pos bigint")
+    met = windows.groupBy("range").applyInArrow(
+        _met, "key bigint, part bigint, doc bigint, pos bigint, hub bigint, hub_first bigint, hub_last bigint")
     met = _kept(met, "cells", small=False)
     drop_finished(docs.sparkSession)
     copies = ids.groupBy("doc").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("one"), F.first("n_words").alias("n_words"))
