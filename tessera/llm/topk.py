@@ -9,8 +9,9 @@ lower bound of its k-th score from the sample, and visits only cells whose
 covering radius lets them reach it. For every (chunk, block of queries) a task
 builds a cover tree of each side and walks both together: a pair of nodes is
 pruned when ``<cq, cr> + |cq| rr + |cr| rq + rq rr`` is below the worst k-th
-score of the query node. Only strictly lower bounds are pruned, so ties (to
-the smaller id) are exact.
+score of the query node. Two leaves meet in one product of matrices, of which
+only the scores that reach a query's bound are looked at. Only strictly lower
+scores are pruned, so ties (to the smaller id) are exact.
 
 Defined results: vectors that are null, or hold null or non-finite components,
 take no part, nor do rows without id; an id that repeats keeps its least
@@ -39,7 +40,9 @@ SCALE = 1024.0
 SAMPLE_POINTS = 4096  # bound of the index sample and of what is broadcast
 MAX_CELLS = 256
 CELL_POINTS, CHUNK_POINTS, QUERY_BLOCK = 2048, 8192, 4096
-LEAF, FANOUT = 64, 32
+# points of a leaf: two leaves meet in one product of matrices; pairs that wait
+# until only the k best of a query are kept
+LEAF, FANOUT, MAX_PENDING = 512, 16, 1_000_000
 
 
 class CoverTree:
@@ -85,29 +88,47 @@ def dual_tree(points: np.ndarray, ids: list[np.ndarray], queries: np.ndarray, qu
               floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(scores, ids), each queries x k, by falling score, then id; unused
     places hold the least integer. ``floor``: known lower bounds of the k-th
-    scores."""
+    scores. Of two leaves only the pairs that reach the floor are kept; when
+    MAX_PENDING of them wait, only the k best of a query stay and floors rise."""
     none = np.iinfo(np.int64).min
-    best = np.full((len(queries), k), none, np.int64)
-    best_id = np.full((len(queries), k), np.iinfo(np.int64).max, np.int64)
     # exact in floating point while products stay below 2**53
     big = max(float(np.abs(points).max(initial=0)), float(np.abs(queries).max(initial=0)))
     exact = big * big * points.shape[1] < 2.0 ** 53
     p, q = points.astype(np.float64), queries.astype(np.float64)
     floor = floor.astype(np.float64).copy()
+    flat = np.concatenate(ids) if len(ids) else np.zeros(0, np.int64)
+    reps = np.array([len(i) for i in ids], np.int64)
+    starts = np.cumsum(reps) - reps
     qt, rt = CoverTree(q), CoverTree(p)
+    kept = [(np.zeros(0, np.int64),) * 3]
+    pending = 0
+
+    def shrink() -> None:
+        nonlocal kept, pending
+        row, score, found = (np.concatenate(x) for x in zip(*kept))
+        order = np.lexsort((found, ~score, row))
+        row, score, found = row[order], score[order], found[order]
+        nth = np.arange(len(row)) - np.searchsorted(row, row)
+        last = nth == k - 1
+        floor[row[last]] = np.maximum(floor[row[last]], score[last].astype(np.float64))
+        kept, pending = [(row[nth < k], score[nth < k], found[nth < k])], 0
 
     def meet(qi: np.ndarray, ri: np.ndarray) -> None:
-        score = (q[qi] @ p[ri].T).astype(np.int64) if exact else queries[qi] @ points[ri].T
-        reps = np.array([len(ids[r]) for r in ri])
-        found_id = np.concatenate([ids[r] for r in ri])
-        found = np.repeat(score, reps, axis=1)
-        found = np.where(found_id[None, :] == query_ids[qi][:, None], none, found)
-        s = np.concatenate([best[qi], found], axis=1)
-        i = np.concatenate([best_id[qi], np.broadcast_to(found_id, found.shape)], axis=1)
-        i = np.where(s == none, np.iinfo(np.int64).max, i)
-        order = np.lexsort((i, -s.astype(np.float64) if exact else ~s), axis=1)[:, :k]
-        best[qi], best_id[qi] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
-        floor[qi] = np.maximum(floor[qi], np.where(best[qi, k - 1] == none, -np.inf, best[qi, k - 1].astype(np.float64)))
+        nonlocal pending
+        score = q[qi] @ p[ri].T if exact else queries[qi] @ points[ri].T
+        least = floor[qi] if exact else floor[qi] - 1e-9 * np.abs(floor[qi])  # a float of it may be rounded upwards
+        at, to = np.nonzero(score >= least[:, None])
+        if not len(at):
+            return
+        score, row, to = score[at, to].astype(np.int64), qi[at], ri[to]
+        n = reps[to]
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        row, score, found = np.repeat(row, n), np.repeat(score, n), flat[np.repeat(starts[to], n) + nth]
+        other = found != query_ids[row]
+        kept.append((row[other], score[other], found[other]))
+        pending += int(other.sum())
+        if pending > MAX_PENDING:
+            shrink()
 
     heap: list[tuple[float, int, int]] = []
 
@@ -132,6 +153,12 @@ def dual_tree(points: np.ndarray, ids: list[np.ndarray], queries: np.ndarray, qu
                 push(child, [rn])
         else:
             meet(qnode[3], rnode[3])
+    shrink()
+    row, score, found = kept[0]
+    best = np.full((len(queries), k), none, np.int64)
+    best_id = np.full((len(queries), k), np.iinfo(np.int64).max, np.int64)
+    nth = np.arange(len(row)) - np.searchsorted(row, row)
+    best[row, nth], best_id[row, nth] = score, found
     return best, best_id
 
 
@@ -158,7 +185,10 @@ def first_floor(queries: np.ndarray, query_ids: np.ndarray, sample: np.ndarray,
         return np.full(len(queries), -np.inf)
     score = (queries.astype(np.float64) @ sample.astype(np.float64).T)[:, owner]
     score = np.where(flat[None, :] == query_ids[:, None], -np.inf, score)
-    return np.partition(score, len(flat) - k, axis=1)[:, len(flat) - k]
+    # what rounding may add to a product of large components
+    slack = 1e-9 * np.linalg.norm(queries.astype(np.float64), axis=1) * np.linalg.norm(sample.astype(np.float64), axis=1).max()
+    exact = max(np.abs(queries).max(initial=0), np.abs(sample).max()) ** 2.0 * sample.shape[1] < 2.0 ** 53
+    return np.partition(score, len(flat) - k, axis=1)[:, len(flat) - k] - (0 if exact else slack)
 
 
 def quantised(df: DataFrame, scale: float = SCALE) -> DataFrame:
@@ -244,7 +274,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         names = ["query_id", "vec_id", "score"]
         if not left.num_rows or not right.num_rows:
             return pa.table([pa.array([], pa.int64())] * 3, names=names)
-        ids = [np.array(i, np.int64) for i in left.column("ids").to_pylist()]
+        lists = left.column("ids").combine_chunks()
+        ids = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])
         query_ids = right.column("query_id").to_numpy()
         score, found = dual_tree(_matrix(left.column("q")), ids, _matrix(right.column("q")), query_ids,
                                  right.column("floor").to_numpy(), k)
